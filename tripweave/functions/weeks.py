@@ -25,17 +25,11 @@ def date_text(d: Column) -> Column:
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:
-    """Exact seconds between two timestamps as a double, free of the session zone.
+    """Seconds between two timestamps, exact to the microsecond.
 
-    Whole microseconds are added up before the one division, so no part is rounded
-    on its own.
+    The difference of local timestamps is an interval, so no session zone comes in.
     """
-    gap = end - start
-    whole = (
-        F.extract(F.lit("DAY"), gap).cast("bigint") * 24 + F.extract(F.lit("HOUR"), gap)
-    ) * 60 + F.extract(F.lit("MINUTE"), gap)
-    micros = (F.extract(F.lit("SECOND"), gap) * F.lit(1_000_000)).cast("bigint")
-    return (whole * F.lit(60_000_000) + micros) / F.lit(1_000_000.0)
+    return (end - start).cast("interval second").cast("decimal(18,6)").cast("double")
 
 
 def duration_minutes(start: Column, end: Column) -> Column:

@@ -28,7 +28,7 @@ def revenue_column(revenue: DataFrame) -> str:
 def _weekly(df: DataFrame, week: str | None, *aggregates: Column) -> DataFrame:
     """Aggregates per week. A named week yields a row even when it has none."""
     if week is None:
-        return df.groupBy(week_of(F.col("date").cast("date")).alias("week_name")).agg(*aggregates)
+        return df.groupBy(week_of(F.col("date").try_cast("date")).alias("week_name")).agg(*aggregates)
     return df.agg(*aggregates).select(F.lit(week).alias("week_name"), "*")
 
 
@@ -68,7 +68,7 @@ def weekly_totals(trips: DataFrame, revenue: DataFrame, week: str | None = None)
 
 
 def _hours_of_week(hourly: DataFrame, week: str | None) -> DataFrame:
-    name = F.lit(week) if week else week_of(F.col("date").cast("date"))
+    name = F.lit(week) if week else week_of(F.col("date").try_cast("date"))
     return hourly.groupBy(name.alias("week_name"), "pickup_hour").agg(
         F.sum("trips_per_hour").alias("trips")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,13 +15,14 @@ JDBC_BATCH_ROWS = 10_000
 _MONEY = ("total_revenue_per_day", "avg_fare_amount", "avg_total_amount")
 
 
-def _replace_folders(df: DataFrame, path: str, key: str) -> None:
+def _replace_folders(df: DataFrame, path: str, key: str, rebalance: bool) -> None:
     """Write one folder per key value; folders of other values stay.
 
-    The rebalance keeps files few and large, and splits a key that holds most rows.
+    Rebalancing costs a shuffle and saves the many small files of every task writing to
+    every folder. It gathers rows by key, yet splits a key that holds most of them.
     """
     (
-        df.hint("rebalance", key)
+        (df.hint("rebalance", key) if rebalance else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
@@ -29,17 +30,27 @@ def _replace_folders(df: DataFrame, path: str, key: str) -> None:
     )
 
 
-def save_days(trips: DataFrame, daily_dir: str) -> None:
-    """Replace the stored days that occur in `trips`; no rows means no change."""
-    dated = trips.filter(F.col("pickup_datetime").isNotNull())
-    _replace_folders(
-        dated.withColumn("pickup_date", F.to_date("pickup_datetime")), daily_dir, "pickup_date"
+def save_days(trips: DataFrame, daily_dir: str, rebalance: bool = True) -> None:
+    """Replace the stored days that occur in `trips`; no rows means no change.
+
+    Input that is ordered by time already may go without the rebalance.
+    """
+    dated = trips.filter(F.col("pickup_datetime").isNotNull()).withColumn(
+        "pickup_date", F.to_date("pickup_datetime")
     )
+    _replace_folders(dated, daily_dir, "pickup_date", rebalance)
 
 
-def save_weeks(weekly: DataFrame, weekly_dir: str) -> None:
+def save_weeks(weekly: DataFrame, weekly_dir: str, rebalance: bool = True) -> None:
     """Replace the stored weeks that occur in `weekly` (which has a `week_name`)."""
-    _replace_folders(weekly, weekly_dir, "week_name")
+    _replace_folders(weekly, weekly_dir, "week_name", rebalance)
+
+
+def register_week(spark: SparkSession, weekly_dir: str, week: str, table: str) -> None:
+    """Make a stored week a catalog table, in place of an earlier one. Moves no data."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    path = f"{weekly_dir.rstrip('/')}/week_name={week}"
+    spark.catalog.createTable(table, path=path, source="parquet")
 
 
 def save_week_table(weekly: DataFrame, table: str, path: str | None = None) -> None:
@@ -91,17 +102,12 @@ def save_metric(metric: DataFrame, output_dir: str, week: str, slug: str) -> str
     return path
 
 
-def save_metric_by_week(metric: DataFrame, output_dir: str, slug: str) -> str:
-    """Write one metric of all weeks to `<output>/<slug>/week_name=.../`, replacing those weeks."""
+def save_metric_all_weeks(metric: DataFrame, output_dir: str, slug: str) -> str:
+    """Write one metric of all weeks to `<output>/<slug>`, with a `week_name` column.
+
+    A column and not a folder per week: years of weeks would be thousands of tiny files.
+    """
     path = f"{output_dir.rstrip('/')}/{slug}"
     dated = _as_csv(metric).withColumn("week_name", week_name(F.col("date").cast("date")))
-    (
-        dated.repartition("week_name")
-        .sortWithinPartitions("week_name", *metric.columns[:3])
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("week_name")
-        .csv(path)
-    )
+    dated.write.mode("overwrite").option("header", True).csv(path)
     return path

@@ -275,6 +275,7 @@ QUALIFY row_number() OVER (PARTITION BY date, taxi_type
     "enabled_metrics": f"""WITH {EV_T}, a AS ({TRIPS_TABLE}), b AS ({REVENUE_TABLE})
 SELECT 'Trips Per Day' AS metric, date, taxi_type, total_trips::DOUBLE AS amount FROM a
 UNION ALL SELECT 'Revenue Per Day', date, taxi_type, total_revenue_per_day FROM b""",
+    "metric_preview": f"WITH {EV_T} {TRIPS_TABLE} ORDER BY date, taxi_type LIMIT 10",
     "cleaned_trips": f"WITH {EV_T} SELECT * FROM t",
     "cleaned_trips_strict": count_where(
         LI,

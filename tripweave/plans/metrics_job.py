@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from tripweave.contracts import MetricsConfig
 from tripweave.functions.weeks import week_name
 from tripweave.operators.cleaning import clean, is_clean, with_duration
 from tripweave.operators.facts import audit, audited_facts, kept_facts
-from tripweave.operators.sinks import save_metric, save_metric_by_week
+from tripweave.operators.sinks import save_metric, save_metric_all_weeks
 from tripweave.plans.registry import MetricRegistry, default_registry
-from tripweave.session import shared_dir
+from tripweave.session import at_once, shared_dir
 from tripweave.sources.stores import load_week, load_week_table
 
 
@@ -50,8 +51,9 @@ def prepare(
     spark = trips.sparkSession
     timed = with_duration(trips)
     path = shared_dir(spark, "facts")
-    audited_facts(timed, is_clean(timed, config)).write.parquet(path)
-    audited = spark.read.parquet(path)
+    planned = audited_facts(timed, is_clean(timed, config))
+    planned.write.parquet(path)
+    audited = spark.read.schema(planned.schema).parquet(path)
     chosen = registry or default_registry(config, by_week)
     results = chosen.compute_all(clean(timed, config), facts=kept_facts(audited))
     return MetricsRun({m.slug: results[m.name][0] for m in chosen.entries}, audited)
@@ -70,9 +72,22 @@ def run_week(
         trips = load_week_table(spark, week)
     else:
         trips = load_week(spark, weekly_dir, week)
+    return run_trips(trips, week, output_dir, config, registry)
+
+
+def run_trips(
+    trips: DataFrame,
+    week: str,
+    output_dir: str,
+    config: MetricsConfig = MetricsConfig(),
+    registry: MetricRegistry | None = None,
+) -> MetricsRun:
+    """Metric files of trips that all count as one week."""
     run = prepare(trips, config, registry)
-    for slug, table in run.tables.items():
-        save_metric(table, output_dir, week, slug)
+    at_once(
+        trips.sparkSession,
+        [partial(save_metric, t, output_dir, week, slug) for slug, t in run.tables.items()],
+    )
     return run
 
 
@@ -84,6 +99,8 @@ def run_all_weeks(
 ) -> MetricsRun:
     """Metric files of every week in one job; statistics stay within each week."""
     run = prepare(trips, config, registry, by_week=True)
-    for slug, table in run.tables.items():
-        save_metric_by_week(table, output_dir, slug)
+    at_once(
+        trips.sparkSession,
+        [partial(save_metric_all_weeks, t, output_dir, slug) for slug, t in run.tables.items()],
+    )
     return run

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.contracts import REPORT_COLUMNS
 from tripweave.operators.report import daily_breakdown, ranked_hours, weekly_kpis
+from tripweave.session import at_once
 from tripweave.sources.metric_files import read_all_weeks_metric, read_week_metric
 
 
@@ -29,11 +31,13 @@ def build_report(tables: dict[str, DataFrame], week: str | None = None) -> Repor
 
 def report_week(spark: SparkSession, output_dir: str, week: str) -> Report:
     """The report of one week from the files of `run_week`."""
-    tables = {slug: read_week_metric(spark, output_dir, week, slug) for slug in REPORT_COLUMNS}
-    return build_report(tables, week)
+    slugs = list(REPORT_COLUMNS)
+    frames = at_once(spark, [partial(read_week_metric, spark, output_dir, week, s) for s in slugs])
+    return build_report(dict(zip(slugs, frames, strict=True)), week)
 
 
 def report_all_weeks(spark: SparkSession, output_dir: str) -> Report:
     """The reports of all weeks from the files of `run_all_weeks`."""
-    tables = {slug: read_all_weeks_metric(spark, output_dir, slug) for slug in REPORT_COLUMNS}
-    return build_report(tables)
+    slugs = list(REPORT_COLUMNS)
+    frames = at_once(spark, [partial(read_all_weeks_metric, spark, output_dir, s) for s in slugs])
+    return build_report(dict(zip(slugs, frames, strict=True)))

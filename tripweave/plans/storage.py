@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.functions.weeks import parse_day, week_name
 from tripweave.operators.days import range_status, trips_in_range, trips_on
-from tripweave.operators.sinks import save_days, save_week_table, save_weeks
+from tripweave.operators.sinks import register_week, save_days, save_weeks
 from tripweave.sources.fleets import SourceSpec, load_trips
-from tripweave.sources.stores import days_of_week, first_week, load_days
+from tripweave.sources.stores import first_week, load_days
 
 
 def store_day(trips: DataFrame, day: str, daily_dir: str) -> None:
@@ -44,45 +43,29 @@ def process_daily_range(
     return store_range(load_trips(spark, specs), start_day, daily_dir, num_days)
 
 
-@dataclass(frozen=True)
-class WeeklyTarget:
-    """Where weeks go: a store with one folder per week, or one catalog table per week.
-
-    With ``table_dir`` the tables are external, in a folder each.
-    """
-
-    weekly_dir: str | None = None
-    table_dir: str | None = None
-    database: str | None = None
-
-    def table(self, week: str) -> str:
-        return f"{self.database}.{week}" if self.database else week
-
-
 def process_weekly(
-    spark: SparkSession, daily_dir: str, target: WeeklyTarget, single_week: bool = False
+    spark: SparkSession,
+    daily_dir: str,
+    weekly_dir: str,
+    as_tables: bool = False,
+    database: str | None = None,
+    single_week: bool = False,
 ) -> list[str] | None:
     """Publish all stored days by week; returns the week names, or None without data.
 
-    Every row goes to the week of its own day. ``single_week`` keeps the older habit of
-    putting all stored days into the week of the first one.
+    One job writes a folder per week. With ``as_tables`` each folder also becomes a
+    catalog table named after its week. Every row goes to the week of its own day;
+    ``single_week`` keeps the older habit of putting all stored days into the week of
+    the first one.
     """
     days = load_days(spark, daily_dir)
     if days is None:
         return None
-    if single_week:
-        weeks = [first_week(days)]
-        named = days.withColumn("week_name", F.lit(weeks[0]))
-    else:
-        name = week_name(F.col("pickup_date"))
-        found = days.select("pickup_date").distinct().select(name.alias("w")).distinct()
-        weeks = sorted(row["w"] for row in found.collect())
-        named = days.withColumn("week_name", name)
-    if target.weekly_dir is not None:
-        save_weeks(named.drop("pickup_date"), target.weekly_dir)
-        return weeks
-    for week in weeks:
-        rows = days if single_week else days_of_week(days, week)
-        path = f"{target.table_dir.rstrip('/')}/{week}" if target.table_dir else None
-        save_week_table(rows.drop("pickup_date"), target.table(week), path)
+    name = F.lit(first_week(days)) if single_week else week_name(F.col("pickup_date"))
+    found = days.select("pickup_date").distinct().select(name.alias("week_name")).distinct()
+    weeks = sorted(row["week_name"] for row in found.collect())
+    save_weeks(days.withColumn("week_name", name).drop("pickup_date"), weekly_dir)
+    if as_tables:
+        for week in weeks:
+            register_week(spark, weekly_dir, week, f"{database}.{week}" if database else week)
     return weeks

@@ -14,7 +14,7 @@ from tripweave.operators import anomaly, cleaning, days, facts, metrics, quality
 from tripweave.plans.metrics_job import prepare, run_all_weeks
 from tripweave.plans.registry import default_registry
 from tripweave.plans.report_job import report_all_weeks
-from tripweave.plans.storage import WeeklyTarget, process_weekly, store_day, store_range
+from tripweave.plans.storage import process_weekly, store_day, store_range
 from tripweave.session import shared_dir
 from tripweave.sources.fleets import (
     GREEN,
@@ -179,6 +179,12 @@ def enabled_metrics(spark, sf_dir):
 # --- cleaning and quality --------------------------------------------------------
 
 
+@query
+def metric_preview(spark, sf_dir):
+    """The first ten rows of a metric table, as shown when it is saved."""
+    return metrics.trips_per_day(event_days(spark, sf_dir)).limit(10)
+
+
 @query
 def cleaned_trips(spark, sf_dir):
     return cleaned_events(spark, sf_dir)
@@ -532,16 +538,16 @@ def weekly_store_roundtrip(spark, sf_dir):
     """Stored days published by week, and counted from the weekly store."""
     store, weekly = shared_dir(spark, "daily"), shared_dir(spark, "weekly")
     sinks.save_days(event_trips(spark, sf_dir), store)
-    process_weekly(spark, store, WeeklyTarget(weekly_dir=weekly))
+    process_weekly(spark, store, weekly)
     return spark.read.parquet(weekly).groupBy("week_name").agg(F.count(F.lit(1)).alias("trips"))
 
 
 @query
 def week_table_roundtrip(spark, sf_dir):
     """Stored days published as one catalog table per week, and counted by type."""
-    store, tables = shared_dir(spark, "daily"), shared_dir(spark, "tables")
+    store, weekly = shared_dir(spark, "daily"), shared_dir(spark, "weekly")
     sinks.save_days(event_trips(spark, sf_dir), store)
-    weeks = process_weekly(spark, store, WeeklyTarget(table_dir=tables))
+    weeks = process_weekly(spark, store, weekly, as_tables=True)
     counts = [
         load_week_table(spark, week)
         .groupBy("taxi_type")

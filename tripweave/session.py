@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
@@ -44,3 +47,16 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="tripweave-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def at_once(spark: SparkSession, calls: Sequence[Callable]) -> list:
+    """Results of independent small Spark actions, submitted side by side.
+
+    For a handful of actions over small tables, where the time goes into waiting for one
+    job after the other. The first error is raised.
+    """
+    if not calls:
+        return []
+    with ThreadPoolExecutor(max_workers=len(calls)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+        return [future.result() for future in started]

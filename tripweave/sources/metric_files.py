@@ -77,5 +77,5 @@ def read_week_metric(spark: SparkSession, output_dir: str, week: str, slug: str)
 
 
 def read_all_weeks_metric(spark: SparkSession, output_dir: str, slug: str) -> DataFrame:
-    """One metric of all weeks as written by `operators.sinks.save_metric_by_week`."""
+    """One metric of all weeks as written by `operators.sinks.save_metric_all_weeks`."""
     return read_metric_csv(spark, f"{output_dir.rstrip('/')}/{slug}", REPORT_COLUMNS[slug])
