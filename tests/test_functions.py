@@ -1,0 +1,167 @@
+import math
+import random
+from datetime import date, timedelta
+from functools import reduce
+from operator import add
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tests.conftest import as_dicts, at
+from tripweave.functions import numbers, weeks
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first()["x"]
+
+
+def test_round2_is_half_even_on_the_scaled_value(spark):
+    picker = random.Random(7)
+    values = [0.125, 0.285, 1.005, 2.675, -0.125, 0.0, 1e12 + 0.125]
+    values += [picker.randrange(-10**6, 10**6) / 1000 for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r["y"] for r in df.select(numbers.round2(F.col("x")).alias("y")).collect()]
+    assert got == list(np.round(np.array(values), 2))
+
+
+def test_mean_does_not_depend_on_the_order_of_terms(spark):
+    terms = [0.1] * 10 + [0.7, 1e-3, 123.45, -0.1] * 50
+    shuffled = terms[:]
+    random.Random(3).shuffle(shuffled)
+    sums = {reduce(add, order) for order in (terms, sorted(terms), shuffled)} | {math.fsum(terms)}
+    assert len(sums) > 1
+    df = spark.createDataFrame([(s,) for s in sums], "s double")
+    means = df.select(numbers.mean_of(F.col("s"), F.lit(len(terms))).alias("m")).distinct()
+    assert means.count() == 1
+
+
+def test_mean_of_nothing_is_null(spark):
+    assert one(spark, numbers.mean_of(F.lit(0.0), F.lit(0))) is None
+
+
+@pytest.mark.parametrize(
+    ("current", "previous", "expected"),
+    [(80, 100, -20.0), (7999, 10000, -20.01), (5, 0, None), (5, None, None), (3, -1, None)],
+)
+def test_pct_change(spark, current, previous, expected):
+    previous = F.lit(previous).cast("bigint")
+    assert one(spark, numbers.pct_change(F.lit(current).cast("bigint"), previous)) == expected
+
+
+def test_above_rejects_null_nan_and_the_limit(spark):
+    df = spark.createDataFrame(
+        [(None,), (float("nan"),), (0.0,), (-1.0,), (5e-324,), (float("inf"),)], "x double"
+    )
+    assert [r["x"] for r in df.filter(numbers.above(df, "x", 0.0)).collect()] == [
+        5e-324,
+        float("inf"),
+    ]
+
+
+def test_formats(spark):
+    assert one(spark, numbers.format_count(F.lit(1234567.99))) == "1,234,567"
+    assert one(spark, numbers.format_count(F.lit(-1.9))) == "-1"
+    assert one(spark, numbers.format_money(F.lit(1234567.891))) == "$1,234,567.89"
+    assert one(spark, numbers.format_money(F.lit(0.125))) == f"${0.125:,.2f}"
+
+
+@pytest.mark.parametrize(
+    ("day", "name"),
+    [
+        ("2025-09-01", "week_1_september_2025"),
+        ("2025-09-07", "week_1_september_2025"),
+        ("2025-09-08", "week_2_september_2025"),
+        ("2024-02-28", "week_4_february_2024"),
+        ("2024-02-29", "week_5_february_2024"),
+        ("2024-12-31", "week_5_december_2024"),
+    ],
+)
+def test_week_name(spark, day, name):
+    assert one(spark, weeks.week_name(F.lit(day).cast("date"))) == name
+
+
+def test_week_range_holds_exactly_the_days_of_its_name(spark):
+    days = [date(2023, 12, 25) + timedelta(days=i) for i in range(440)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    for row in df.select("d", weeks.week_name(F.col("d")).alias("w")).collect():
+        start, end = weeks.week_range(row["w"])
+        assert start <= row["d"] < end
+        assert 1 <= (end - start).days <= 7
+
+
+def test_week_range_rejects_other_names():
+    for name in ("custom", "week_6_may_2024", "week_1_foo_2024"):
+        with pytest.raises(ValueError):
+            weeks.week_range(name)
+
+
+@pytest.mark.parametrize(
+    ("week", "prefix"),
+    [
+        ("week_1_september_2025", "2025_09_week1"),
+        ("week_5_February_2024", "2024_02_week5"),
+        ("week_12_MAY_20245", "2024_05_week12"),
+        ("custom_name", "custom-name"),
+        ("my_week_1_may_2024", "my-week-1-may-2024"),
+    ],
+)
+def test_week_file_prefix(spark, week, prefix):
+    assert weeks.file_prefix(week) == prefix
+    assert one(spark, weeks.week_file_prefix(F.lit(week))) == prefix
+
+
+def test_week_file_prefix_of_unknown_month_is_an_error(spark):
+    with pytest.raises(ValueError):
+        weeks.file_prefix("week_1_smarch_2024")
+    with pytest.raises(PySparkException):
+        one(spark, weeks.week_file_prefix(F.lit("week_1_smarch_2024")))
+
+
+def test_metric_file_name():
+    name = weeks.metric_file_name("trips_per_day", "week_1_september_2025")
+    assert name == "2025_09_week1_trips_per_day.csv"
+    assert weeks.metric_file_name("trips_per_day") == "trips_per_day.csv"
+
+
+@pytest.mark.parametrize(
+    ("week", "parts"),
+    [
+        ("week_1_september_2025", ["1", "September", "2025"]),
+        ("week_2_mAY_2024_extra", ["2", "May", "2024"]),
+        ("week_2_may", ["?", "Unknown", "?"]),
+        ("custom_a_b_c", ["?", "Unknown", "?"]),
+    ],
+)
+def test_week_parts(spark, week, parts):
+    columns = [c.alias(f"p{i}") for i, c in enumerate(weeks.week_parts(F.lit(week)))]
+    assert list(spark.range(1).select(*columns).first()) == parts
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_durations_do_not_depend_on_the_session_zone(spark, zone):
+    pairs = [
+        (at("2024-03-10 01:30:00"), at("2024-03-10 03:30:00")),
+        (at("2024-01-01 00:00:00"), at("2023-12-31 23:59:00")),
+        (at("2024-01-01 00:00:00"), at("2024-01-01 00:00:00")),
+        (at("2024-01-01 00:00:00"), at("2025-01-01 00:00:18.300000")),
+        (at("2024-01-01 23:59:59.999999"), at("2024-01-02 00:00:00")),
+    ]
+    rows = [(p, d, float(np.round((d - p).total_seconds() / 60, 2))) for p, d in pairs]
+    assert [r[2] for r in rows[:3]] == [120.0, -1.0, 0.0]
+    df = spark.createDataFrame(rows, "p timestamp_ntz, d timestamp_ntz, expected double")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        minutes = weeks.duration_minutes(F.col("p"), F.col("d")).alias("m")
+        for row in as_dicts(df.select("expected", minutes)):
+            assert row["m"] == row["expected"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_parse_day_rejects_other_text():
+    assert weeks.parse_day("2024-01-31") == date(2024, 1, 31)
+    with pytest.raises(ValueError):
+        weeks.parse_day("31/01/2024")
