@@ -1,0 +1,128 @@
+"""Report tables over hand-made metric tables."""
+
+import pytest
+
+from tests.conftest import as_dicts
+from tripweave.contracts import METRIC_SCHEMAS
+from tripweave.operators import report
+
+WEEK = "week_1_january_2024"
+
+
+def ddl(slug):
+    return ", ".join(f"{c} {kind}" for c, kind in METRIC_SCHEMAS[slug].items())
+
+
+@pytest.fixture
+def tables(spark):
+    rows = {
+        "trips_per_day": [
+            ("2024-01-01", "Green", 10),
+            ("2024-01-01", "Yellow", 20),
+            ("2024-01-02", "Green", 5),
+            ("2024-01-08", "Green", 1),
+        ],
+        "revenue_per_day": [
+            ("2024-01-01", "Green", 60.0),
+            ("2024-01-01", "Yellow", 40.0),
+            ("2024-01-02", "Green", 100.0),
+            ("2024-01-08", "Green", 7.5),
+        ],
+        "peak_hour_per_day": [
+            ("2024-01-01", "Green", 17, 4),
+            ("2024-01-01", "Yellow", 9, 6),
+            ("2024-01-02", "Green", 17, 2),
+            ("2024-01-02", "Green", 3, 6),
+            ("2024-01-02", "Green", 4, 1),
+            ("2024-01-08", "Green", 0, 1),
+        ],
+        "daily_avg_metrics": [
+            ("2024-01-01", "Green", 1.0, 1.0, 10.0, 1.0, 1.0),
+            ("2024-01-01", "Yellow", 1.0, 1.0, 20.0, 1.0, 1.0),
+            ("2024-01-02", "Green", 1.0, 1.0, None, 1.0, 1.0),
+            ("2024-01-08", "Green", 1.0, 1.0, 7.5, 1.0, 1.0),
+        ],
+        "anomaly_monitoring": [
+            ("2024-01-01", "Green", 10, 60.0, 1.0, 7.0, 1.0, None, True),
+            ("2024-01-01", "Yellow", 20, 40.0, 1.0, 7.0, 1.0, None, False),
+            ("2024-01-02", "Green", 5, 100.0, 1.0, 7.0, 1.0, -50.0, True),
+            ("2024-01-08", "Green", 1, 7.5, 1.0, 1.0, None, None, False),
+        ],
+    }
+    return {slug: spark.createDataFrame(r, ddl(slug)) for slug, r in rows.items()}
+
+
+def empty(tables):
+    return {slug: t.filter("false") for slug, t in tables.items()}
+
+
+def test_kpis_per_week(tables):
+    first, second = as_dicts(report.weekly_kpis(tables).orderBy("week_name"))
+    assert first == {
+        "week_name": WEEK,
+        "week_title": "Week 1, January 2024",
+        "total_trips": 35,
+        "total_revenue": 200.0,
+        "num_days": 2,
+        "daily_avg_trips": 17.5,
+        "daily_avg_revenue": 100.0,
+        "avg_rev_trip": 15.0,
+        "anomaly_count": 2,
+        "best_day": "2024-01-01",
+        "best_day_revenue": 100.0,
+        "worst_day": "2024-01-01",
+        "worst_day_revenue": 100.0,
+        "busiest_hours": "3:00, 9:00, 17:00",
+    }
+    assert (second["week_name"], second["anomaly_count"]) == ("week_2_january_2024", 0)
+    assert second["busiest_hours"] == "0:00"
+
+
+def test_named_week_takes_all_rows(tables):
+    (row,) = as_dicts(report.weekly_kpis(tables, "custom"))
+    assert (row["week_name"], row["week_title"]) == ("custom", "Week ?, Unknown ?")
+    assert (row["total_trips"], row["num_days"], row["worst_day"]) == (36, 3, "2024-01-08")
+
+
+def test_named_week_without_rows_is_all_zeros(tables):
+    (row,) = as_dicts(report.weekly_kpis(empty(tables), WEEK))
+    assert (row["total_trips"], row["total_revenue"], row["num_days"]) == (0, 0.0, 1)
+    assert (row["daily_avg_trips"], row["anomaly_count"]) == (0.0, 0)
+    assert row["best_day"] is None and row["avg_rev_trip"] is None
+    assert not row["busiest_hours"]
+
+
+def test_old_revenue_name(tables):
+    old = tables["revenue_per_day"].withColumnRenamed("total_revenue_per_day", "total_revenue")
+    totals = report.weekly_totals(tables["trips_per_day"], old, WEEK).first()
+    assert totals["total_revenue"] == 207.5
+    assert report.best_worst_day(old, WEEK).first()["best_day"] == "2024-01-01"
+
+
+def test_breakdown_is_led_by_trips(tables):
+    partial = tables["revenue_per_day"].filter("date <> '2024-01-02'")
+    assert [tuple(r) for r in report.daily_breakdown(tables["trips_per_day"], partial).collect()] == [
+        ("2024-01-01", 30, 100.0),
+        ("2024-01-02", 5, 0.0),
+        ("2024-01-08", 1, 7.5),
+    ]
+
+
+def test_busiest_hours_break_ties_by_hour(tables):
+    hourly = tables["peak_hour_per_day"]
+    assert [tuple(r) for r in report.top_hours(hourly).collect()] == [(3, 6), (9, 6), (17, 6)]
+    ranked = report.ranked_hours(hourly, k=2).orderBy("week_name", "rank").collect()
+    assert [tuple(r)[1:] for r in ranked] == [(1, 3, 6), (2, 9, 6), (1, 0, 1)]
+
+
+def test_alerts(spark, tables):
+    cleaning = spark.createDataFrame(
+        [(WEEK, 5.1), ("week_2_january_2024", 5.0), ("week_3_january_2024", 0.0)],
+        "week_name string, removed_pct double",
+    )
+    alerts = report.weekly_alerts(cleaning, tables["anomaly_monitoring"], max_anomalies=1)
+    assert [tuple(r)[2:] for r in alerts.collect()] == [
+        (2, True, True),
+        (0, False, False),
+        (0, False, False),
+    ]

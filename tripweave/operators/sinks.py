@@ -82,7 +82,8 @@ def save_week_jdbc(
 def _csv_value(name: str, kind: T.DataType) -> Column:
     """Plain decimals for money (large doubles would print as 1.2E7), True/False for flags."""
     if name in _MONEY:
-        return F.col(name).cast("decimal(28,2)").alias(name)
+        c = F.col(name)
+        return F.coalesce(c.try_cast("decimal(28,2)").cast("string"), c.cast("string")).alias(name)
     if isinstance(kind, T.BooleanType):
         return F.initcap(F.col(name).cast("string")).alias(name)
     return F.col(name)

@@ -64,7 +64,9 @@ def process_weekly(
     name = F.lit(first_week(days)) if single_week else week_name(F.col("pickup_date"))
     found = days.select("pickup_date").distinct().select(name.alias("week_name")).distinct()
     weeks = sorted(row["week_name"] for row in found.collect())
-    save_weeks(days.withColumn("week_name", name).drop("pickup_date"), weekly_dir)
+    # Stored days already sit together, so the copy into week folders needs no shuffle.
+    weekly = days.withColumn("week_name", name).drop("pickup_date")
+    save_weeks(weekly, weekly_dir, rebalance=False)
     if as_tables:
         for week in weeks:
             register_week(spark, weekly_dir, week, f"{database}.{week}" if database else week)
