@@ -41,13 +41,21 @@ def week_of_month(d: Column) -> Column:
     return F.ceil(F.dayofmonth(d) / F.lit(7)).cast("int")
 
 
+def _month_names() -> Column:
+    return F.array(*[F.lit(m) for m in _MONTHS])
+
+
 def week_name(d: Column) -> Column:
-    """`week_{n}_{month}_{year}` of a date."""
-    return F.concat_ws(
-        "_",
-        F.lit("week"),
+    """`week_{n}_{month}_{year}` of a date; NULL without one.
+
+    Building text costs more than most other work on a row: name days, not trips.
+    """
+    return F.concat(
+        F.lit("week_"),
         week_of_month(d).cast("string"),
-        F.lower(F.date_format(d, "MMMM")),
+        F.lit("_"),
+        F.element_at(_month_names(), F.month(d)),
+        F.lit("_"),
         F.year(d).cast("string"),
     )
 
@@ -59,9 +67,7 @@ def week_file_prefix(week: Column) -> Column:
     with an unknown month is an error.
     """
     pattern = F.lit(_WEEK_PATTERN)
-    month = F.array_position(
-        F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.regexp_extract(week, _WEEK_PATTERN, 2))
-    )
+    month = F.array_position(_month_names(), F.lower(F.regexp_extract(week, _WEEK_PATTERN, 2)))
     prefix = F.concat(
         F.regexp_extract(week, _WEEK_PATTERN, 3),
         F.lit("_"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.contracts import MetricsConfig
@@ -29,12 +29,9 @@ class MetricsRun:
         return audit(self.audited)
 
     def cleaning_by_week(self) -> DataFrame:
-        return audit(self.audited, _week()).filter("week_name IS NOT NULL")
-
-
-def _week() -> Column:
-    day = F.col("pickup_date")
-    return F.when(day.isNotNull(), week_name(day)).alias("week_name")
+        """Cleaning numbers per week; trips without a pickup time belong to none."""
+        week = week_name(F.col("pickup_date")).alias("week_name")
+        return audit(self.audited.filter("pickup_date IS NOT NULL"), week)
 
 
 def prepare(

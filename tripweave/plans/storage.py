@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.functions.weeks import parse_day, week_name
+from tripweave.functions.weeks import parse_day
 from tripweave.operators.days import range_status, trips_in_range, trips_on
 from tripweave.operators.sinks import register_week, save_days, save_weeks
 from tripweave.sources.fleets import SourceSpec, load_trips
-from tripweave.sources.stores import first_week, load_days
+from tripweave.sources.stores import first_week, load_days, stored_days
 
 
 def store_day(trips: DataFrame, day: str, daily_dir: str) -> None:
@@ -61,11 +61,13 @@ def process_weekly(
     days = load_days(spark, daily_dir)
     if days is None:
         return None
-    name = F.lit(first_week(days)) if single_week else week_name(F.col("pickup_date"))
-    found = days.select("pickup_date").distinct().select(name.alias("week_name")).distinct()
-    weeks = sorted(row["week_name"] for row in found.collect())
-    # Stored days already sit together, so the copy into week folders needs no shuffle.
-    weekly = days.withColumn("week_name", name).drop("pickup_date")
+    named = stored_days(spark, daily_dir)
+    if single_week:
+        named = named.withColumn("week_name", F.lit(first_week(named)))
+    weeks = sorted(row["week_name"] for row in named.select("week_name").distinct().collect())
+    # The calendar bounds the broadcast: one short row per stored day. Stored days sit
+    # together already, so the copy into week folders needs no shuffle.
+    weekly = days.join(F.broadcast(named), "pickup_date").drop("pickup_date")
     save_weeks(weekly, weekly_dir, rebalance=False)
     if as_tables:
         for week in weeks:

@@ -22,6 +22,18 @@ def load_days(spark: SparkSession, daily_dir: str) -> DataFrame | None:
         raise
 
 
+def stored_days(spark: SparkSession, daily_dir: str) -> DataFrame:
+    """One row per stored day, with its `week_name`.
+
+    Lists files without opening any; reading the trips for their days would cost a
+    pass over all rows.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(daily_dir)
+    return files.select("pickup_date").distinct().withColumn(
+        "week_name", week_name(F.col("pickup_date"))
+    )
+
+
 def days_of_week(days: DataFrame, week: str) -> DataFrame:
     """The stored days of one week name; prunes to at most seven date folders."""
     start, end = week_range(week)
@@ -29,10 +41,9 @@ def days_of_week(days: DataFrame, week: str) -> DataFrame:
     return days.filter((day >= F.lit(start)) & (day < F.lit(end)))
 
 
-def first_week(days: DataFrame) -> str:
-    """The week name of the earliest stored day."""
-    found = days.agg(week_name(F.min("pickup_date")).alias("week_name")).first()
-    return found["week_name"] or UNKNOWN_WEEK
+def first_week(stored: DataFrame) -> str:
+    """The week name of the earliest of the stored days."""
+    return stored.agg(F.min_by("week_name", "pickup_date")).first()[0] or UNKNOWN_WEEK
 
 
 def _checked(df: DataFrame, what: str) -> DataFrame:
@@ -50,10 +61,10 @@ def load_week_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def load_week(spark: SparkSession, weekly_dir: str, week: str) -> DataFrame:
-    """One week of the weekly store (one folder), with the same errors."""
+    """One week of the weekly store, with the same errors. Lists that week's folder only."""
     try:
-        rows = spark.read.parquet(weekly_dir).filter(F.col("week_name") == week)
-        return _checked(rows.drop("week_name"), f"week {week!r}")
+        rows = spark.read.parquet(f"{weekly_dir.rstrip('/')}/week_name={week}")
+        return _checked(rows, f"week {week!r}")
     except PySparkException as error:
         raise DataValidationError(f"cannot load week {week!r}: {error}") from error
 
