@@ -64,7 +64,7 @@ def main() -> None:
         ),
         "metrics_and_report_job": lambda: metrics_and_report(spark, sf_dir),
     }
-    runs = jobs | {n: lambda q=QUERIES[n]: q(spark, sf_dir).toArrow() for n in HEADLINE}
+    runs = {n: lambda q=QUERIES[n]: q(spark, sf_dir).toArrow() for n in HEADLINE} | jobs
     seconds = {}
     for name, run in runs.items():
         run()

@@ -57,6 +57,9 @@ TRIPS_ALIAS = ("trips_per_day", "total_trips")
 REVENUE_ALIAS = ("revenue_per_day", "total_revenue")
 AVG_REVENUE_ALIAS = ("avg_rev_per_trip", "avg_revenue_per_trip")
 
+# Metric tables are sorted by those of these columns that they have.
+METRIC_KEYS = ("date", "taxi_type", "pickup_hour")
+
 # Columns of each metric table with their SQL types, in order.
 METRIC_SCHEMAS: dict[str, dict[str, str]] = {
     "trips_per_day": {"date": "string", "taxi_type": "string", "total_trips": "bigint"},
