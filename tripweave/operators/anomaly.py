@@ -67,7 +67,7 @@ def _flag(rule: AnomalyRule) -> Column:
 
 
 def score_days(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
-    """All columns of both flag variants, unsorted.
+    """All columns of both flag variants.
 
     The windows run over daily facts, a handful of rows per type and week. The previous
     day is the previous row: days without trips are not filled in.
@@ -108,20 +108,16 @@ def score_days(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame
 def anomaly_monitoring(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
     """The anomaly metric table. A rule on revenue adds its percentage column."""
     changes = dict.fromkeys(["pct_change_trips", rule.drop_column])
-    return (
-        score_days(daily, rule)
-        .select(
-            day_column(),
-            "taxi_type",
-            "daily_trips",
-            "total_revenue_per_day",
-            "avg_passenger_count",
-            "avg_trips",
-            "stddev_trips",
-            *changes,
-            "is_anomaly",
-        )
-        .orderBy("date", "taxi_type")
+    return score_days(daily, rule).select(
+        day_column(),
+        "taxi_type",
+        "daily_trips",
+        "total_revenue_per_day",
+        "avg_passenger_count",
+        "avg_trips",
+        "stddev_trips",
+        *changes,
+        "is_anomaly",
     )
 
 

@@ -1,7 +1,8 @@
 """The metric tables and the documented queries around them.
 
 Functions take daily or hourly facts (see `facts`), or one of the metric tables where
-they say so.
+they say so. The metric tables themselves come unsorted, for further use; `in_order`
+sorts them for output.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.contracts import MEASURES, require_columns
+from tripweave.contracts import MEASURES, METRIC_KEYS, require_columns
 from tripweave.functions.numbers import mean_of, round2
 from tripweave.functions.weeks import date_text, week_name
 from tripweave.operators.facts import roll_up
@@ -33,30 +34,32 @@ def _column_mean(name: str) -> Column:
 # --- metric tables ---------------------------------------------------------------
 
 
+def in_order(table: DataFrame) -> DataFrame:
+    """Sorted by date, type and hour, as far as the table has them."""
+    keys = [c for c in METRIC_KEYS if c in table.columns]
+    return table.orderBy(*keys) if keys else table
+
+
 def trips_per_day(daily: DataFrame) -> DataFrame:
-    return daily.select(day_column(), "taxi_type", F.col("trips").alias("total_trips")).orderBy(
-        "date", "taxi_type"
-    )
+    return daily.select(day_column(), "taxi_type", F.col("trips").alias("total_trips"))
 
 
 def revenue_per_day(daily: DataFrame) -> DataFrame:
     require_columns(daily, ["total_amount_sum"], "revenue_per_day")
-    return daily.select(day_column(), "taxi_type", revenue().alias("total_revenue_per_day")).orderBy(
-        "date", "taxi_type"
-    )
+    return daily.select(day_column(), "taxi_type", revenue().alias("total_revenue_per_day"))
 
 
 def hourly_trips(hourly: DataFrame) -> DataFrame:
     """Trips of every hour that had any."""
     return hourly.select(
         day_column(), "taxi_type", "pickup_hour", F.col("trips").alias("trips_per_hour")
-    ).orderBy("date", "taxi_type", "pickup_hour")
+    )
 
 
 def daily_averages(daily: DataFrame) -> DataFrame:
     require_columns(daily, [f"{m}_sum" for m in MEASURES], "daily_avg_metrics")
     means = [round2(average(m)).alias(f"avg_{m}") for m in MEASURES]
-    return daily.select(day_column(), "taxi_type", *means).orderBy("date", "taxi_type")
+    return daily.select(day_column(), "taxi_type", *means)
 
 
 # --- counts and totals -----------------------------------------------------------

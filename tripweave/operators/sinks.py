@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tripweave.contracts import METRIC_KEYS
 from tripweave.functions.weeks import metric_file_name, week_name
+from tripweave.operators.metrics import in_order
 
 JDBC_BATCH_ROWS = 10_000
 
@@ -98,7 +99,7 @@ def save_metric(metric: DataFrame, output_dir: str, week: str, slug: str) -> str
     """Write one metric of one week to `<output>/<week>/<prefix>_<slug>.csv`.
 
     One file: a week's metric has at most days x types x 24 rows. They are sorted in the
-    task that writes them, which makes a global sort of the metric itself unnecessary.
+    task that writes them.
     """
     path = f"{output_dir.rstrip('/')}/{week}/{metric_file_name(slug, week)}"
     keys = [c for c in METRIC_KEYS if c in metric.columns]
@@ -113,6 +114,7 @@ def save_metric_all_weeks(metric: DataFrame, output_dir: str, slug: str) -> str:
     A column and not a folder per week: years of weeks would be thousands of tiny files.
     """
     path = f"{output_dir.rstrip('/')}/{slug}"
-    dated = _as_csv(metric).withColumn("week_name", week_name(F.col("date").cast("date")))
+    week = week_name(F.col("date").cast("date"))
+    dated = _as_csv(in_order(metric)).withColumn("week_name", week)
     dated.write.mode("overwrite").option("header", True).csv(path)
     return path

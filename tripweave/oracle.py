@@ -373,9 +373,9 @@ FROM d GROUP BY 1""",
   format('{{:,}}', trunc(total_trips/num_days::DOUBLE)::BIGINT) AS daily_avg_trips FROM w""",
     "daily_breakdown": f"""WITH {EV_T}, n AS ({TRIPS_TABLE}),
 a AS (SELECT date, sum(total_trips)::BIGINT AS trips FROM n GROUP BY 1),
-rich AS (SELECT {day('pickup_datetime')} AS date, taxi_type, {r2('sum(total_amount)')} AS revenue
-  FROM t WHERE total_amount > 450 GROUP BY 1, 2),
-b AS (SELECT date, sum(revenue) AS revenue FROM rich GROUP BY 1)
+r AS ({REVENUE_TABLE}),
+b AS (SELECT date, sum(total_revenue_per_day) AS revenue FROM r
+  WHERE isodow(date::DATE) <= 5 GROUP BY 1)
 SELECT date, trips, round(coalesce(revenue, 0),6) AS revenue FROM a LEFT JOIN b USING (date)""",
     "trips_by_hour": f"""WITH {EV_T} SELECT hour(pickup_datetime)::INTEGER AS pickup_hour,
   count(*) AS trips FROM t GROUP BY 1""",

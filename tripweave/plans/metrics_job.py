@@ -52,8 +52,7 @@ def prepare(
     planned.write.parquet(path)
     audited = spark.read.schema(planned.schema).parquet(path)
     chosen = registry or default_registry(config, by_week)
-    results = chosen.compute_all(clean(timed, config), facts=kept_facts(audited))
-    return MetricsRun({m.slug: results[m.name][0] for m in chosen.entries}, audited)
+    return MetricsRun(chosen.tables(clean(timed, config), kept_facts(audited)), audited)
 
 
 def run_week(

@@ -13,6 +13,7 @@ from tripweave.functions.weeks import metric_file_name
 from tripweave.operators import metrics
 from tripweave.operators.anomaly import AnomalyRule, anomaly_monitoring
 from tripweave.operators.facts import daily_facts, daily_from_hourly, hourly_facts
+from tripweave.operators.metrics import in_order
 
 HOURLY, DAILY, TRIPS = "hourly", "daily", "trips"
 
@@ -50,10 +51,8 @@ class MetricRegistry:
             raise AggregationError(f"unknown metrics {unknown}; known ones {list(known)}")
         return MetricRegistry([known[s] for s in slugs])
 
-    def compute_all(
-        self, trips: DataFrame, week: str = "", facts: DataFrame | None = None
-    ) -> dict[str, tuple[DataFrame, str]]:
-        """Name -> (lazy table, file name). The first metric that fails ends the run.
+    def tables(self, trips: DataFrame, facts: DataFrame | None = None) -> dict[str, DataFrame]:
+        """Slug -> lazy unsorted table. The first metric that fails ends the run.
 
         ``trips`` are cleaned trips. Hourly ``facts`` that already exist as a table are
         used instead of a scan of the trips.
@@ -67,11 +66,18 @@ class MetricRegistry:
         results = {}
         for metric in self.entries:
             try:
-                results[metric.name] = (metric.compute(inputs[metric.over]), metric.file_name(week))
+                results[metric.slug] = metric.compute(inputs[metric.over])
             except Exception as error:
                 raise AggregationError(f"failed to compute {metric.name}: {error}") from error
         return results
 
+    def compute_all(
+        self, trips: DataFrame, week: str = "", facts: DataFrame | None = None
+    ) -> dict[str, tuple[DataFrame, str]]:
+        """Name -> (sorted table, file name), in order of registration; see `tables`."""
+        tables = self.tables(trips, facts)
+        return {m.name: (in_order(tables[m.slug]), m.file_name(week)) for m in self.entries}
+
 
 def default_registry(config: MetricsConfig = MetricsConfig(), by_week: bool = False) -> MetricRegistry:
     """The five metric tables, cut down to `config.enabled` if that is set."""

@@ -82,66 +82,67 @@ def event_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def trips_per_day(spark, sf_dir):
-    return metrics.trips_per_day(event_days(spark, sf_dir))
+    return metrics.in_order(metrics.trips_per_day(event_days(spark, sf_dir)))
 
 
 @query
 def trips_per_day_lines(spark, sf_dir):
-    return metrics.trips_per_day(line_days(spark, sf_dir))
+    return metrics.in_order(metrics.trips_per_day(line_days(spark, sf_dir)))
 
 
 @query
 def revenue_per_day(spark, sf_dir):
-    return metrics.revenue_per_day(event_days(spark, sf_dir))
+    return metrics.in_order(metrics.revenue_per_day(event_days(spark, sf_dir)))
 
 
 @query
 def revenue_per_day_lines(spark, sf_dir):
-    return metrics.revenue_per_day(line_days(spark, sf_dir))
+    return metrics.in_order(metrics.revenue_per_day(line_days(spark, sf_dir)))
 
 
 @query
 def hourly_trips(spark, sf_dir):
-    return metrics.hourly_trips(event_hours(spark, sf_dir))
+    return metrics.in_order(metrics.hourly_trips(event_hours(spark, sf_dir)))
 
 
 @query
 def hourly_trips_lines(spark, sf_dir):
-    return metrics.hourly_trips(facts.hourly_facts(cleaned_lines(spark, sf_dir)))
+    hours = facts.hourly_facts(cleaned_lines(spark, sf_dir))
+    return metrics.in_order(metrics.hourly_trips(hours))
 
 
 @query
 def daily_avg_metrics(spark, sf_dir):
-    return metrics.daily_averages(event_days(spark, sf_dir))
+    return metrics.in_order(metrics.daily_averages(event_days(spark, sf_dir)))
 
 
 @query
 def daily_avg_metrics_lines(spark, sf_dir):
-    return metrics.daily_averages(line_days(spark, sf_dir))
+    return metrics.in_order(metrics.daily_averages(line_days(spark, sf_dir)))
 
 
 @query
 def anomaly_monitoring(spark, sf_dir):
     flagged = anomaly.anomaly_monitoring(event_days(spark, sf_dir))
-    return to_six(flagged, "avg_trips", "stddev_trips")
+    return metrics.in_order(to_six(flagged, "avg_trips", "stddev_trips"))
 
 
 @query
 def anomaly_monitoring_lines(spark, sf_dir):
     flagged = anomaly.anomaly_monitoring(line_days(spark, sf_dir))
-    return to_six(flagged, "avg_trips", "stddev_trips")
+    return metrics.in_order(to_six(flagged, "avg_trips", "stddev_trips"))
 
 
 @query
 def anomaly_by_week(spark, sf_dir):
     flagged = anomaly.anomaly_monitoring(event_days(spark, sf_dir), BY_WEEK)
-    return to_six(flagged, "avg_trips", "stddev_trips")
+    return metrics.in_order(to_six(flagged, "avg_trips", "stddev_trips"))
 
 
 @query
 def anomaly_doc_variant(spark, sf_dir):
     flagged = anomaly.anomaly_monitoring(event_days(spark, sf_dir), anomaly.DOCUMENTED_RULE)
-    return to_six(flagged, "avg_trips", "stddev_trips")
+    return metrics.in_order(to_six(flagged, "avg_trips", "stddev_trips"))
 
 
 @query
@@ -182,7 +183,7 @@ def enabled_metrics(spark, sf_dir):
 @query
 def metric_preview(spark, sf_dir):
     """The first ten rows of a metric table, as shown when it is saved."""
-    return metrics.trips_per_day(event_days(spark, sf_dir)).limit(10)
+    return metrics.in_order(metrics.trips_per_day(event_days(spark, sf_dir))).limit(10)
 
 
 @query
@@ -441,8 +442,8 @@ def executive_summary_lines(spark, sf_dir):
 
 @query
 def weekly_totals(spark, sf_dir):
-    daily = event_days(spark, sf_dir)
-    totals = report.weekly_totals(metrics.trips_per_day(daily), metrics.revenue_per_day(daily))
+    tables = event_tables(spark, sf_dir)
+    totals = report.weekly_totals(tables["trips_per_day"], tables["revenue_per_day"])
     return to_six(totals, "total_revenue", "daily_avg_trips", "daily_avg_revenue")
 
 
@@ -464,8 +465,8 @@ def weekly_kpis(spark, sf_dir):
 @query
 def report_totals_text(spark, sf_dir):
     """Totals as the report prints them."""
-    daily = event_days(spark, sf_dir)
-    totals = report.weekly_totals(metrics.trips_per_day(daily), metrics.revenue_per_day(daily))
+    tables = event_tables(spark, sf_dir)
+    totals = report.weekly_totals(tables["trips_per_day"], tables["revenue_per_day"])
     return totals.select(
         "week_name",
         format_count(F.col("total_trips")).alias("total_trips"),
@@ -476,11 +477,10 @@ def report_totals_text(spark, sf_dir):
 
 @query
 def daily_breakdown(spark, sf_dir):
-    """All days with trips, next to the revenue from trips above 450, which some days lack."""
-    daily = event_days(spark, sf_dir)
-    rich = cleaned_events(spark, sf_dir).filter(F.col("total_amount") > 450)
-    earned = metrics.revenue_per_day(facts.daily_facts(rich))
-    return to_six(report.daily_breakdown(metrics.trips_per_day(daily), earned), "revenue")
+    """All days with trips; revenue is held back for weekends, which then show zero."""
+    tables = event_tables(spark, sf_dir)
+    weekdays = tables["revenue_per_day"].filter(F.weekday(F.col("date").cast("date")) < 5)
+    return to_six(report.daily_breakdown(tables["trips_per_day"], weekdays), "revenue")
 
 
 @query
