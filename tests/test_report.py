@@ -101,7 +101,8 @@ def test_old_revenue_name(tables):
 
 def test_breakdown_is_led_by_trips(tables):
     partial = tables["revenue_per_day"].filter("date <> '2024-01-02'")
-    assert [tuple(r) for r in report.daily_breakdown(tables["trips_per_day"], partial).collect()] == [
+    breakdown = report.daily_breakdown(tables["trips_per_day"], partial)
+    assert [tuple(r) for r in breakdown.collect()] == [
         ("2024-01-01", 30, 100.0),
         ("2024-01-02", 5, 0.0),
         ("2024-01-08", 1, 7.5),

@@ -150,7 +150,10 @@ def test_revenue_alias_only_without_a_current_name(spark, tmp_path):
 def test_one_bad_date_keeps_the_whole_column_as_text(spark, tmp_path):
     good = write_text(tmp_path / "g.csv", "date\n2024-01-01 05:00:00\n2024-1-2\n")
     bad = write_text(tmp_path / "b.csv", "date\n2024-01-01 05:00:00\nsoon\n")
-    read = lambda path: [r["date"] for r in metric_files.read_metric_csv(spark, path, []).collect()]
+
+    def read(path):
+        return [r["date"] for r in metric_files.read_metric_csv(spark, path, []).collect()]
+
     assert read(good) == ["2024-01-01", "2024-01-02"]
     assert read(bad) == ["2024-01-01 05:00:00", "soon"]
 

@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.contracts import DROPOFF_CANDIDATES, DataValidationError, MetricsConfig
+from tripweave.contracts import (
+    DROPOFF_CANDIDATES,
+    DataValidationError,
+    MetricsConfig,
+    require_columns,
+)
 from tripweave.functions.numbers import above
 from tripweave.functions.weeks import duration_minutes
 
@@ -21,6 +26,7 @@ def with_duration(trips: DataFrame) -> DataFrame:
     """Add `trip_duration_minutes` unless it is there; negative durations are kept."""
     if "trip_duration_minutes" in trips.columns:
         return trips
+    require_columns(trips, ["pickup_datetime"], "trips")
     dropoff = next((c for c in DROPOFF_CANDIDATES if c in trips.columns), None)
     if dropoff is None:
         raise DataValidationError("no dropoff datetime column found")
@@ -30,6 +36,7 @@ def with_duration(trips: DataFrame) -> DataFrame:
 
 def is_clean(trips: DataFrame, config: MetricsConfig = MetricsConfig()) -> Column:
     """The cleaning rule: distance, total and passengers above their limits."""
+    require_columns(trips, ["trip_distance", "total_amount", "passenger_count"], "cleaning")
     return (
         above(trips, "trip_distance", config.min_trip_distance)
         & above(trips, "total_amount", config.min_total_amount)

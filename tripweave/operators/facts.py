@@ -52,9 +52,9 @@ def daily_facts(trips: DataFrame) -> DataFrame:
 def audited_facts(trips: DataFrame, keep: Column) -> DataFrame:
     """Hourly facts of the rows that pass `keep`, next to the count of all rows."""
     require_columns(trips, ("pickup_datetime", "taxi_type"), "trips")
-    kept = F.col("kept")
+    kept = F.col("_kept")
     return (
-        trips.withColumn("kept", F.coalesce(keep, F.lit(False)))
+        trips.withColumn("_kept", F.coalesce(keep, F.lit(False)))
         .groupBy(
             F.to_date("pickup_datetime").alias("pickup_date"),
             "taxi_type",

@@ -209,7 +209,7 @@ def peak_hours(hourly: DataFrame) -> DataFrame:
 def hour_heatmap(hourly: DataFrame) -> DataFrame:
     """Days by hours: columns h00..h23 hold trips over all types, NULL where none."""
     cells = roll_up(hourly, "pickup_date", "pickup_hour")
-    matrix = cells.groupBy("pickup_date").pivot("pickup_hour", list(range(24))).agg(F.sum("trips"))
-    return matrix.select(day_column(), *[F.col(str(h)).alias(f"h{h:02d}") for h in range(24)]).orderBy(
-        "date"
-    )
+    hours = list(range(24))
+    matrix = cells.groupBy("pickup_date").pivot("pickup_hour", hours).agg(F.sum("trips"))
+    named = [F.col(str(h)).alias(f"h{h:02d}") for h in hours]
+    return matrix.select(day_column(), *named).orderBy("date")

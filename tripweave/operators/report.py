@@ -22,13 +22,18 @@ TOP_HOURS = 3
 
 def revenue_column(revenue: DataFrame) -> str:
     """Current or older name of the revenue column."""
-    return "total_revenue_per_day" if "total_revenue_per_day" in revenue.columns else "total_revenue"
+    names = ("total_revenue_per_day", "total_revenue")
+    return next((c for c in names if c in revenue.columns), names[0])
+
+
+def _week_of_date() -> Column:
+    return week_of(F.col("date").try_cast("date"))
 
 
 def _weekly(df: DataFrame, week: str | None, *aggregates: Column) -> DataFrame:
     """Aggregates per week. A named week yields a row even when it has none."""
     if week is None:
-        return df.groupBy(week_of(F.col("date").try_cast("date")).alias("week_name")).agg(*aggregates)
+        return df.groupBy(_week_of_date().alias("week_name")).agg(*aggregates)
     return df.agg(*aggregates).select(F.lit(week).alias("week_name"), "*")
 
 
@@ -68,7 +73,7 @@ def weekly_totals(trips: DataFrame, revenue: DataFrame, week: str | None = None)
 
 
 def _hours_of_week(hourly: DataFrame, week: str | None) -> DataFrame:
-    name = F.lit(week) if week else week_of(F.col("date").try_cast("date"))
+    name = F.lit(week) if week else _week_of_date()
     return hourly.groupBy(name.alias("week_name"), "pickup_hour").agg(
         F.sum("trips_per_hour").alias("trips")
     )

@@ -21,9 +21,8 @@ def day(x: str) -> str:
 
 
 def week(x: str) -> str:
-    return (
-        f"'week_'||((day({x})-1)//7+1)::varchar||'_'||lower(strftime({x},'%B'))||'_'||year({x})::varchar"
-    )
+    number = f"((day({x})-1)//7+1)::VARCHAR"
+    return f"'week_'||{number}||'_'||lower(strftime({x},'%B'))||'_'||year({x})::VARCHAR"
 
 
 EV = """ev AS (
@@ -117,7 +116,8 @@ def anomaly_table(extra: str = "") -> str:
 
 
 def count_where(cte: str, source: str, where: str) -> str:
-    return f"WITH {cte} SELECT taxi_type, count(*) AS trip_count FROM {source} WHERE {where} GROUP BY 1"
+    counts = f"SELECT taxi_type, count(*) AS trip_count FROM {source} WHERE {where} GROUP BY 1"
+    return f"WITH {cte} {counts}"
 
 
 WEEK_OF_DATE = week("date::DATE")
@@ -265,7 +265,8 @@ ORACLE: dict[str, str] = {
 shares AS (SELECT taxi_type, {r2('count_if(is_anomaly)/count(*)::DOUBLE*100')} AS anomaly_share_pct
   FROM flagged GROUP BY 1)
 SELECT date, taxi_type, daily_trips, pct_change_trips, total_revenue_per_day,
-  pct_change_revenue, anomaly_share_pct FROM flagged JOIN shares USING (taxi_type) WHERE is_anomaly""",
+  pct_change_revenue, anomaly_share_pct
+FROM flagged JOIN shares USING (taxi_type) WHERE is_anomaly""",
     "peak_hour_per_day": f"""WITH {EV_T}, h AS ({HOURLY_TABLE})
 SELECT date, taxi_type, pickup_hour AS peak_hour, trips_per_hour AS peak_trips FROM h
 QUALIFY row_number() OVER (PARTITION BY date, taxi_type
@@ -330,7 +331,8 @@ FROM (SELECT pickup_datetime::DATE AS d, count(*) AS trips FROM ev GROUP BY 1)""
   regexp_extract(week_name, '{WEEK_PATTERN}', 3) || '_'
     || lpad({MONTH_NUMBER}::VARCHAR, 2, '0') || '_week'
     || regexp_extract(week_name, '{WEEK_PATTERN}', 1) AS file_prefix FROM w""",
-    "week_name_parts": f"""WITH {LI_WEEKS} SELECT week_name, split_part(week_name,'_',2) AS week_num,
+    "week_name_parts": f"""WITH {LI_WEEKS} SELECT week_name,
+  split_part(week_name,'_',2) AS week_num,
   upper(split_part(week_name,'_',3)[1]) || split_part(week_name,'_',3)[2:] AS month,
   split_part(week_name,'_',4) AS year FROM w""",
     "week_over_week": f"""WITH {EV} SELECT {week('pickup_datetime')} AS week_name,
@@ -346,8 +348,8 @@ UNION ALL SELECT 'Week 2', count(*) FROM ev
 FROM ev GROUP BY 1""",
     "count_by_day_and_type": f"""WITH {EV} SELECT {day('pickup_datetime')} AS date, taxi_type,
   count(*) AS trips FROM ev GROUP BY 1, 2""",
-    "weekly_by_type": f"""WITH {EV_T}, w AS (SELECT {week('pickup_datetime')} AS week_name, taxi_type,
-    count(*) AS n, sum(total_amount) AS s FROM t GROUP BY 1, 2)
+    "weekly_by_type": f"""WITH {EV_T}, w AS (
+  SELECT {week('pickup_datetime')} AS week_name, taxi_type, count(*) AS n, sum(total_amount) AS s FROM t GROUP BY 1, 2)
 SELECT week_name, taxi_type, n AS total_trips, {r2('s')} AS total_revenue,
   {r2('round_even(s*1e6,0)/1e6/n')} AS avg_revenue_per_trip,
   {r2('n/(sum(n) OVER (PARTITION BY week_name))::DOUBLE*100')} AS share_pct FROM w""",
@@ -384,7 +386,8 @@ SELECT date, trips, round(coalesce(revenue, 0),6) AS revenue FROM a LEFT JOIN b
     "ranked_hours": f"""WITH {EV_T}, h AS (SELECT {week('pickup_datetime')} AS week_name,
     hour(pickup_datetime)::INTEGER AS pickup_hour, count(*) AS trips FROM t GROUP BY 1, 2)
 SELECT week_name, (row_number() OVER (PARTITION BY week_name
-  ORDER BY trips DESC, pickup_hour))::INTEGER AS rank, pickup_hour, trips FROM h QUALIFY rank <= 5""",
+  ORDER BY trips DESC, pickup_hour))::INTEGER AS rank, pickup_hour, trips
+FROM h QUALIFY rank <= 5""",
     "best_worst_day": f"""WITH {EV_T}, r AS ({REVENUE_TABLE}),
 d AS (SELECT date, {WEEK_OF_DATE} AS week_name, sum(total_revenue_per_day) AS revenue
   FROM r GROUP BY 1, 2)

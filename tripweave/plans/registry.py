@@ -79,16 +79,16 @@ class MetricRegistry:
         return {m.name: (in_order(tables[m.slug]), m.file_name(week)) for m in self.entries}
 
 
-def default_registry(config: MetricsConfig = MetricsConfig(), by_week: bool = False) -> MetricRegistry:
+def default_registry(
+    config: MetricsConfig = MetricsConfig(), by_week: bool = False
+) -> MetricRegistry:
     """The five metric tables, cut down to `config.enabled` if that is set."""
-    rule = AnomalyRule.from_config(config, by_week)
+    flag = partial(anomaly_monitoring, rule=AnomalyRule.from_config(config, by_week))
     entries = [
         Metric("Trips Per Day", "trips_per_day", metrics.trips_per_day, DAILY),
         Metric("Revenue Per Day", "revenue_per_day", metrics.revenue_per_day, DAILY),
         Metric("Peak Hour Per Day", "peak_hour_per_day", metrics.hourly_trips, HOURLY),
         Metric("Daily Average Metrics", "daily_avg_metrics", metrics.daily_averages, DAILY),
-        Metric(
-            "Anomaly Monitoring", "anomaly_monitoring", partial(anomaly_monitoring, rule=rule), DAILY
-        ),
+        Metric("Anomaly Monitoring", "anomaly_monitoring", flag, DAILY),
     ]
     return MetricRegistry(entries).enabled(config.enabled)

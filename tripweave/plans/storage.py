@@ -37,7 +37,11 @@ def process_daily(
 
 
 def process_daily_range(
-    spark: SparkSession, specs: Sequence[SourceSpec], start_day: str, daily_dir: str, num_days: int = 7
+    spark: SparkSession,
+    specs: Sequence[SourceSpec],
+    start_day: str,
+    daily_dir: str,
+    num_days: int = 7,
 ) -> DataFrame:
     """Raw sources to consecutive stored days."""
     return store_range(load_trips(spark, specs), start_day, daily_dir, num_days)

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from tripweave.contracts import GREEN_RENAMES, YELLOW_RENAMES, MetricsConfig
 from tripweave.functions.numbers import format_count, format_money
-from tripweave.functions.weeks import date_text, week_file_prefix, week_name, week_of_month, week_parts
+from tripweave.functions.weeks import (
+    date_text,
+    week_file_prefix,
+    week_name,
+    week_of_month,
+    week_parts,
+)
 from tripweave.operators import anomaly, cleaning, days, facts, metrics, quality, report, sinks
 from tripweave.plans.metrics_job import prepare, run_all_weeks
 from tripweave.plans.registry import default_registry
@@ -250,17 +256,20 @@ def schema_listing(spark, sf_dir):
 
 @query
 def preview_green(spark, sf_dir):
-    return quality.preview(raw_fleets(spark, sf_dir)[0], GREEN_RENAMES)
+    green = raw_fleets(spark, sf_dir)[0].orderBy("lpep_pickup_datetime", "VendorID")
+    return quality.preview(green, GREEN_RENAMES)
 
 
 @query
 def preview_yellow(spark, sf_dir):
-    return quality.preview(raw_fleets(spark, sf_dir)[1], YELLOW_RENAMES)
+    yellow = raw_fleets(spark, sf_dir)[1].orderBy("tpep_pickup_datetime", "VendorID")
+    return quality.preview(yellow, YELLOW_RENAMES)
 
 
 @query
 def summary_sample(spark, sf_dir):
-    return quality.summary_sample(event_trips(spark, sf_dir))
+    in_order = event_trips(spark, sf_dir).orderBy("pickup_datetime", "total_amount")
+    return quality.summary_sample(in_order)
 
 
 # --- sources ---------------------------------------------------------------------

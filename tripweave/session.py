@@ -6,9 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -31,21 +31,22 @@ def build_session(app_name: str = "tripweave", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tripweave-")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new path below the folder named by ``spark.checkpoint.dir``.
 
     The folder must be visible to every executor. Only a local master may go without
-    the setting; it then gets a temporary folder for the life of the session.
+    the setting; it then gets a temporary folder of its own.
     """
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except AnalysisException:
-        root = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tripweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
