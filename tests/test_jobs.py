@@ -147,6 +147,16 @@ def test_weeks_as_tables_can_be_published_again(spark, daily_dir, tmp_path):
         assert total == stores.load_days(spark, daily_dir).count()
 
 
+def test_week_tables_answer_sql(spark, daily_dir, tmp_path):
+    storage.process_weekly(spark, daily_dir, str(tmp_path / "weekly"), as_tables=True)
+    counts = spark.sql(f"""SELECT pickup_datetime::date AS date, taxi_type, count(*) AS trips
+        FROM {WEEK} GROUP BY 1, 2 ORDER BY 1, 2""")
+    table = stores.load_week_table(spark, WEEK)
+    expected = metrics.count_by_day_and_type(table)
+    assert counts.selectExpr("date::string", "taxi_type", "trips").collect() == expected.collect()
+    assert counts.count() >= 14
+
+
 def test_single_week_takes_the_first_name(spark, daily_dir, tmp_path):
     weekly = str(tmp_path / "weekly")
     assert storage.process_weekly(spark, daily_dir, weekly, single_week=True) == [

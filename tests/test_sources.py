@@ -75,6 +75,19 @@ def test_load_trips_pushes_a_day_filter_into_both_scans(spark, raw, tmp_path, ca
     assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01" in plan
 
 
+def test_one_source_may_have_several_schemas(spark):
+    """Months whose types differ are specs of their own with the same tag."""
+    ddl = "lpep_pickup_datetime timestamp_ntz, passenger_count "
+    old = spark.createDataFrame([(at("2024-01-01"), 2)], ddl + "bigint")
+    new = spark.createDataFrame([(at("2024-02-01"), 1.0)], ddl + "double")
+    rows = fleets.combine([fleets.GREEN.normalize(old), fleets.GREEN.normalize(new)])
+    assert dict(rows.dtypes)["passenger_count"] == "double"
+    assert {(r["taxi_type"], r["passenger_count"]) for r in rows.collect()} == {
+        ("Green", 2.0),
+        ("Green", 1.0),
+    }
+
+
 def test_zones_move_local_times_across_daylight_saving(spark):
     df = spark.createDataFrame(
         [(at("2024-01-15 12:00:00"),), (at("2024-07-15 12:00:00"),)],

@@ -49,7 +49,25 @@ DOCUMENTED_STD_THRESHOLD = 2.0
 ALERT_MIN_VALID_PCT = 95.0
 ALERT_MAX_ANOMALIES = 3
 
+WEEK_PATTERN = r"^week_(\d+)_(\w+)_(\d{4})"
 UNKNOWN_WEEK = "weekly_taxi_data"
+UNKNOWN_WEEK_PARTS = ("?", "Unknown", "?")
+
+TOP_HOURS = 3
+PREVIEW_ROWS = 5
+SUMMARY_ROWS = 3
+JDBC_BATCH_ROWS = 10_000
+STREAM_WINDOW = "5 minutes"
+STREAM_LATENESS = "10 minutes"
+
+# Metric file slug -> display name.
+METRIC_NAMES = {
+    "trips_per_day": "Trips Per Day",
+    "revenue_per_day": "Revenue Per Day",
+    "peak_hour_per_day": "Peak Hour Per Day",
+    "daily_avg_metrics": "Daily Average Metrics",
+    "anomaly_monitoring": "Anomaly Monitoring",
+}
 
 # Header names found in older metric files -> current names.
 DATE_ALIAS = ("pickup_date", "date")

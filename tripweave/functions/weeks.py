@@ -9,10 +9,10 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripweave.contracts import UNKNOWN_WEEK_PARTS, WEEK_PATTERN
 from tripweave.functions.numbers import round2
 
 _MONTHS = [m.lower() for m in calendar.month_name[1:]]
-_WEEK_PATTERN = r"^week_(\d+)_(\w+)_(\d{4})"
 
 
 def parse_day(text: str) -> date:
@@ -21,7 +21,8 @@ def parse_day(text: str) -> date:
 
 
 def date_text(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")
+    """A date (or the date of a timestamp) as `YYYY-MM-DD`."""
+    return d.cast("date").cast("string")
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:
@@ -66,18 +67,17 @@ def week_file_prefix(week: Column) -> Column:
     Names of another form only get their underscores replaced; a name of this form
     with an unknown month is an error.
     """
-    pattern = F.lit(_WEEK_PATTERN)
-    month = F.array_position(_month_names(), F.lower(F.regexp_extract(week, _WEEK_PATTERN, 2)))
+    month = F.array_position(_month_names(), F.lower(F.regexp_extract(week, WEEK_PATTERN, 2)))
     prefix = F.concat(
-        F.regexp_extract(week, _WEEK_PATTERN, 3),
+        F.regexp_extract(week, WEEK_PATTERN, 3),
         F.lit("_"),
         F.lpad(month.cast("string"), 2, "0"),
         F.lit("_week"),
-        F.regexp_extract(week, _WEEK_PATTERN, 1),
+        F.regexp_extract(week, WEEK_PATTERN, 1),
     )
     unknown = F.raise_error(F.concat(F.lit("unknown month in week name "), week))
     return (
-        F.when(~F.rlike(week, pattern), F.translate(week, "_", "-"))
+        F.when(~F.rlike(week, F.lit(WEEK_PATTERN)), F.translate(week, "_", "-"))
         .when(month > 0, prefix)
         .otherwise(unknown)
     )
@@ -85,7 +85,7 @@ def week_file_prefix(week: Column) -> Column:
 
 def file_prefix(week: str) -> str:
     """`week_file_prefix` for one name on the driver, for building paths."""
-    found = re.match(_WEEK_PATTERN, week)
+    found = re.match(WEEK_PATTERN, week)
     if found is None:
         return week.replace("_", "-")
     number, month, year = found.groups()
@@ -116,8 +116,9 @@ def week_parts(week: Column) -> tuple[Column, Column, Column]:
     fits = (F.size(parts) >= 4) & (F.get(parts, F.lit(0)) == "week")
     month = F.get(parts, F.lit(2))
     capital = F.concat(F.upper(F.substring(month, 1, 1)), F.lower(F.substr(month, F.lit(2))))
-    return (
-        F.when(fits, F.get(parts, F.lit(1))).otherwise(F.lit("?")),
-        F.when(fits, capital).otherwise(F.lit("Unknown")),
-        F.when(fits, F.get(parts, F.lit(3))).otherwise(F.lit("?")),
+    found = (F.get(parts, F.lit(1)), capital, F.get(parts, F.lit(3)))
+    number, name, year = (
+        F.when(fits, part).otherwise(F.lit(unknown))
+        for part, unknown in zip(found, UNKNOWN_WEEK_PARTS, strict=True)
     )
+    return number, name, year

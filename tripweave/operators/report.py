@@ -12,13 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.contracts import ALERT_MAX_ANOMALIES, ALERT_MIN_VALID_PCT
+from tripweave.contracts import ALERT_MAX_ANOMALIES, ALERT_MIN_VALID_PCT, TOP_HOURS
 from tripweave.functions.numbers import mean_of
 from tripweave.functions.weeks import week_name as week_of
 from tripweave.functions.weeks import week_parts
 
-TOP_HOURS = 3
-
 
 def revenue_column(revenue: DataFrame) -> str:
     """Current or older name of the revenue column."""

@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.contracts import METRIC_KEYS
+from tripweave.contracts import JDBC_BATCH_ROWS, METRIC_KEYS
 from tripweave.functions.weeks import metric_file_name, week_name
 from tripweave.operators.metrics import in_order
 
-JDBC_BATCH_ROWS = 10_000
-
 _MONEY = ("total_revenue_per_day", "avg_fare_amount", "avg_total_amount")
 
 

@@ -349,7 +349,8 @@ FROM ev GROUP BY 1""",
     "count_by_day_and_type": f"""WITH {EV} SELECT {day('pickup_datetime')} AS date, taxi_type,
   count(*) AS trips FROM ev GROUP BY 1, 2""",
     "weekly_by_type": f"""WITH {EV_T}, w AS (
-  SELECT {week('pickup_datetime')} AS week_name, taxi_type, count(*) AS n, sum(total_amount) AS s FROM t GROUP BY 1, 2)
+  SELECT {week('pickup_datetime')} AS week_name, taxi_type, count(*) AS n, sum(total_amount) AS s
+  FROM t GROUP BY 1, 2)
 SELECT week_name, taxi_type, n AS total_trips, {r2('s')} AS total_revenue,
   {r2('round_even(s*1e6,0)/1e6/n')} AS avg_revenue_per_trip,
   {r2('n/(sum(n) OVER (PARTITION BY week_name))::DOUBLE*100')} AS share_pct FROM w""",

@@ -8,7 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 
-from tripweave.contracts import AggregationError, MetricsConfig
+from tripweave.contracts import METRIC_NAMES, AggregationError, MetricsConfig
 from tripweave.functions.weeks import metric_file_name
 from tripweave.operators import metrics
 from tripweave.operators.anomaly import AnomalyRule, anomaly_monitoring
@@ -84,11 +84,12 @@ def default_registry(
 ) -> MetricRegistry:
     """The five metric tables, cut down to `config.enabled` if that is set."""
     flag = partial(anomaly_monitoring, rule=AnomalyRule.from_config(config, by_week))
-    entries = [
-        Metric("Trips Per Day", "trips_per_day", metrics.trips_per_day, DAILY),
-        Metric("Revenue Per Day", "revenue_per_day", metrics.revenue_per_day, DAILY),
-        Metric("Peak Hour Per Day", "peak_hour_per_day", metrics.hourly_trips, HOURLY),
-        Metric("Daily Average Metrics", "daily_avg_metrics", metrics.daily_averages, DAILY),
-        Metric("Anomaly Monitoring", "anomaly_monitoring", flag, DAILY),
-    ]
+    tables = {
+        "trips_per_day": (metrics.trips_per_day, DAILY),
+        "revenue_per_day": (metrics.revenue_per_day, DAILY),
+        "peak_hour_per_day": (metrics.hourly_trips, HOURLY),
+        "daily_avg_metrics": (metrics.daily_averages, DAILY),
+        "anomaly_monitoring": (flag, DAILY),
+    }
+    entries = [Metric(METRIC_NAMES[slug], slug, *how) for slug, how in tables.items()]
     return MetricRegistry(entries).enabled(config.enabled)

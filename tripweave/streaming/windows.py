@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tripweave.contracts import STREAM_LATENESS, STREAM_WINDOW
 from tripweave.functions.numbers import known, round2
 
-WINDOW = "5 minutes"
-LATENESS = "10 minutes"
-
 
 def stream_parquet(
     spark: SparkSession,
@@ -29,7 +27,7 @@ def stream_parquet(
     )
 
 
-def window_counts(trips: DataFrame, window: str = WINDOW, lateness: str = LATENESS) -> DataFrame:
+def window_counts(trips: DataFrame, window: str = STREAM_WINDOW, lateness: str = STREAM_LATENESS) -> DataFrame:
     """(window_start, window_end, taxi_type, trips, revenue) of tumbling windows.
 
     Watermarks need a zoned timestamp, so the local pickup time is read in the session
