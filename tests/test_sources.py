@@ -1,10 +1,12 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import as_dicts, at, trip
 from tripweave.contracts import DataValidationError, SchemaError
+from tripweave.operators import sinks
 from tripweave.operators.days import trips_on
 from tripweave.sources import fleets, metric_files, stores
 
@@ -128,6 +130,36 @@ def test_missing_and_empty_week_tables_are_errors(spark, make_trips, tmp_path):
         stores.load_week(spark, str(tmp_path / "absent"), "week_1_may_2024")
 
 
+def test_days_may_differ_in_columns(spark, make_trips, tmp_path):
+    store = str(tmp_path / "daily")
+    sinks.save_days(make_trips([trip()]), store)
+    later = make_trips([trip(pickup="2024-01-02 08:00:00")])
+    sinks.save_days(later.withColumn("tip_amount", F.lit(1.5)), store)
+    rows = stores.load_days(spark, store).orderBy("pickup_date").collect()
+    assert [r["tip_amount"] for r in rows] == [None, 1.5]
+
+
+def test_stored_days_are_listed_with_their_week(spark, make_trips, tmp_path):
+    store = str(tmp_path / "daily")
+    stamps = ["2024-02-29 23:00:00", "2024-03-01 00:00:00", "2024-03-01 09:00:00"]
+    sinks.save_days(make_trips([trip(pickup=s) for s in stamps]), store)
+    listed = stores.stored_days(spark, store)
+    assert {(str(r["pickup_date"]), r["week_name"]) for r in listed.collect()} == {
+        ("2024-02-29", "week_5_february_2024"),
+        ("2024-03-01", "week_1_march_2024"),
+    }
+    assert listed.count() == 2
+    assert stores.first_week(listed) == "week_5_february_2024"
+    assert stores.first_week(listed.filter("false")) == "weekly_taxi_data"
+
+
+def test_jdbc_scan_is_split_by_pickup_time_when_days_are_known():
+    whole = stores.jdbc_options("jdbc:x:y", "week_1_may_2024")
+    split = stores.jdbc_options("jdbc:x:y", "week_1_may_2024", ("2024-05-01", "2024-05-07"), 4)
+    assert "partitionColumn" not in whole and whole["dbtable"] == "week_1_may_2024"
+    assert (split["partitionColumn"], split["numPartitions"]) == ("pickup_datetime", "4")
+
+
 def write_text(path, text):
     path.write_text(text)
     return str(path)

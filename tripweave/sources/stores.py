@@ -13,9 +13,13 @@ from tripweave.functions.weeks import week_name, week_range
 
 
 def load_days(spark: SparkSession, daily_dir: str) -> DataFrame | None:
-    """Every stored day, or None when nothing has been stored yet."""
+    """Every stored day, or None when nothing has been stored yet.
+
+    Columns that only some days have are NULL on the others; the footers are read in a
+    distributed job to find them.
+    """
     try:
-        return spark.read.parquet(daily_dir)
+        return spark.read.option("mergeSchema", True).parquet(daily_dir)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -69,6 +73,25 @@ def load_week(spark: SparkSession, weekly_dir: str, week: str) -> DataFrame:
         raise DataValidationError(f"cannot load week {week!r}: {error}") from error
 
 
+def jdbc_options(
+    url: str, table: str, days: tuple[str, str] | None = None, connections: int = 8
+) -> dict[str, str]:
+    """Reader options for a database table of trips.
+
+    ``days`` (first and last pickup day) splits the scan over parallel connections by
+    pickup time; rows outside are still read. Without it there is one connection.
+    """
+    options = {"url": url, "dbtable": table, "preferTimestampNTZ": "true"}
+    if days is None:
+        return options
+    return options | {
+        "partitionColumn": "pickup_datetime",
+        "lowerBound": f"{days[0]} 00:00:00",
+        "upperBound": f"{days[1]} 23:59:59",
+        "numPartitions": str(connections),
+    }
+
+
 def load_week_jdbc(
     spark: SparkSession,
     url: str,
@@ -77,19 +100,8 @@ def load_week_jdbc(
     days: tuple[str, str] | None = None,
     connections: int = 8,
 ) -> DataFrame:
-    """A week table of a database.
-
-    ``days`` (first and last pickup day) splits the scan over parallel connections by
-    pickup time; without it the database is read through one connection.
-    """
-    options = {"url": url, "dbtable": table, "preferTimestampNTZ": "true", **properties}
-    if days is not None:
-        options |= {
-            "partitionColumn": "pickup_datetime",
-            "lowerBound": f"{days[0]} 00:00:00",
-            "upperBound": f"{days[1]} 23:59:59",
-            "numPartitions": str(connections),
-        }
+    """A week table of a database; see `jdbc_options`."""
+    options = jdbc_options(url, table, days, connections) | dict(properties)
     try:
         return _checked(spark.read.format("jdbc").options(**options).load(), f"table {table!r}")
     except PySparkException as error:

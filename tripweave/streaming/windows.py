@@ -27,7 +27,9 @@ def stream_parquet(
     )
 
 
-def window_counts(trips: DataFrame, window: str = STREAM_WINDOW, lateness: str = STREAM_LATENESS) -> DataFrame:
+def window_counts(
+    trips: DataFrame, window: str = STREAM_WINDOW, lateness: str = STREAM_LATENESS
+) -> DataFrame:
     """(window_start, window_end, taxi_type, trips, revenue) of tumbling windows.
 
     Watermarks need a zoned timestamp, so the local pickup time is read in the session
