@@ -3,6 +3,7 @@
 from dataclasses import replace
 from functools import partial
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,6 +264,8 @@ def test_custom_metrics_and_selection(trips, tmp_path):
         "custom_longest_trip.csv",
         "custom_trips_per_day.csv",
     ]
+    metrics_job.run_all_weeks(trips, str(tmp_path / "all"), registry=chosen)
+    assert (tmp_path / "all" / "longest_trip").is_dir()
     with pytest.raises(AggregationError, match="unknown metrics"):
         registry.default_registry(MetricsConfig(enabled=("nope",)))
 
@@ -290,6 +293,18 @@ def test_shared_dir_follows_the_setting(spark):
     assert first.startswith(root) and first != second
 
 
+def test_only_a_local_master_may_lack_a_shared_folder():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    assert shared_dir(session("local[2]"), "x").rsplit("/", 1)[1].startswith("x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"), "x")
+
+
 def test_at_once_keeps_order_and_raises(spark):
     assert at_once(spark, [partial(spark.range(n).count) for n in (3, 1, 2)]) == [3, 1, 2]
     assert at_once(spark, []) == []

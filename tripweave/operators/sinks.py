@@ -107,12 +107,13 @@ def save_metric(metric: DataFrame, output_dir: str, week: str, slug: str) -> str
 
 
 def save_metric_all_weeks(metric: DataFrame, output_dir: str, slug: str) -> str:
-    """Write one metric of all weeks to `<output>/<slug>`, with a `week_name` column.
+    """Write one metric of all weeks to `<output>/<slug>`, with a `week_name` per date.
 
     A column and not a folder per week: years of weeks would be thousands of tiny files.
     """
     path = f"{output_dir.rstrip('/')}/{slug}"
-    week = week_name(F.col("date").cast("date"))
-    dated = _as_csv(in_order(metric)).withColumn("week_name", week)
-    dated.write.mode("overwrite").option("header", True).csv(path)
+    rows = _as_csv(in_order(metric))
+    if "date" in metric.columns:
+        rows = rows.withColumn("week_name", week_name(F.col("date").cast("date")))
+    rows.write.mode("overwrite").option("header", True).csv(path)
     return path

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.contracts import GREEN_RENAMES, YELLOW_RENAMES, MetricsConfig
+from tripweave.contracts import GREEN_RENAMES, METRIC_NAMES, YELLOW_RENAMES, MetricsConfig
 from tripweave.functions.numbers import format_count, format_money
 from tripweave.functions.weeks import (
     date_text,
@@ -18,7 +18,6 @@ from tripweave.functions.weeks import (
 )
 from tripweave.operators import anomaly, cleaning, days, facts, metrics, quality, report, sinks
 from tripweave.plans.metrics_job import prepare, run_all_weeks
-from tripweave.plans.registry import default_registry
 from tripweave.plans.report_job import report_all_weeks
 from tripweave.plans.storage import process_weekly, store_day, store_range
 from tripweave.session import shared_dir
@@ -170,15 +169,15 @@ def hour_heatmap(spark, sf_dir):
 def enabled_metrics(spark, sf_dir):
     """A run with two metrics switched on, stacked as (metric, date, taxi_type, amount)."""
     config = MetricsConfig(enabled=("trips_per_day", "revenue_per_day"))
-    tables = default_registry(config).compute_all(cleaned_events(spark, sf_dir))
+    tables = prepare(event_trips(spark, sf_dir), config).tables
     stacked = [
         df.select(
-            F.lit(name).alias("metric"),
+            F.lit(METRIC_NAMES[slug]).alias("metric"),
             "date",
             "taxi_type",
             F.col(df.columns[-1]).cast("double").alias("amount"),
         )
-        for name, (df, _) in tables.items()
+        for slug, df in tables.items()
     ]
     return stacked[0].unionByName(stacked[1])
 
