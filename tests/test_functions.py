@@ -1,6 +1,6 @@
 import math
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 from operator import add
 
@@ -161,6 +161,19 @@ def test_durations_do_not_depend_on_the_session_zone(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_elapsed_seconds_are_exact(spark):
+    picker = random.Random(11)
+    rows = []
+    for _ in range(3000):
+        start = datetime(1990, 1, 1) + timedelta(microseconds=picker.randrange(10**15))
+        span = picker.choice([10**15, 10**10, 10**7, 10**3])
+        end = start + timedelta(microseconds=picker.randrange(-span, span))
+        rows.append((start, end, (end - start).total_seconds()))
+    df = spark.createDataFrame(rows, "p timestamp_ntz, d timestamp_ntz, expected double")
+    wrong = df.filter(weeks.elapsed_seconds(F.col("p"), F.col("d")) != F.col("expected"))
+    assert wrong.isEmpty()
+
+
 def test_parse_day_rejects_other_text():
     assert weeks.parse_day("2024-01-31") == date(2024, 1, 31)
     with pytest.raises(ValueError):

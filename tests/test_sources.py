@@ -149,8 +149,8 @@ def test_stored_days_are_listed_with_their_week(spark, make_trips, tmp_path):
         ("2024-03-01", "week_1_march_2024"),
     }
     assert listed.count() == 2
-    assert stores.first_week(listed) == "week_5_february_2024"
-    assert stores.first_week(listed.filter("false")) == "weekly_taxi_data"
+    assert stores.first_week(listed).first()["week_name"] == "week_5_february_2024"
+    assert stores.first_week(listed.filter("false")).first()["week_name"] == "weekly_taxi_data"
 
 
 def test_jdbc_scan_is_split_by_pickup_time_when_days_are_known():

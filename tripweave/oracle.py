@@ -287,6 +287,12 @@ UNION ALL SELECT 'Revenue Per Day', date, taxi_type, total_revenue_per_day FROM
     "cleaned_trips_middle": count_where(LI, "li", MIDDLE),
     "cleaning_metrics": CLEANING,
     "cleaning_from_job": CLEANING,
+    "cleaning_by_week": f"""WITH {EV}, c AS (SELECT {week('pickup_datetime')} AS week_name,
+    count(*) AS initial_rows,
+    count(*) FILTER (trip_distance > 0 AND total_amount > 0 AND passenger_count > 0) AS final_rows
+  FROM ev GROUP BY 1)
+SELECT week_name, initial_rows, final_rows, initial_rows - final_rows AS removed_rows,
+  round((initial_rows - final_rows)/initial_rows::DOUBLE*100,6) AS removed_pct FROM c""",
     "invalid_by_reason": f"""WITH {EV}, m AS (SELECT *, coalesce({MIDDLE}, false) AS ok FROM ev)
 {REASONS}""",
     "trip_durations": f"""WITH {LI} SELECT "VendorID", passenger_count,
@@ -408,6 +414,10 @@ SELECT week_name, round(valid_pct,6) AS valid_pct, coalesce(anomaly_count,0) AS
 FROM q LEFT JOIN a USING (week_name)""",
     "daily_store_roundtrip": f"""WITH {EV} SELECT {day('pickup_datetime')} AS date,
   count(*) AS trips, count(passenger_count) AS passengers_known FROM ev GROUP BY 1""",
+    "stored_day_weeks": f"""WITH {EV} SELECT DISTINCT {day('pickup_datetime')} AS date,
+  {week('pickup_datetime')} AS week_name FROM ev""",
+    "first_stored_week": f"""WITH {EV}, f AS (SELECT min(pickup_datetime) AS p FROM ev)
+SELECT {week('p')} AS week_name FROM f""",
     "weekly_store_roundtrip": f"""WITH {EV} SELECT {week('pickup_datetime')} AS week_name,
   count(*) AS trips FROM ev GROUP BY 1""",
     "week_table_roundtrip": f"""WITH {EV} SELECT {week('pickup_datetime')} AS week_name, taxi_type,

@@ -67,7 +67,7 @@ def process_weekly(
         return None
     named = stored_days(spark, daily_dir)
     if single_week:
-        named = named.withColumn("week_name", F.lit(first_week(named)))
+        named = named.withColumn("week_name", F.lit(first_week(named).first()["week_name"]))
     weeks = sorted(row["week_name"] for row in named.select("week_name").distinct().collect())
     # The calendar bounds the broadcast: one short row per stored day. Stored days sit
     # together already, so the copy into week folders needs no shuffle.

@@ -38,7 +38,13 @@ from tripweave.sources.sample_tables import (
     raw_fleets,
     table,
 )
-from tripweave.sources.stores import list_weeks, load_days, load_week_table
+from tripweave.sources.stores import (
+    first_week,
+    list_weeks,
+    load_days,
+    load_week_table,
+    stored_days,
+)
 from tripweave.streaming.windows import stream_parquet, window_counts, write_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +226,11 @@ def cleaning_from_job(spark, sf_dir):
     return to_six(prepare(event_trips(spark, sf_dir)).cleaning(), "removed_pct")
 
 
+@query
+def cleaning_by_week(spark, sf_dir):
+    return to_six(prepare(event_trips(spark, sf_dir)).cleaning_by_week(), "removed_pct")
+
+
 @query
 def invalid_by_reason(spark, sf_dir):
     return cleaning.invalid_by_reason(cleaning.with_duration(event_trips(spark, sf_dir)))
@@ -541,6 +552,23 @@ def daily_store_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def stored_day_weeks(spark, sf_dir):
+    """The stored days and their weeks, listed without reading trips."""
+    store = shared_dir(spark, "daily")
+    sinks.save_days(event_trips(spark, sf_dir), store)
+    return stored_days(spark, store).select(
+        date_text(F.col("pickup_date")).alias("date"), "week_name"
+    )
+
+
+@query
+def first_stored_week(spark, sf_dir):
+    store = shared_dir(spark, "daily")
+    sinks.save_days(event_trips(spark, sf_dir), store)
+    return first_week(stored_days(spark, store))
+
+
 @query
 def weekly_store_roundtrip(spark, sf_dir):
     """Stored days published by week, and counted from the weekly store."""

@@ -45,9 +45,10 @@ def days_of_week(days: DataFrame, week: str) -> DataFrame:
     return days.filter((day >= F.lit(start)) & (day < F.lit(end)))
 
 
-def first_week(stored: DataFrame) -> str:
-    """The week name of the earliest of the stored days."""
-    return stored.agg(F.min_by("week_name", "pickup_date")).first()[0] or UNKNOWN_WEEK
+def first_week(stored: DataFrame) -> DataFrame:
+    """The week name of the earliest of the stored days, in one row."""
+    earliest = F.min_by("week_name", "pickup_date")
+    return stored.agg(F.coalesce(earliest, F.lit(UNKNOWN_WEEK)).alias("week_name"))
 
 
 def _checked(df: DataFrame, what: str) -> DataFrame:
