@@ -33,6 +33,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(params=["UTC", "America/New_York", "Asia/Kolkata"])
+def zone(spark, request):
+    """Runs a test under several session zones."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def at(text: str | None) -> datetime | None:
     return None if text is None else datetime.fromisoformat(text)
 

@@ -47,7 +47,7 @@ def files_of(folder):
 # --- days ------------------------------------------------------------------------
 
 
-def test_storing_a_day_again_changes_nothing_else(spark, trips, tmp_path):
+def test_storing_a_day_again_changes_nothing_else(spark, trips, tmp_path, zone):
     store = str(tmp_path / "daily")
     sinks.save_days(trips, store)
     before = sorted_rows(stores.load_days(spark, store))

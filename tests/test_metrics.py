@@ -368,7 +368,7 @@ def test_ratios_guard_zero_denominators(spark):
 # --- days ------------------------------------------------------------------------
 
 
-def test_day_boundaries(make_trips):
+def test_day_boundaries(make_trips, zone):
     trips = make_trips(
         [
             trip(pickup="2024-01-01 23:59:59.999999"),
@@ -379,6 +379,10 @@ def test_day_boundaries(make_trips):
     )
     assert days.trips_on(trips, "2024-01-02").count() == 1
     assert days.trips_in_range(trips, "2024-01-01", 2).count() == 2
+    per_day = {r["date"]: r["trips"] for r in days.range_status(trips, "2024-01-01", 4).collect()}
+    assert per_day == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-03": 1, "2024-01-04": 0}
+    table = metrics.in_order(metrics.trips_per_day(facts.daily_facts(trips)))
+    assert [r["date"] for r in table.collect()] == ["2024-01-01", "2024-01-02", "2024-01-03"]
     with pytest.raises(ValueError):
         days.trips_on(trips, "yesterday")
 

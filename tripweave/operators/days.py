@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +11,14 @@ from tripweave.functions.weeks import date_text, parse_day
 
 
 def between_days(start: date, end: date) -> Column:
-    """Pickup on or after `start` and before `end`, as a range the Parquet reader can use."""
+    """Pickup on or after `start` and before `end`, as a range the Parquet reader can use.
+
+    The bounds are written as text: a Python datetime would become a zoned timestamp and
+    move with the session zone.
+    """
 
     def midnight(day: date) -> Column:
-        return F.lit(datetime(day.year, day.month, day.day)).cast("timestamp_ntz")
+        return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
 
     pickup = F.col("pickup_datetime")
     return (pickup >= midnight(start)) & (pickup < midnight(end))
