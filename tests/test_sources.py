@@ -90,6 +90,17 @@ def test_one_source_may_have_several_schemas(spark):
     }
 
 
+def test_days_from_files_of_different_types_fit_together(spark, tmp_path):
+    store = str(tmp_path / "daily")
+    ddl = "tpep_pickup_datetime timestamp_ntz, VendorID {}, passenger_count {}"
+    files = (("01", (1, 2), ("int", "bigint")), ("02", (3, None), ("bigint", "double")))
+    for day, row, kinds in files:
+        raw = spark.createDataFrame([(at(f"2024-01-{day}"), *row)], ddl.format(*kinds))
+        sinks.save_days(fleets.YELLOW.normalize(raw), store)
+    rows = stores.load_days(spark, store).orderBy("pickup_date").collect()
+    assert [(r["VendorID"], r["passenger_count"]) for r in rows] == [(1, 2.0), (3, None)]
+
+
 def test_zones_move_local_times_across_daylight_saving(spark):
     df = spark.createDataFrame(
         [(at("2024-01-15 12:00:00"),), (at("2024-07-15 12:00:00"),)],

@@ -22,6 +22,26 @@ YELLOW_TAG = "Yellow"
 
 DROPOFF_CANDIDATES = ("lpep_dropoff_datetime", "dropoff_datetime")
 
+# Types of the numeric trip columns, whatever a single file has.
+TRIP_TYPES = {
+    "VendorID": "bigint",
+    "passenger_count": "double",
+    "trip_distance": "double",
+    "RatecodeID": "double",
+    "PULocationID": "bigint",
+    "DOLocationID": "bigint",
+    "payment_type": "bigint",
+    "fare_amount": "double",
+    "extra": "double",
+    "mta_tax": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "improvement_surcharge": "double",
+    "total_amount": "double",
+    "congestion_surcharge": "double",
+    "Airport_fee": "double",
+}
+
 MEASURES = (
     "trip_distance",
     "fare_amount",

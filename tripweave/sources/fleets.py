@@ -11,7 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.contracts import GREEN_RENAMES, GREEN_TAG, YELLOW_RENAMES, YELLOW_TAG
+from tripweave.contracts import (
+    GREEN_RENAMES,
+    GREEN_TAG,
+    TRIP_TYPES,
+    YELLOW_RENAMES,
+    YELLOW_TAG,
+)
 from tripweave.functions.weeks import parse_day
 
 TRIP_TIMES = ("pickup_datetime", "dropoff_datetime")
@@ -22,6 +28,14 @@ def exact(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def _widened(found: T.StructField) -> Column:
+    wanted = TRIP_TYPES.get(found.name)
+    same = wanted in (None, found.dataType.simpleString())
+    if same or not isinstance(found.dataType, T.NumericType):
+        return exact(found.name)
+    return exact(found.name).cast(wanted)
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """How one source becomes trips: which columns to rename, which tag to add.
@@ -40,8 +54,12 @@ class SourceSpec:
         return spark.read.parquet(*self.paths)
 
     def normalize(self, raw: DataFrame) -> DataFrame:
-        """Rename, tag and shift; names match case-sensitively, absent ones are ignored."""
-        columns = [exact(c).alias(self.renames.get(c, c)) for c in raw.columns]
+        """Rename, widen, tag and shift.
+
+        Names match case-sensitively, absent ones are ignored. Numbers get their contract
+        type, so that days stored from files of different types still fit together.
+        """
+        columns = [_widened(f).alias(self.renames.get(f.name, f.name)) for f in raw.schema.fields]
         trips = raw.select(*columns).withColumn("taxi_type", F.lit(self.tag))
         if self.time_zone is None:
             return trips
