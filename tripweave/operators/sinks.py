@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.contracts import JDBC_BATCH_ROWS, METRIC_KEYS
+from tripweave.contracts import JDBC_BATCH_ROWS, METRIC_KEYS, METRIC_SCHEMAS
 from tripweave.functions.weeks import metric_file_name, week_name
 from tripweave.operators.metrics import in_order
 
@@ -96,12 +96,15 @@ def _as_csv(metric: DataFrame) -> DataFrame:
 def save_metric(metric: DataFrame, output_dir: str, week: str, slug: str) -> str:
     """Write one metric of one week to `<output>/<week>/<prefix>_<slug>.csv`.
 
-    One file: a week's metric has at most days x types x 24 rows. They are sorted in the
-    task that writes them.
+    The five metric tables have at most days x types x 24 rows a week; they become one
+    file, sorted in the task that writes it. Nothing bounds other metrics, so they keep
+    their partitions.
     """
     path = f"{output_dir.rstrip('/')}/{week}/{metric_file_name(slug, week)}"
-    keys = [c for c in METRIC_KEYS if c in metric.columns]
-    rows = metric.repartition(1).sortWithinPartitions(*keys) if keys else metric.coalesce(1)
+    rows = metric
+    if slug in METRIC_SCHEMAS:
+        keys = [c for c in METRIC_KEYS if c in metric.columns]
+        rows = metric.repartition(1).sortWithinPartitions(*keys)
     _as_csv(rows).write.mode("overwrite").option("header", True).csv(path)
     return path
 
