@@ -21,7 +21,7 @@ TRIP_DDL = (
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[4,4]",  # four threads, four attempts per task
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

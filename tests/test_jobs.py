@@ -6,6 +6,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tests.conftest import as_dicts, trip
@@ -243,6 +244,26 @@ def test_all_weeks_equal_the_single_weeks(spark, trips, daily_dir, tmp_path):
         assert alone == together[week]
 
 
+def fail_once(batches):
+    """Passes rows on and then fails, on the first attempt of every other task."""
+    yield from batches
+    context = TaskContext.get()
+    if context.attemptNumber() == 0 and context.partitionId() % 2:
+        raise RuntimeError("lost")
+
+
+def test_tasks_that_run_twice_count_once(spark, trips, tmp_path):
+    steady = trips.repartition(4)
+    flaky = steady.mapInArrow(fail_once, trips.schema)
+    once, again = (metrics_job.prepare(t, by_week=True) for t in (steady, flaky))
+    assert once.cleaning().first() == again.cleaning().first()
+    for slug, table in once.tables.items():
+        assert sorted_rows(table) == sorted_rows(again.tables[slug])
+    sinks.save_days(flaky, str(tmp_path / "daily"))
+    stored = stores.load_days(spark, str(tmp_path / "daily"))
+    assert stored.count() == trips.filter("pickup_datetime is not null").count()
+
+
 def test_the_job_scans_the_trips_once(spark, trips, capsys):
     """Metric tables read the written facts, not the trips."""
     run = metrics_job.prepare(trips, by_week=True)

@@ -161,6 +161,9 @@ def test_results_do_not_depend_on_the_partitioning(make_trips, rows, daily):
         again = facts.daily_facts(cleaning.clean(cleaning.with_duration(spread)))
         assert in_order(metrics.daily_averages(again)) == in_order(metrics.daily_averages(daily))
         assert in_order(metrics.revenue_per_day(again)) == in_order(metrics.revenue_per_day(daily))
+        assert in_order(anomaly.anomaly_monitoring(again)) == in_order(
+            anomaly.anomaly_monitoring(daily)
+        )
 
 
 def test_cleaning_thresholds_are_configurable(make_trips):

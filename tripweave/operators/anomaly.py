@@ -70,7 +70,9 @@ def score_days(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame
     """All columns of both flag variants.
 
     The windows run over daily facts, a handful of rows per type and week. The previous
-    day is the previous row: days without trips are not filled in.
+    day is the previous row: days without trips are not filled in. The statistics see the
+    days in order as well, so that a rerun gives the same deviation to the last bit, and
+    one sort serves both.
     """
     require_columns(daily, ["total_amount_sum", "passenger_count_sum"], "anomaly_monitoring")
     days = daily.select(
@@ -83,14 +85,15 @@ def score_days(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame
     )
     scope = Window.partitionBy(*(["week_name"] if rule.by_week else []), "taxi_type")
     in_order = scope.orderBy("pickup_date")
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def previous(name: str) -> Column:
         return F.lag(name).over(in_order)
 
     scored = days.withColumns(
         {
-            "avg_trips": F.avg("daily_trips").over(scope),
-            "stddev_trips": F.stddev_samp("daily_trips").over(scope),
+            "avg_trips": F.avg("daily_trips").over(everything),
+            "stddev_trips": F.stddev_samp("daily_trips").over(everything),
             "prev_trips": previous("daily_trips"),
             "prev_revenue": previous("total_revenue_per_day"),
         }
