@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Sums are settled on this grid before they are divided. See `mean_of`.
+# Sums are settled on this grid before they are rounded or divided. See `mean_of`.
 _GRID = 1_000_000.0
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.contracts import MEASURES, METRIC_KEYS, require_columns
-from tripweave.functions.numbers import mean_of, round2
+from tripweave.functions.numbers import mean_of, round2, settle
 from tripweave.functions.weeks import date_text, week_name
 from tripweave.operators.facts import roll_up
 
@@ -20,7 +20,7 @@ def day_column() -> Column:
 
 
 def revenue() -> Column:
-    return round2(F.coalesce(F.col("total_amount_sum"), F.lit(0.0)))
+    return round2(settle(F.coalesce(F.col("total_amount_sum"), F.lit(0.0))))
 
 
 def average(measure: str) -> Column:

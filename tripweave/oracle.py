@@ -7,6 +7,11 @@ def r2(x: str) -> str:
     return f"round_even(({x})*100,0)/100"
 
 
+def total2(x: str) -> str:
+    """Rounded sum, settled first as in `functions.numbers.settle`."""
+    return r2(f"round_even(sum({x})*1e6,0)/1e6")
+
+
 def mean(x: str) -> str:
     """Mean over the settled sum, as `functions.numbers.mean_of`."""
     return f"round_even(sum({x})*1e6,0)/1e6/nullif(count({x}),0)"
@@ -64,7 +69,7 @@ TRIPS_TABLE = f"""SELECT {day('pickup_datetime')} AS date, taxi_type, count(*) A
   FROM t GROUP BY 1, 2"""
 
 REVENUE_TABLE = f"""SELECT {day('pickup_datetime')} AS date, taxi_type,
-    {r2('sum(total_amount)')} AS total_revenue_per_day
+    {total2('total_amount')} AS total_revenue_per_day
   FROM t GROUP BY 1, 2"""
 
 HOURLY_TABLE = f"""SELECT {day('pickup_datetime')} AS date, taxi_type,
@@ -92,7 +97,7 @@ def scored(std: str = "1.5", drop: str = "pct_change_trips", by_week: bool = Fal
     return f"""days AS (
   SELECT {day('pickup_datetime')} AS date, {week('any_value(pickup_datetime)')} AS week_name,
     taxi_type, count(*) AS daily_trips,
-    {r2('sum(total_amount)')} AS total_revenue_per_day,
+    {total2('total_amount')} AS total_revenue_per_day,
     {mean2('passenger_count')} AS avg_passenger_count
   FROM t GROUP BY 1, 3),
 stats AS (
@@ -164,7 +169,7 @@ CLEANING = f"""WITH {EV}, c AS (SELECT count(*) AS initial_rows,
 SELECT initial_rows, final_rows, initial_rows - final_rows AS removed_rows,
   round((initial_rows - final_rows)/initial_rows::DOUBLE*100,6) AS removed_pct FROM c"""
 
-SUMMARY_FIELDS = f"""count(*) AS total_trips, {r2('sum(total_amount)')} AS total_revenue,
+SUMMARY_FIELDS = f"""count(*) AS total_trips, {total2('total_amount')} AS total_revenue,
     {mean2('trip_distance')} AS avg_trip_distance, {mean2('fare_amount')} AS avg_fare_amount"""
 
 
@@ -357,7 +362,7 @@ FROM ev GROUP BY 1""",
     "weekly_by_type": f"""WITH {EV_T}, w AS (
   SELECT {week('pickup_datetime')} AS week_name, taxi_type, count(*) AS n, sum(total_amount) AS s
   FROM t GROUP BY 1, 2)
-SELECT week_name, taxi_type, n AS total_trips, {r2('s')} AS total_revenue,
+SELECT week_name, taxi_type, n AS total_trips, {r2('round_even(s*1e6,0)/1e6')} AS total_revenue,
   {r2('round_even(s*1e6,0)/1e6/n')} AS avg_revenue_per_trip,
   {r2('n/(sum(n) OVER (PARTITION BY week_name))::DOUBLE*100')} AS share_pct FROM w""",
     "type_ratios": f"""WITH {DAY_RATIOS} SELECT taxi_type, {r2('dist')} AS avg_trip_distance,
@@ -365,7 +370,7 @@ SELECT week_name, taxi_type, n AS total_trips, {r2('s')} AS total_revenue,
   {r2('dist/nullif(minutes/60,0)')} AS speed_mph, {r2('fare/nullif(dist,0)')} AS fare_per_mile,
   {r2('(total/nullif(fare,0)-1)*100')} AS markup_pct FROM m""",
     "weekday_weekend": f"""WITH {EV_T}, d AS (SELECT pickup_datetime::DATE AS d, count(*) AS n,
-    {r2('sum(total_amount)')} AS revenue FROM t GROUP BY 1)
+    {total2('total_amount')} AS revenue FROM t GROUP BY 1)
 SELECT CASE WHEN isodow(d) >= 6 THEN 'weekend' ELSE 'weekday' END AS day_kind,
   count(*) AS num_days, {mean2('n')} AS avg_daily_trips, {mean2('revenue')} AS avg_daily_revenue
 FROM d GROUP BY 1""",
@@ -427,7 +432,7 @@ SELECT *, {WEEK_OF_DATE} AS week_name FROM f""",
     "report_from_csv": KPIS,
     "stream_window_counts": f"""WITH {EV}, w AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, pickup_datetime, TIMESTAMP '2000-01-01') AS window_start,
-    taxi_type, count(*) AS trips, {r2('sum(total_amount)')} AS revenue FROM ev GROUP BY 1, 2)
+    taxi_type, count(*) AS trips, {total2('total_amount')} AS revenue FROM ev GROUP BY 1, 2)
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, taxi_type, trips, revenue
 FROM w WHERE window_start + INTERVAL 5 MINUTE <=
   (SELECT max(pickup_datetime) - INTERVAL 10 MINUTE FROM ev)""",

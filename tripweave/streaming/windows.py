@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripweave.contracts import STREAM_LATENESS, STREAM_WINDOW
-from tripweave.functions.numbers import known, round2
+from tripweave.functions.numbers import known, round2, settle
 
 
 def stream_parquet(
@@ -51,7 +51,7 @@ def window_counts(
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
         "taxi_type",
         "trips",
-        round2(F.col("revenue")).alias("revenue"),
+        round2(settle(F.col("revenue"))).alias("revenue"),
     )
 
 
