@@ -11,7 +11,47 @@ CONTROLS = (
     " + (length(t) - length(replace(t, '</turn>', ''))) // 7)"
 )
 
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: The SHA-1 digest ``h`` in base 32, five bits a letter.
+DIGEST = (
+    "array_to_string(list_transform(range(32), lambda k: "
+    f"'{BASE32}'[1 + ((('0x' || h[k // 4 * 5 + 1:k // 4 * 5 + 5])::BIGINT"
+    " >> (15 - k % 4 * 5)) & 31)]), '')"
+)
+
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": """
+        WITH docs AS (
+          SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents
+        ), used AS (
+          SELECT DISTINCT doc_id, source, regexp_replace(l,
+            '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') AS l
+          FROM (SELECT doc_id, source, unnest(ls) AS l FROM docs)
+        ), totals AS (SELECT source, count(*) AS n FROM documents GROUP BY source
+        ), found AS (
+          SELECT used.source, list(l) AS gone FROM (
+            SELECT source, l, count(*) AS c FROM used WHERE l <> '' GROUP BY source, l
+          ) used JOIN totals ON used.source IS NOT DISTINCT FROM totals.source
+          WHERE n >= 10 AND c > 0.4 * n GROUP BY used.source
+        ), kept AS (
+          SELECT doc_id, docs.source, text, ls, list_filter(ls, lambda x:
+            NOT list_contains(coalesce(gone, []), regexp_replace(x,
+              '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'))) AS ks
+          FROM docs LEFT JOIN found ON docs.source IS NOT DISTINCT FROM found.source
+        )
+        SELECT doc_id, source, coalesce(len(ls) - len(ks), 0)::BIGINT AS n_dropped,
+          CASE WHEN text IS NOT NULL THEN array_to_string(ks, chr(10)) END AS text
+        FROM kept
+    """,
+    "op10_warc": f"""
+        WITH p AS (
+          SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+        ), k AS (SELECT *, max(page_id) OVER (PARTITION BY h, strlen(html)) AS keeper FROM p)
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {DIGEST} AS payload_digest,
+          CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+        FROM k
+    """,
     "op4_chat_formatting": f"""
         WITH said AS (
           SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t

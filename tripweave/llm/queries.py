@@ -8,8 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, chat_format, html_text, quality_rules
+from tripweave.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    html_text,
+    line_dedup,
+    quality_rules,
+    simhash,
+    warc,
+)
 from tripweave.llm.frames import table
+from tripweave.session import shared_dir
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -25,6 +35,14 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that its source repeats on too many documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs, dropped="n_dropped").select(
+        "doc_id", "source", "n_dropped", "text"
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every text, encoded and decoded again."""
     path = public_tokenizers.path(WORD_BPE)
@@ -66,6 +84,12 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the place and the number of edits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document, and the verdict of the current policy."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,9 +105,33 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_groups(docs, width=4, distance=4)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages say when they are read back."""
+    path = shared_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    found = warc.records(warc.read_archives(spark, path))
+    return found.select(
+        warc.id_of(F.col("record_id")).alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.id_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_line_dedup": op2_line_dedup,
     "op3_bpe": op3_bpe,
     "op4_chat_formatting": op4_chat_formatting,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_warc": op10_warc,
 }
