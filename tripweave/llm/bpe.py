@@ -39,7 +39,7 @@ ENDS = 0x1000
 #: Whether array("I") is already in the order of the packed tokens.
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Encoded words a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: The separators that the file's patterns call white space, and its words.
 SPACES = "\t\n\v\f\r \x85\xa0  -     　"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+"
@@ -105,12 +105,6 @@ class Vocabulary:
         self._pieces = regex.compile(PIECES)
         marks = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self._special = re.compile(f"({marks})") if marks else None
-        names = [""] * (max([*model["vocab"].values(), *self.special.values()]) + 1)
-        for token, i in [*model["vocab"].items(), *self.special.items()]:
-            names[i] = token
-        data = [f"{t} ".encode() for t in names]
-        self.data = np.frombuffer(b"".join(data), dtype=np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges can leave ``left`` and ``right`` side by side.
@@ -210,14 +204,28 @@ class Vocabulary:
                 out.append(packed)
         return b"".join(out)
 
+
+class Spelling:
+    """The texts of all tokens in one buffer, each followed by a space, and where they start."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        names = [b" "] * (max(ids.values()) + 1)
+        for token, i in ids.items():
+            names[i] = f"{token} ".encode()
+        self.data = np.frombuffer(b"".join(names), dtype=np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(n) for n in names])])
+
     def decode(self, packed: bytes) -> str:
         """The token texts joined by spaces, cut from one buffer by its offset table."""
         ids = np.frombuffer(packed, dtype="<u4")
         if not len(ids):
             return ""
         parts = []
-        for first in range(0, len(ids), 1 << 18):  # indices of a bounded number of tokens
-            some = ids[first : first + (1 << 18)]
+        for first in range(0, len(ids), 1 << 16):  # indices of a bounded number of tokens
+            some = ids[first : first + (1 << 16)]
             starts = self.offsets[some]
             n = self.offsets[some + 1] - starts
             ends = np.cumsum(n)
@@ -226,10 +234,9 @@ class Vocabulary:
         return b"".join(parts)[:-1].decode()
 
 
-@lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
-    """The tables, once per Python worker."""
-    return Vocabulary(path)
+#: The tables of a file, once per Python worker.
+vocabulary = lru_cache(maxsize=1)(Vocabulary)
+spelling = lru_cache(maxsize=1)(Spelling)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", name: str = "tokens") -> DataFrame:
@@ -250,7 +257,7 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", name: str = "deco
 
     @F.pandas_udf("string")
     def plain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tables = vocabulary(path)
+        tables = spelling(path)
         for packed in batches:
             yield pd.Series([tables.decode(p) for p in packed], dtype=object)
 
