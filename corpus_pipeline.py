@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import bpe, quality_rules
+from tripweave.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
 from tripweave.llm.frames import saved, table
 from tripweave.llm.queries import WORD_BPE
 
@@ -23,6 +23,21 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return quality_rules.keep_good(docs)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that their source repeats; every document stays."""
+    return line_dedup.drop_boilerplate(docs)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return simhash.keep_one(docs, width=4, distance=4)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontaminate.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
+
+
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each text and the text they decode to."""
     path = public_tokenizers.path(WORD_BPE)
@@ -31,10 +46,13 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules_stage),
+    ("line_dedup", line_dedup_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("benchmark_decontamination", decontamination_stage),
     ("bpe", bpe_stage),
 ]
 
-#: SQL cannot express the exact merges of the last stage.
+#: SQL can express neither the fingerprints nor the exact merges.
 ORACLE_SQL: str | None = None
 
 

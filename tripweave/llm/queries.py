@@ -16,6 +16,7 @@ from tripweave.llm import (
     line_dedup,
     quality_rules,
     simhash,
+    substring_dedup,
     warc,
 )
 from tripweave.llm.frames import table
@@ -84,6 +85,17 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the word windows that start earlier in the corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "deduped.n_words",
+        "deduped.n_removed",
+        F.sha2("deduped.text", 256).alias("kept_sha256"),
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the place and the number of edits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -130,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_bpe": op3_bpe,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
