@@ -17,6 +17,7 @@ from tripweave.llm import (
     quality_rules,
     simhash,
     substring_dedup,
+    suffix_array,
     warc,
 )
 from tripweave.llm.frames import table
@@ -102,6 +103,18 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the byte strings that start in a smaller document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_array.remove_shared(docs).select(
+        "doc_id",
+        "deduped.n_bytes",
+        "deduped.n_removed",
+        "deduped.n_spans",
+        F.sha2("deduped.kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document, and the verdict of the current policy."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -144,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_warc": op10_warc,
