@@ -26,15 +26,30 @@ def test_round2_is_half_even_on_the_scaled_value(spark):
     assert got == list(np.round(np.array(values), 2))
 
 
-def test_mean_does_not_depend_on_the_order_of_terms(spark):
-    terms = [0.1] * 10 + [0.7, 1e-3, 123.45, -0.1] * 50
+def test_sums_do_not_depend_on_the_order_of_terms(spark):
+    terms = [0.1] * 10 + [0.7, 1e-3, 123.45, -0.1, 1e12 + 0.25, -1e12] * 50
     shuffled = terms[:]
     random.Random(3).shuffle(shuffled)
-    sums = {reduce(add, order) for order in (terms, sorted(terms), shuffled)} | {math.fsum(terms)}
-    assert len(sums) > 1
-    df = spark.createDataFrame([(s,) for s in sums], "s double")
-    means = df.select(numbers.mean_of(F.col("s"), F.lit(len(terms))).alias("m")).distinct()
-    assert means.count() == 1
+    assert len({reduce(add, order) for order in (terms, sorted(terms), shuffled)}) > 1
+    totals = set()
+    for order, parts in ((terms, 1), (sorted(terms), 3), (shuffled, 7)):
+        df = spark.createDataFrame([(x,) for x in order], "x double").repartition(parts)
+        halves = df.groupBy(F.col("x") > 0).agg(numbers.exact_sum(F.col("x")).alias("s"))
+        at_once = df.agg(numbers.total_of(numbers.exact_sum(F.col("x")))).first()[0]
+        in_steps = halves.agg(numbers.total_of(numbers.add_up(F.col("s")))).first()[0]
+        totals |= {at_once, in_steps}
+    assert totals == {math.fsum(terms)}
+
+
+def test_sums_keep_infinities_and_nulls(spark):
+    def total(*values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return df.agg(numbers.total_of(numbers.exact_sum(F.col("x")))).first()[0]
+
+    assert total(1.5, math.inf, None) == math.inf
+    assert total(2e15, 0.5) == 2e15 + 0.5
+    assert math.isnan(total(math.inf, -math.inf))
+    assert total(None) is None and total(-0.25, None) == -0.25
 
 
 def test_mean_of_nothing_is_null(spark):

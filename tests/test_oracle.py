@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from tests.compare import compare, connect
 from tests.conftest import SF_DIR
+from tripweave.oracle import ORACLE
+from tripweave.queries import QUERIES
 
 SPARK_TO_DUCK = {
     "bigint": "BIGINT",
@@ -22,14 +24,16 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):
     assert contract.entry(spark).count() == 60
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     sql = contract.oracle_sql()[name]

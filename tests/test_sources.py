@@ -9,6 +9,7 @@ from tripweave.contracts import DataValidationError, SchemaError
 from tripweave.operators import sinks
 from tripweave.operators.days import trips_on
 from tripweave.sources import fleets, metric_files, stores
+from tripweave.sources.metric_files import read_metric_csv
 
 GREEN_DDL = (
     "VendorID int, lpep_pickup_datetime timestamp_ntz, lpep_dropoff_datetime timestamp_ntz, "
@@ -222,6 +223,42 @@ def test_metric_folder_reads_all_parts(spark, tmp_path):
     assert metric_files.read_metric_csv(spark, str(folder), ["date"]).count() == 3
 
 
+def write_parts(folder, **files):
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+TRIP_COUNTS = ("date", "taxi_type", "total_trips")
+
+
+def test_whole_decimals_are_counts(spark, tmp_path):
+    text = "date,taxi_type,total_trips\n2024-01-01,Green,12.0\n2024-01-02,Green,\n"
+    path = write_parts(tmp_path / "a", one=text)
+    df = read_metric_csv(spark, path, TRIP_COUNTS)
+    assert dict(df.dtypes)["total_trips"] == "bigint"
+    assert [r["total_trips"] for r in df.orderBy("date").collect()] == [12, None]
+
+
+@pytest.mark.parametrize("value", ["abc", "12.5", "1e30"])
+def test_values_that_do_not_fit_are_errors(spark, tmp_path, value):
+    text = f"date,taxi_type,total_trips\n2024-01-01,Green,{value}\n2024-01-02,Green,1\n"
+    path = write_parts(tmp_path / "a", one=text)
+    with pytest.raises(DataValidationError, match="1 values of total_trips are no bigint"):
+        read_metric_csv(spark, path, TRIP_COUNTS)
+
+
+def test_parts_with_another_header_are_errors(spark, tmp_path):
+    path = write_parts(
+        tmp_path / "a",
+        one="date,taxi_type,total_trips\n2024-01-01,Green,1\n",
+        two="taxi_type,date,total_trips\nGreen,2024-01-02,2\n",
+    )
+    with pytest.raises(DataValidationError, match="differ in their columns"):
+        read_metric_csv(spark, path, TRIP_COUNTS)
+
+
 def test_missing_metric_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         metric_files.read_week_metric(spark, str(tmp_path), "week_1_may_2024", "trips_per_day")

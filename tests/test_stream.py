@@ -2,16 +2,18 @@
 
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import TRIP_DDL, at, trip
+from tripweave.contracts import DataValidationError
 from tripweave.streaming.windows import stream_parquet, window_counts, write_windows
 
 
 def run(spark, source, out, state):
     schema = spark.createDataFrame([], TRIP_DDL).schema
     counts = window_counts(stream_parquet(spark, str(source), schema))
-    write_windows(counts, str(out), str(state)).awaitTermination()
+    write_windows(counts, str(out), str(state))
     rows = spark.read.parquet(str(out)).collect()
     return {(r["window_start"], r["taxi_type"]): (r["trips"], r["revenue"]) for r in rows}
 
@@ -49,6 +51,38 @@ def test_windows_close_once_and_late_rows_are_dropped(spark, make_trips, tmp_pat
     assert len(found) == 5
 
 
+def test_old_files_in_any_order_lose_nothing(spark, make_trips, tmp_path):
+    source, schema = tmp_path / "in", spark.createDataFrame([], TRIP_DDL).schema
+    for day in (20, 25, 1, 2):
+        rows = [trip(pickup=f"2024-01-{day:02d} 08:{m:02d}:00") for m in range(0, 60, 2)]
+        drop_file(make_trips, source, rows)
+
+    def written(name, **options):
+        counts = window_counts(stream_parquet(spark, str(source), schema, **options))
+        late = write_windows(counts, str(tmp_path / name), str(tmp_path / f"{name}-state"))
+        out = spark.read.parquet(str(tmp_path / name))
+        return late, sorted(map(tuple, out.drop("revenue").collect()))
+
+    late, found = written("all")
+    closed = window_counts(spark.read.parquet(str(source))).filter(
+        "window_end <= timestamp_ntz '2024-01-25 08:48:00'"
+    )
+    assert late == 0 and found == sorted(map(tuple, closed.drop("revenue").collect()))
+    late, found = written("capped", files_per_batch=1)
+    assert late > 0 and sum(r[3] for r in found) < 100
+
+
+def test_late_rows_are_counted_and_can_be_an_error(spark, make_trips, tmp_path):
+    source, schema = tmp_path / "in", spark.createDataFrame([], TRIP_DDL).schema
+    places = str(tmp_path / "out"), str(tmp_path / "state")
+    drop_file(make_trips, source, [trip(pickup="2024-01-02 08:00:00")])
+    counts = window_counts(stream_parquet(spark, str(source), schema))
+    assert write_windows(counts, *places) == 0
+    drop_file(make_trips, source, [trip(), trip(kind="Yellow"), trip(pickup="2024-01-02 09:00:00")])
+    with pytest.raises(DataValidationError, match="2 rows"):
+        write_windows(counts, *places, fail_on_late=True)
+
+
 def test_batch_frames_give_all_windows(make_trips):
     rows = [trip(pickup=f"2024-01-01 08:{m:02d}:00") for m in range(0, 30, 2)]
     counts = window_counts(make_trips(rows))

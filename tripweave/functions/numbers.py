@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Sums are settled on this grid before they are rounded or divided. See `mean_of`.
-_GRID = 1_000_000.0
+# Parts of one that exact sums count; finer digits are rounded off in each term.
+_PARTS = 1_000_000_000
+# Terms from here on, infinities among them, are summed on their own as doubles.
+_FAR = 1e15
 
 
 def round2(x: Column) -> Column:
@@ -15,18 +17,36 @@ def round2(x: Column) -> Column:
     return F.rint(x * F.lit(100.0)) / F.lit(100.0)
 
 
-def settle(total: Column) -> Column:
-    """Drop the noise a floating-point sum picks up from the order of its terms."""
-    return F.rint(total * F.lit(_GRID)) / F.lit(_GRID)
+def exact_sum(x: Column) -> Column:
+    """Sum of doubles that does not depend on the order of its terms, as a struct.
 
+    Whole numbers and billionths are summed as integers. See `total_of` and `add_up`.
+    """
+    near = F.abs(x) < F.lit(_FAR)
+    whole = F.when(near, F.floor(x))
+    parts = F.when(near, F.rint((x - F.floor(F.when(near, x))) * F.lit(float(_PARTS))))
+    return F.struct(
+        F.sum(whole).alias("whole"),
+        F.sum(parts.cast("bigint")).alias("parts"),
+        F.sum(F.when(~near, x)).alias("far"),
+    )
 
-def mean_of(total: Column, n: Column) -> Column:
-    """Mean from a sum and a count; NULL when there is nothing to average.
 
-    Task order changes the last bits of a distributed sum, and a mean that lies on a
-    rounding tie would flip with them. Settling the sum first makes reruns agree.
-    """
-    return F.try_divide(settle(total), n.cast("double"))
+def add_up(sums: Column) -> Column:
+    """The sum of exact sums, again exact."""
+    return F.struct(*[F.sum(sums[f]).alias(f) for f in ("whole", "parts", "far")])
+
+
+def total_of(sums: Column) -> Column:
+    """The value of an exact sum; NULL if it has no terms."""
+    carry, rest = F.floor(sums["parts"] / F.lit(_PARTS)), F.pmod(sums["parts"], F.lit(_PARTS))
+    near = (sums["whole"] + carry).cast("double") + rest / F.lit(float(_PARTS))
+    return F.coalesce(sums["far"] + near, near, sums["far"])
+
+
+def mean_of(total: Column, n: Column) -> Column:
+    """Mean from a sum and a count; NULL when there is nothing to average."""
+    return F.try_divide(total, n.cast("double"))
 
 
 def pct_change(current: Column, previous: Column) -> Column:

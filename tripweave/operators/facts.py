@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.contracts import MEASURES, require_columns
-from tripweave.functions.numbers import known
+from tripweave.functions.numbers import add_up, exact_sum, known
 from tripweave.operators.cleaning import with_removed
 
 KEYS = ("pickup_date", "taxi_type")
@@ -32,7 +32,7 @@ def _measured(trips: DataFrame, keep: Column | None = None) -> list[Column]:
     values = {m: known(trips, m) for m in MEASURES if m in trips.columns}
     if keep is not None:
         values = {m: F.when(keep, v) for m, v in values.items()}
-    sums = [F.sum(v).alias(f"{m}_sum") for m, v in values.items()]
+    sums = [exact_sum(v.cast("double")).alias(f"{m}_sum") for m, v in values.items()]
     counts = [F.count(v).alias(f"{m}_n") for m, v in values.items()]
     return [*sums, *counts]
 
@@ -83,10 +83,16 @@ def audit(audited: DataFrame, *keys: Column) -> DataFrame:
     return with_removed(counts)
 
 
+def added(facts: DataFrame) -> list[Column]:
+    """Aggregates that add facts up; the sums are structs of their own."""
+    counts = [c for c in facts.columns if c == "trips" or c.endswith("_n")]
+    sums = [c for c in facts.columns if c.endswith("_sum")]
+    return [F.sum(c).alias(c) for c in counts] + [add_up(F.col(c)).alias(c) for c in sums]
+
+
 def roll_up(facts: DataFrame, *keys: str) -> DataFrame:
     """Facts over fewer keys."""
-    measured = [c for c in facts.columns if c == "trips" or c.endswith(("_sum", "_n"))]
-    return facts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measured])
+    return facts.groupBy(*keys).agg(*added(facts))
 
 
 def daily_from_hourly(hourly: DataFrame) -> DataFrame:

@@ -11,24 +11,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.contracts import MEASURES, METRIC_KEYS, require_columns
-from tripweave.functions.numbers import mean_of, round2, settle
+from tripweave.functions.numbers import exact_sum, mean_of, round2, total_of
 from tripweave.functions.weeks import date_text, week_name
-from tripweave.operators.facts import roll_up
+from tripweave.operators.facts import added, roll_up
 
 def day_column() -> Column:
     return date_text(F.col("pickup_date")).alias("date")
 
 
 def revenue() -> Column:
-    return round2(settle(F.coalesce(F.col("total_amount_sum"), F.lit(0.0))))
+    return round2(F.coalesce(total_of(F.col("total_amount_sum")), F.lit(0.0)))
 
 
 def average(measure: str) -> Column:
-    return mean_of(F.col(f"{measure}_sum"), F.col(f"{measure}_n"))
+    return mean_of(total_of(F.col(f"{measure}_sum")), F.col(f"{measure}_n"))
 
 
 def _column_mean(name: str) -> Column:
-    return mean_of(F.sum(name), F.count(name))
+    return mean_of(total_of(exact_sum(F.col(name).cast("double"))), F.count(name))
 
 
 # --- metric tables ---------------------------------------------------------------
@@ -129,7 +129,7 @@ def weekly_by_type(daily: DataFrame) -> DataFrame:
         "taxi_type",
         F.col("trips").alias("total_trips"),
         revenue().alias("total_revenue"),
-        round2(mean_of(F.col("total_amount_sum"), F.col("trips"))).alias("avg_revenue_per_trip"),
+        round2(mean_of(total_of(F.col("total_amount_sum")), F.col("trips"))).alias("avg_revenue_per_trip"),
         round2(F.col("trips") / in_week * F.lit(100.0)).alias("share_pct"),
     ).orderBy("week_name", "taxi_type")
 
@@ -137,10 +137,9 @@ def weekly_by_type(daily: DataFrame) -> DataFrame:
 def executive_summary(daily: DataFrame) -> DataFrame:
     """Trips, revenue, average distance and fare per type, and over all types."""
     by_type = roll_up(daily, "taxi_type")
-    sums = [c for c in by_type.columns if c != "taxi_type"]
     label = F.when(F.grouping("taxi_type") == 1, F.lit("Total")).otherwise(F.col("taxi_type"))
     with_total = by_type.rollup("taxi_type").agg(
-        label.alias("label"), *[F.sum(c).alias(c) for c in sums]
+        label.alias("label"), *added(by_type)
     )
     return with_total.select(
         F.col("label").alias("taxi_type"),

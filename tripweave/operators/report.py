@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.contracts import ALERT_MAX_ANOMALIES, ALERT_MIN_VALID_PCT, TOP_HOURS
-from tripweave.functions.numbers import mean_of, settle
+from tripweave.functions.numbers import exact_sum, mean_of, total_of
 from tripweave.functions.weeks import week_name as week_of
 from tripweave.functions.weeks import week_parts
 
@@ -44,6 +44,10 @@ def _merge(parts: list[DataFrame]) -> DataFrame:
     )
 
 
+def _total(name: str) -> Column:
+    return total_of(exact_sum(F.col(name).cast("double")))
+
+
 def weekly_totals(trips: DataFrame, revenue: DataFrame, week: str | None = None) -> DataFrame:
     """Totals, number of days and daily averages; zeros when there are no rows."""
     money = revenue_column(revenue)
@@ -54,7 +58,7 @@ def weekly_totals(trips: DataFrame, revenue: DataFrame, week: str | None = None)
             F.sum("total_trips").alias("total_trips"),
             F.count_distinct("date").alias("num_days"),
         ),
-        _weekly(revenue, week, settle(F.sum(money)).alias("total_revenue")),
+        _weekly(revenue, week, _total(money).alias("total_revenue")),
     ]
     days = F.greatest(F.coalesce(F.col("num_days"), F.lit(0)), F.lit(1))
     return _merge(parts).select(
@@ -122,7 +126,7 @@ def _busiest_text(hourly: DataFrame, week: str | None, k: int = TOP_HOURS) -> Da
 def best_worst_day(revenue: DataFrame, week: str | None = None) -> DataFrame:
     """Days of highest and lowest revenue over all types; earlier days win ties."""
     money = revenue_column(revenue)
-    by_date = revenue.groupBy("date").agg(settle(F.sum(money)).alias("revenue"))
+    by_date = revenue.groupBy("date").agg(_total(money).alias("revenue"))
     down = F.struct(-F.col("revenue"), F.col("date"))
     up = F.struct(F.col("revenue"), F.col("date"))
     return _weekly(
@@ -141,7 +145,7 @@ def anomaly_count(anomalies: DataFrame, week: str | None = None) -> DataFrame:
 
 def average_revenue_per_trip(averages: DataFrame, week: str | None = None) -> DataFrame:
     """Unweighted mean of the daily averages."""
-    mean = mean_of(F.sum("avg_total_amount"), F.count("avg_total_amount"))
+    mean = mean_of(_total("avg_total_amount"), F.count("avg_total_amount"))
     return _weekly(averages, week, mean.alias("avg_rev_trip"))
 
 
@@ -185,7 +189,7 @@ def daily_breakdown(trips: DataFrame, revenue: DataFrame) -> DataFrame:
     """(date, trips, revenue) for every date with trips; revenue 0 where there is none."""
     money = revenue_column(revenue)
     by_date = trips.groupBy("date").agg(F.sum("total_trips").alias("trips"))
-    earned = revenue.groupBy("date").agg(settle(F.sum(money)).alias("revenue"))
+    earned = revenue.groupBy("date").agg(_total(money).alias("revenue"))
     return (
         by_date.join(earned, "date", "left")
         .select("date", "trips", F.coalesce("revenue", F.lit(0.0)).alias("revenue"))

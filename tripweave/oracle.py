@@ -7,14 +7,17 @@ def r2(x: str) -> str:
     return f"round_even(({x})*100,0)/100"
 
 
+def exact(x: str) -> str:
+    return f"sum(({x})::DECIMAL(28,9))::DOUBLE"
+
+
 def total2(x: str) -> str:
-    """Rounded sum, settled first as in `functions.numbers.settle`."""
-    return r2(f"round_even(sum({x})*1e6,0)/1e6")
+    """Rounded sum, in exact arithmetic."""
+    return r2(exact(x))
 
 
 def mean(x: str) -> str:
-    """Mean over the settled sum, as `functions.numbers.mean_of`."""
-    return f"round_even(sum({x})*1e6,0)/1e6/nullif(count({x}),0)"
+    return f"{exact(x)}/nullif(count({x}),0)"
 
 
 def mean2(x: str) -> str:
@@ -362,8 +365,8 @@ FROM ev GROUP BY 1""",
     "weekly_by_type": f"""WITH {EV_T}, w AS (
   SELECT {week('pickup_datetime')} AS week_name, taxi_type, count(*) AS n, sum(total_amount) AS s
   FROM t GROUP BY 1, 2)
-SELECT week_name, taxi_type, n AS total_trips, {r2('round_even(s*1e6,0)/1e6')} AS total_revenue,
-  {r2('round_even(s*1e6,0)/1e6/n')} AS avg_revenue_per_trip,
+SELECT week_name, taxi_type, n AS total_trips, {r2('s')} AS total_revenue,
+  {r2('s/n')} AS avg_revenue_per_trip,
   {r2('n/(sum(n) OVER (PARTITION BY week_name))::DOUBLE*100')} AS share_pct FROM w""",
     "type_ratios": f"""WITH {DAY_RATIOS} SELECT taxi_type, {r2('dist')} AS avg_trip_distance,
   {r2('fare')} AS avg_fare_amount, {r2('total')} AS avg_total_amount,
@@ -379,6 +382,10 @@ FROM d GROUP BY 1""",
     "weekly_totals": f"""WITH {WEEK_TOTALS} SELECT week_name, total_trips,
   round(total_revenue,6) AS total_revenue, num_days,
   round(total_trips/num_days::DOUBLE,6) AS daily_avg_trips,
+  round(total_revenue/num_days,6) AS daily_avg_revenue FROM w""",
+    "report_from_old_csv": f"""WITH {WEEK_TOTALS} SELECT week_name, total_trips,
+  round(total_revenue,6) AS total_revenue, num_days,
+  round(total_trips/num_days::DOUBLE,6) AS daily_avg_trips,
   round(total_revenue/num_days,6) AS daily_avg_revenue FROM w""",
     "weekly_kpis": KPIS,
     "report_totals_text": f"""WITH {WEEK_TOTALS} SELECT week_name,
@@ -388,8 +395,7 @@ FROM d GROUP BY 1""",
     "daily_breakdown": f"""WITH {EV_T}, n AS ({TRIPS_TABLE}),
 a AS (SELECT date, sum(total_trips)::BIGINT AS trips FROM n GROUP BY 1),
 r AS ({REVENUE_TABLE}),
-b AS (SELECT date, sum(total_revenue_per_day) AS revenue FROM r
-  WHERE isodow(date::DATE) <= 5 GROUP BY 1)
+b AS (SELECT date, sum(total_revenue_per_day) AS revenue FROM r GROUP BY 1)
 SELECT date, trips, round(coalesce(revenue, 0),6) AS revenue FROM a LEFT JOIN b USING (date)""",
     "trips_by_hour": f"""WITH {EV_T} SELECT hour(pickup_datetime)::INTEGER AS pickup_hour,
   count(*) AS trips FROM t GROUP BY 1""",

@@ -30,7 +30,7 @@ from tripweave.sources.fleets import (
     pickup_only,
     read_versions,
 )
-from tripweave.sources.metric_files import read_all_weeks_metric
+from tripweave.sources.metric_files import read_all_weeks_metric, read_metric_csv
 from tripweave.sources.sample_tables import (
     event_trips,
     events_as_trips,
@@ -496,10 +496,10 @@ def report_totals_text(spark, sf_dir):
 
 @query
 def daily_breakdown(spark, sf_dir):
-    """All days with trips; revenue is held back for weekends, which then show zero."""
+    """All days with trips and their revenue."""
     tables = event_tables(spark, sf_dir)
-    weekdays = tables["revenue_per_day"].filter(F.weekday(F.col("date").cast("date")) < 5)
-    return to_six(report.daily_breakdown(tables["trips_per_day"], weekdays), "revenue")
+    days = report.daily_breakdown(tables["trips_per_day"], tables["revenue_per_day"])
+    return to_six(days, "revenue")
 
 
 @query
@@ -536,6 +536,13 @@ def weekly_alerts(spark, sf_dir):
     return to_six(alerts, "valid_pct")
 
 
+def whole_range(trips: DataFrame) -> tuple[str, int]:
+    """First day and number of days of the trips, which must have a pickup time."""
+    day = F.to_date("pickup_datetime")
+    first, last = trips.agg(F.min(day), F.max(day)).first()
+    return first.isoformat(), (last - first).days + 1
+
+
 # --- stores and files ------------------------------------------------------------
 
 
@@ -543,8 +550,9 @@ def weekly_alerts(spark, sf_dir):
 def daily_store_roundtrip(spark, sf_dir):
     """All days stored, one of them stored again, then counted from the store."""
     trips, store = event_trips(spark, sf_dir), shared_dir(spark, "daily")
-    store_range(trips, "2024-01-01", store, 31)
-    store_day(trips, "2024-01-10", store)
+    start, num_days = whole_range(trips)
+    store_range(trips, start, store, num_days)
+    store_day(trips, start, store)
     return (
         load_days(spark, store)
         .groupBy(date_text(F.col("pickup_date")).alias("date"))
@@ -615,11 +623,40 @@ def report_from_csv(spark, sf_dir):
     return to_six(report_all_weeks(spark, out).kpis, *KPI_DOUBLES)
 
 
+@query
+def report_from_old_csv(spark, sf_dir):
+    """Weekly totals out of CSV parts with old headers and counts written as decimals."""
+    tables, out = event_tables(spark, sf_dir), shared_dir(spark, "old-csv")
+    trips = tables["trips_per_day"].select(
+        F.date_format(F.col("date").cast("date"), "yyyy-MM-dd HH:mm:ss").alias("pickup_date"),
+        "taxi_type",
+        F.concat(F.col("total_trips").cast("string"), F.lit(".0")).alias("trips_per_day"),
+    )
+    revenue = tables["revenue_per_day"].select(
+        F.col("date").alias("pickup_date"),
+        "taxi_type",
+        F.col("total_revenue_per_day").cast("decimal(28,2)").cast("string").alias(
+            "revenue_per_day"
+        ),
+    )
+    paths = {"trips_per_day": trips, "revenue_per_day": revenue}
+    for name, old in paths.items():
+        parts = old.repartition(3, "pickup_date")
+        parts.write.option("header", True).csv(f"{out}/{name}")
+    totals = report.weekly_totals(
+        read_metric_csv(spark, f"{out}/trips_per_day", ("date", "taxi_type", "total_trips")),
+        read_metric_csv(spark, f"{out}/revenue_per_day", ("date", "taxi_type", "total_revenue")),
+    )
+    return to_six(totals, "total_revenue", "daily_avg_trips", "daily_avg_revenue")
+
+
 @query
 def stream_window_counts(spark, sf_dir):
     """Events streamed through five-minute windows; windows still open do not come out."""
     schema = table(spark, sf_dir, "events").schema
-    trips = events_as_trips(stream_parquet(spark, sf_dir, schema, "events.parquet"))
+    # A glob matches the table where it is one file as well as where it is a folder of files.
+    stream = stream_parquet(spark, f"{sf_dir}/events.parquet*", schema)
     out = shared_dir(spark, "windows")
-    write_windows(window_counts(trips), out, shared_dir(spark, "windows-state")).awaitTermination()
+    counts = window_counts(events_as_trips(stream))
+    write_windows(counts, out, shared_dir(spark, "windows-state"), fail_on_late=True)
     return spark.read.parquet(out)

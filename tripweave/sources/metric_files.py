@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.contracts import (
@@ -15,6 +16,7 @@ from tripweave.contracts import (
     REPORT_COLUMNS,
     REVENUE_ALIAS,
     TRIPS_ALIAS,
+    DataValidationError,
     require_columns,
 )
 from tripweave.functions.weeks import date_text, metric_file_name
@@ -54,20 +56,45 @@ def read_metric_csv(spark: SparkSession, path: str, required: Iterable[str]) ->
     """A metric CSV, given as a file or as a folder of part files.
 
     The header decides the columns; known ones get their contract type. All part files
-    of a folder are read.
+    of a folder are read, and one with other columns or another order is an error. A whole
+    number may be written as 12.0; text that does not fit its type is an error, an empty
+    field is NULL.
     """
     try:
-        text = spark.read.option("header", True).csv(path)
+        text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
         raise
     named = current_names(text)
     require_columns(named, required, path)
-    typed = named.withColumns(
-        {c: F.col(c).try_cast(_TYPES[c]) for c in named.columns if c in _TYPES}
-    )
-    return standard_dates(typed)
+    typed = {c: _typed(c) for c in named.columns if c in _TYPES}
+    _require_fit(named, typed, path)
+    return standard_dates(named.withColumns(typed))
+
+
+def _typed(name: str) -> Column:
+    kind, text = _TYPES[name], F.col(name)
+    if kind not in ("int", "bigint"):
+        return text.try_cast(kind)
+    number = text.try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), number.try_cast(kind))
+
+
+def _require_fit(named: DataFrame, typed: dict[str, Column], path: str) -> None:
+    """Raise if a value would be lost; one pass over a small file."""
+    if not typed:
+        return
+    misfits = [F.count_if(F.col(c).isNotNull() & t.isNull()).alias(c) for c, t in typed.items()]
+    try:
+        counts = named.agg(*misfits).first().asDict()
+    except (PySparkException, Py4JJavaError) as error:
+        if "header does not conform" not in str(error):
+            raise
+        raise DataValidationError(f"{path}: part files differ in their columns") from error
+    for name, n in counts.items():
+        if n:
+            raise DataValidationError(f"{path}: {n} values of {name} are no {_TYPES[name]}")
 
 
 def read_week_metric(spark: SparkSession, output_dir: str, week: str, slug: str) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tripweave.contracts import STREAM_LATENESS, STREAM_WINDOW
-from tripweave.functions.numbers import known, round2, settle
+from tripweave.contracts import STREAM_LATENESS, STREAM_WINDOW, DataValidationError
+from tripweave.functions.numbers import exact_sum, known, round2, total_of
 
 
 def stream_parquet(
@@ -16,15 +16,18 @@ def stream_parquet(
     folder: str,
     schema: T.StructType,
     file_glob: str = "*.parquet",
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """A stream over the Parquet files that appear in a folder."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", file_glob)
-        .parquet(folder)
-    )
+    """A stream over the Parquet files that appear in a folder.
+
+    All files that are there at a trigger form one batch. A cap on the files of a batch makes
+    their order matter: files come by age and not by event time, and rows behind the
+    watermark of an earlier batch are late. `write_windows` counts those.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def window_counts(
@@ -43,7 +46,7 @@ def window_counts(
         .groupBy(F.window("at", window).alias("w"), "taxi_type")
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            F.sum(known(trips, "total_amount")).alias("revenue"),
+            exact_sum(known(trips, "total_amount").cast("double")).alias("revenue"),
         )
     )
     return counted.select(
@@ -51,13 +54,19 @@ def window_counts(
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
         "taxi_type",
         "trips",
-        round2(settle(F.col("revenue"))).alias("revenue"),
+        round2(total_of(F.col("revenue"))).alias("revenue"),
     )
 
 
-def write_windows(counts: DataFrame, output_dir: str, checkpoint_dir: str) -> StreamingQuery:
-    """Append closed windows to Parquet, each once, and stop when the input is used up."""
-    return (
+def write_windows(
+    counts: DataFrame, output_dir: str, checkpoint_dir: str, fail_on_late: bool = False
+) -> int:
+    """Append closed windows to Parquet, each once, until the input is used up.
+
+    Returns the number of rows (per window and type) that came too late for their window;
+    with ``fail_on_late`` any such row is an error.
+    """
+    query: StreamingQuery = (
         counts.writeStream.outputMode("append")
         .format("parquet")
         .option("path", output_dir)
@@ -65,3 +74,12 @@ def write_windows(counts: DataFrame, output_dir: str, checkpoint_dir: str) -> St
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    late = sum(
+        state.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for state in progress.stateOperators
+    )
+    if late and fail_on_late:
+        raise DataValidationError(f"{late} rows came after their window was closed")
+    return late
