@@ -69,8 +69,8 @@ def drop_boilerplate(
     docs: DataFrame,
     host: str = "source",
     text: str = "text",
-    ratio: float = 0.4,
-    least_pages: int = 10,
+    ratio: float = 0.1,
+    least_pages: int = 20,
     dropped: str | None = None,
 ) -> DataFrame:
     """``docs`` without the lines that stand on more than ``ratio`` of a site's pages.

@@ -32,7 +32,7 @@ ORACLE: dict[str, str] = {
           SELECT used.source, list(l) AS gone FROM (
             SELECT source, l, count(*) AS c FROM used WHERE l <> '' GROUP BY source, l
           ) used JOIN totals ON used.source IS NOT DISTINCT FROM totals.source
-          WHERE n >= 10 AND c > 0.4 * n GROUP BY used.source
+          WHERE n >= 20 AND c > 0.1 * n GROUP BY used.source
         ), kept AS (
           SELECT doc_id, docs.source, text, ls, list_filter(ls, lambda x:
             NOT list_contains(coalesce(gone, []), regexp_replace(x,
