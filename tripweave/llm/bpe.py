@@ -234,9 +234,15 @@ class Spelling:
         return b"".join(parts)[:-1].decode()
 
 
-#: The tables of a file, once per Python worker.
-vocabulary = lru_cache(maxsize=1)(Vocabulary)
-spelling = lru_cache(maxsize=1)(Spelling)
+@lru_cache(maxsize=1)
+def vocabulary(path: str) -> Vocabulary:
+    """The tables of a file, once per Python worker."""
+    return Vocabulary(path)
+
+
+@lru_cache(maxsize=1)
+def spelling(path: str) -> Spelling:
+    return Spelling(path)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", name: str = "tokens") -> DataFrame:
