@@ -149,6 +149,42 @@ def test_weeks_as_tables_can_be_published_again(spark, daily_dir, tmp_path):
         assert total == stores.load_days(spark, daily_dir).count()
 
 
+def test_publishing_one_week_leaves_the_others(spark, daily_dir, tmp_path):
+    weekly = str(tmp_path / "weekly")
+    weeks = storage.process_weekly(spark, daily_dir, weekly, as_tables=True)
+    stamps = {p: p.stat().st_mtime_ns for p in files_of(weekly)}
+    assert storage.process_weekly(spark, daily_dir, weekly, True, weeks=weeks[:1]) == weeks[:1]
+    kept = {p for p in files_of(weekly) if stamps.get(p) == p.stat().st_mtime_ns}
+    changed = f"week_name={weeks[0]}"
+    assert kept == {p for p in stamps if changed not in str(p)} and len(kept) < len(stamps)
+    assert load_counts(spark, weeks) == sum(load_counts(spark, [w]) for w in weeks)
+    last = max(f.name.split("=")[1] for f in Path(daily_dir).glob("pickup_date=*"))
+    assert len(storage.process_weekly(spark, daily_dir, weekly, since=last)) == 1
+    assert storage.process_weekly(spark, daily_dir, weekly, weeks=["week_1_may_1999"]) is None
+
+
+def load_counts(spark, weeks):
+    return sum(stores.load_week_table(spark, w).count() for w in weeks)
+
+
+def test_range_job_scans_the_raw_trips_once(spark, trips, tmp_path):
+    raw = str(tmp_path / "raw")
+    trips.write.parquet(raw)
+    status = storage.store_range(spark.read.parquet(raw), "2024-01-24", str(tmp_path / "d"), 3)
+    plan = status._jdf.queryExecution().toString()
+    assert raw not in plan and str(tmp_path / "d") in plan
+    assert status.agg(F.sum("trips")).first()[0] == stores.load_days(
+        spark, str(tmp_path / "d")
+    ).count()
+
+
+def test_a_closed_run_leaves_no_facts(trips, tmp_path):
+    with metrics_job.prepare(trips) as run:
+        assert run.cleaning().count() == 1
+        assert Path(run.facts_dir).exists()
+    assert not Path(run.facts_dir).exists()
+
+
 def test_week_tables_answer_sql(spark, daily_dir, tmp_path):
     storage.process_weekly(spark, daily_dir, str(tmp_path / "weekly"), as_tables=True)
     counts = spark.sql(f"""SELECT pickup_datetime::date AS date, taxi_type, count(*) AS trips

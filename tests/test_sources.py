@@ -118,13 +118,36 @@ def test_versions_pick_a_schema_by_file_date(spark, tmp_path):
     versions = [fleets.SchemaVersion(old, "2024-01-01"), fleets.SchemaVersion(new)]
     assert fleets.schema_for(versions, "2023-12-31") is old
     assert fleets.schema_for(versions, "2024-01-01") is new
-    files = {"2023-05-01": str(tmp_path / "x"), "2024-05-01": str(tmp_path / "y")}
-    spark.createDataFrame([(1,)], old).write.parquet(files["2023-05-01"])
-    spark.createDataFrame([(2, 0.5)], new).write.parquet(files["2024-05-01"])
+    files = {str(tmp_path / "x"): "2023-05-01", str(tmp_path / "y"): "2024-05-01"}
+    spark.createDataFrame([(1,)], old).write.parquet(str(tmp_path / "x"))
+    spark.createDataFrame([(2, 0.5)], new).write.parquet(str(tmp_path / "y"))
     rows = as_dicts(fleets.read_versions(spark, files, versions).orderBy("a"))
     assert rows == [{"a": 1, "b": None}, {"a": 2, "b": 0.5}]
 
 
+def test_raw_files_keep_every_column_or_fail(spark, tmp_path):
+    folder = str(tmp_path / "raw" / "green_2024-0")
+    spark.range(2).selectExpr("id AS passenger_count").write.parquet(f"{folder}1")
+    later = spark.range(3).selectExpr("id AS passenger_count", "1.5D AS congestion_surcharge")
+    later.write.parquet(f"{folder}2")
+    spec = fleets.SourceSpec("Green", paths=(f"{folder}*",))
+    df = spec.normalize(spec.read(spark))
+    assert dict(df.dtypes)["passenger_count"] == "double"
+    assert df.agg(F.count("passenger_count"), F.count("congestion_surcharge")).first() == (5, 3)
+    other = spark.range(1).selectExpr("CAST(id AS DOUBLE) AS passenger_count")
+    other.write.parquet(f"{folder}3")
+    with pytest.raises(DataValidationError, match="disagree on a type"):
+        spec.read(spark)
+    versions = (
+        fleets.SchemaVersion(later.schema, "2024-03-01"),
+        fleets.SchemaVersion(other.schema),
+    )
+    dated = replace(spec, versions=versions)
+    assert dated.normalize(dated.read(spark)).agg(F.count("passenger_count")).first()[0] == 6
+    with pytest.raises(DataValidationError, match="no date"):
+        replace(dated, file_day="never").read(spark)
+
+
 def test_no_stored_days_is_none(spark, tmp_path):
     assert stores.load_days(spark, str(tmp_path / "absent")) is None
     (tmp_path / "empty").mkdir()

@@ -67,6 +67,11 @@ def week_name(d: Column) -> Column:
     )
 
 
+def week_name_of(d: date) -> str:
+    """`week_name` of one date on the driver, for names of folders and tables."""
+    return f"week_{(d.day - 1) // 7 + 1}_{_MONTHS[d.month - 1]}_{d.year}"
+
+
 def week_file_prefix(week: Column) -> Column:
     """`week_1_september_2025` -> `2025_09_week1`.
 

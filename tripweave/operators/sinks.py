@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,14 +16,19 @@ from tripweave.operators.metrics import in_order
 _MONEY = ("total_revenue_per_day", "avg_fare_amount", "avg_total_amount")
 
 
-def _replace_folders(df: DataFrame, path: str, key: str, rebalance: bool) -> None:
+def _replace_folders(
+    df: DataFrame, path: str, key: str, rebalance: bool, one_value: bool = False
+) -> None:
     """Write one folder per key value; folders of other values stay.
 
     Rebalancing costs a shuffle and saves the many small files of every task writing to
-    every folder. It gathers rows by key, yet splits a key that holds most of them.
+    every folder. It gathers rows by key, yet splits a key that holds most of them; with
+    one value of the key there is nothing to gather by.
     """
+    if rebalance:
+        df = df.hint("rebalance") if one_value else df.hint("rebalance", key)
     (
-        (df.hint("rebalance", key) if rebalance else df)
+        df
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
@@ -30,7 +36,9 @@ def _replace_folders(df: DataFrame, path: str, key: str, rebalance: bool) -> Non
     )
 
 
-def save_days(trips: DataFrame, daily_dir: str, rebalance: bool = True) -> None:
+def save_days(
+    trips: DataFrame, daily_dir: str, rebalance: bool = True, one_day: bool = False
+) -> None:
     """Replace the stored days that occur in `trips`; no rows means no change.
 
     Input that is ordered by time already may go without the rebalance.
@@ -38,7 +46,7 @@ def save_days(trips: DataFrame, daily_dir: str, rebalance: bool = True) -> None:
     dated = trips.filter(F.col("pickup_datetime").isNotNull()).withColumn(
         "pickup_date", F.to_date("pickup_datetime")
     )
-    _replace_folders(dated, daily_dir, "pickup_date", rebalance)
+    _replace_folders(dated, daily_dir, "pickup_date", rebalance, one_day)
 
 
 def save_weeks(weekly: DataFrame, weekly_dir: str, rebalance: bool = True) -> None:
@@ -47,12 +55,28 @@ def save_weeks(weekly: DataFrame, weekly_dir: str, rebalance: bool = True) -> No
 
 
 def register_week(spark: SparkSession, weekly_dir: str, week: str, table: str) -> None:
-    """Make a stored week a catalog table, in place of an earlier one. Moves no data."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Make a stored week a catalog table, in place of an earlier one. Moves no data.
+
+    A table that is there already with this folder and these columns stays, so that its
+    readers always find it; only another folder or other columns replace it.
+    """
     path = f"{weekly_dir.rstrip('/')}/week_name={week}"
+    name = ".".join(f"`{part.replace('`', '``')}`" for part in table.split("."))
+    if spark.catalog.tableExists(table):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+        found = {_plain_path(r["data_type"]) for r in rows.collect()}
+        if found == {_plain_path(path)}:
+            spark.catalog.refreshTable(table)
+            if spark.table(table).dtypes == spark.read.parquet(path).dtypes:
+                return
+        spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(table, path=path, source="parquet")
 
 
+def _plain_path(path: str) -> str:
+    return re.sub("/+", "/", path.removeprefix("file:")).rstrip("/")
+
+
 def save_week_table(weekly: DataFrame, table: str, path: str | None = None) -> None:
     """Replace a catalog table; `path` makes it an external one."""
     writer = weekly.write.mode("overwrite").format("parquet")

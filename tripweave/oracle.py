@@ -128,6 +128,11 @@ def count_where(cte: str, source: str, where: str) -> str:
     return f"WITH {cte} {counts}"
 
 
+STRICT = (
+    "fare_amount > 0 AND total_amount > 0 AND trip_distance > 0 "
+    "AND passenger_count BETWEEN 1 AND 6 AND pickup_datetime < dropoff_datetime"
+)
+CLEANED_COLUMNS = '"VendorID", pickup_datetime, passenger_count, trip_distance, taxi_type'
 WEEK_OF_DATE = week("date::DATE")
 
 KPIS = f"""WITH {EV_T}, {scored(by_week=True)},
@@ -286,12 +291,7 @@ SELECT 'Trips Per Day' AS metric, date, taxi_type, total_trips::DOUBLE AS amount
 UNION ALL SELECT 'Revenue Per Day', date, taxi_type, total_revenue_per_day FROM b""",
     "metric_preview": f"WITH {EV_T} {TRIPS_TABLE} ORDER BY date, taxi_type LIMIT 10",
     "cleaned_trips": f"WITH {EV_T} SELECT * FROM t",
-    "cleaned_trips_strict": count_where(
-        LI,
-        "li",
-        "fare_amount > 0 AND total_amount > 0 AND trip_distance > 0 "
-        "AND passenger_count BETWEEN 1 AND 6 AND pickup_datetime < dropoff_datetime",
-    ),
+    "cleaned_trips_strict": count_where(LI, "li", STRICT),
     "cleaned_trips_middle": count_where(LI, "li", MIDDLE),
     "cleaning_metrics": CLEANING,
     "cleaning_from_job": CLEANING,
@@ -425,6 +425,20 @@ SELECT week_name, round(valid_pct,6) AS valid_pct, coalesce(anomaly_count,0) AS
 FROM q LEFT JOIN a USING (week_name)""",
     "daily_store_roundtrip": f"""WITH {EV} SELECT {day('pickup_datetime')} AS date,
   count(*) AS trips, count(passenger_count) AS passengers_known FROM ev GROUP BY 1""",
+    "raw_days_roundtrip": f"""WITH {EV}, s AS (
+  SELECT min(pickup_datetime)::DATE AS first, max(pickup_datetime)::DATE AS last FROM ev)
+SELECT {day('pickup_datetime')} AS date, taxi_type, count(*) AS trips,
+  count(passenger_count) AS n_passenger_count,
+  count(*) FILTER (pickup_datetime::DATE - first >= (last - first + 1) // 2)
+    AS n_congestion_surcharge,
+  sum("VendorID")::BIGINT AS vendor_sum
+FROM ev, s GROUP BY 1, 2""",
+    "weekly_job_reports": KPIS,
+    "anomaly_other_thresholds": f"""WITH {EV}, t AS (SELECT * FROM ev
+  WHERE trip_distance > 5 AND total_amount > 20 AND passenger_count > 1),
+{scored(std='1.0')} {anomaly_table()}""",
+    "strict_trips": f"""WITH {LI} SELECT {CLEANED_COLUMNS} FROM li WHERE {STRICT}""",
+    "middle_trips": f"""WITH {LI} SELECT {CLEANED_COLUMNS} FROM li WHERE {MIDDLE}""",
     "stored_day_weeks": f"""WITH {EV} SELECT DISTINCT {day('pickup_datetime')} AS date,
   {week('pickup_datetime')} AS week_name FROM ev""",
     "first_stored_week": f"""WITH {EV}, f AS (SELECT min(pickup_datetime) AS p FROM ev)

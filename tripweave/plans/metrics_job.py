@@ -15,15 +15,30 @@ from tripweave.operators.facts import audit, audited_facts, kept_facts
 from tripweave.operators.sinks import save_metric, save_metric_all_weeks
 from tripweave.plans.registry import MetricRegistry, default_registry
 from tripweave.session import at_once, shared_dir
+from tripweave.sources.folders import remove
 from tripweave.sources.stores import load_week, load_week_table
 
 
 @dataclass(frozen=True)
 class MetricsRun:
-    """The metric tables of a run by slug, and its audited facts, all read from files."""
+    """The metric tables of a run by slug, and its audited facts, all read from files.
+
+    The run owns the folder of its facts. `close` removes it, as does leaving a ``with``
+    block; its frames are of no use after that.
+    """
 
     tables: dict[str, DataFrame]
     audited: DataFrame
+    facts_dir: str
+
+    def close(self) -> None:
+        remove(self.audited.sparkSession, self.facts_dir)
+
+    def __enter__(self) -> MetricsRun:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
     def cleaning(self) -> DataFrame:
         return audit(self.audited)
@@ -52,7 +67,7 @@ def prepare(
     planned.write.parquet(path)
     audited = spark.read.schema(planned.schema).parquet(path)
     chosen = registry or default_registry(config, by_week)
-    return MetricsRun(chosen.tables(clean(timed, config), kept_facts(audited)), audited)
+    return MetricsRun(chosen.tables(clean(timed, config), kept_facts(audited)), audited, path)
 
 
 def run_week(

@@ -3,37 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.functions.weeks import parse_day
+from tripweave.functions.weeks import parse_day, week_name, week_name_of
 from tripweave.operators.days import range_status, trips_in_range, trips_on
 from tripweave.operators.sinks import register_week, save_days, save_weeks
 from tripweave.sources.fleets import SourceSpec, load_trips
-from tripweave.sources.stores import first_week, load_days, stored_days
+from tripweave.sources.folders import data_files, key_folders
+from tripweave.sources.stores import load_days
 
 
-def store_day(trips: DataFrame, day: str, daily_dir: str) -> None:
+def store_day(trips: DataFrame, day: str, daily_dir: str, rebalance: bool = True) -> None:
     """Store one day; a day without trips leaves the store as it is."""
-    save_days(trips_on(trips, day), daily_dir)
+    save_days(trips_on(trips, day), daily_dir, rebalance, one_day=True)
 
 
-def store_range(trips: DataFrame, start_day: str, daily_dir: str, num_days: int = 7) -> DataFrame:
-    """Store consecutive days in one job; returns the lazy status of every day.
+def store_range(
+    trips: DataFrame,
+    start_day: str,
+    daily_dir: str,
+    num_days: int = 7,
+    rebalance: bool = True,
+) -> DataFrame:
+    """Store consecutive days in one job; returns the status of every day.
 
-    Malformed start days raise ValueError before anything is read.
+    The raw trips are scanned once: the status counts what this job has written, from the
+    footers of the day folders whose files changed. Malformed start days raise ValueError
+    before anything is read.
     """
-    parse_day(start_day)
-    save_days(trips_in_range(trips, start_day, num_days), daily_dir)
-    return range_status(trips, start_day, num_days)
+    start, spark = parse_day(start_day), trips.sparkSession
+    asked = [(start + timedelta(days=i)).isoformat() for i in range(num_days)]
+
+    def stored() -> dict[str, frozenset[str]]:
+        there = set(key_folders(spark, daily_dir, "pickup_date")) & set(asked)
+        return {d: data_files(spark, f"{daily_dir.rstrip('/')}/pickup_date={d}") for d in there}
+
+    before = stored()
+    chosen = trips_in_range(trips, start_day, num_days)
+    save_days(chosen, daily_dir, rebalance, one_day=num_days == 1)
+    written = sorted(d for d, files in stored().items() if files != before.get(d))
+    days = load_days(spark, daily_dir, written)
+    return range_status(chosen.limit(0) if days is None else days, start_day, num_days)
 
 
 def process_daily(
-    spark: SparkSession, specs: Sequence[SourceSpec], day: str, daily_dir: str
+    spark: SparkSession,
+    specs: Sequence[SourceSpec],
+    day: str,
+    daily_dir: str,
+    rebalance: bool = True,
 ) -> None:
     """Raw sources to one stored day."""
-    store_day(load_trips(spark, specs), day, daily_dir)
+    store_day(load_trips(spark, specs), day, daily_dir, rebalance)
 
 
 def process_daily_range(
@@ -42,9 +66,10 @@ def process_daily_range(
     start_day: str,
     daily_dir: str,
     num_days: int = 7,
+    rebalance: bool = True,
 ) -> DataFrame:
     """Raw sources to consecutive stored days."""
-    return store_range(load_trips(spark, specs), start_day, daily_dir, num_days)
+    return store_range(load_trips(spark, specs), start_day, daily_dir, num_days, rebalance)
 
 
 def process_weekly(
@@ -54,26 +79,35 @@ def process_weekly(
     as_tables: bool = False,
     database: str | None = None,
     single_week: bool = False,
+    weeks: Sequence[str] | None = None,
+    since: str | None = None,
 ) -> list[str] | None:
-    """Publish all stored days by week; returns the week names, or None without data.
+    """Publish stored days by week; returns the week names, or None without data.
 
-    One job writes a folder per week. With ``as_tables`` each folder also becomes a
-    catalog table named after its week. Every row goes to the week of its own day;
-    ``single_week`` keeps the older habit of putting all stored days into the week of
-    the first one.
+    One job writes a folder per week. ``weeks`` names the weeks to publish, ``since`` a day
+    from whose week on weeks are published; days of other weeks are not read, and their folders
+    and tables stay untouched. With ``as_tables`` each folder also becomes a catalog table named
+    after its week. Every row goes to the week of its own day; ``single_week`` keeps the older
+    habit of putting all stored days into the week of the first one.
     """
-    days = load_days(spark, daily_dir)
+    stored = {d: week_name_of(date.fromisoformat(d)) for d in
+              key_folders(spark, daily_dir, "pickup_date")}
+    if single_week and stored:
+        stored = dict.fromkeys(stored, stored[min(stored)])
+    wanted = set(stored.values()) if weeks is None else set(weeks)
+    if since is not None:
+        first = week_name_of(parse_day(since))
+        later = {w for d, w in stored.items() if d >= since or w == first}
+        wanted &= later
+    chosen = sorted(d for d, w in stored.items() if w in wanted)
+    days = load_days(spark, daily_dir, chosen)
     if days is None:
         return None
-    named = stored_days(spark, daily_dir)
-    if single_week:
-        named = named.withColumn("week_name", F.lit(first_week(named).first()["week_name"]))
-    weeks = sorted(row["week_name"] for row in named.select("week_name").distinct().collect())
-    # The calendar bounds the broadcast: one short row per stored day. Stored days sit
-    # together already, so the copy into week folders needs no shuffle.
-    weekly = days.join(F.broadcast(named), "pickup_date").drop("pickup_date")
-    save_weeks(weekly, weekly_dir, rebalance=False)
+    names = sorted({stored[d] for d in chosen})
+    # Named by day folder, and stored days sit together already: no join and no shuffle.
+    week = F.lit(names[0]) if single_week else week_name(F.col("pickup_date"))
+    save_weeks(days.withColumn("week_name", week).drop("pickup_date"), weekly_dir, rebalance=False)
     if as_tables:
-        for week in weeks:
-            register_week(spark, weekly_dir, week, f"{database}.{week}" if database else week)
-    return weeks
+        for name in names:
+            register_week(spark, weekly_dir, name, f"{database}.{name}" if database else name)
+    return names

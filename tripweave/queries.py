@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +20,14 @@ from tripweave.functions.weeks import (
     week_parts,
 )
 from tripweave.operators import anomaly, cleaning, days, facts, metrics, quality, report, sinks
-from tripweave.plans.metrics_job import prepare, run_all_weeks
-from tripweave.plans.report_job import report_all_weeks
-from tripweave.plans.storage import process_weekly, store_day, store_range
+from tripweave.plans.metrics_job import prepare, run_all_weeks, run_week
+from tripweave.plans.report_job import report_all_weeks, report_week
+from tripweave.plans.storage import (
+    process_daily_range,
+    process_weekly,
+    store_day,
+    store_range,
+)
 from tripweave.session import shared_dir
 from tripweave.sources.fleets import (
     GREEN,
@@ -43,6 +51,7 @@ from tripweave.sources.stores import (
     list_weeks,
     load_days,
     load_week_table,
+    load_weeks,
     stored_days,
 )
 from tripweave.streaming.windows import stream_parquet, window_counts, write_windows
@@ -215,6 +224,22 @@ def cleaned_trips_middle(spark, sf_dir):
     return metrics.count_by_type(cleaning.clean_middle(timed))
 
 
+CLEANED_COLUMNS = ("VendorID", "pickup_datetime", "passenger_count", "trip_distance", "taxi_type")
+
+
+@query
+def strict_trips(spark, sf_dir):
+    """The rows that the strict profile keeps."""
+    return cleaning.clean_strict(lineitem_trips(spark, sf_dir)).select(*CLEANED_COLUMNS)
+
+
+@query
+def middle_trips(spark, sf_dir):
+    """The rows that the middle profile keeps."""
+    timed = cleaning.with_duration(lineitem_trips(spark, sf_dir))
+    return cleaning.clean_middle(timed).select(*CLEANED_COLUMNS)
+
+
 @query
 def cleaning_metrics(spark, sf_dir):
     return to_six(cleaning.cleaning_metrics(event_trips(spark, sf_dir)), "removed_pct")
@@ -314,9 +339,9 @@ def schema_versions(spark, sf_dir):
     new = trips.withColumn("congestion_surcharge", F.col("total_amount") * F.lit(0.1))
     split = F.lit("2024-01-16").cast("timestamp_ntz")
     root = shared_dir(spark, "versions")
-    files = {"2024-01-01": f"{root}/old", "2024-01-16": f"{root}/new"}
-    trips.filter(F.col("pickup_datetime") < split).write.parquet(files["2024-01-01"])
-    new.filter(F.col("pickup_datetime") >= split).write.parquet(files["2024-01-16"])
+    files = {f"{root}/old": "2024-01-01", f"{root}/new": "2024-01-16"}
+    trips.filter(F.col("pickup_datetime") < split).write.parquet(f"{root}/old")
+    new.filter(F.col("pickup_datetime") >= split).write.parquet(f"{root}/new")
     versions = [SchemaVersion(trips.schema, "2024-01-16"), SchemaVersion(new.schema)]
     return (
         read_versions(spark, files, versions)
@@ -560,6 +585,31 @@ def daily_store_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def raw_days_roundtrip(spark, sf_dir):
+    """Raw files of two fleets, whose schemas change on the way, stored by day and counted."""
+    root, store = shared_dir(spark, "raw"), shared_dir(spark, "daily")
+    start, num_days = whole_range(event_trips(spark, sf_dir))
+    until = (date.fromisoformat(start) + timedelta(days=num_days // 2)).isoformat()
+    split = F.lit(f"{until} 00:00:00").cast("timestamp_ntz")
+    specs = []
+    for spec, raw in zip((GREEN, YELLOW), raw_fleets(spark, sf_dir), strict=True):
+        pickup = F.col(next(o for o, n in spec.renames.items() if n == "pickup_datetime"))
+        old = raw.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        new = raw.withColumn("congestion_surcharge", F.col("total_amount") * F.lit(0.5))
+        old.filter(pickup < split).write.parquet(f"{root}/{spec.tag}_{start}")
+        new.filter(pickup >= split).write.parquet(f"{root}/{spec.tag}_{until}")
+        versions = (SchemaVersion(old.schema, until), SchemaVersion(new.schema))
+        specs.append(replace(spec, paths=(f"{root}/{spec.tag}_*",), versions=versions))
+    process_daily_range(spark, specs, start, store, num_days)
+    known = [F.count(c).alias(f"n_{c}") for c in ("passenger_count", "congestion_surcharge")]
+    return (
+        load_days(spark, store)
+        .groupBy(date_text(F.col("pickup_date")).alias("date"), "taxi_type")
+        .agg(F.count(F.lit(1)).alias("trips"), *known, F.sum("VendorID").alias("vendor_sum"))
+    )
+
+
 @query
 def stored_day_weeks(spark, sf_dir):
     """The stored days and their weeks, listed without reading trips."""
@@ -588,21 +638,18 @@ def weekly_store_roundtrip(spark, sf_dir):
 
 @query
 def week_table_roundtrip(spark, sf_dir):
-    """Stored days published as one catalog table per week, and counted by type."""
+    """Stored days published as tables, the last week once more; counted by week and type."""
     store, weekly = shared_dir(spark, "daily"), shared_dir(spark, "weekly")
     sinks.save_days(event_trips(spark, sf_dir), store)
     weeks = process_weekly(spark, store, weekly, as_tables=True)
-    counts = [
-        load_week_table(spark, week)
-        .groupBy("taxi_type")
+    process_weekly(spark, store, weekly, as_tables=True, weeks=weeks[-1:])
+    last = load_week_table(spark, weeks[-1]).withColumn("week_name", F.lit(weeks[-1]))
+    others = load_weeks(spark, weekly, weeks).filter(F.col("week_name") != weeks[-1])
+    return (
+        others.unionByName(last)
+        .groupBy("week_name", "taxi_type")
         .agg(F.count(F.lit(1)).alias("trips"))
-        .withColumn("week_name", F.lit(week))
-        for week in weeks
-    ]
-    stacked = counts[0]
-    for other in counts[1:]:
-        stacked = stacked.unionByName(other)
-    return stacked
+    )
 
 
 @query
@@ -623,6 +670,32 @@ def report_from_csv(spark, sf_dir):
     return to_six(report_all_weeks(spark, out).kpis, *KPI_DOUBLES)
 
 
+@query
+def weekly_job_reports(spark, sf_dir):
+    """Every week by itself: stored, its metric files written, its report read from them."""
+    store, weekly, out = (shared_dir(spark, n) for n in ("daily", "weekly", "metrics"))
+    sinks.save_days(event_trips(spark, sf_dir), store)
+    weeks = process_weekly(spark, store, weekly)
+    kpis = []
+    for week in weeks:
+        run_week(spark, week, out, weekly_dir=weekly).close()
+        kpis.append(report_week(spark, out, week).kpis)
+    return to_six(reduce(DataFrame.unionByName, kpis), *KPI_DOUBLES)
+
+
+@query
+def anomaly_other_thresholds(spark, sf_dir):
+    """The anomaly metric under thresholds of its own."""
+    config = MetricsConfig(
+        min_trip_distance=5.0,
+        min_total_amount=20.0,
+        min_passenger_count=1.0,
+        anomaly_std_threshold=1.0,
+    )
+    table = prepare(event_trips(spark, sf_dir), config).tables["anomaly_monitoring"]
+    return to_six(table, "avg_trips", "stddev_trips")
+
+
 @query
 def report_from_old_csv(spark, sf_dir):
     """Weekly totals out of CSV parts with old headers and counts written as decimals."""

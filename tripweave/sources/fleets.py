@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,7 @@ from tripweave.contracts import (
     TRIP_TYPES,
     YELLOW_RENAMES,
     YELLOW_TAG,
+    DataValidationError,
 )
 from tripweave.functions.weeks import parse_day
 
@@ -41,7 +45,9 @@ class SourceSpec:
     """How one source becomes trips: which columns to rename, which tag to add.
 
     ``paths`` may hold files, folders or globs. A source with ``time_zone`` has its
-    local times moved to ``target_zone``.
+    local times moved to ``target_zone``. Files whose types or columns changed over time
+    need ``versions``, and a ``file_day`` pattern whose first group is the date (or the
+    month) in a file's path.
     """
 
     tag: str
@@ -49,9 +55,28 @@ class SourceSpec:
     paths: tuple[str, ...] = ()
     time_zone: str | None = None
     target_zone: str = "UTC"
+    versions: tuple[SchemaVersion, ...] = ()
+    file_day: str = r"(\d{4}-\d{2}(?:-\d{2})?)"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(*self.paths)
+        """All files, each column of any of them included.
+
+        With versions there is one scan per version. Without, the columns of all footers are
+        merged, and files that disagree on a type are an error instead of a guess.
+        """
+        if not self.versions:
+            try:
+                return spark.read.option("mergeSchema", True).parquet(*self.paths)
+            except (PySparkException, Py4JJavaError) as error:
+                if "CANNOT_MERGE" not in str(error):
+                    raise
+                raise DataValidationError(
+                    f"files of {self.tag} disagree on a type; give their schema versions"
+                ) from error
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        paths = [r["path"] for r in listed.load(list(self.paths)).select("path").collect()]
+        files = {p: _day_of(p, self.file_day) for p in paths if p.endswith(".parquet")}
+        return read_versions(spark, files, self.versions)
 
     def normalize(self, raw: DataFrame) -> DataFrame:
         """Rename, widen, tag and shift.
@@ -111,6 +136,13 @@ class SchemaVersion:
         return self.until is None or day < parse_day(self.until)
 
 
+def _day_of(path: str, pattern: str) -> str:
+    found = re.search(pattern, path)
+    if found is None:
+        raise DataValidationError(f"no date in the path {path!r}")
+    return found[1] if len(found[1]) > 7 else f"{found[1]}-01"
+
+
 def schema_for(versions: Sequence[SchemaVersion], day: str) -> T.StructType:
     """The first version that covers a file date."""
     when = parse_day(day)
@@ -122,10 +154,10 @@ def read_versions(
 ) -> DataFrame:
     """Read dated files, each under its version's schema; absent columns become NULL.
 
-    ``files`` maps a file date to its path. Files of one version share one scan.
+    ``files`` maps a path to its file date. Files of one version share one scan.
     """
     by_version: dict[int, list[str]] = {}
-    for day, path in sorted(files.items()):
+    for path, day in sorted(files.items()):
         schema = schema_for(versions, day)
         index = next(i for i, v in enumerate(versions) if v.schema is schema)
         by_version.setdefault(index, []).append(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,16 +10,25 @@ from pyspark.sql import functions as F
 
 from tripweave.contracts import UNKNOWN_WEEK, DataValidationError
 from tripweave.functions.weeks import week_name, week_range
+from tripweave.sources.folders import key_folders
 
 
-def load_days(spark: SparkSession, daily_dir: str) -> DataFrame | None:
-    """Every stored day, or None when nothing has been stored yet.
+def load_days(
+    spark: SparkSession, daily_dir: str, days: Sequence[str] | None = None
+) -> DataFrame | None:
+    """Every stored day, or those in ``days``; None when nothing has been stored yet.
 
-    Columns that only some days have are NULL on the others; the footers are read in a
-    distributed job to find them.
+    Columns that only some days have are NULL on the others; the footers of the days that
+    are read are looked at in a distributed job to find them.
     """
+    reader = spark.read.option("mergeSchema", True)
+    root = daily_dir.rstrip("/")
     try:
-        return spark.read.option("mergeSchema", True).parquet(daily_dir)
+        if days is None:
+            return reader.parquet(root)
+        if not days:
+            return None
+        return reader.option("basePath", root).parquet(*[f"{root}/pickup_date={d}" for d in days])
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -27,15 +36,12 @@ def load_days(spark: SparkSession, daily_dir: str) -> DataFrame | None:
 
 
 def stored_days(spark: SparkSession, daily_dir: str) -> DataFrame:
-    """One row per stored day, with its `week_name`.
-
-    Lists files without opening any; reading the trips for their days would cost a
-    pass over all rows.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(daily_dir)
-    return files.select("pickup_date").distinct().withColumn(
-        "week_name", week_name(F.col("pickup_date"))
+    """One row per stored day, with its `week_name`, from the names of the day folders."""
+    rows = [(d,) for d in key_folders(spark, daily_dir, "pickup_date")]
+    days = spark.createDataFrame(rows, "day string").select(
+        F.col("day").cast("date").alias("pickup_date")
     )
+    return days.withColumn("week_name", week_name(F.col("pickup_date")))
 
 
 def days_of_week(days: DataFrame, week: str) -> DataFrame:
@@ -51,6 +57,13 @@ def first_week(stored: DataFrame) -> DataFrame:
     return stored.agg(F.coalesce(earliest, F.lit(UNKNOWN_WEEK)).alias("week_name"))
 
 
+def load_weeks(spark: SparkSession, weekly_dir: str, weeks: Sequence[str]) -> DataFrame:
+    """Several weeks of the weekly store with their `week_name`, in one scan."""
+    root = weekly_dir.rstrip("/")
+    paths = [f"{root}/week_name={w}" for w in weeks]
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths)
+
+
 def _checked(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise DataValidationError(f"{what} is empty")
