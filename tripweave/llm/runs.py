@@ -174,14 +174,38 @@ def repeated_keys(docs: DataFrame, symbols: Symbols, length: int, gram: int) ->
     return found.groupBy("doc").agg(F.collect_set("key").alias("keys"))
 
 
+class Once:
+    """Tells which names a task meets for the first time, as far as it remembers.
+
+    What stands behind a name needs to be written once per task. Forgetting is harmless.
+    """
+
+    MOST = 500_000
+
+    def __init__(self):
+        self.names: set[int] = set()
+
+    def first(self, names: np.ndarray) -> np.ndarray:
+        new = np.zeros(len(names), bool)
+        for k, name in enumerate(names.tolist()):
+            if name not in self.names:
+                self.names.add(name)
+                new[k] = True
+        if len(self.names) > self.MOST:
+            self.names.clear()
+        return new
+
+
 def candidates(
-    docs: DataFrame, symbols: Symbols, length: int, gram: int, emit, schema: str, label: str
+    docs: DataFrame, symbols: Symbols, length: int, gram: int, emitter, schema: str, label: str
 ) -> DataFrame:
     """What ``emit(ids, tags, values, ends, bytes, offsets, runs)`` yields for the runs whose
-    minimizer repeats, as a written table. ``docs`` holds doc: long, text, tag: long."""
+    minimizer repeats, as a written table. ``docs`` holds doc: long, text, tag: long. Each task
+    makes an ``emit`` of its own from ``emitter(Once())``."""
     keys = repeated_keys(docs, symbols, length, gram)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        emit = emitter(Once())
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             tags = batch.column(2).to_numpy(zero_copy_only=False)

@@ -45,7 +45,7 @@ PATH_SCHEMA = (
 SPAN = "struct<start:int,n:int,from_doc:bigint,from_start:int,open_left:boolean,open_right:boolean>"
 
 
-def _emit(length: int):
+def _emit(length: int, once: rn.Once):
     def emit(ids, tags, values, ends, data, offsets, runs) -> Iterator[pa.RecordBatch]:
         edges = rn.grams(values, length)
         firsts = np.concatenate([[0], ends[:-1]])[runs.doc]
@@ -59,10 +59,12 @@ def _emit(length: int):
         bounds = np.concatenate([[0], np.cumsum(sizes)])
         mixed = rn.mix(packed ^ rn.mix(place.astype(np.uint64)))
         content = rn.mix(np.add.reduceat(mixed, bounds[:-1]) + sizes.astype(np.uint64))
+        new = once.first(content ^ runs.key)  # the edges of a run go out once per task
+        packed = packed[np.repeat(new, sizes)].astype("<u8")
+        places = np.concatenate([[0], np.cumsum(sizes * new) * 8]).astype(np.int32)
+        valid = pa.py_buffer(np.packbits(new, bitorder="little"))
         blobs = pa.Array.from_buffers(
-            pa.binary(),
-            len(sizes),
-            [None, pa.py_buffer((bounds * 8).astype(np.int32)), pa.py_buffer(packed.astype("<u8"))],
+            pa.binary(), len(sizes), [valid, pa.py_buffer(places), pa.py_buffer(packed)]
         )
         yield pa.RecordBatch.from_arrays(
             [
@@ -170,7 +172,13 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc, tag, spans) of the paths in each document whose source lies earlier."""
     runs = rn.candidates(
-        docs, rn.word_symbols, length, gram, _emit(length), RUN_SCHEMA, "substring-runs"
+        docs,
+        rn.word_symbols,
+        length,
+        gram,
+        lambda once: _emit(length, once),
+        RUN_SCHEMA,
+        "substring-runs",
     )
     distinct = runs.groupBy("key", "content").agg(
         F.min(F.struct("doc", "start")).alias("first"),

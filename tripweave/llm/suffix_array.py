@@ -47,7 +47,7 @@ TASK_ROWS = 400_000
 PIECES = "a bigint, b bigint, doc bigint, tag bigint, start int, content binary"
 
 
-def _emit(length: int):
+def _emit(length: int, once: rn.Once):
     def emit(ids, tags, values, ends, data, offsets, runs) -> Iterator[pa.RecordBatch]:
         n = len(runs.key)
         new = np.ones(n, bool)
@@ -68,10 +68,12 @@ def _emit(length: int):
             at = place.astype(np.uint64) << np.uint64(8)
             mixed = rn.mix(content.astype(np.uint64) | at | np.uint64(seed << 60))
             names.append(rn.mix(np.add.reduceat(mixed, bounds[:-1]) + sizes.astype(np.uint64)))
+        fresh = once.first(names[0])  # the bytes of a piece go out once per task
+        content = np.ascontiguousarray(content[np.repeat(fresh, sizes)])
+        bounds = np.concatenate([[0], np.cumsum(sizes * fresh)]).astype(np.int32)
+        valid = pa.py_buffer(np.packbits(fresh, bitorder="little"))
         blobs = pa.Array.from_buffers(
-            pa.binary(),
-            len(first),
-            [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(content))],
+            pa.binary(), len(first), [valid, pa.py_buffer(bounds), pa.py_buffer(content)]
         )
         places = (start - offsets[:-1][doc]).astype(np.int32)
         columns = [names[0].view(np.int64), names[1].view(np.int64), ids[doc], tags[doc], places]
@@ -304,10 +306,19 @@ def shared_spans(
     A span is a place, a number of windows from there on, and a list of single windows.
     """
     found = rn.candidates(
-        docs, rn.byte_symbols, length, gram, _emit(length), PIECES, "suffix-pieces"
+        docs,
+        rn.byte_symbols,
+        length,
+        gram,
+        lambda once: _emit(length, once),
+        PIECES,
+        "suffix-pieces",
     )
     pieces = saved(
-        found.groupBy("a", "b", "content").agg(F.min("doc").alias("owner")), "suffix-texts"
+        found.groupBy("a", "b").agg(
+            F.max("content").alias("content"), F.min("doc").alias("owner")
+        ),
+        "suffix-texts",
     )
     n_windows = (F.length("content") - (length - 1)).alias("n")
     places = found.select("a", "b", "doc", "tag", "start")
