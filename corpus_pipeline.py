@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripweave.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
 from tripweave.llm.frames import saved, table
@@ -25,7 +26,8 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that their source repeats; every document stays."""
-    return line_dedup.drop_boilerplate(docs)
+    shorter = line_dedup.drop_boilerplate(docs)
+    return shorter.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

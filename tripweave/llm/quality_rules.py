@@ -70,15 +70,49 @@ def _broken(m: Column, limits: Limits) -> dict[str, Column]:
     }
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once.
+
+    One expression of linear size: the optimizer may move it into a filter, and what would be
+    a chain of projections is not multiplied there.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _windows(hashes: Column) -> Column:
+    """Hashes of all windows, from the hashes of the words."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - WINDOW)
+    each = F.transform(starts, lambda i: F.xxhash64(*[hashes[i + j] for j in range(WINDOW)]))
+    return F.when(F.size(hashes) >= WINDOW, each).otherwise(F.array().cast("array<bigint>"))
+
+
 def _covered(at: Column) -> Column:
-    """Words covered by windows that start at the sorted positions ``at``."""
+    """Words covered by windows that start at the sorted places ``at``."""
     steps = F.transform(
         F.sequence(F.lit(1), F.size(at) - 1), lambda i: F.least(F.lit(WINDOW), at[i] - at[i - 1])
     )
     inner = F.aggregate(steps, F.lit(0), lambda total, step: total + step)
-    return (
-        F.when(F.size(at) > 1, inner + WINDOW).when(F.size(at) == 1, F.lit(WINDOW)).otherwise(0)
-    )
+    return F.when(F.size(at) > 1, inner + WINDOW).otherwise(F.lit(WINDOW))
+
+
+def _repeated_words(words: Column) -> Column:
+    """Words that stand in a window found twice or more."""
+
+    def places(ranked: Column) -> Column:
+        def same(x: Column, i: Column) -> Column:
+            before = (i > 0) & (F.get(ranked, i - 1)["w"] == x["w"])
+            return before | F.coalesce(F.get(ranked, i + 1)["w"] == x["w"], F.lit(False))
+
+        return F.sort_array(F.transform(F.filter(ranked, same), lambda x: x["i"]))
+
+    def found(windows: Column) -> Column:
+        pairs = F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+        covered = _let(F.sort_array(pairs), lambda ranked: _let(places(ranked), _covered))
+        repeats = F.size(F.array_distinct(windows)) < F.size(windows)
+        return F.when(repeats, covered).otherwise(F.lit(0))
+
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    return _let(hashes, lambda h: _let(_windows(h), found))
 
 
 def ledger(
@@ -87,89 +121,39 @@ def ledger(
     """``docs`` with a struct column of the ``MEASURES`` and the bits ``failed``.
 
     Windows are compared by a 64-bit hash within one document. Repeated windows are found by
-    sorting (hash, position), and only in documents that have any, so a document of n words
+    sorting (hash, place), and only in documents that have any, so a document of n words
     takes n log n steps.
     """
-    name = free_name(docs, name)
-    work = free_name(docs, "_quality")
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    held = F.col(work)
-    counts = docs.withColumn(
-        work,
-        F.struct(
-            F.array_remove(F.split(body, WORD_GAP), "").alias("words"),
-            F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-            F.length(F.regexp_replace(body, WORD_GAP, "")).cast("long").alias("word_chars"),
-            F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        ),
-    ).withColumn(
-        work,
-        F.struct(
-            F.transform(held["words"], lambda w: F.xxhash64(w)).alias("hashes"),
-            F.size(held["words"]).alias("n"),
-            held["word_chars"].alias("word_chars"),
-            held["n_symbols"].alias("n_symbols"),
-            F.size(held["lines"]).cast("long").alias("n_lines"),
-            (F.size(held["lines"]) - F.size(F.array_distinct(held["lines"])))
-            .cast("long")
-            .alias("n_dup_lines"),
-        ),
+    words = F.array_remove(F.split(body, WORD_GAP), "")
+    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    of_words = _let(
+        words, lambda w: F.struct(F.size(w).alias("n"), _repeated_words(w).alias("repeated"))
     )
-    hashes = F.col("h")
-    window = lambda i: F.xxhash64(*[hashes[i + j] for j in range(WINDOW)])
-    every = docs.columns
-    kept = [F.col(f"`{c}`") for c in every]
-    names = _free_names(docs, ("h", "n", "w", "s", "p"))
-    hashes = F.col(names["h"])
-    n, windows, ranked, at = (F.col(names[c]) for c in "nwsp")
-    counts = counts.select(
-        *kept, work, held["hashes"].alias(names["h"]), held["n"].alias(names["n"])
+    of_lines = _let(
+        lines,
+        lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct")),
     )
-    counts = counts.withColumn(
-        names["w"],
-        F.when(
-            n >= WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: window(i))
-        ).otherwise(F.array().cast("array<bigint>")),
-    ).drop(names["h"])
-    counts = counts.withColumn(
-        names["s"],
-        F.when(
-            F.size(F.array_distinct(windows)) < F.size(windows),
-            F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i")))),
-        ),
-    ).drop(names["w"])
-    same = lambda x, i: (
-        ((i > 0) & (F.get(ranked, i - 1)["w"] == x["w"]))
-        | F.coalesce(F.get(ranked, i + 1)["w"] == x["w"], F.lit(False))
-    )
-    counts = counts.withColumn(
-        names["p"],
-        F.when(
-            ranked.isNotNull(),
-            F.sort_array(F.transform(F.filter(ranked, same), lambda x: x["i"])),
-        ),
-    ).drop(names["s"])
-    counts = counts.withColumn(
-        name,
-        F.struct(
-            n.cast("long").alias("n_words"),
-            held["word_chars"].alias("word_chars"),
-            held["n_symbols"].alias("n_symbols"),
-            held["n_lines"].alias("n_lines"),
-            held["n_dup_lines"].alias("n_dup_lines"),
-            F.when(at.isNull(), F.lit(0)).otherwise(_covered(at)).cast("long").alias(
-                "n_repeat_words"
-            ),
+    measured = _let(
+        F.struct(of_words.alias("words"), of_lines.alias("lines")),
+        lambda m: F.struct(
+            m["words"]["n"].cast("long").alias("n_words"),
+            F.length(F.regexp_replace(body, WORD_GAP, "")).cast("long").alias("word_chars"),
+            F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+            m["lines"]["n"].cast("long").alias("n_lines"),
+            (m["lines"]["n"] - m["lines"]["distinct"]).cast("long").alias("n_dup_lines"),
+            m["words"]["repeated"].cast("long").alias("n_repeat_words"),
         ),
     )
-    bits = F.lit(0).cast("long")
-    for rule, broken in _broken(F.col(name), limits).items():
-        bits = bits.bitwiseOR(F.when(broken, F.lit(mask_of((rule,)))).otherwise(F.lit(0)))
-    return counts.select(*kept, F.col(name).withField("failed", bits.cast("long")).alias(name))
 
+    def with_bits(m: Column) -> Column:
+        bits = F.lit(0).cast("long")
+        for rule, broken in _broken(m, limits).items():
+            bit = F.when(broken, F.lit(mask_of((rule,)))).otherwise(F.lit(0))
+            bits = bits.bitwiseOR(bit.cast("long"))
+        return F.struct(*[m[c].alias(c) for c in MEASURES], bits.alias("failed"))
 
-def _free_names(df: DataFrame, wanted: tuple[str, ...]) -> dict[str, str]:
-    return {c: free_name(df, f"_{c}") for c in wanted}
+    return docs.withColumn(free_name(docs, name), _let(measured, with_bits))
 
 
 def passes(failed: Column, policy: str = CURRENT) -> Column:
@@ -182,7 +166,7 @@ def keep_good(docs: DataFrame, text: str = "text", policy: str = CURRENT) -> Dat
     name = free_name(docs, "ledger")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     judged = ledger(docs, text, name=name)
-    return judged.filter(passes(F.col(name)["failed"], policy)).select(*columns)
+    return judged.filter(passes(F.col(f"`{name}`")["failed"], policy)).select(*columns)
 
 
 def ablation(judged: DataFrame, policy: str = CURRENT, name: str = "ledger") -> DataFrame:
