@@ -50,8 +50,13 @@ def random_rows(seed, n=50):
     return rows
 
 
-@pytest.mark.parametrize("length, gram, letter", [(8, 3, 3), (8, 3, 1), (13, 5, 2)])
-def test_random_documents(spark, length, gram, letter):
+@pytest.mark.parametrize(
+    "length, gram, letter, most",
+    [(8, 3, 3, 0), (8, 3, 1, 0), (13, 5, 2, 0), (8, 3, 3, 8 << 20), (13, 5, 2, 60), (25, 9, 2, 60)],
+)
+def test_random_documents(spark, monkeypatch, length, gram, letter, most):
+    monkeypatch.setattr(suffix_array, "MOST_TOGETHER", most)
+    monkeypatch.setattr(suffix_array, "TOGETHER", 500)
     rows = random_rows(length + letter) + [(2000, "ab" * 200), (2001, "b"), (2002, "ab" * 150)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     expected = brute(rows, length)
@@ -73,6 +78,20 @@ def test_empty_table(spark):
     assert ours(spark.createDataFrame([], "doc_id long, text string")) == []
 
 
+@pytest.mark.parametrize("length, letter", [(1, 7), (5, 1), (12, 2), (50, 7), (50, 3)])
+def test_suffixes_are_in_order(length, letter):
+    rng = random.Random(length)
+    texts = [bytes(rng.choice(b"ab\0\xff") for _ in range(rng.randint(0, 90))) for _ in range(30)]
+    texts += [b"ab" * 60, texts[0], texts[1][:40]]
+    suffixes = suffix_array.Suffixes(texts, length, letter)
+    order, new = suffixes.classes()
+    starts = [texts[suffixes.text[p]][suffixes.at[p] :][:length] for p in order]
+    assert all(len(s) == length for s in starts)
+    assert len(starts) == sum(max(len(t) - length + 1, 0) for t in texts)
+    assert starts == sorted(starts)
+    assert new.tolist() == [k == 0 or starts[k - 1] != s for k, s in enumerate(starts)]
+
+
 def test_merge_sorts_suffixes():
     rng = random.Random(4)
     text = [rng.randrange(3) for _ in range(300)]

@@ -1,12 +1,11 @@
 """Byte strings that documents share, from a suffix array built by difference cover.
 
-The text is cut into pieces (``pieces``): stretches of windows that can repeat (``runs``), each
-with the bytes its last window reaches into. Equal pieces are one text with the smallest
-document id as owner. ``shared_windows`` sorts the suffixes of all distinct pieces as far as
-the match length goes:
+The text is cut into pieces: stretches of windows that can repeat (``runs``), each with the
+bytes its last window reaches into. Equal pieces are one text with the smallest document id
+as owner. The suffixes of all distinct pieces are sorted as far as the match length goes:
 
 1. Suffixes at places 1 and 2 modulo 3 are the sample. Each gets the triple of the letters
-   from its place on; a range partition and a sort of the triples give names in order.
+   from its place on; sorting the triples gives names in order.
 2. While the names reach less far than a match, the triples of names at a distance of the
    reach are named again: the same step on the string of names.
 3. The remaining suffixes are sorted by (byte, name of the next suffix) and merged into the
@@ -14,9 +13,11 @@ the match length goes:
 4. Neighbours in the merged order that agree in ``length`` bytes are one class, and its
    smallest owner is where the string starts first.
 
-Range partitions are merged on their own; all suffixes with one prefix are in one of them.
-With the letter of 17 bytes used in production the names of step 1 reach 51 bytes and step 2
-ends at once; smaller letters give the same result in more rounds (tested).
+Equal strings have equal minimizers. So the pieces go, run by run, to the task of their
+minimizer, and each task sorts the suffixes of a bounded amount of text with whole
+minimizers in it (``sort_within``). What one minimizer brings together is not bounded; above
+``MOST_TOGETHER`` bytes its pieces are sorted by Spark instead (``sort_across``): triples are
+named over range partitions, and ranges of prefixes are merged on their own.
 
 Defined results: null texts are empty; a null id counts as smaller than all others; rows with
 the same id do not count as earlier than each other; strings do not cross documents; all
@@ -40,6 +41,9 @@ from tripweave.llm.frames import free_name, saved
 LENGTH = 50
 GRAM = 16
 LETTER = 17
+#: Bytes whose suffixes one task sorts at once, and those above which Spark sorts them.
+TOGETHER = 1 << 19
+MOST_TOGETHER = 8 << 20
 #: Runs that a piece spans at most; on average four, as every fourth minimizer ends one.
 MOST_RUNS = 32
 #: Suffixes that one task merges, about.
@@ -276,9 +280,177 @@ def _first_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     )
 
 
-def shared_windows(pieces: DataFrame, length: int, letter: int) -> DataFrame:
+class Suffixes:
+    """The suffixes of some texts, sorted by difference cover as far as ``length`` bytes."""
+
+    def __init__(self, texts: list[bytes], length: int, letter: int = 7):
+        sizes = np.array([len(t) for t in texts])
+        ends = np.cumsum(sizes)
+        self.data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
+        self.text = np.repeat(np.arange(len(texts)), sizes)
+        self.at = np.arange(len(self.data)) - np.repeat(ends - sizes, sizes)
+        self.left = np.repeat(ends, sizes) - np.arange(len(self.data))  # bytes to the end
+        self.length, letter = length, min(letter, length, 7)
+        self.letters, self.width = self._letters(letter), letter
+        names, reach = self._named(self.letters, letter), 3 * letter
+        while reach < length:
+            names, reach = self._named(names, reach), 3 * reach
+        self.names = names
+
+    def behind(self, values: np.ndarray, step: int) -> np.ndarray:
+        """What stands ``step`` bytes on in the same text; zero beyond its end."""
+        moved = np.zeros_like(values)
+        moved[: len(values) - step] = values[step:]
+        moved[self.left <= step] = 0
+        return moved
+
+    def _letters(self, width: int) -> np.ndarray:
+        """``width`` bytes from each place on as one number; nine bits tell bytes from no byte."""
+        byte = self.data + np.uint64(1)
+        letters = np.zeros(len(byte), np.uint64)
+        for k in range(width):
+            letters = letters << np.uint64(9) | self.behind(byte, k)
+        return letters
+
+    def _named(self, values: np.ndarray, step: int) -> np.ndarray:
+        """Names from 1 on, in order, of the triples of the sampled places; zero elsewhere."""
+        sample = np.flatnonzero(self.at % 3)
+        triple = [values[sample]] + [self.behind(values, k * step)[sample] for k in (1, 2)]
+        order = np.lexsort(triple[::-1])
+        new = np.ones(len(order), bool)
+        new[1:] = np.logical_or.reduce([t[order][1:] != t[order][:-1] for t in triple])
+        names = np.zeros(len(values), np.uint64)
+        names[sample[order]] = np.cumsum(new).astype(np.uint64)
+        return names
+
+    def classes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all windows in suffix order, and where a new string starts there."""
+        windows = np.flatnonzero(self.left >= self.length)
+        byte, next_byte = self.data, self.behind(self.data, 1)
+        one = byte << np.uint64(48) | self.behind(self.names, 1)
+        two = byte << np.uint64(56) | next_byte << np.uint64(48) | self.behind(self.names, 2)
+        parts = (x[windows] for x in (self.at % 3, self.names, one, two))
+        order = windows[merged_order(*parts)]
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for k in (*range(0, self.length - self.width, self.width), self.length - self.width):
+            letters = self.letters[order + k]
+            new[1:] |= letters[1:] != letters[:-1]
+        return order, new
+
+
+FOUND_SCHEMA = "a bigint, b bigint, at int, many boolean"
+
+
+def sort_within(length: int, most: int):
+    """Windows that start in a smaller owner, from rows (key, a, b, at, owner, text) sorted by
+    key. Rows of a key with more than ``most`` bytes come out marked ``many``."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple] = []  # rows of whole keys
+        group: list[tuple] = []  # rows of the key that is being read
+        kept_bytes = group_bytes = 0
+        key, many = None, False
+
+        def work() -> Iterator[pa.RecordBatch]:
+            if not kept:
+                return
+            a, b, at, owner, texts = zip(*kept, strict=True)
+            suffixes = Suffixes(list(texts), length)
+            order, new = suffixes.classes()
+            heads, owners = np.flatnonzero(new), np.array(owner)[suffixes.text[order]]
+            least = np.minimum.reduceat(owners, heads)
+            least = np.repeat(least, np.diff(np.append(heads, len(order))))
+            place = order[least < owners]
+            row = suffixes.text[place]
+            where = np.array(at)[row] + suffixes.at[place]
+            yield _rows(np.array(a)[row], np.array(b)[row], where, False)
+
+        def close_group() -> None:
+            nonlocal kept_bytes, group_bytes
+            if len(group) > 1 and not many:  # equal windows never stand in one run
+                kept.extend(group)
+                kept_bytes += group_bytes
+            group.clear()
+            group_bytes = 0
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != key:
+                    close_group()
+                    key, many = row[0], False
+                    if kept_bytes > TOGETHER:
+                        yield from work()
+                        kept.clear()
+                        kept_bytes = 0
+                group.append(row[1:])
+                group_bytes += len(row[5])
+                if many or group_bytes > most:
+                    many = True
+                    yield _rows(*([r[k] for r in group] for k in range(3)), True)
+                    group.clear()
+        close_group()
+        yield from work()
+
+    return found
+
+
+def _rows(a, b, at, many: bool) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+    columns = [pa.array(c, k) for c, k in zip((a, b, at, [many] * len(a)), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "at", "many"])
+
+
+def _runs_of_pieces(length: int, gram: int):
+    """Rows (a, b, content, owner) to one row per run: key, a, b, place, owner, bytes."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, 8192):
+                batch = whole.slice(first, 8192)
+                texts = batch.column(2).to_pylist()
+                ends = np.cumsum([len(t) for t in texts])
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                runs = rn.runs_of(data.astype(np.uint64), ends, length, gram)
+                at = (runs.start - np.concatenate([[0], ends[:-1]])[runs.doc]).astype(np.int32)
+                stops = at + runs.count + length - 1
+                cut = [texts[d][i:j] for d, i, j in zip(runs.doc, at, stops, strict=True)]
+                a, b, owner = (batch.column(k).to_numpy()[runs.doc] for k in (0, 1, 3))
+                columns = [runs.key.view(np.int64), a, b, at, owner]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, columns), pa.array(cut, pa.binary())],
+                    ["key", "a", "b", "at", "owner", "text"],
+                )
+
+    return split
+
+
+RUNS = "key bigint, a bigint, b bigint, at int, owner bigint, text binary"
+
+
+def shared_windows(pieces: DataFrame, length: int, gram: int, letter: int) -> DataFrame:
     """(a, b, places): windows of the distinct pieces (a, b, content, owner) that also start in
     a piece of a smaller owner."""
+    runs = pieces.select("a", "b", "content", "owner").mapInArrow(
+        _runs_of_pieces(length, gram), RUNS
+    )
+    found = saved(
+        runs.repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(sort_within(length, MOST_TOGETHER), FOUND_SCHEMA),
+        "suffix-classes",
+    )
+    sure = found.filter(~F.col("many")).select("a", "b", "at")
+    many = found.filter("many").select("a", "b").distinct()
+    if not many.isEmpty():
+        sure = sure.unionByName(
+            sort_across(pieces.join(many, ["a", "b"], "left_semi"), length, letter)
+        )
+    return sure.groupBy("a", "b").agg(F.sort_array(F.collect_set("at")).alias("places"))
+
+
+def sort_across(pieces: DataFrame, length: int, letter: int) -> DataFrame:
+    """(a, b, at): the same windows, found by sorting all suffixes in Spark."""
     spark = pieces.sparkSession
     windows = pieces.agg(F.sum(F.length("content") - (length - 1))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -294,8 +466,7 @@ def shared_windows(pieces: DataFrame, length: int, letter: int) -> DataFrame:
     ranges = whole.mapInArrow(_comparable(length), MERGE_SCHEMA).repartitionByRange(
         n_tasks, "prefix"
     )
-    found = ranges.mapInArrow(_first_owners, "a bigint, b bigint, at int")
-    return found.groupBy("a", "b").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    return ranges.mapInArrow(_first_owners, "a bigint, b bigint, at int")
 
 
 def shared_spans(
@@ -323,7 +494,7 @@ def shared_spans(
     n_windows = (F.length("content") - (length - 1)).alias("n")
     places = found.select("a", "b", "doc", "tag", "start")
     owners = pieces.select("a", "b", "owner", n_windows).join(
-        shared_windows(pieces, length, letter), ["a", "b"], "left"
+        shared_windows(pieces, length, gram, letter), ["a", "b"], "left"
     )
     copied = F.col("doc") > F.col("owner")
     span = F.struct(
