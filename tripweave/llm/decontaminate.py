@@ -159,7 +159,7 @@ def _searcher(docs: DataFrame, items: list[tuple[int, str]], rate: float):
                 dtype=object,
             )
 
-    return search
+    return search.asNondeterministic()  # else a filter on its result runs it once more
 
 
 def blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, str]]]:
