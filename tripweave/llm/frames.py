@@ -29,11 +29,16 @@ def free_name(df: DataFrame, base: str) -> str:
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
-    Ends the lineage: a lost executor recomputes from the written table.
+    Ends the lineage: a lost executor recomputes from the written table, and the shuffle files
+    behind it are of no more use. Spark deletes those when the driver's JVM collects garbage,
+    which can be long after; asking for that here keeps the disk use of a job with many steps
+    near that of its largest step.
     """
-    path = shared_dir(df.sparkSession, label)
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -202,7 +202,7 @@ def candidates(
     """What ``emit(ids, tags, values, ends, bytes, offsets, runs)`` yields for the runs whose
     minimizer repeats, as a written table. ``docs`` holds doc: long, text, tag: long. Each task
     makes an ``emit`` of its own from ``emitter(Once())``."""
-    keys = repeated_keys(docs, symbols, length, gram)
+    keys = saved(repeated_keys(docs, symbols, length, gram), f"{label}-keys")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit = emitter(Once())

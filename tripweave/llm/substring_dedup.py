@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import runs as rn
-from tripweave.llm.frames import free_name
+from tripweave.llm.frames import free_name, saved
 
 LENGTH = 20
 GRAM = 6
@@ -185,11 +185,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         F.count("*").alias("n_seen"),
         F.min("edges").alias("edges"),
     )
-    paths = (
+    paths = saved(
         distinct.select("key", "content", "first.doc", "first.start", "n_seen", "edges")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_paths, PATH_SCHEMA)
+        .mapInArrow(_paths, PATH_SCHEMA),
+        "substring-paths",
     )
     places = runs.select("key", "content", "doc", "tag", "start").join(paths, ["key", "content"])
     start = F.col("start") + F.col("at")
