@@ -43,7 +43,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each text and the text they decode to."""
     path = public_tokenizers.path(WORD_BPE)
-    return bpe.decode(bpe.encode(docs, path), path)
+    return bpe.round_trip(docs, path)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -126,6 +126,10 @@ def test_encoding_of_nulls_and_clashing_names(spark):
     rows = {r["tokens"]: (bytes(r["tokens_"]), r["decoded"]) for r in out.collect()}
     assert rows[1] == rows[2] == (b"", "") and rows[3][1] == "the</w>"
     assert bpe.encode(df.limit(0), PATH).count() == 0
+    again = bpe.round_trip(df, PATH)
+    assert again.columns == out.columns and sorted(again.collect(), key=repr) == sorted(
+        out.collect(), key=repr
+    )
 
 
 def test_bpe_query_equals_the_library(spark, library):

@@ -269,3 +269,30 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", name: str = "deco
 
     body = F.coalesce(F.col(f"`{tokens}`"), F.lit(b""))
     return docs.withColumn(free_name(docs, name), plain(body))
+
+
+def round_trip(
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    tokens: str = "tokens",
+    decoded: str = "decoded",
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass, with half as many Python workers to hold tables."""
+
+    @F.pandas_udf("struct<tokens:binary,decoded:string>")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        words, names = vocabulary(path), spelling(path)
+        for texts in batches:
+            packed = [words.encode(t) for t in texts]
+            yield pd.DataFrame({"tokens": packed, "decoded": [names.decode(p) for p in packed]})
+
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    work = free_name(docs, "_coded")
+    coded = docs.withColumn(work, both(body))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return coded.select(
+        *columns,
+        F.col(work)["tokens"].alias(free_name(docs, tokens)),
+        F.col(work)["decoded"].alias(free_name(docs, decoded)),
+    )

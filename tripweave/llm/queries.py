@@ -49,8 +49,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every text, encoded and decoded again."""
     path = public_tokenizers.path(WORD_BPE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, path).select("doc_id", "tokens")
-    return bpe.decode(coded, path).select(
+    return bpe.round_trip(docs, path).select(
         "doc_id",
         F.floor(F.octet_length("tokens") / 4).alias("n_tokens"),
         F.sha2("tokens", 256).alias("ids_sha256"),
