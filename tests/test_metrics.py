@@ -433,3 +433,19 @@ def test_schema_listing(make_trips):
     listing = quality.schema_listing(make_trips([trip(), trip()])).orderBy("position").collect()
     assert listing[0]["data_type"] == "timestamp_ntz"
     assert {(r["total_rows"], r["total_columns"]) for r in listing} == {(2, 7)}
+
+
+def test_null_counts_of_dotted_names(spark):
+    df = spark.createDataFrame([(None, 1.0), (2, float("nan"))], "`a.b` long, `c d` double")
+    assert dict(map(tuple, quality.null_counts(df).collect())) == {"a.b": 1, "c d": 1}
+
+
+def test_anomaly_share_follows_the_rule(daily):
+    rule = anomaly.AnomalyRule(by_week=True)
+    scored = anomaly.score_days(daily, rule).collect()
+    for row in anomaly.anomaly_details(daily, rule).collect():
+        week = next(r["week_name"] for r in scored
+                    if str(r["pickup_date"]) == row["date"] and r["taxi_type"] == row["taxi_type"])
+        days = [r for r in scored if (r["week_name"], r["taxi_type"]) == (week, row["taxi_type"])]
+        share = 100 * sum(r["is_anomaly"] for r in days) / len(days)
+        assert row["anomaly_share_pct"] == pytest.approx(share, abs=0.005)

@@ -55,13 +55,18 @@ def pct_change(current: Column, previous: Column) -> Column:
     return F.when(previous > 0, round2(change * F.lit(100.0)))
 
 
+def exact(name: str) -> Column:
+    """A column by its literal name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_float(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
 
 
 def known(df: DataFrame, name: str) -> Column:
     """The column with NaN turned into NULL, so that aggregates skip it."""
-    c = F.col(name)
+    c = exact(name)
     return F.when(~F.isnan(c), c) if is_float(df, name) else c
 
 
@@ -71,7 +76,7 @@ def above(df: DataFrame, name: str, limit: float) -> Column:
     The comparison stays on the bare column so that it still reaches the Parquet
     reader; Spark alone would order NaN above every number.
     """
-    c = F.col(name)
+    c = exact(name)
     test = c > F.lit(limit)
     return test & ~F.isnan(c) if is_float(df, name) else test
 

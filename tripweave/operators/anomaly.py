@@ -125,12 +125,12 @@ def anomaly_monitoring(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> D
 
 
 def anomaly_details(daily: DataFrame, rule: AnomalyRule = DOCUMENTED_RULE) -> DataFrame:
-    """The flagged days with both changes, and the flagged share of all days of the type."""
-    share = (
-        F.count_if("is_anomaly").over(Window.partitionBy("taxi_type"))
-        / F.count(F.lit(1)).over(Window.partitionBy("taxi_type"))
-        * F.lit(100.0)
-    )
+    """The flagged days with both changes, and the flagged share of the type's days.
+
+    The share is taken over the days the rule's statistics are: all, or those of the week.
+    """
+    scope = Window.partitionBy(*(["week_name"] if rule.by_week else []), "taxi_type")
+    share = F.count_if("is_anomaly").over(scope) / F.count(F.lit(1)).over(scope) * F.lit(100.0)
     return (
         score_days(daily, rule)
         .withColumn("anomaly_share_pct", round2(share))

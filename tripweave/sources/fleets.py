@@ -22,16 +22,12 @@ from tripweave.contracts import (
     YELLOW_TAG,
     DataValidationError,
 )
+from tripweave.functions.numbers import exact
 from tripweave.functions.weeks import parse_day
 
 TRIP_TIMES = ("pickup_datetime", "dropoff_datetime")
 
 
-def exact(name: str) -> Column:
-    """A column by its literal name, dots and all."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _widened(found: T.StructField) -> Column:
     wanted = TRIP_TYPES.get(found.name)
     same = wanted in (None, found.dataType.simpleString())
