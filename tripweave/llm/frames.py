@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,16 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def saved_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``saved``, with the path of the table for a caller that removes it."""
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
@@ -34,11 +45,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     which can be long after; asking for that here keeps the disk use of a job with many steps
     near that of its largest step.
     """
-    spark = df.sparkSession
-    path = shared_dir(spark, label)
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    return saved_at(df, label)[0]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.frames import saved, slices, text_bytes
+from tripweave.llm.frames import saved, saved_at, slices, text_bytes
+from tripweave.sources.folders import remove
 
 #: Bytes of text that are turned into arrays at once.
 SLICE = 2 << 20
@@ -202,7 +203,7 @@ def candidates(
     """What ``emit(ids, tags, values, ends, bytes, offsets, runs)`` yields for the runs whose
     minimizer repeats, as a written table. ``docs`` holds doc: long, text, tag: long. Each task
     makes an ``emit`` of its own from ``emitter(Once())``."""
-    keys = saved(repeated_keys(docs, symbols, length, gram), f"{label}-keys")
+    keys, path = saved_at(repeated_keys(docs, symbols, length, gram), f"{label}-keys")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit = emitter(Once())
@@ -226,7 +227,9 @@ def candidates(
                     )
 
     joined = docs.join(keys.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"))
-    return saved(joined.select("doc", "text", "tag", "keys").mapInArrow(read, schema), label)
+    found = saved(joined.select("doc", "text", "tag", "keys").mapInArrow(read, schema), label)
+    remove(docs.sparkSession, path)
+    return found
 
 
 def keyed(docs: DataFrame, doc: str, text: str) -> DataFrame:

@@ -9,7 +9,7 @@ another, compact into paths. Paths go back to all places of their run by a join,
 across runs where both ends are open and the source goes on, and count only if their source
 coordinate lies before the place itself.
 
-Edges are equal if the minimizer and a further 64-bit hash of the words agree. A run that a
+Edges are equal if the minimizer and a further 48-bit hash of the words agree. A run that a
 third of the documents share is one row after the partial aggregation; what a task sees
 together are the distinct surroundings of one minimizer.
 
@@ -34,6 +34,8 @@ from tripweave.llm.frames import free_name, saved
 
 LENGTH = 20
 GRAM = 6
+#: Bytes of an edge's own hash; with the 64 bits of its minimizer that makes 112 bits.
+EDGE_BYTES = 6
 RUN_SCHEMA = (
     "key bigint, content bigint, doc bigint, tag bigint, start int, edges binary"
 )
@@ -60,8 +62,9 @@ def _emit(length: int, once: rn.Once):
         mixed = rn.mix(packed ^ rn.mix(place.astype(np.uint64)))
         content = rn.mix(np.add.reduceat(mixed, bounds[:-1]) + sizes.astype(np.uint64))
         new = once.first(content ^ runs.key)  # the edges of a run go out once per task
-        packed = packed[np.repeat(new, sizes)].astype("<u8")
-        places = np.concatenate([[0], np.cumsum(sizes * new) * 8]).astype(np.int32)
+        packed = packed[np.repeat(new, sizes)].astype("<u8").view(np.uint8).reshape(-1, 8)
+        packed = np.ascontiguousarray(packed[:, :EDGE_BYTES])
+        places = np.concatenate([[0], np.cumsum(sizes * new) * EDGE_BYTES]).astype(np.int32)
         valid = pa.py_buffer(np.packbits(new, bitorder="little"))
         blobs = pa.Array.from_buffers(
             pa.binary(), len(sizes), [valid, pa.py_buffer(places), pa.py_buffer(packed)]
@@ -83,8 +86,11 @@ def _emit(length: int, once: rn.Once):
 
 def _compact(key, content, doc, start, n_seen, blobs) -> pa.RecordBatch | None:
     """Paths of whole groups of distinct runs; the rows are sorted by key."""
-    sizes = np.array([len(b) // 8 for b in blobs]) - 2
-    packed = np.frombuffer(b"".join(blobs), dtype="<u8")
+    sizes = np.array([len(b) // EDGE_BYTES for b in blobs]) - 2
+    cut = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, EDGE_BYTES)
+    packed = np.zeros((len(cut), 8), np.uint8)
+    packed[:, :EDGE_BYTES] = cut
+    packed = packed.view("<u8").ravel()
     bounds = np.concatenate([[0], np.cumsum(sizes + 2)])
     run = np.repeat(np.arange(len(sizes)), sizes)
     at = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
