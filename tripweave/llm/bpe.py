@@ -245,13 +245,20 @@ def spelling(path: str) -> Spelling:
     return Spelling(path)
 
 
+def shorter(batches: Iterator[pd.Series], rows: int = 500) -> Iterator[pd.Series]:
+    """The batches in parts, so that only the results of a part are held at once."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.iloc[first : first + rows]
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", name: str = "tokens") -> DataFrame:
     """``docs`` with the packed tokens of ``text``; ``path`` must exist on every executor."""
 
     @F.pandas_udf("binary")
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tables = vocabulary(path)
-        for texts in batches:
+        for texts in shorter(batches):
             yield pd.Series([tables.encode(t) for t in texts], dtype=object)
 
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -264,7 +271,7 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", name: str = "deco
     @F.pandas_udf("string")
     def plain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tables = spelling(path)
-        for packed in batches:
+        for packed in shorter(batches):
             yield pd.Series([tables.decode(p) for p in packed], dtype=object)
 
     body = F.coalesce(F.col(f"`{tokens}`"), F.lit(b""))
@@ -283,7 +290,7 @@ def round_trip(
     @F.pandas_udf("struct<tokens:binary,decoded:string>")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words, names = vocabulary(path), spelling(path)
-        for texts in batches:
+        for texts in shorter(batches):
             packed = [words.encode(t) for t in texts]
             yield pd.DataFrame({"tokens": packed, "decoded": [names.decode(p) for p in packed]})
 
