@@ -145,8 +145,11 @@ def _each_slice(batch: pa.RecordBatch, symbols: Symbols) -> Iterator[tuple]:
         yield i, j, values, ends, some, part
 
 
-def repeated_keys(docs: DataFrame, symbols: Symbols, length: int, gram: int) -> DataFrame:
-    """(doc, keys) of documents (doc: long, text) with the minimizers that occur in two runs.
+def repeated_keys(
+    docs: DataFrame, symbols: Symbols, length: int, gram: int
+) -> tuple[DataFrame, str]:
+    """(doc, keys) of documents (doc: long, text) with the minimizers that occur in two runs,
+    as a written table, and its path.
 
     Counted by a partial aggregation and returned by a join, so a frequent minimizer is
     never gathered in one task.
@@ -169,10 +172,15 @@ def repeated_keys(docs: DataFrame, symbols: Symbols, length: int, gram: int) ->
                     ["key", "doc"],
                 )
 
-    marks = docs.select("doc", "text").mapInArrow(emit, "key bigint, doc bigint")
+    marks, path = saved_at(
+        docs.select("doc", "text").mapInArrow(emit, "key bigint, doc bigint"), "run-marks"
+    )
     often = marks.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     found = marks.join(often, "key", "left_semi")
-    return found.groupBy("doc").agg(F.collect_set("key").alias("keys"))
+    keys = found.groupBy("doc").agg(F.collect_set("key").alias("keys"))
+    written = saved_at(keys, "run-keys")
+    remove(docs.sparkSession, path)
+    return written
 
 
 class Once:
@@ -203,7 +211,7 @@ def candidates(
     """What ``emit(ids, tags, values, ends, bytes, offsets, runs)`` yields for the runs whose
     minimizer repeats, as a written table. ``docs`` holds doc: long, text, tag: long. Each task
     makes an ``emit`` of its own from ``emitter(Once())``."""
-    keys, path = saved_at(repeated_keys(docs, symbols, length, gram), f"{label}-keys")
+    keys, path = repeated_keys(docs, symbols, length, gram)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit = emitter(Once())

@@ -280,6 +280,17 @@ def _first_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     )
 
 
+def _dense(values: np.ndarray) -> np.ndarray:
+    """Ranks from 1 on; equal values have equal ranks."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(order), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    ranks = np.empty(len(order), np.uint64)
+    ranks[order] = np.cumsum(new).astype(np.uint64)
+    return ranks
+
+
 class Suffixes:
     """The suffixes of some texts, sorted by difference cover as far as ``length`` bytes."""
 
@@ -292,7 +303,7 @@ class Suffixes:
         self.left = np.repeat(ends, sizes) - np.arange(len(self.data))  # bytes to the end
         self.length, letter = length, min(letter, length, 7)
         self.letters, self.width = self._letters(letter), letter
-        names, reach = self._named(self.letters, letter), 3 * letter
+        names, reach = _dense(self.letters), letter
         while reach < length:
             names, reach = self._named(names, reach), 3 * reach
         self.names = names
@@ -313,13 +324,25 @@ class Suffixes:
         return letters
 
     def _named(self, values: np.ndarray, step: int) -> np.ndarray:
-        """Names from 1 on, in order, of the triples of the sampled places; zero elsewhere."""
-        sample = np.flatnonzero(self.at % 3)
+        """Names from 1 on, in order, of the triples of the sampled places; zero elsewhere.
+
+        The names that reach far enough are needed up to two places behind a window's start.
+        """
+        sampled = self.at % 3 != 0
+        if 3 * step >= self.length:
+            sampled &= self.left >= self.length - 2
+        sample = np.flatnonzero(sampled)
+        names = np.zeros(len(values), np.uint64)
+        if not len(sample):
+            return names
         triple = [values[sample]] + [self.behind(values, k * step)[sample] for k in (1, 2)]
+        if int(values.max()) < 1 << 21:
+            packed = triple[0] << np.uint64(42) | triple[1] << np.uint64(21) | triple[2]
+            names[sample] = _dense(packed)
+            return names
         order = np.lexsort(triple[::-1])
         new = np.ones(len(order), bool)
         new[1:] = np.logical_or.reduce([t[order][1:] != t[order][:-1] for t in triple])
-        names = np.zeros(len(values), np.uint64)
         names[sample[order]] = np.cumsum(new).astype(np.uint64)
         return names
 
@@ -339,7 +362,7 @@ class Suffixes:
         return order, new
 
 
-FOUND_SCHEMA = "a bigint, b bigint, at int, many boolean"
+FOUND_SCHEMA = "a bigint, b bigint, places array<int>, many boolean"
 
 
 def sort_within(length: int, most: int):
@@ -361,10 +384,14 @@ def sort_within(length: int, most: int):
             heads, owners = np.flatnonzero(new), np.array(owner)[suffixes.text[order]]
             least = np.minimum.reduceat(owners, heads)
             least = np.repeat(least, np.diff(np.append(heads, len(order))))
-            place = order[least < owners]
+            place = np.sort(order[least < owners])
             row = suffixes.text[place]
-            where = np.array(at)[row] + suffixes.at[place]
-            yield _rows(np.array(a)[row], np.array(b)[row], where, False)
+            where = (np.array(at)[row] + suffixes.at[place]).astype(np.int32)
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            lists = pa.ListArray.from_arrays(
+                np.append(first, len(row)).astype(np.int32), pa.array(where)
+            )
+            yield _rows(np.array(a)[row[first]], np.array(b)[row[first]], lists, False)
 
         def close_group() -> None:
             nonlocal kept_bytes, group_bytes
@@ -387,7 +414,8 @@ def sort_within(length: int, most: int):
                 group_bytes += len(row[5])
                 if many or group_bytes > most:
                     many = True
-                    yield _rows(*([r[k] for r in group] for k in range(3)), True)
+                    a, b = ([r[k] for r in group] for k in range(2))
+                    yield _rows(a, b, pa.array([[]] * len(group), pa.list_(pa.int32())), True)
                     group.clear()
         close_group()
         yield from work()
@@ -395,10 +423,11 @@ def sort_within(length: int, most: int):
     return found
 
 
-def _rows(a, b, at, many: bool) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_())
-    columns = [pa.array(c, k) for c, k in zip((a, b, at, [many] * len(a)), kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, ["a", "b", "at", "many"])
+def _rows(a, b, places: pa.Array, many: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), places, pa.array([many] * len(a))],
+        ["a", "b", "places", "many"],
+    )
 
 
 def _runs_of_pieces(length: int, gram: int):
@@ -440,13 +469,13 @@ def shared_windows(pieces: DataFrame, length: int, gram: int, letter: int) -> Da
         .mapInArrow(sort_within(length, MOST_TOGETHER), FOUND_SCHEMA),
         "suffix-classes",
     )
-    sure = found.filter(~F.col("many")).select("a", "b", "at")
+    sure = found.filter(~F.col("many")).select("a", "b", "places")
     many = found.filter("many").select("a", "b").distinct()
     if not many.isEmpty():
-        sure = sure.unionByName(
-            sort_across(pieces.join(many, ["a", "b"], "left_semi"), length, letter)
-        )
-    return sure.groupBy("a", "b").agg(F.sort_array(F.collect_set("at")).alias("places"))
+        across = sort_across(pieces.join(many, ["a", "b"], "left_semi"), length, letter)
+        sure = sure.unionByName(across.select("a", "b", F.array("at").alias("places")))
+    places = F.array_distinct(F.flatten(F.collect_list("places")))
+    return sure.groupBy("a", "b").agg(F.sort_array(places).alias("places"))
 
 
 def sort_across(pieces: DataFrame, length: int, letter: int) -> DataFrame:
