@@ -46,6 +46,7 @@ def test_main_text_without_the_rest():
         ("<div>1 < 2</div>", "1 < 2"),
         ("</p></div><p>stray</p>", "stray"),
         ("<article><h1>H</h1><p>T</p></article>", "H\nT"),
+        ("<div class='page has-sidebar'><p>T</p><div class='side-ad'><p>A</p></div></div>", "T"),
     ],
 )
 def test_broken_and_small_pages(html, text):

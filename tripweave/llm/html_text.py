@@ -61,6 +61,9 @@ ASIDE_WORDS = frozenset(
     "share sharing social related recommended widget toolbar pagination pager skip hidden".split()
 )
 
+#: With these, a class tells what the page has beside the element: "has-sidebar".
+BESIDE_WORDS = frozenset("has with no without layout".split())
+
 TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -90,8 +93,10 @@ def _is_aside(tag: str, attributes: str, inside: bool) -> bool:
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            if not ASIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-                return True
+            for one in value.split():
+                words = re.split(r"[^a-z]+", one)
+                if not ASIDE_WORDS.isdisjoint(words) and BESIDE_WORDS.isdisjoint(words):
+                    return True
         elif name == "role":
             if value in ASIDE_ROLES:
                 return True
