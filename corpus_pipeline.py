@@ -17,6 +17,8 @@ from tripweave.llm.frames import saved, table
 from tripweave.llm.queries import WORD_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Words of a shingle and differing bits by which documents are near copies.
+NEAR = (4, 4)
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,14 +27,19 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that their source repeats; every document stays."""
-    shorter = line_dedup.drop_boilerplate(docs)
+    """Texts without the lines that their source repeats; every document stays.
+
+    Near copies count as one document, or their own lines would go before the next stage
+    keeps one of them.
+    """
+    shorter = line_dedup.drop_boilerplate(docs, copies=NEAR)
     return shorter.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return simhash.keep_one(docs, width=4, distance=4)
+    width, distance = NEAR
+    return simhash.keep_one(docs, width=width, distance=distance)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

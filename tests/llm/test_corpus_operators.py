@@ -52,6 +52,26 @@ def test_lines_of_a_site(spark, monkeypatch, broadcast):
     assert line_dedup.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+
+def test_copies_at_a_site_keep_their_content(spark, tmp_path):
+    rng = random.Random(11)
+    copied = "\n".join(prose(rng, 40) for _ in range(6))
+    texts = [copied] * 7 + [copied + " " + prose(rng, 1)] * 3  # equal and near copies
+    texts += [f"{prose(rng, 200)}\nmenu of the site\n{prose(rng, 60)}" for _ in range(20)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    item = spark.createDataFrame([(1, "nothing of this is in any of the documents")], "item_id long, text string")
+    item.write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert out == {0: copied} | {
+        i: t.replace("menu of the site\n", "") for i, t in enumerate(texts) if i >= 10
+    }
+
+
 # --- decontamination -------------------------------------------------------------
 
 

@@ -9,8 +9,9 @@ no more than n boilerplate lines, and each stands on a share ``ratio`` of the pa
 Defined results: lines are split at line feeds and compared without white space at their
 ends; blank lines are never boilerplate; a line that repeats within a page counts once; a
 null site is a site; sites with fewer than ``least_pages`` pages keep all lines; a null text
-is a page without lines and stays null; repeated rows are pages of their own; all columns
-are kept; an empty table gives an empty table.
+is a page without lines and stays null; repeated rows are pages of their own unless ``copies``
+is set, which makes near copies at a site (equal texts among them) one page with the lines of
+all of them; all columns are kept; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.llm import simhash
 from tripweave.llm.frames import free_name, saved
 
 #: Boilerplate lines that may be sent to all executors: at 16 bytes and a host each, some 30 MB.
@@ -40,21 +42,46 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def _of_copies(pages: DataFrame, copies: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """(host, line) of each group of near copies at a site, and (host) of each group."""
+    width, distance = copies
+    pages = saved(
+        pages.select("host", "lines", simhash.fingerprints(F.col("text"), width).alias("fp")),
+        "line-pages",
+    )
+    roots = saved(simhash.roots(pages.select("fp").distinct(), distance), "line-roots")
+
+    def grouped(rows: DataFrame) -> DataFrame:  # copies are one row before the join
+        named = rows.distinct().join(roots, F.col("fp") == F.col("node"), "left")
+        return named.withColumn("fp", F.coalesce("root", "fp")).select(*rows.columns).distinct()
+
+    lines = grouped(pages.select("host", "fp", F.explode("lines").alias("line")))
+    return lines.select("host", "line"), grouped(pages.select("host", "fp")).select("host")
+
+
 def boilerplate(
-    docs: DataFrame, host: str, text: str, ratio: float, least_pages: int
+    docs: DataFrame,
+    host: str,
+    text: str,
+    ratio: float,
+    least_pages: int,
+    copies: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(host, line hash, pages with it, pages) of the lines above the ratio."""
+    hashes = F.transform(_lines(F.col("text")), _compared)
+    hashes = F.array_distinct(F.transform(F.array_remove(hashes, ""), _hash))
     pages = docs.select(
         F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").cast("string").alias("text")
-    )
+    ).withColumn("lines", hashes)
+    if copies:
+        lines, pages = _of_copies(pages, copies)
+    else:
+        lines = pages.select("host", F.explode("lines").alias("line"))
     totals = pages.groupBy("host").agg(F.count("*").alias("n_pages")).withColumnRenamed(
         "host", "site"
     )
-    hashes = F.transform(_lines(F.col("text")), _compared)
-    hashes = F.array_distinct(F.transform(F.array_remove(hashes, ""), _hash))
     counts = (
-        pages.select("host", F.explode(hashes).alias("line"))
-        .groupBy("host", "line")
+        lines.groupBy("host", "line")
         .agg(F.count("*").alias("n_with"))
         .filter(F.col("n_with") > ratio * least_pages)  # no site can need less
     )
@@ -72,15 +99,17 @@ def drop_boilerplate(
     ratio: float = 0.1,
     least_pages: int = 20,
     dropped: str | None = None,
+    copies: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``docs`` without the lines that stand on more than ``ratio`` of a site's pages.
 
-    ``dropped`` names a further column with the number of lines a page lost. The lists of all
+    ``dropped`` names a further column with the number of lines a page lost. ``copies`` is the
+    width and distance of ``simhash`` by which pages of a site count as one page. The lists of all
     sites go to all executors while they hold at most ``MOST_BROADCAST`` lines; beyond that
     the pages of each site are dealt into ``SALTS`` parts and joined by a shuffle.
     """
     site, lines, salt = (free_name(docs, c) for c in ("_site", "_lines", "_salt"))
-    found = saved(boilerplate(docs, host, text, ratio, least_pages), "line-dedup")
+    found = saved(boilerplate(docs, host, text, ratio, least_pages, copies), "line-dedup")
     lists = found.groupBy(F.col("host").alias(site)).agg(F.collect_list("line").alias(lines))
     same = F.col(f"`{host}`").eqNullSafe(F.col(site))
     columns = list(docs.columns)

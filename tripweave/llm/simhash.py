@@ -63,6 +63,11 @@ def fingerprint(text: str, width: int) -> int:
     return int(bits.view("<u8")[0])
 
 
+def fingerprints(text: Column, width: int) -> Column:
+    """The fingerprint of each text; nulls have no words."""
+    return _fingerprint_udf(width)(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def _fingerprint_udf(width: int):
     @F.pandas_udf("bigint")
     def take(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -238,6 +243,11 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return sure.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
+def roots(prints: DataFrame, distance: int) -> DataFrame:
+    """(node, root) of the distinct fingerprints ``fp`` that are linked and not roots."""
+    return components(links(prints, distance))
+
+
 def near_groups(
     docs: DataFrame,
     doc: str = "doc_id",
@@ -252,7 +262,7 @@ def near_groups(
         keyed.select("doc", _fingerprint_udf(width)(F.col("text")).alias("fp")), "fingerprints"
     )
     least = prints.groupBy("fp").agg(F.min("doc").alias("least"))
-    rooted = components(links(least.select("fp"), distance))
+    rooted = roots(least.select("fp"), distance)
     of_print = least.join(rooted, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
