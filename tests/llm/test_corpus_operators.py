@@ -72,6 +72,21 @@ def test_copies_at_a_site_keep_their_content(spark, tmp_path):
     }
 
 
+def test_small_sites_lose_what_they_repeat(spark):
+    rng = random.Random(12)
+    rows = []
+    for site, n, with_menu in [("six", 6, 6), ("three", 3, 3), ("two", 2, 2), ("nine", 9, 2)]:
+        for k in range(n):
+            body = prose(rng, 150)
+            rows.append((len(rows), ("menu\n" if k < with_menu else "") + body, "en", site, body))
+    rows += [(100 + i, "menu\n" + rows[0][4], "en", "copies", "menu\n" + rows[0][4]) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, body string")
+    out = corpus_pipeline.line_dedup_stage(spark, docs.withColumn("n_chars", F.lit(0)), SF_DIR)
+    wrong = [r for r in out.collect() if r["text"] != (
+        r["body"] if r["source"] in ("six", "three") else rows[r["doc_id"]][1] if r["doc_id"] < 100 else r["body"])]
+    assert wrong == []
+
+
 # --- decontamination -------------------------------------------------------------
 
 

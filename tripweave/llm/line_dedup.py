@@ -66,6 +66,7 @@ def boilerplate(
     ratio: float,
     least_pages: int,
     copies: tuple[int, int] | None = None,
+    least_with: int = 1,
 ) -> DataFrame:
     """(host, line hash, pages with it, pages) of the lines above the ratio."""
     hashes = F.transform(_lines(F.col("text")), _compared)
@@ -84,6 +85,7 @@ def boilerplate(
         lines.groupBy("host", "line")
         .agg(F.count("*").alias("n_with"))
         .filter(F.col("n_with") > ratio * least_pages)  # no site can need less
+        .filter(F.col("n_with") >= least_with)
     )
     return (
         counts.join(totals, F.col("host").eqNullSafe(F.col("site")))
@@ -100,16 +102,18 @@ def drop_boilerplate(
     least_pages: int = 20,
     dropped: str | None = None,
     copies: tuple[int, int] | None = None,
+    least_with: int = 1,
 ) -> DataFrame:
     """``docs`` without the lines that stand on more than ``ratio`` of a site's pages.
 
     ``dropped`` names a further column with the number of lines a page lost. ``copies`` is the
-    width and distance of ``simhash`` by which pages of a site count as one page. The lists of all
+    width and distance of ``simhash`` by which pages of a site count as one page. A line
+    stays while fewer than ``least_with`` pages of the site hold it. The lists of all
     sites go to all executors while they hold at most ``MOST_BROADCAST`` lines; beyond that
     the pages of each site are dealt into ``SALTS`` parts and joined by a shuffle.
     """
     site, lines, salt = (free_name(docs, c) for c in ("_site", "_lines", "_salt"))
-    found = saved(boilerplate(docs, host, text, ratio, least_pages, copies), "line-dedup")
+    found = saved(boilerplate(docs, host, text, ratio, least_pages, copies, least_with), "line-dedup")
     lists = found.groupBy(F.col("host").alias(site)).agg(F.collect_list("line").alias(lines))
     same = F.col(f"`{host}`").eqNullSafe(F.col(site))
     columns = list(docs.columns)
