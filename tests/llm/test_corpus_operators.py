@@ -304,6 +304,15 @@ def test_no_pages_no_records(spark, tmp_path):
     assert warc.read_archives(spark, path).count() == 0
 
 
+def test_long_urls_read_back(spark, tmp_path):
+    rows = [(1, "data:" + "x" * 200_000, "a", 0), (2, "\x01" * 70_000, "b", 0), (3, "u", "c", 0)]
+    warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), str(tmp_path / "w"))
+    read = warc.read_archives(spark, str(tmp_path / "w")).cache()
+    assert warc.quarantined(read).count() == 0
+    got = {warc_id(r["record_id"]): (r["target_uri"], text(r["payload"])) for r in warc.records(read).collect()}
+    assert got == {1: (rows[0][1], "a"), 2: ("%01" * 70_000, "b"), 3: ("u", "c")}
+
+
 def record(payload: bytes) -> bytes:
     head = f"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: {len(payload)}\r\n" \
            f"WARC-Block-Digest: sha1:{warc.sha1_base32(payload)}\r\n\r\n"

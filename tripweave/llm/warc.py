@@ -155,18 +155,18 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     version = VERSION.match(data, at)
     if version is None:
         raise ValueError("no version line")
-    stop = data.find(b"\r\n\r\n", at, at + (1 << 16))
-    if stop < 0:
-        raise ValueError("header without an end")
-    fields = {}
-    for line in data[version.end() : stop].split(b"\r\n"):
-        name, colon, value = line.decode("utf-8", "replace").partition(":")
+    fields, place = {}, version.end()
+    while (stop := data.find(b"\r\n", place)) != place:
+        if stop < 0 or VERSION.match(data, place):
+            raise ValueError("header without an end")
+        name, colon, value = data[place:stop].decode("utf-8", "replace").partition(":")
         if not colon:
             raise ValueError("header line without a colon")
         fields[name.strip().lower()] = value.strip()
+        place = stop + 2
     if not re.fullmatch(r"\d{1,18}", fields.get("content-length", "")):
         raise ValueError("no content length")
-    first = stop + 4
+    first = stop + 2
     end = first + int(fields["content-length"])
     if data[end : end + 4] != b"\r\n\r\n":
         raise ValueError("record does not end where its length says")
