@@ -342,6 +342,35 @@ def test_damaged_archives_are_salvaged(pack):
             assert all(a[1] == b[0] for a, b in zip(covered, covered[1:], strict=False))
 
 
+def test_records_of_one_member_are_salvaged(monkeypatch):
+    rng = random.Random(9)
+    parts = [record(f"{i} {prose(rng, 3_000)}".encode()) for i in range(3)]
+    middle = bytearray(parts[1])
+    middle[len(middle) // 2] ^= 0x55
+    damaged = gzip.compress(parts[0] + bytes(middle) + parts[2])
+    whole, alone = gzip.compress(b"".join(parts)), gzip.compress(record(b"3 alone"))
+    no_digest = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 2\r\n\r\n4 \r\n\r\n"
+    stored = gzip.compress(b"".join(parts), 0)  # version lines stand in the compressed bytes
+    flipped = bytearray(whole)
+    flipped[-6] ^= 0x55
+    for chunk in (1 << 16, 100):
+        monkeypatch.setattr(warc, "CHUNK", chunk)
+        for data, expected, reason in [
+            (damaged, "02", "inflated bytes"),
+            (whole[: len(whole) * 5 // 6], "01", "member"),
+            (bytes(flipped), "012", "member"),
+            (gzip.compress(parts[0] + no_digest)[:-4], "0", "member"),
+            (stored[:-8], "012", "member"),
+        ]:
+            found = list(warc.salvage(data + alone))
+            assert "".join(chr(r["payload"][0]) for r in found if r["kind"] == "record") == expected + "3"
+            (gap,) = [r for r in found if r["kind"] == "gap"]
+            assert reason in gap["reason"]
+            ranges = sorted({(r["start"], r["end"]) for r in found})
+            assert ranges[0][0] == 0 and ranges[-1][1] == len(data + alone)
+            assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+
+
 def test_garbage_is_one_gap(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(b"noise " * 100 + record(b"x") + b"\x1f\x8b\x08tail")
     read = warc.read_archives(spark, str(tmp_path))

@@ -8,7 +8,9 @@ largest id becomes a response and the others revisit it. Only ids and digests ar
 
 ``read_archives`` checks every gzip member, record header, length and digest. After a failed
 check it looks for the next member or version line, recovers the records behind it and
-reports the bytes in between as gaps.
+reports the bytes in between as gaps. The same goes for the inflated bytes of a member; what a
+damaged one yields before its error counts if a digest confirms it. The reason of a gap inside
+a member names the inflated bytes.
 
 Defined results: a null payload is empty; null ids have empty record names and revisit like
 others but are no keeper unless all ids of the payload are null; rows of the keeper's id and
@@ -19,6 +21,7 @@ it are percent-encoded; further columns are ignored; an empty table gives no rec
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import re
 import zlib
@@ -38,6 +41,8 @@ RECORDS_PER_FILE = 2_000
 MOST_BYTES = 512 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Compressed bytes that are inflated at a time.
+CHUNK = 1 << 16
 BASE16 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -150,8 +155,11 @@ def sha1_base32(data) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _record(data: bytes, at: int) -> tuple[dict, int]:
-    """The record at a version line and where it ends; raises ``ValueError`` if unsound."""
+def _record(data: bytes, at: int, confirmed: bool = False) -> tuple[dict, int]:
+    """The record at a version line and where it ends; raises ``ValueError`` if unsound.
+
+    ``confirmed`` asks for a digest that covers the payload.
+    """
     version = VERSION.match(data, at)
     if version is None:
         raise ValueError("no version line")
@@ -183,6 +191,9 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
         size = re.search(rb"(?im)^content-length:\s*(\d{1,18})\r?$", data[first:gap])
         length = int(size[1]) if size else len(payload)
     digest, kind = fields.get("warc-payload-digest", ""), fields.get("warc-type", "")
+    if confirmed and not stated.startswith("sha1:"):
+        if kind == "revisit" or not digest.startswith("sha1:"):
+            raise ValueError("no digest in a damaged member")
     if kind != "revisit":
         found = sha1_base32(payload)
         if digest.startswith("sha1:") and digest[5:] != found:
@@ -199,32 +210,93 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     }, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[list[dict], int]:
-    """The records of the gzip member at ``at`` and where it ends."""
-    inflate = zlib.decompressobj(31)
+def _inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """The bytes in the gzip member at ``at``, where it ends, and what is wrong with it."""
+    view, inflate, parts, place = memoryview(data), zlib.decompressobj(31), [], at
     try:
-        plain = inflate.decompress(memoryview(data)[at:])
+        while not inflate.eof and place < len(data):
+            before = inflate.copy()
+            parts.append(inflate.decompress(view[place : place + CHUNK]))
+            place += CHUNK
     except zlib.error as error:
-        raise ValueError(f"damaged member: {error}") from None
+        reason = f"damaged member: {error}"
+        with contextlib.suppress(zlib.error):  # byte by byte, up to the error
+            for k in range(place, min(place + CHUNK, len(data))):
+                parts.append(before.decompress(view[k : k + 1]))
+        return b"".join(parts), len(data), reason
     if not inflate.eof:
-        raise ValueError("member without an end")
-    found, place = [], 0
-    while place < len(plain):
-        record, place = _record(plain, place)
-        found.append(record)
-    return found, len(data) - len(inflate.unused_data)
+        return b"".join(parts), len(data), "member without an end"
+    return b"".join(parts), min(place, len(data)) - len(inflate.unused_data), None
+
+
+def _read_for(data: bytes, at: int, n: int) -> int:
+    """Where the bytes end that give the first ``n`` inflated bytes of the member at ``at``."""
+    view, inflate, made, place = memoryview(data), zlib.decompressobj(31), 0, at
+    while True:
+        before, more = inflate.copy(), None
+        with contextlib.suppress(zlib.error):
+            more = len(inflate.decompress(view[place : place + CHUNK]))
+        if more is None or made + more >= n:
+            break
+        made, place = made + more, place + CHUNK
+    while made < n:
+        made += len(before.decompress(view[place : place + 1]))
+        place += 1
+    return place
+
+
+def _inside(plain: bytes, confirmed: bool) -> Iterator[dict]:
+    """Records and gaps of inflated bytes, with their places there."""
+    at, lost, reason = 0, None, None
+    while at < len(plain):
+        try:
+            record, end = _record(plain, at, confirmed)
+        except ValueError as error:
+            if lost is None:
+                lost, reason = at, str(error)
+            following = VERSION.search(plain, at + 1)
+            at = following.start() if following else len(plain)
+            continue
+        if lost is not None:
+            yield {"kind": "gap", "start": lost, "end": at, "reason": reason}
+            lost = None
+        yield {"kind": "record", "start": at, "end": end} | record
+        at = end
+    if lost is not None:
+        yield {"kind": "gap", "start": lost, "end": len(plain), "reason": reason}
+
+
+def _member(data: bytes, at: int) -> tuple[list[dict], int, str | None]:
+    """Records and gaps of the gzip member at ``at``, where they end, and what is wrong behind.
+
+    Raises ``ValueError`` if a damaged member yields no record.
+    """
+    plain, end, wrong = _inflated(data, at)
+    found = list(_inside(plain, wrong is not None))
+    if wrong is not None:
+        while found and found[-1]["kind"] == "gap":  # part of the gap behind
+            found.pop()
+        if not found:
+            raise ValueError(wrong)
+        end = _read_for(data, at, found[-1]["end"])
+    for row in found:
+        if row["kind"] == "gap":
+            row["reason"] = f"inflated bytes {row['start']} to {row['end']}: {row['reason']}"
+        row |= {"start": at, "end": end}
+    return found, end, wrong
 
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Records and gaps of one archive in the order of their bytes."""
     at, lost, reason = 0, None, None
     while at < len(data):
+        wrong = None
         try:
             if data.startswith(b"\x1f\x8b", at):
-                found, end = _member(data, at)
+                found, end, wrong = _member(data, at)
             else:
                 record, end = _record(data, at)
-                found = [record]
+                found = [{"kind": "record", "start": at, "end": end} | record]
         except ValueError as error:
             if lost is None:
                 lost, reason = at, str(error)
@@ -234,9 +306,12 @@ def salvage(data: bytes) -> Iterator[dict]:
         if lost is not None:
             yield {"kind": "gap", "start": lost, "end": at, "reason": reason}
             lost = None
-        for record in found:
-            yield {"kind": "record", "start": at, "end": end} | record
+        yield from found
         at = end
+        if wrong is not None:
+            lost, reason = at, wrong
+            following = MAGIC.search(data, at)
+            at = following.start() if following else len(data)
     if lost is not None:
         yield {"kind": "gap", "start": lost, "end": len(data), "reason": reason}
 
@@ -260,7 +335,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records and gaps (``kind``) of all archives below ``path``, plain or gzip members.
 
-    ``start`` and ``end`` are bytes of the archive; members hold their records together. An
+    ``start`` and ``end`` are bytes of the archive; members hold their records and gaps together. An
     archive of more than ``MOST_BYTES`` stops the job instead of being skipped.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
