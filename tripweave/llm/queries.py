@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (
@@ -14,13 +14,16 @@ from tripweave.llm import (
     decontaminate,
     html_text,
     line_dedup,
+    periodic_runs,
     quality_rules,
+    sharding,
     simhash,
+    spelling,
     substring_dedup,
     suffix_array,
     warc,
 )
-from tripweave.llm.frames import table
+from tripweave.llm.frames import WORD_GAP, saved, table
 from tripweave.session import shared_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -149,6 +152,84 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _periodic_tail(words: Column, g: Column) -> Column:
+    """Words joined by one space, from place g % n on replaced by a repeated stretch of them."""
+    n = F.size(words)
+    first = F.pmod(g, n).cast("int")
+    period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+    repeated = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.get(words, F.when(i < first, i).otherwise(first + (i - first) % period)),
+    )
+    return F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.lit(""))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document; a tenth of the documents get a periodic tail first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", WORD_GAP), lambda w: w != "")
+    # bound by a lambda, so that the text is not split again for each of its words
+    tail = F.transform(F.array(words), lambda ws: _periodic_tail(ws, F.floor(h / 10)))[0]
+    planted = docs.withColumn("text", F.when(h % 10 == 0, tail).otherwise(F.col("text")))
+    found = periodic_runs.with_runs(planted)
+    runs = F.col("periodic.runs")
+    # quotients of lengths and periods below 2^27 are told apart, and equal ones are equal
+    ranked = F.transform(
+        runs, lambda r: F.struct((-(r["length"] / r["period"])).alias("e"), r.alias("run"))
+    )
+    best = F.array_min(ranked)["run"]
+    lines = F.transform(
+        runs,
+        lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")),
+    )
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words with their near words, forms and roots; of some runs a letter is missing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    runs = docs.select("doc_id", F.explode(spelling.words_of(F.col("text"), 6)).alias("w"))
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("w")).cast("binary"))
+    size = F.char_length("w")
+    gone = (h % size).cast("int")
+    shorter = F.concat(F.col("w").substr(F.lit(1), gone), F.col("w").substr(gone + 2, size))
+    words = runs.select(F.when(h % 199 == 0, shorter).otherwise(F.col("w")).alias("word"))
+    return spelling.group_variants(spelling.count_words(words)).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document, from eight shards that were written and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+    docs = docs.withColumn("size", size)
+    keys, path = ("doc_id", "text"), shared_dir(spark, "shards")
+    loads = saved(sharding.slot_loads(docs, keys, "size"), "slot-loads")
+    dealt = sharding.save_map(sharding.first_map(spark, 8), f"{path}/map", 1)
+    balanced = sharding.save_map(sharding.rebalanced(dealt, loads, 8), f"{path}/map", 2)
+    sharding.write_shards(docs, balanced, keys, f"{path}/rows")
+    return sharding.read_shards(docs, f"{path}/rows").select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
@@ -160,4 +241,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_sharding": op13_sharding,
 }
