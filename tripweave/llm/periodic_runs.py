@@ -283,7 +283,7 @@ def find_runs(words: np.ndarray, inner: np.ndarray):
 def _numbered(texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
     """The words of texts, their numbers (other ones in each text) and where texts begin."""
     parts = [t.split() for t in texts]
-    bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    bounds = np.cumsum([0, *map(len, parts)])
     numbers, used = np.empty(bounds[-1], np.int64), 0
     for k, words in enumerate(parts):
         names = {w: used + i for i, w in enumerate(dict.fromkeys(words))}

@@ -171,7 +171,9 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.filter(F.split("text", WORD_GAP), lambda w: w != "")
     # bound by a lambda, so that the text is not split again for each of its words
     tail = F.transform(F.array(words), lambda ws: _periodic_tail(ws, F.floor(h / 10)))[0]
-    planted = docs.withColumn("text", F.when(h % 10 == 0, tail).otherwise(F.col("text")))
+    text = F.when(h % 10 == 0, tail).otherwise(F.col("text"))
+    # a generator keeps the lambdas out of the operator's argument, where Spark loses track of them
+    planted = docs.select("doc_id", F.explode(F.array(text)).alias("text"))
     found = periodic_runs.with_runs(planted)
     runs = F.col("periodic.runs")
     # quotients of lengths and periods below 2^27 are told apart, and equal ones are equal

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.functions.numbers import exact
-from tripweave.llm.frames import free_name
+from tripweave.llm.frames import free_name, saved
 
 #: Virtual slots, for good.
 SLOTS = 4096
@@ -178,10 +178,12 @@ def read_shards(records: DataFrame, path: str) -> DataFrame:
     file, row, place = (free_name(rows, c) for c in ("_file", "_row", "slot"))
     found = rows.withColumn(file, about["file_path"]).withColumn(row, about["row_index"])
     in_order = Window.partitionBy(where).orderBy(file)
-    files = (
+    # a table of its own, whose size Spark knows when it plans the join
+    files = saved(
         found.groupBy(where, file)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(file, (F.sum("n").over(in_order) - F.col("n")).alias("before"))
+        .select(file, (F.sum("n").over(in_order) - F.col("n")).alias("before")),
+        "shard-files",
     )
     kept = [exact(c) for c in rows.columns]
     joined = found.join(files, file)
