@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +26,23 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+#: Lets Spark delete the shuffle files of an execution when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """``saved``, with the path of the table for a caller that removes it."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -41,9 +50,8 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Ends the lineage: a lost executor recomputes from the written table, and the shuffle files
-    behind it are of no more use. Spark deletes those when the driver's JVM collects garbage,
-    which can be long after; asking for that here keeps the disk use of a job with many steps
-    near that of its largest step.
+    behind it, of no more use, are deleted at once. So the disk use of a job with many steps
+    stays near that of its largest step.
     """
     return saved_at(df, label)[0]
 

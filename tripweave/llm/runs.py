@@ -22,13 +22,17 @@ from pyspark.sql import functions as F
 from tripweave.llm.frames import saved, saved_at, slices, text_bytes
 from tripweave.sources.folders import remove
 
-#: Bytes of text that are turned into arrays at once.
-SLICE = 2 << 20
+#: Bytes of text that are turned into arrays at once; the arrays fit into a core's cache.
+SLICE = 256 << 10
 #: Bits that hold a place within a slice while hashes are compared by the others.
 PLACE = np.uint64((1 << 30) - 1)
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
+#: Hashes of all strings of so many neighbouring values.
+Grams = Callable[[np.ndarray, int], np.ndarray]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads all bits."""
     x = (x + np.uint64(MIX[0])) * np.uint64(MIX[1])
@@ -56,6 +60,20 @@ def grams(values: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
+def byte_grams(values: np.ndarray, n: int) -> np.ndarray:
+    """``grams`` of bytes, eight of which are one number."""
+    if n < 8 or len(values) < n:
+        return grams(values, n)
+    for size in (1, 2, 4):
+        values = values[:-size] | values[size:] << np.uint64(8 * size)
+    m = len(values) - (n - 8)
+    out = mix(values[:m])
+    for k in range(8, n, 8):
+        at = min(k, n - 8)
+        out = mix(out + values[at : at + m])
+    return out
+
+
 def least(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` neighbouring values."""
     have = 1
@@ -79,13 +97,15 @@ class Runs:
         return Runs(self.key[chosen], self.start[chosen], self.count[chosen], self.doc[chosen])
 
 
-def runs_of(values: np.ndarray, ends: np.ndarray, length: int, gram: int) -> Runs:
+def runs_of(
+    values: np.ndarray, ends: np.ndarray, length: int, gram: int, hashes_of: Grams = grams
+) -> Runs:
     """Runs of windows inside documents that end at ``ends``."""
     total = len(values) - length + 1
     if total <= 0:
         none = np.zeros(0, np.int64)
         return Runs(none.view(np.uint64), none, none, none)
-    hashes = grams(values, gram)
+    hashes = hashes_of(values, gram)
     ranked = hashes & ~PLACE | np.arange(len(hashes), dtype=np.uint64)
     place = (least(ranked, length - gram + 1)[:total] & PLACE).astype(np.int64)
     doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
@@ -135,6 +155,10 @@ def word_symbols(data: np.ndarray, offsets: np.ndarray):
     return hashes, np.searchsorted(starts, offsets[1:])
 
 
+def _grams_of(symbols: Symbols) -> Grams:
+    return byte_grams if symbols is byte_symbols else grams
+
+
 def _each_slice(batch: pa.RecordBatch, symbols: Symbols) -> Iterator[tuple]:
     """Slices of a batch (doc, text, ...): first row, last row, symbols, ends, bytes, offsets."""
     data, offsets = text_bytes(batch.column(1))
@@ -154,12 +178,13 @@ def repeated_keys(
     Counted by a partial aggregation and returned by a join, so a frequent minimizer is
     never gathered in one task.
     """
+    hashes_of = _grams_of(symbols)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, _, values, ends, _, _ in _each_slice(batch, symbols):
-                runs = runs_of(values, ends, length, gram)
+                runs = runs_of(values, ends, length, gram, hashes_of)
                 if not len(runs.key):
                     continue
                 order = np.lexsort((runs.key, runs.doc))
@@ -176,6 +201,7 @@ def repeated_keys(
         docs.select("doc", "text").mapInArrow(emit, "key bigint, doc bigint"), "run-marks"
     )
     often = marks.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    often = often.hint("shuffle_hash")  # few of all keys; the marks need no sort
     found = marks.join(often, "key", "left_semi")
     keys = found.groupBy("doc").agg(F.collect_set("key").alias("keys"))
     written = saved_at(keys, "run-keys")
@@ -212,6 +238,7 @@ def candidates(
     minimizer repeats, as a written table. ``docs`` holds doc: long, text, tag: long. Each task
     makes an ``emit`` of its own from ``emitter(Once())``."""
     keys, path = repeated_keys(docs, symbols, length, gram)
+    hashes_of = _grams_of(symbols)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit = emitter(Once())
@@ -222,7 +249,7 @@ def candidates(
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             for i, j, values, ends, data, offsets in _each_slice(batch, symbols):
-                runs = runs_of(values, ends, length, gram)
+                runs = runs_of(values, ends, length, gram, hashes_of)
                 cuts = np.searchsorted(runs.doc, np.arange(j - i + 1))
                 chosen = np.zeros(len(runs.key), bool)
                 for k in range(j - i):

@@ -42,8 +42,10 @@ LENGTH = 50
 GRAM = 16
 LETTER = 17
 #: Bytes whose suffixes one task sorts at once, and those above which Spark sorts them.
-TOGETHER = 1 << 19
+TOGETHER = 1 << 18
 MOST_TOGETHER = 8 << 20
+#: Rows that wait to be passed on at most.
+MOST_ROWS = 50_000
 #: Runs that a piece spans at most; on average four, as every fourth minimizer ends one.
 MOST_RUNS = 32
 #: Suffixes that one task merges, about.
@@ -367,48 +369,75 @@ FOUND_SCHEMA = "a bigint, b bigint, places array<int>, many boolean"
 
 def sort_within(length: int, most: int):
     """Windows that start in a smaller owner, from rows (key, a, b, at, owner, text) sorted by
-    key. Rows of a key with more than ``most`` bytes come out marked ``many``."""
+    key. Rows of a key with more than ``most`` bytes come out marked ``many``.
+
+    Equal texts of a key are one text, and all windows of those with a larger owner are found;
+    suffixes are sorted where a key has texts that differ.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple] = []  # rows of whole keys
+        kept: list[tuple] = []  # different texts of whole keys: text, owner, rows
+        whole: list[tuple] = []  # rows of which all windows are found: a, b, at, windows
         group: list[tuple] = []  # rows of the key that is being read
         kept_bytes = group_bytes = 0
         key, many = None, False
 
         def work() -> Iterator[pa.RecordBatch]:
+            if whole:
+                a, b, at, n = map(np.array, zip(*whole, strict=True))
+                ends = np.cumsum(n)
+                where = np.repeat(at - (ends - n), n) + np.arange(ends[-1])
+                yield _rows(a, b, _lists(ends, where), False)
+                whole.clear()
             if not kept:
                 return
-            a, b, at, owner, texts = zip(*kept, strict=True)
+            texts, owners, rows = zip(*kept, strict=True)
             suffixes = Suffixes(list(texts), length)
             order, new = suffixes.classes()
-            heads, owners = np.flatnonzero(new), np.array(owner)[suffixes.text[order]]
-            least = np.minimum.reduceat(owners, heads)
+            heads, owner = np.flatnonzero(new), np.array(owners)[suffixes.text[order]]
+            least = np.minimum.reduceat(owner, heads)
             least = np.repeat(least, np.diff(np.append(heads, len(order))))
-            place = np.sort(order[least < owners])
-            row = suffixes.text[place]
-            where = (np.array(at)[row] + suffixes.at[place]).astype(np.int32)
-            first = np.flatnonzero(np.diff(row, prepend=-1))
-            lists = pa.ListArray.from_arrays(
-                np.append(first, len(row)).astype(np.int32), pa.array(where)
-            )
-            yield _rows(np.array(a)[row[first]], np.array(b)[row[first]], lists, False)
+            place = np.sort(order[least < owner])
+            text, where = suffixes.text[place], suffixes.at[place]
+            cuts = np.searchsorted(text, np.arange(len(texts) + 1))
+            out = [
+                (a, b, where[cuts[k] : cuts[k + 1]] + at)
+                for k in np.flatnonzero(np.diff(cuts)).tolist()
+                for a, b, at, _, _ in rows[k]
+            ]
+            if out:
+                a, b, places = zip(*out, strict=True)
+                ends = np.cumsum([len(p) for p in places])
+                yield _rows(a, b, _lists(ends, np.concatenate(places)), False)
+            kept.clear()
 
         def close_group() -> None:
             nonlocal kept_bytes, group_bytes
             if len(group) > 1 and not many:  # equal windows never stand in one run
-                kept.extend(group)
-                kept_bytes += group_bytes
+                texts: dict[bytes, list[tuple]] = {}
+                for row in group:
+                    texts.setdefault(row[4], []).append(row)
+                for text, rows in texts.items():
+                    owner = min(r[3] for r in rows)
+                    n = len(text) - length + 1
+                    whole.extend((*r[:3], n) for r in rows if r[3] > owner)
+                    if len(texts) > 1:
+                        kept.append((text, owner, [r for r in rows if r[3] == owner]))
+                        kept_bytes += len(text)
             group.clear()
             group_bytes = 0
 
         for batch in batches:
+            keys = batch.column(0).to_numpy()
+            alone = np.zeros(len(keys), bool)  # the only row of its key
+            alone[1:-1] = (keys[1:-1] != keys[:-2]) & (keys[1:-1] != keys[2:])
+            batch = batch.filter(pa.array(~alone))
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[0] != key:
                     close_group()
                     key, many = row[0], False
-                    if kept_bytes > TOGETHER:
+                    if kept_bytes > TOGETHER or len(whole) > MOST_ROWS:
                         yield from work()
-                        kept.clear()
                         kept_bytes = 0
                 group.append(row[1:])
                 group_bytes += len(row[5])
@@ -423,6 +452,11 @@ def sort_within(length: int, most: int):
     return found
 
 
+def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    bounds = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.astype(np.int32)))
+
+
 def _rows(a, b, places: pa.Array, many: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(a, pa.int64()), pa.array(b, pa.int64()), places, pa.array([many] * len(a))],
@@ -435,12 +469,12 @@ def _runs_of_pieces(length: int, gram: int):
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for first in range(0, whole.num_rows, 8192):
-                batch = whole.slice(first, 8192)
+            for first in range(0, whole.num_rows, 4096):
+                batch = whole.slice(first, 4096)
                 texts = batch.column(2).to_pylist()
                 ends = np.cumsum([len(t) for t in texts])
                 data = np.frombuffer(b"".join(texts), np.uint8)
-                runs = rn.runs_of(data.astype(np.uint64), ends, length, gram)
+                runs = rn.runs_of(data.astype(np.uint64), ends, length, gram, rn.byte_grams)
                 at = (runs.start - np.concatenate([[0], ends[:-1]])[runs.doc]).astype(np.int32)
                 stops = at + runs.count + length - 1
                 cut = [texts[d][i:j] for d, i, j in zip(runs.doc, at, stops, strict=True)]
