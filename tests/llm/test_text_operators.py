@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -58,6 +59,33 @@ def test_hostile_pages_end(html):
     html_text.main_text(html + "x")
 
 
+def test_pages_without_article_and_main(spark):
+    """The container comes from the points of its paragraphs, whatever it is called."""
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").limit(60).collect()
+    for page in pages:
+        plain = re.sub(r"(</?)(article|main)\b", r"\1div", page["html"])
+        assert html_text.main_text(plain) == html_text.main_text(page["html"]) != ""
+
+
+def test_a_class_word_alone_does_not_drop_an_element():
+    prose = "A sentence of some length, with commas, that reads like an article. " * 4
+    page = (
+        f"<body><div class='menu'><a href=x>Home</a></div><article><p>{prose}</p>"
+        f"<div class='related-work'><p>Earlier {prose}</p></div>"
+        f"<div class='related-posts'><p>Another page, another page, another page</p></div></article></body>"
+    )
+    text = html_text.main_text(page)
+    assert "Earlier" in text and "Another" not in text and "Home" not in text
+
+
+def test_query_ignores_other_columns(spark, tmp_path):
+    rows = [(1, "u", f"<article><p>{'words, ' * 30}</p></article>", "WRONG", "X")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, main_text string, text string")
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
+    got = QUERIES["op1_html_extraction"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [(1, "u", ("words, " * 30).strip(), 209)]
+
+
 def test_pages_with_nulls_repeats_and_clashes(spark):
     rows = [(1, None), (2, "<p>a</p>"), (2, "<p>a</p>")]
     df = spark.createDataFrame(rows, "page_id long, html string")
@@ -178,6 +206,18 @@ def test_chats_with_nulls_ties_and_gaps(spark):
     assert chat_format.format_chats(df.limit(0)).count() == 0
 
 
+def test_roles_and_texts_of_any_length(spark):
+    """Long stretches of what is escaped, which a pattern with nested repeats cannot match."""
+    n = 200_000
+    long = [":" * n, "\\" * n, "\n" * n, "\\:" * n, "a\\\n:" * n, "### " * (n // 4), "\\" * n + "</turn>"]
+    rows = [(k, i, x, y) for k, x in enumerate(long) for i, y in enumerate((x, "t"))]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat_format.format_chats(frame)
+    back = chats.select("conv_id", F.inline(chat_format.parse(F.col("formatted"))))
+    got = sorted((r[0], r[1], r[2]) for r in back.collect())
+    assert got == sorted((k, x, y) for k, _, x, y in rows)
+
+
 def test_broken_chats_do_not_parse(spark):
     good = "### user: a\n</turn>\n"
     bad = ["", "x", good + "x", good[:-1], "### user a\n</turn>\n", "### user: a### b\n</turn>\n"]

@@ -32,11 +32,11 @@ TURN = "array<struct<role:string,text:string>>"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(\\*)({CONTROL})", r"\\$1$2")
+    return F.regexp_replace(text, rf"(?<!\\)(\\*+)({CONTROL})", r"\\$1$2")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\\(\\*)({CONTROL})", "$1$2")
+    return F.regexp_replace(text, rf"(?<!\\)\\(\\*+)({CONTROL})", "$1$2")
 
 
 def escape_role(role: Column) -> Column:
@@ -44,7 +44,7 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    plain = F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\\n", "$1\n")
+    plain = F.regexp_replace(role, r"(?<!\\)((?:\\\\)*+)\\n", "$1\n")
     return F.regexp_replace(plain, r"\\([\\:])", "$1")
 
 
@@ -61,7 +61,8 @@ def render(turns: Column, escaped: bool) -> Column:
 
 def parse(formatted: Column) -> Column:
     """The turns of a rendered text, or null if it breaks the grammar."""
-    head = r"(?s)^### ([^\\:\n]*(?:\\[\\:n][^\\:\n]*)*): (.*)$"
+    # possessive: the matcher takes repeated groups in a loop, so that roles may be of any length
+    head = r"(?s)^### ((?:[^\\:\n]++|\\[\\:n])*+): (.*+)$"
     parts = F.split(formatted, CLOSE, -1)
     bodies = F.slice(parts, 1, F.size(parts) - 1)
     read = F.transform(

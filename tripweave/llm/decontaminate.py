@@ -11,10 +11,11 @@ workers in blocks of bounded size, one pass over the documents per block, so a b
 any size is searched in full.
 
 Defined results: texts and items are compared in lower case with white space runs as one
-space; null texts are empty; items that are null or shorter than ``LEAST_CHARS`` after that
-are not searched for, as they say nothing about their source; of equal items each is
-reported; an item is reported once per document, at its best place, the first of equals;
-repeated document ids give one row with the smallest distance; further columns are ignored
+space; null texts are empty; an item shorter than ``LEAST_CHARS`` after that must stand
+exactly and between word borders; items of fewer than ``LEAST_WORDS`` words, null ones among
+them, say nothing about their source and are not searched for, ``not_searched`` names them;
+an item without an id is searched for like others; of equal items each is reported; an
+item is reported once per document, at its best place, the first of equals; repeated document ids give one row with the smallest distance; further columns are ignored
 by ``find_leaks`` and kept by ``drop_leaking``; empty tables give an empty result.
 """
 
@@ -31,6 +32,7 @@ from tripweave.llm.frames import free_name, saved
 
 ERROR_RATE = 0.08
 LEAST_CHARS = 30
+LEAST_WORDS = 3
 #: Pieces whose surroundings are checked together before the whole item is.
 GROUP = 4
 #: Characters of the items that one pass searches for.
@@ -38,6 +40,13 @@ BLOCK_CHARS = 4 << 20
 LEAK = "array<struct<item:bigint,distance:int,start:int,end:int>>"
 
 
+def _bordered(text: str, first: int, stop: int) -> bool:
+    """Whether no word goes on across either end of ``text[first:stop]``."""
+    before = first > 0 and text[first - 1].isalnum() and text[first].isalnum()
+    after = stop < len(text) and text[stop].isalnum() and text[stop - 1].isalnum()
+    return not before and not after
+
+
 def plain(text: str) -> str:
     return " ".join(text.lower().split())
 
@@ -81,7 +90,8 @@ class Pieces:
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.items = items
-        self.budget = [int(len(text) * rate) for _, text in items]
+        self.short = [len(text) < LEAST_CHARS for _, text in items]
+        self.budget = [int(len(t) * rate) * (len(t) >= LEAST_CHARS) for _, t in items]
         self.myers: dict[int, tuple[Myers, Myers]] = {}
         self.groups: list[tuple[int, int, int, int, Myers]] = []  # item, from, to, edits
         owners: dict[str, list[tuple[int, int]]] = {}
@@ -106,6 +116,8 @@ class Pieces:
         for last, places in self.automaton.iter(text):
             for group, end in places:
                 k, a, b, edits, myers = self.groups[group]
+                if self.short[k] and not _bordered(text, last + 1 - end, last + 1):
+                    continue
                 first = last + 1 - (end - a) - edits
                 stop = min(first + b - a + 2 * edits, len(text))
                 if edits and not myers.best(text, max(first, 0), stop, edits):
@@ -114,7 +126,9 @@ class Pieces:
                 first = last + 1 - end - e
                 stop = first + len(self.items[k][1]) + 2 * e
                 spans = windows.setdefault(k, [])
-                if spans and first <= spans[-1][1] and spans[-1][0] <= stop:
+                if self.short[k]:  # the place itself, of which the first is best
+                    spans.append((first, stop))
+                elif spans and first <= spans[-1][1] and spans[-1][0] <= stop:
                     spans[-1] = (min(first, spans[-1][0]), max(stop, spans[-1][1]))
                 else:
                     spans.append((first, stop))
@@ -162,18 +176,29 @@ def _searcher(docs: DataFrame, items: list[tuple[int, str]], rate: float):
     return search.asNondeterministic()  # else a filter on its result runs it once more
 
 
-def blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, str]]]:
+def _text(text: Column) -> Column:
+    return F.coalesce(text.cast("string"), F.lit(""))
+
+
+def not_searched(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """The rows of ``items`` that have too few words to be searched for."""
+    words = F.split(_text(F.col(f"`{text}`")), r"(?U)\s+")
+    return items.filter(F.size(F.filter(words, lambda w: w != "")) < LEAST_WORDS)
+
+
+def blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``BLOCK_CHARS`` characters, one at a time."""
     all_items = items.select(
-        F.col(f"`{item}`").cast("bigint").alias("item"), F.col(f"`{text}`").cast("string").alias("t")
-    ).filter(F.length("t") >= LEAST_CHARS)
+        F.col(f"`{item}`").cast("bigint").alias("item"), _text(F.col(f"`{text}`")).alias("t")
+    ).filter(F.length("t") > 0)
     chars = all_items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n_blocks = -(-chars // BLOCK_CHARS)
     at = F.pmod(F.xxhash64("item", "t"), F.lit(max(n_blocks, 1)))
     for k in range(n_blocks):
         rows = all_items.filter(at == k).collect()
-        ready = sorted({(r["item"], plain(r["t"])) for r in rows if r["item"] is not None})
-        yield [(i, t) for i, t in ready if len(t) >= LEAST_CHARS]
+        ready = {(r["item"], plain(r["t"])) for r in rows}
+        ready = sorted(ready, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        yield [(i, t) for i, t in ready if t.count(" ") >= LEAST_WORDS - 1]
 
 
 def find_leaks(
@@ -221,7 +246,9 @@ def drop_leaking(
     body: Column = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     mark = free_name(docs, "_leaks")
-    for block in blocks(items, item, item_text):
+    for k, block in enumerate(blocks(items, item, item_text)):
+        if k:  # a pass of its own, so that one block is in memory at a time
+            docs = saved(docs, "not-leaking")
         leaks = _searcher(docs, block, rate)(body)
         docs = docs.withColumn(mark, leaks).filter(F.size(mark) == 0).select(*columns)
     return docs

@@ -64,6 +64,14 @@ ASIDE_WORDS = frozenset(
 #: With these, a class tells what the page has beside the element: "has-sidebar".
 BESIDE_WORDS = frozenset("has with no without layout".split())
 
+#: Words that say where or how an element is shown; beside them an aside word names a part.
+PLACE_WORDS = frozenset(
+    "area articles bar bottom box button buttons col column container content entries entry footer "
+    "form group header heading icon icons inner item items left level line link links list main "
+    "message news overlay page panel post posts primary right row secondary section stories story "
+    "text title top topics unit wrap wrapper x xs s m l xl sm md lg".split()
+)
+
 TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -94,9 +102,11 @@ def _is_aside(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
             for one in value.split():
-                words = re.split(r"[^a-z]+", one)
+                words = {w for w in re.split(r"[^a-z]+", one) if w}
                 if not ASIDE_WORDS.isdisjoint(words) and BESIDE_WORDS.isdisjoint(words):
-                    return True
+                    # "related-work" is no list of related pages
+                    if not inside or words <= ASIDE_WORDS | PLACE_WORDS:
+                        return True
         elif name == "role":
             if value in ASIDE_ROLES:
                 return True
@@ -226,11 +236,6 @@ def _kept(root: Node, order: list[Node]) -> list[Node]:
             best, most = node, points
     while best.parent is not None and (best.tag in ("p", "span", "b") or _sole(best)):
         best = best.parent
-    outer = best
-    while outer is not None and outer.tag not in ("article", "main"):
-        outer = outer.parent
-    if outer is not None:
-        best = outer
     if best.parent is None:
         return [best]
     least = max(3.0, 0.2 * most)

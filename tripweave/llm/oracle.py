@@ -23,16 +23,19 @@ ORACLE: dict[str, str] = {
     "op2_line_dedup": """
         WITH docs AS (
           SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents
+        ), pages AS (
+          SELECT row_number() OVER () AS page, source, t
+          FROM (SELECT DISTINCT source, coalesce(text, '') AS t FROM documents)
         ), used AS (
-          SELECT DISTINCT doc_id, source, regexp_replace(l,
+          SELECT DISTINCT page, source, regexp_replace(l,
             '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') AS l
-          FROM (SELECT doc_id, source, unnest(ls) AS l FROM docs)
-        ), totals AS (SELECT source, count(*) AS n FROM documents GROUP BY source
+          FROM (SELECT page, source, unnest(string_split(t, chr(10))) AS l FROM pages)
+        ), totals AS (SELECT source, count(*) AS n FROM pages GROUP BY source
         ), found AS (
           SELECT used.source, list(l) AS gone FROM (
             SELECT source, l, count(*) AS c FROM used WHERE l <> '' GROUP BY source, l
           ) used JOIN totals ON used.source IS NOT DISTINCT FROM totals.source
-          WHERE n >= 20 AND c > 0.1 * n GROUP BY used.source
+          WHERE c >= 3 AND c > 0.07 * n GROUP BY used.source
         ), kept AS (
           SELECT doc_id, docs.source, text, ls, list_filter(ls, lambda x:
             NOT list_contains(coalesce(gone, []), regexp_replace(x,

@@ -31,7 +31,7 @@ WORD_BPE = "word_bpe_49k.json"
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
-    pages = html_text.extract(table(spark, sf_dir, "pages"))
+    pages = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select(
         "page_id",
         "url",
