@@ -30,9 +30,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Texts without the lines that their source repeats; every document stays.
 
     Near copies count as one document, or their own lines would go before the next stage
-    keeps one of them. Sources of any size are judged; a line repeats from three documents on.
+    keeps one of them.
     """
-    shorter = line_dedup.drop_boilerplate(docs, copies=NEAR, least_pages=1, least_with=3)
+    shorter = line_dedup.drop_boilerplate(docs, copies=NEAR)
     return shorter.withColumn("n_chars", F.length("text").cast("long"))
 
 
