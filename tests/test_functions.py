@@ -1,11 +1,15 @@
 import math
 import random
 from datetime import date, datetime, timedelta
+from decimal import Decimal
+from fractions import Fraction
 from functools import reduce
 from operator import add
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -41,6 +45,33 @@ def test_sums_do_not_depend_on_the_order_of_terms(spark):
     assert totals == {math.fsum(terms)}
 
 
+def test_large_sums_carry(spark):
+    df = spark.createDataFrame([(9.9e14,)] * 20_000 + [(0.25,), (-4194304.0,)], "x double")
+    totals = {
+        df.repartition(parts).agg(numbers.total_of(numbers.exact_sum(F.col("x")))).first()[0]
+        for parts in (8, 37)
+    }
+    assert totals == {1.98e19 - 4194304.0 + 0.25}
+    rows = 10**10  # of 4194303.999999999 each, the largest near term
+    units = 4194303999999999 * rows
+    fact = ((units >> 26, units & (1 << 26) - 1, Decimal("1e18"), None),)
+    facts = spark.createDataFrame(
+        [fact, fact], "s struct<high:long,low:long,large:decimal(38,9),far:double>"
+    )
+    added = facts.agg(numbers.add_up(F.col("s")).alias("s"))
+    assert added.first()["s"]["low"] < 1 << 26
+    total = added.select(numbers.total_of(F.col("s")).alias("t")).first()["t"]
+    assert total == float(2 * (Fraction(units, 10**9) + 10**18))
+
+
+@given(st.lists(st.floats(-1e7, 1e7).map(lambda x: round(x, 4)), min_size=1, max_size=40))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+def test_sums_of_decimals_are_exact(spark, terms):
+    df = spark.createDataFrame([(x,) for x in terms], "x double").repartition(3)
+    total = df.agg(numbers.total_of(numbers.exact_sum(F.col("x"))).alias("t")).first()["t"]
+    assert total == float(sum(Decimal(repr(x)).quantize(Decimal("1e-9")) for x in terms))
+
+
 def test_sums_keep_infinities_and_nulls(spark):
     def total(*values):
         df = spark.createDataFrame([(v,) for v in values], "x double")

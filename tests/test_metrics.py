@@ -429,6 +429,38 @@ def test_numeric_summary_ignores_nan(make_trips):
     assert (row["value_count"], row["mean"], row["min"], row["max"]) == (2, 2.0, 1.0, 3.0)
 
 
+def test_quartiles_are_values_at_their_rank(spark):
+    rng = random.Random(2)
+    values = {
+        "ties": [float(rng.randrange(4)) for _ in range(401)],
+        "spread": [rng.uniform(-1e9, 1e9) for _ in range(401)],
+        "gaps": [None if i % 3 else float(i) for i in range(401)],
+        "none": [None] * 401,
+        "hot": [7.0] * 400 + [9.0],
+    }
+    rows = list(zip(*values.values(), strict=True))
+    ddl = ", ".join(f"{c} double" for c in values)
+    answers = []
+    for parts in (1, 8):
+        df = spark.createDataFrame(rows, ddl).repartition(parts)
+        answers.append(sorted(map(tuple, quality.numeric_summary(df).collect())))
+    assert answers[0] == answers[1]  # to the bit
+    for name, n, mean, deviation, low, q25, q50, q75, high in answers[0]:
+        known = sorted(v for v in values[name] if v is not None)
+        assert n == len(known)
+        if not known:
+            assert (mean, deviation, low, q25, q50, q75, high) == (None,) * 7
+            continue
+        ranks = [known[math.ceil(k * n / 4) - 1] for k in (1, 2, 3)]
+        assert [low, q25, q50, q75, high] == [known[0], *ranks, known[-1]]
+        assert mean == pytest.approx(statistics.fmean(known), rel=1e-9)
+        assert deviation == pytest.approx(statistics.stdev(known), rel=1e-9)
+    one = quality.numeric_summary(spark.createDataFrame([(5,)], "x int")).first()
+    assert tuple(one) == ("x", 1, 5.0, None, 5.0, 5.0, 5.0, 5.0, 5.0)
+    empty = quality.numeric_summary(spark.createDataFrame([], "x int")).first()
+    assert tuple(empty) == ("x", 0, *[None] * 7)
+
+
 def test_schema_listing(make_trips):
     listing = quality.schema_listing(make_trips([trip(), trip()])).orderBy("position").collect()
     assert listing[0]["data_type"] == "timestamp_ntz"

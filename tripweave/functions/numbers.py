@@ -2,46 +2,80 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Parts of one that exact sums count; finer digits are rounded off in each term.
-_PARTS = 1_000_000_000
-# Terms from here on, infinities among them, are summed on their own as doubles.
-_FAR = 1e15
-
-
+# Exact sums count billionths, the finer digits of each term are rounded off.
+_UNITS = 1_000_000_000
+# Below the first bound a term's billionths are exact as a double and split into two whole
+# numbers of 26 bits. Terms up to the second are summed as decimals, those beyond, infinities
+# among them, as doubles.
+_NEAR, _FAR = float(1 << 22), 1e15
+_LOW_BITS = 26
+_LARGE = "decimal(28,9)"
 def round2(x: Column) -> Column:
     """Two decimals, ties to even on the scaled double (not Spark's half-up `round`)."""
     return F.rint(x * F.lit(100.0)) / F.lit(100.0)
 
 
+def _carried(high: Column, low: Column, large: Column, far: Column) -> Column:
+    """The struct of an exact sum, with what the low part holds too much carried over."""
+    carry = F.shiftright(low, _LOW_BITS)
+    return F.struct(
+        (high + carry).alias("high"),
+        low.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("low"),
+        large.alias("large"),
+        far.alias("far"),
+    )
+
+
 def exact_sum(x: Column) -> Column:
     """Sum of doubles that does not depend on the order of its terms, as a struct.
 
-    Whole numbers and billionths are summed as integers. See `total_of` and `add_up`.
+    See `total_of` and `add_up`. The low parts of 1e11 terms fit into their sum; after that
+    they are below 2^26 again, and the high parts hold 6e17 in all.
     """
-    near = F.abs(x) < F.lit(_FAR)
-    whole = F.when(near, F.floor(x))
-    parts = F.when(near, F.rint((x - F.floor(F.when(near, x))) * F.lit(float(_PARTS))))
-    return F.struct(
-        F.sum(whole).alias("whole"),
-        F.sum(parts.cast("bigint")).alias("parts"),
-        F.sum(F.when(~near, x)).alias("far"),
+    size = F.abs(x)
+    units = F.when(size < F.lit(_NEAR), F.rint(x * F.lit(float(_UNITS))).cast("bigint"))
+    large = F.when((size >= F.lit(_NEAR)) & (size < F.lit(_FAR)), x.cast(_LARGE))
+    return _carried(
+        F.sum(F.shiftright(units, _LOW_BITS)),
+        F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))),
+        F.sum(large),
+        F.sum(F.when(~(size < F.lit(_FAR)), x)),
     )
 
 
+#: What Spark keeps of an exact sum between batches of a stream.
+SUM_STATE = "high:bigint,low:bigint,large:decimal(38,9),no_large:boolean,far:double"
+
+
+def sum_from_state(state: Column) -> Column:
+    """The exact sum in a state of the form `SUM_STATE`."""
+    large = F.when(~state["no_large"], state["large"])
+    return _carried(state["high"], state["low"], large, state["far"])
+
+
 def add_up(sums: Column) -> Column:
     """The sum of exact sums, again exact."""
-    return F.struct(*[F.sum(sums[f]).alias(f) for f in ("whole", "parts", "far")])
+    high, low, far = (F.sum(sums[f]) for f in ("high", "low", "far"))
+    return _carried(high, low, F.sum(sums["large"].cast(_LARGE)), far)
 
 
 def total_of(sums: Column) -> Column:
     """The value of an exact sum; NULL if it has no terms."""
-    carry, rest = F.floor(sums["parts"] / F.lit(_PARTS)), F.pmod(sums["parts"], F.lit(_PARTS))
-    near = (sums["whole"] + carry).cast("double") + rest / F.lit(float(_PARTS))
-    return F.coalesce(sums["far"] + near, near, sums["far"])
+    wide = "decimal(38,0)"
+    units = sums["high"].cast(wide) * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + sums["low"].cast(wide)
+    whole = F.floor(units / F.lit(_UNITS).cast("decimal(10,0)"))
+    rest = (units - whole * F.lit(_UNITS).cast("decimal(10,0)")).cast("decimal(10,0)")
+    billionth = F.lit(Decimal("0.000000001"))
+    near = whole.cast("decimal(36,9)") + rest * billionth
+    large = sums["large"].cast("decimal(36,9)")
+    exactly = F.coalesce(near + large, near, large).cast("double")
+    return F.coalesce(sums["far"] + exactly, exactly, sums["far"])
 
 
 def mean_of(total: Column, n: Column) -> Column:

@@ -220,7 +220,9 @@ SCHEMA = "\nUNION ALL ".join(
 
 NUMERIC = "\nUNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count({c}) AS value_count, round(avg({c}),6) AS mean,
-  round(stddev_samp({c}),6) AS stddev, round(min({c}),6) AS min, round(max({c}),6) AS max FROM t"""
+  round(stddev_samp({c}),6) AS stddev, round(min({c}),6) AS min,
+  round(quantile_disc({c}, 0.25),6) AS q25, round(quantile_disc({c}, 0.5),6) AS q50,
+  round(quantile_disc({c}, 0.75),6) AS q75, round(max({c}),6) AS max FROM t"""
     for c in (*EV_COLUMNS[3:7], "trip_duration_minutes")
 )
 
@@ -454,6 +456,5 @@ SELECT *, {WEEK_OF_DATE} AS week_name FROM f""",
   SELECT time_bucket(INTERVAL 5 MINUTE, pickup_datetime, TIMESTAMP '2000-01-01') AS window_start,
     taxi_type, count(*) AS trips, {total2('total_amount')} AS revenue FROM ev GROUP BY 1, 2)
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, taxi_type, trips, revenue
-FROM w WHERE window_start + INTERVAL 5 MINUTE <=
-  (SELECT max(pickup_datetime) - INTERVAL 10 MINUTE FROM ev)""",
+FROM w""",
 }

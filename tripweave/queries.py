@@ -54,7 +54,12 @@ from tripweave.sources.stores import (
     load_weeks,
     stored_days,
 )
-from tripweave.streaming.windows import stream_parquet, window_counts, write_windows
+from tripweave.streaming.windows import (
+    all_windows,
+    stream_parquet,
+    window_counts,
+    write_windows,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -276,7 +281,7 @@ def null_counts(spark, sf_dir):
 @query
 def numeric_summary(spark, sf_dir):
     summary = quality.numeric_summary(cleaned_events(spark, sf_dir).drop("VendorID"))
-    return to_six(summary, "mean", "stddev", "min", "max")
+    return to_six(summary, "mean", "stddev", "min", "q25", "q50", "q75", "max")
 
 
 @query
@@ -725,11 +730,11 @@ def report_from_old_csv(spark, sf_dir):
 
 @query
 def stream_window_counts(spark, sf_dir):
-    """Events streamed through five-minute windows; windows still open do not come out."""
+    """Events streamed through five-minute windows, with those still open at the end."""
     schema = table(spark, sf_dir, "events").schema
     # A glob matches the table where it is one file as well as where it is a folder of files.
     stream = stream_parquet(spark, f"{sf_dir}/events.parquet*", schema)
-    out = shared_dir(spark, "windows")
+    out, state = shared_dir(spark, "windows"), shared_dir(spark, "windows-state")
     counts = window_counts(events_as_trips(stream))
-    write_windows(counts, out, shared_dir(spark, "windows-state"), fail_on_late=True)
-    return spark.read.parquet(out)
+    write_windows(counts, out, state, fail_on_late=True)
+    return all_windows(spark, out, state)
