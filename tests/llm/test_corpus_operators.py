@@ -437,3 +437,19 @@ def test_pipeline_takes_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
         assert docs.count() == 0
+
+
+def test_archives_stay_small_whatever_the_pages_are(spark, tmp_path, monkeypatch):
+    """Large pages share an archive with few others; all come back."""
+    monkeypatch.setattr(warc, "SIZES", ((0, 50), (1_000, 4), (20_000, 1)))
+    rows = [(i, "u" * (900 if i == 7 else 3), "x" * (30_000 if i % 40 == 0 else 1_500 if i % 4 == 0 else 10) + str(i)) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path)
+    sizes = [p.stat().st_size for p in (tmp_path / "w").glob("part-*")]
+    assert max(sizes) < 60_000 and len(sizes) > 15
+    read = warc.records(warc.read_archives(spark, path)).collect()
+    assert sorted((warc_id(r["record_id"]), bytes(r["payload"]).decode()) for r in read) == [
+        (i, html) for i, _, html in rows
+    ]
+    assert warc.quarantined(warc.read_archives(spark, path)).count() == 0

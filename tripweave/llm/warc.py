@@ -36,9 +36,9 @@ from tripweave.llm.frames import saved
 END = "\r\n\r\n"
 #: Keepers that may be sent to all executors: at some 60 bytes each, 30 MB.
 MOST_BROADCAST = 500_000
-#: Records per archive. The reader holds one archive in a task, so keep archives small.
-RECORDS_PER_FILE = 2_000
-MOST_BYTES = 512 << 20
+#: Bytes of a record, and how many records of that size or more share an archive: the reader holds
+#: an archive in a task, so one has some 64 MB at most, or a single record.
+SIZES = ((0, 2_000), (32 << 10, 64), (1 << 20, 1))
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Compressed bytes that are inflated at a time.
@@ -139,12 +139,20 @@ def write_archives(
         F.lit("\r\n"),
         block,
     )
-    (
-        joined.select(record.alias("value"))
-        .write.option("lineSep", END)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .text(path)
-    )
+    bytes_of = F.col("n_bytes") + 3 * F.coalesce(F.octet_length("url"), F.lit(0))
+    size = F.lit(-1)
+    for least, _ in SIZES:
+        size = size + (bytes_of >= least).cast("int")
+    present = sorted(r[0] for r in rows.select(size.alias("k")).distinct().collect())
+    for k in present or [0]:  # mostly one write
+        (
+            joined.filter(size == k)
+            .select(record.alias("value"))
+            .write.mode("error" if k == (present or [0])[0] else "append")
+            .option("lineSep", END)
+            .option("maxRecordsPerFile", SIZES[k][1])
+            .text(path)
+        )
 
 
 MAGIC = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -336,15 +344,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records and gaps (``kind``) of all archives below ``path``, plain or gzip members.
 
     ``start`` and ``end`` are bytes of the archive; members hold their records and gaps together. An
-    archive of more than ``MOST_BYTES`` stops the job instead of being skipped.
+    archive is read whole, and Spark refuses files of 2 GB and more.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    files = files.filter(F.col("length") > 0).withColumn(
-        "content",
-        F.when(F.col("length") <= MOST_BYTES, F.col("content")).otherwise(
-            F.raise_error(F.concat(F.lit("archive too large: "), F.col("path"))).cast("binary")
-        ),
-    )
+    files = files.filter(F.col("length") > 0)
     return files.select("path", "content").mapInArrow(_read, READ_SCHEMA)
 
 
