@@ -435,6 +435,11 @@ SELECT {day('pickup_datetime')} AS date, taxi_type, count(*) AS trips,
     AS n_congestion_surcharge,
   sum("VendorID")::BIGINT AS vendor_sum
 FROM ev, s GROUP BY 1, 2""",
+    "raw_unknown_versions": f"""WITH {EV}
+SELECT {day('pickup_datetime')} AS date, taxi_type, count(*) AS trips,
+  count(passenger_count) AS n_passenger_count,
+  count(*) FILTER ("VendorID" % 3 = 1) AS n_tip_amount, sum("VendorID")::BIGINT AS vendor_sum
+FROM ev GROUP BY 1, 2""",
     "weekly_job_reports": KPIS,
     "anomaly_other_thresholds": f"""WITH {EV}, t AS (SELECT * FROM ev
   WHERE trip_distance > 5 AND total_amount > 20 AND passenger_count > 1),

@@ -615,6 +615,33 @@ def raw_days_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def raw_unknown_versions(spark, sf_dir):
+    """Raw files whose types change back and forth, loaded by what their footers say."""
+    root, store = shared_dir(spark, "raw"), shared_dir(spark, "daily")
+    start, num_days = whole_range(event_trips(spark, sf_dir))
+    kinds = (("bigint", "int"), ("double", "bigint"), ("bigint", "bigint"))
+    specs = []
+    for spec, raw in zip((GREEN, YELLOW), raw_fleets(spark, sf_dir), strict=True):
+        for k, (passengers, vendor) in enumerate(kinds):
+            part = raw.filter(F.col("VendorID") % 3 == k).withColumns(
+                {
+                    "passenger_count": F.col("passenger_count").cast(passengers),
+                    "VendorID": F.col("VendorID").cast(vendor),
+                }
+            )
+            part = part.withColumn("tip_amount", F.lit(0.5)) if k == 1 else part
+            part.write.parquet(f"{root}/{spec.tag}_{k}")
+        specs.append(replace(spec, paths=(f"{root}/{spec.tag}_*",), widen=True))
+    process_daily_range(spark, specs, start, store, num_days)
+    known = [F.count(c).alias(f"n_{c}") for c in ("passenger_count", "tip_amount")]
+    return (
+        load_days(spark, store)
+        .groupBy(date_text(F.col("pickup_date")).alias("date"), "taxi_type")
+        .agg(F.count(F.lit(1)).alias("trips"), *known, F.sum("VendorID").alias("vendor_sum"))
+    )
+
+
 @query
 def stored_day_weeks(spark, sf_dir):
     """The stored days and their weeks, listed without reading trips."""

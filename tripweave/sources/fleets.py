@@ -8,8 +8,6 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +22,7 @@ from tripweave.contracts import (
 )
 from tripweave.functions.numbers import exact
 from tripweave.functions.weeks import parse_day
+from tripweave.sources.footers import group_files, merged_schema, read_groups
 
 TRIP_TIMES = ("pickup_datetime", "dropoff_datetime")
 
@@ -41,9 +40,9 @@ class SourceSpec:
     """How one source becomes trips: which columns to rename, which tag to add.
 
     ``paths`` may hold files, folders or globs. A source with ``time_zone`` has its
-    local times moved to ``target_zone``. Files whose types or columns changed over time
-    need ``versions``, and a ``file_day`` pattern whose first group is the date (or the
-    month) in a file's path.
+    local times moved to ``target_zone``. Files whose types changed over time are widened
+    from their footers with ``widen``, or read by ``versions`` and a ``file_day`` pattern
+    whose first group is the date (or the month) in a file's path.
     """
 
     tag: str
@@ -53,26 +52,31 @@ class SourceSpec:
     target_zone: str = "UTC"
     versions: tuple[SchemaVersion, ...] = ()
     file_day: str = r"(\d{4}-\d{2}(?:-\d{2})?)"
+    widen: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All files, each column of any of them included.
 
         With versions there is one scan per version. Without, the columns of all footers are
-        merged, and files that disagree on a type are an error instead of a guess.
+        merged. Files that disagree on a type are an error then, or with ``widen`` one scan
+        per type, brought to the type that holds both.
         """
-        if not self.versions:
-            try:
-                return spark.read.option("mergeSchema", True).parquet(*self.paths)
-            except (PySparkException, Py4JJavaError) as error:
-                if "CANNOT_MERGE" not in str(error):
-                    raise
-                raise DataValidationError(
-                    f"files of {self.tag} disagree on a type; give their schema versions"
-                ) from error
+        if self.versions:
+            files = {p: _day_of(p, self.file_day) for p in self._files(spark)}
+            return read_versions(spark, files, self.versions)
+        schema = merged_schema(spark, self.paths)
+        if schema is not None:
+            return spark.read.schema(schema).parquet(*self.paths)
+        if not self.widen:
+            raise DataValidationError(
+                f"files of {self.tag} disagree on a type; set widen=True or give their versions"
+            )
+        return read_groups(spark, group_files(spark, self._files(spark)))
+
+    def _files(self, spark: SparkSession) -> list[str]:
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        paths = [r["path"] for r in listed.load(list(self.paths)).select("path").collect()]
-        files = {p: _day_of(p, self.file_day) for p in paths if p.endswith(".parquet")}
-        return read_versions(spark, files, self.versions)
+        paths = listed.load(list(self.paths)).select("path").collect()
+        return [r["path"] for r in paths if r["path"].endswith(".parquet")]
 
     def normalize(self, raw: DataFrame) -> DataFrame:
         """Rename, widen, tag and shift.
