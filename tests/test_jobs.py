@@ -16,9 +16,11 @@ from tripweave.operators import metrics, sinks
 from tripweave.operators.cleaning import with_duration
 from tripweave.operators.facts import daily_facts
 from tripweave.plans import metrics_job, registry, report_job, storage
+from tripweave.plans import published as published_weeks
 from tripweave.session import at_once, shared_dir
 from tripweave.sources import stores
 from tripweave.sources.fleets import GREEN, YELLOW
+from tripweave.sources.folders import remove
 from tripweave.sources.metric_files import read_week_metric
 
 WEEK = "week_2_february_2024"
@@ -163,6 +165,51 @@ def test_publishing_one_week_leaves_the_others(spark, daily_dir, tmp_path):
     assert storage.process_weekly(spark, daily_dir, weekly, weeks=["week_1_may_1999"]) is None
 
 
+def test_only_weeks_with_a_changed_day_are_published_again(spark, make_trips, tmp_path):
+    daily, weekly = str(tmp_path / "daily"), str(tmp_path / "weekly")
+    days = ("2024-05-01", "2024-05-02", "2024-05-09", "2024-05-20")
+    sinks.save_days(make_trips([trip(pickup=f"{d} 08:00:00") for d in days]), daily)
+
+    def stamps():
+        return {p: p.stat().st_mtime_ns for p in files_of(weekly)}
+
+    def published():
+        before = stamps()
+        weeks = storage.process_weekly(spark, daily, weekly)
+        after = stamps()
+        touched = {p for p in before.keys() | after.keys() if before.get(p) != after.get(p)}
+        return weeks, {p.parent.name.split("=")[1] for p in touched}
+
+    names = [f"week_{n}_may_2024" for n in (1, 2, 3)]
+    assert published() == (names, set(names))
+    assert published() == (names, set())
+    storage.store_day(make_trips([trip(pickup="2024-05-09 09:00:00")] * 3), "2024-05-09", daily)
+    assert published() == (names, {names[1]})
+    assert stores.load_week(spark, weekly, names[1]).count() == 3
+    remove(spark, f"{daily}/pickup_date=2024-05-01")
+    assert published() == (names, {names[0]})
+    assert stores.load_week(spark, weekly, names[0]).count() == 1
+    next(Path(weekly, f"week_name={names[2]}").glob("part-*.parquet")).unlink()
+    assert published()[1] == {names[2]}
+    assert stores.load_week(spark, weekly, names[2]).count() == 1
+    Path(weekly, f"week_name={names[2]}", published_weeks.MANIFEST).write_text('{"days"')
+    Path(weekly, f"week_name={names[2]}", f".{published_weeks.MANIFEST}.crc").unlink()
+    assert published()[1] == {names[2]}
+
+
+def test_weeks_without_days_go_only_when_asked(spark, make_trips, tmp_path):
+    daily, weekly = str(tmp_path / "daily"), str(tmp_path / "weekly")
+    rows = [trip(pickup=f"2023-06-{d} 08:00:00") for d in ("01", "09")]
+    sinks.save_days(make_trips(rows), daily)
+    old, kept = storage.process_weekly(spark, daily, weekly, as_tables=True)
+    remove(spark, f"{daily}/pickup_date=2023-06-01")
+    assert storage.process_weekly(spark, daily, weekly, as_tables=True) == [kept]
+    assert stores.load_week(spark, weekly, old).count() == 1
+    assert storage.process_weekly(spark, daily, weekly, as_tables=True, prune=True) == [kept]
+    assert not Path(weekly, f"week_name={old}").exists()
+    assert not spark.catalog.tableExists(old) and spark.catalog.tableExists(kept)
+
+
 def load_counts(spark, weeks):
     return sum(stores.load_week_table(spark, w).count() for w in weeks)
 

@@ -61,18 +61,32 @@ def register_week(spark: SparkSession, weekly_dir: str, week: str, table: str) -
     readers always find it; only another folder or other columns replace it.
     """
     path = f"{weekly_dir.rstrip('/')}/week_name={week}"
-    name = ".".join(f"`{part.replace('`', '``')}`" for part in table.split("."))
     if spark.catalog.tableExists(table):
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
-        found = {_plain_path(r["data_type"]) for r in rows.collect()}
-        if found == {_plain_path(path)}:
+        if _lies_in(spark, table, path):
             spark.catalog.refreshTable(table)
             if spark.table(table).dtypes == spark.read.parquet(path).dtypes:
                 return
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP TABLE {_quoted(table)}")
     spark.catalog.createTable(table, path=path, source="parquet")
 
 
+def unregister_week(spark: SparkSession, weekly_dir: str, week: str, table: str) -> None:
+    """Drop the catalog table of a stored week. A table with another folder stays."""
+    path = f"{weekly_dir.rstrip('/')}/week_name={week}"
+    if spark.catalog.tableExists(table) and _lies_in(spark, table, path):
+        spark.sql(f"DROP TABLE {_quoted(table)}")
+
+
+def _quoted(table: str) -> str:
+    return ".".join(f"`{part.replace('`', '``')}`" for part in table.split("."))
+
+
+def _lies_in(spark: SparkSession, table: str, path: str) -> bool:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}")
+    rows = about.filter("col_name = 'Location'").collect()
+    return {_plain_path(r["data_type"]) for r in rows} == {_plain_path(path)}
+
+
 def _plain_path(path: str) -> str:
     return re.sub("/+", "/", path.removeprefix("file:")).rstrip("/")
 

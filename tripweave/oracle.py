@@ -452,6 +452,10 @@ FROM ev GROUP BY 1, 2""",
 SELECT {week('p')} AS week_name FROM f""",
     "weekly_store_roundtrip": f"""WITH {EV} SELECT {week('pickup_datetime')} AS week_name,
   count(*) AS trips FROM ev GROUP BY 1""",
+    "weeks_kept_current": f"""WITH {EV} SELECT {week('pickup_datetime')} AS week_name,
+  count(*) AS trips, min("VendorID") AS first_vendor FROM ev
+WHERE pickup_datetime::DATE <> DATE '2024-01-20'
+  AND NOT (pickup_datetime::DATE = DATE '2024-01-03' AND "VendorID" % 2 <> 0) GROUP BY 1""",
     "week_table_roundtrip": f"""WITH {EV} SELECT {week('pickup_datetime')} AS week_name, taxi_type,
   count(*) AS trips FROM ev GROUP BY 1, 2""",
     "csv_roundtrip": f"""WITH {EV_T}, {scored(by_week=True)}, f AS ({anomaly_table()})

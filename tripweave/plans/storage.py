@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tripweave.functions.weeks import parse_day, week_name, week_name_of
 from tripweave.operators.days import range_status, trips_in_range, trips_on
-from tripweave.operators.sinks import register_week, save_days, save_weeks
+from tripweave.operators.sinks import register_week, save_days, save_weeks, unregister_week
+from tripweave.plans.published import changed_weeks, files_of_days, record, remove_weeks
 from tripweave.sources.fleets import SourceSpec, load_trips
 from tripweave.sources.folders import data_files, key_folders
 from tripweave.sources.stores import load_days
@@ -81,12 +82,16 @@ def process_weekly(
     single_week: bool = False,
     weeks: Sequence[str] | None = None,
     since: str | None = None,
+    prune: bool = False,
 ) -> list[str] | None:
     """Publish stored days by week; returns the week names, or None without data.
 
-    One job writes a folder per week. ``weeks`` names the weeks to publish, ``since`` a day
-    from whose week on weeks are published; days of other weeks are not read, and their folders
-    and tables stay untouched. With ``as_tables`` each folder also becomes a catalog table named
+    One job writes a folder per week. Without ``weeks`` and ``since`` only those weeks are
+    written whose days or files are not those of their last publication: a day that is new,
+    stored again or removed takes its week along, and no other day is read. ``weeks`` names
+    the weeks to publish, ``since`` a day from whose week on weeks are published, changed or
+    not; folders and tables of other weeks stay untouched. A published week whose days have
+    all left the store stays as it is, or goes with ``prune``. With ``as_tables`` each folder also becomes a catalog table named
     after its week. Every row goes to the week of its own day; ``single_week`` keeps the older
     habit of putting all stored days into the week of the first one.
     """
@@ -95,19 +100,34 @@ def process_weekly(
     if single_week and stored:
         stored = dict.fromkeys(stored, stored[min(stored)])
     wanted = set(stored.values()) if weeks is None else set(weeks)
+    all_of_them = weeks is None and since is None
+    if prune and all_of_them and stored:  # an empty store is a wrong path more likely
+        gone = set(key_folders(spark, weekly_dir, "week_name")) - wanted
+        for name in gone if as_tables else ():
+            unregister_week(spark, weekly_dir, name, f"{database}.{name}" if database else name)
+        remove_weeks(spark, weekly_dir, gone)
     if since is not None:
         first = week_name_of(parse_day(since))
         later = {w for d, w in stored.items() if d >= since or w == first}
         wanted &= later
-    chosen = sorted(d for d, w in stored.items() if w in wanted)
-    days = load_days(spark, daily_dir, chosen)
-    if days is None:
+    files = files_of_days(spark, daily_dir, [d for d, w in stored.items() if w in wanted])
+    made_of: dict[str, dict[str, frozenset[str]]] = {}
+    for day, names in files.items():
+        if names:  # a folder without files is no stored day
+            made_of.setdefault(stored[day], {})[day] = names
+    if not made_of:
         return None
-    names = sorted({stored[d] for d in chosen})
-    # Named by day folder, and stored days sit together already: no join and no shuffle.
-    week = F.lit(names[0]) if single_week else week_name(F.col("pickup_date"))
-    save_weeks(days.withColumn("week_name", week).drop("pickup_date"), weekly_dir, rebalance=False)
+    now = set(made_of)
+    if all_of_them:
+        now = changed_weeks(spark, daily_dir, weekly_dir, made_of)
+    days = load_days(spark, daily_dir, sorted(d for w in now for d in made_of[w]))
+    if days is not None:
+        # Named by day folder, and stored days sit together already: no join and no shuffle.
+        week = F.lit(min(now)) if single_week else week_name(F.col("pickup_date"))
+        rows = days.withColumn("week_name", week).drop("pickup_date")
+        save_weeks(rows, weekly_dir, rebalance=False)
+        record(spark, daily_dir, weekly_dir, {w: made_of[w] for w in now})
     if as_tables:
-        for name in names:
+        for name in sorted(made_of):
             register_week(spark, weekly_dir, name, f"{database}.{name}" if database else name)
-    return names
+    return sorted(made_of)

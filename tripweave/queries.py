@@ -20,6 +20,7 @@ from tripweave.functions.weeks import (
     week_parts,
 )
 from tripweave.operators import anomaly, cleaning, days, facts, metrics, quality, report, sinks
+from tripweave.operators.days import trips_on
 from tripweave.plans.metrics_job import prepare, run_all_weeks, run_week
 from tripweave.plans.report_job import report_all_weeks, report_week
 from tripweave.plans.storage import (
@@ -38,6 +39,7 @@ from tripweave.sources.fleets import (
     pickup_only,
     read_versions,
 )
+from tripweave.sources.folders import remove
 from tripweave.sources.metric_files import read_all_weeks_metric, read_metric_csv
 from tripweave.sources.sample_tables import (
     event_trips,
@@ -668,6 +670,22 @@ def weekly_store_roundtrip(spark, sf_dir):
     return spark.read.parquet(weekly).groupBy("week_name").agg(F.count(F.lit(1)).alias("trips"))
 
 
+@query
+def weeks_kept_current(spark, sf_dir):
+    """Published weeks after one day was stored again with fewer trips and one was removed."""
+    store, weekly = shared_dir(spark, "daily"), shared_dir(spark, "weekly")
+    trips = event_trips(spark, sf_dir)
+    sinks.save_days(trips, store)
+    process_weekly(spark, store, weekly)
+    fewer = trips_on(trips, "2024-01-03").filter(F.col("VendorID") % 2 == 0)
+    sinks.save_days(fewer, store, one_day=True)
+    remove(spark, f"{store}/pickup_date=2024-01-20")
+    process_weekly(spark, store, weekly)
+    return spark.read.parquet(weekly).groupBy("week_name").agg(
+        F.count(F.lit(1)).alias("trips"), F.min("VendorID").alias("first_vendor")
+    )
+
+
 @query
 def week_table_roundtrip(spark, sf_dir):
     """Stored days published as tables, the last week once more; counted by week and type."""

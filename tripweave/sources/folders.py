@@ -37,3 +37,24 @@ def data_files(spark: SparkSession, path: str) -> frozenset[str]:
 def remove(spark: SparkSession, path: str) -> None:
     files, location = _at(spark, path)
     files.delete(location, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, location = _at(spark, path)
+    stream = files.create(location, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None where there is none."""
+    files, location = _at(spark, path)
+    if not files.exists(location):
+        return None
+    stream = files.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
