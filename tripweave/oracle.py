@@ -33,6 +33,19 @@ def week(x: str) -> str:
     return f"'week_'||{number}||'_'||lower(strftime({x},'%B'))||'_'||year({x})::VARCHAR"
 
 
+def clock(x: str) -> str:
+    """What New York's clocks did with a local time of 2024."""
+    return f"""CASE WHEN {x} >= TIMESTAMP '2024-03-10 02:00' AND {x} < TIMESTAMP '2024-03-10 03:00'
+    THEN 'skipped' WHEN {x} >= TIMESTAMP '2024-11-03 01:00' AND {x} < TIMESTAMP '2024-11-03 02:00'
+    THEN 'repeated' ELSE 'regular' END"""
+
+
+def first_offset(x: str) -> str:
+    """New York's distance from UTC, that of summer in the repeated hour."""
+    return f"""CASE WHEN {x} >= TIMESTAMP '2024-03-10 03:00'
+    AND {x} < TIMESTAMP '2024-11-03 02:00' THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END"""
+
+
 EV = """ev AS (
   SELECT event_id AS "VendorID", ts AS pickup_datetime,
     ts + to_minutes(CAST(1 + event_id % 60 AS INTEGER)) AS dropoff_datetime,
@@ -326,6 +339,16 @@ SELECT week_name, initial_rows, final_rows, initial_rows - final_rows AS removed
     pickup_datetime + CASE taxi_type WHEN 'Green' THEN INTERVAL 5 HOUR ELSE INTERVAL 6 HOUR END AS p
   FROM ev)
 SELECT {day('p')} AS date, taxi_type, count(*) AS trips FROM z GROUP BY 1, 2""",
+    "clock_changes": f"""WITH {EV}, g AS (
+  SELECT pickup_datetime + to_days(d) AS p, dropoff_datetime + to_days(d) AS q
+  FROM ev, (VALUES (60), (298)) AS moved(d) WHERE taxi_type = 'Green'),
+k AS (SELECT p, q, {clock('p')} AS pickup_clock, {clock('q')} AS dropoff_clock FROM g),
+u AS (SELECT *, p + {first_offset('p')} AS pickup, q + {first_offset('q')} AS early FROM k),
+t AS (SELECT *, CASE WHEN early < pickup AND dropoff_clock = 'repeated'
+  AND early + INTERVAL 1 HOUR >= pickup THEN early + INTERVAL 1 HOUR ELSE early END AS dropoff
+  FROM u)
+SELECT {day('pickup')} AS date, pickup_clock, dropoff_clock, count(*) AS trips,
+  min(pickup) AS first_pickup, max(dropoff) AS last_dropoff FROM t GROUP BY 1, 2, 3""",
     "schema_versions": f"""WITH {EV} SELECT {day('pickup_datetime')} AS date, count(*) AS trips,
   count(*) FILTER (pickup_datetime >= TIMESTAMP '2024-01-16') AS with_surcharge
 FROM ev GROUP BY 1""",

@@ -339,6 +339,27 @@ def multi_city_union(spark, sf_dir):
     return metrics.count_by_day_and_type(combine([east.normalize(green), west.normalize(yellow)]))
 
 
+@query
+def clock_changes(spark, sf_dir):
+    """Trips of two days on which the clocks of a city change, moved to UTC and marked."""
+    green, _ = raw_fleets(spark, sf_dir)
+    moved = [
+        green.withColumns({c: F.col(c) + F.make_dt_interval(F.lit(d)) for c in GREEN_RENAMES})
+        for d in (60, 298)  # January 10th to March 10th and to November 3rd
+    ]
+    east = SourceSpec("east", GREEN_RENAMES, time_zone="America/New_York", mark_clock=True)
+    trips = east.normalize(moved[0].unionByName(moved[1]))
+    return (
+        trips.withColumn("date", date_text(F.col("pickup_datetime")))
+        .groupBy("date", "pickup_clock", "dropoff_clock")
+        .agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.min("pickup_datetime").alias("first_pickup"),
+            F.max("dropoff_datetime").alias("last_dropoff"),
+        )
+    )
+
+
 @query
 def schema_versions(spark, sf_dir):
     """Files of two schema versions read back as one table, counted by day."""

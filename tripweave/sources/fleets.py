@@ -22,9 +22,11 @@ from tripweave.contracts import (
 )
 from tripweave.functions.numbers import exact
 from tripweave.functions.weeks import parse_day
+from tripweave.functions.zones import clock_kind, first_reading, last_reading, reading_after
 from tripweave.sources.footers import group_files, merged_schema, read_groups
 
 TRIP_TIMES = ("pickup_datetime", "dropoff_datetime")
+CLOCK_MARKS = {"pickup_datetime": "pickup_clock", "dropoff_datetime": "dropoff_clock"}
 
 
 def _widened(found: T.StructField) -> Column:
@@ -43,6 +45,11 @@ class SourceSpec:
     local times moved to ``target_zone``. Files whose types changed over time are widened
     from their footers with ``widen``, or read by ``versions`` and a ``file_day`` pattern
     whose first group is the date (or the month) in a file's path.
+
+    A local time that the clocks show twice is its first occurrence, but a dropoff that would
+    then lie before its pickup is the second one; with ``second_of_repeated`` all are. A
+    time that the clocks skip moves on by the gap. ``mark_clock`` adds what each time is
+    (see `clock_kind`), for `count_clock_marks`.
     """
 
     tag: str
@@ -53,6 +60,8 @@ class SourceSpec:
     versions: tuple[SchemaVersion, ...] = ()
     file_day: str = r"(\d{4}-\d{2}(?:-\d{2})?)"
     widen: bool = False
+    second_of_repeated: bool = False
+    mark_clock: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All files, each column of any of them included.
@@ -86,16 +95,21 @@ class SourceSpec:
         """
         columns = [_widened(f).alias(self.renames.get(f.name, f.name)) for f in raw.schema.fields]
         trips = raw.select(*columns).withColumn("taxi_type", F.lit(self.tag))
-        if self.time_zone is None:
-            return trips
-        shifted = {
-            c: F.convert_timezone(
-                F.lit(self.time_zone), F.lit(self.target_zone), F.col(c).cast("timestamp_ntz")
+        return trips if self.time_zone is None else self._shifted(trips, self.time_zone)
+
+    def _shifted(self, trips: DataFrame, zone: str) -> DataFrame:
+        local = {c: F.col(c).cast("timestamp_ntz") for c in TRIP_TIMES if c in trips.columns}
+        read = last_reading if self.second_of_repeated else first_reading
+        moved = {c: read(at, zone, self.target_zone) for c, at in local.items()}
+        if len(moved) == len(TRIP_TIMES) and not self.second_of_repeated:
+            pickup, dropoff = TRIP_TIMES
+            moved[dropoff] = reading_after(
+                moved[pickup], local[dropoff], zone, self.target_zone
             )
-            for c in TRIP_TIMES
-            if c in trips.columns
-        }
-        return trips.withColumns(shifted)
+        marks = {}
+        if self.mark_clock:
+            marks = {CLOCK_MARKS[c]: clock_kind(at, zone) for c, at in local.items()}
+        return trips.withColumns(moved | marks)
 
 
 GREEN = SourceSpec(GREEN_TAG, GREEN_RENAMES)
@@ -120,6 +134,12 @@ def combine(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, picked)
 
 
+def count_clock_marks(trips: DataFrame) -> DataFrame:
+    """(taxi_type, pickup_clock, dropoff_clock, trips) of marked trips, in one row per kind."""
+    kinds = [m for m in CLOCK_MARKS.values() if m in trips.columns]
+    return trips.groupBy("taxi_type", *kinds).agg(F.count(F.lit(1)).alias("trips"))
+
+
 def load_trips(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
     """Read, normalize and combine the given sources as one lazy plan."""
     return combine([spec.normalize(spec.read(spark)) for spec in specs])
