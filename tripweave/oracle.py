@@ -275,6 +275,12 @@ DAY_RATIOS = f"""{EV_T}, a AS ({AVERAGES_TABLE}), m AS (SELECT taxi_type,
     {mean('avg_total_amount')} AS total, {mean('avg_trip_duration_minutes')} AS minutes
   FROM a GROUP BY 1)"""
 
+WINDOWS = f"""WITH {EV}, w AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, pickup_datetime, TIMESTAMP '2000-01-01') AS window_start,
+    taxi_type, count(*) AS trips, {total2('total_amount')} AS revenue FROM ev GROUP BY 1, 2)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, taxi_type, trips, revenue
+FROM w"""
+
 ORACLE: dict[str, str] = {
     "trips_per_day": f"WITH {EV_T} {TRIPS_TABLE}",
     "trips_per_day_lines": f"WITH {LI_T} {TRIPS_TABLE}",
@@ -484,9 +490,11 @@ WHERE pickup_datetime::DATE <> DATE '2024-01-20'
     "csv_roundtrip": f"""WITH {EV_T}, {scored(by_week=True)}, f AS ({anomaly_table()})
 SELECT *, {WEEK_OF_DATE} AS week_name FROM f""",
     "report_from_csv": KPIS,
-    "stream_window_counts": f"""WITH {EV}, w AS (
-  SELECT time_bucket(INTERVAL 5 MINUTE, pickup_datetime, TIMESTAMP '2000-01-01') AS window_start,
-    taxi_type, count(*) AS trips, {total2('total_amount')} AS revenue FROM ev GROUP BY 1, 2)
-SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, taxi_type, trips, revenue
-FROM w""",
+    "stream_window_counts": WINDOWS,
+    "json_window_counts": WINDOWS,
+    "json_lines_set_apart": """WITH c AS (SELECT
+    count(*) FILTER (event_id % 50 = 0) + count(*) FILTER (event_id % 70 = 0) AS broken,
+    count(*) FILTER (event_id % 90 = 0) AS incomplete FROM events)
+SELECT 'broken' AS problem, broken AS lines FROM c WHERE broken > 0
+UNION ALL SELECT 'incomplete', incomplete FROM c WHERE incomplete > 0""",
 }

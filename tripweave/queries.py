@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripweave.contracts import GREEN_RENAMES, METRIC_NAMES, YELLOW_RENAMES, MetricsConfig
 from tripweave.functions.numbers import format_count, format_money
@@ -56,6 +57,14 @@ from tripweave.sources.stores import (
     load_weeks,
     stored_days,
 )
+from tripweave.streaming.json_lines import (
+    TIMES,
+    land_lines,
+    parse_lines,
+    set_apart,
+    stream_lines,
+    stream_sound,
+)
 from tripweave.streaming.windows import (
     all_windows,
     stream_parquet,
@@ -804,3 +813,48 @@ def stream_window_counts(spark, sf_dir):
     counts = window_counts(events_as_trips(stream))
     write_windows(counts, out, state, fail_on_late=True)
     return all_windows(spark, out, state)
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """A folder with the events as lines of JSON, cut and doubled ones between them."""
+    events, folder = table(spark, sf_dir, "events"), shared_dir(spark, "lines")
+    schema = events.select("event_id", "ts", "event_type", "value").schema
+    whole = F.to_json(F.struct(*schema.fieldNames()), {**TIMES, "ignoreNullFields": "false"})
+    n = F.col("event_id")
+    more = F.array_compact(
+        F.array(
+            F.col("line"),
+            F.when(n % 50 == 0, F.expr("left(line, length(line) DIV 2)")),
+            F.when(n % 70 == 0, F.concat("line", "line")),
+            F.when(n % 90 == 0, F.lit('{"event_id":1}')),
+        )
+    )
+    lines = events.select("event_id", whole.alias("line")).select(F.explode(more).alias("value"))
+    lines.write.text(folder)
+    return folder, schema
+
+
+def landed_events(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    folder, schema = event_lines(spark, sf_dir)
+    landed, state = shared_dir(spark, "landed"), shared_dir(spark, "landed-state")
+    lines = stream_lines(spark, folder, "part-*")
+    land_lines(parse_lines(lines, schema, ["ts"]), landed, state)
+    return landed, schema
+
+
+@query
+def json_window_counts(spark, sf_dir):
+    """As `stream_window_counts`, from lines of JSON with broken ones between."""
+    landed, schema = landed_events(spark, sf_dir)
+    out, state = shared_dir(spark, "windows"), shared_dir(spark, "windows-state")
+    counts = window_counts(events_as_trips(stream_sound(spark, landed, schema)))
+    write_windows(counts, out, state, fail_on_late=True)
+    return all_windows(spark, out, state)
+
+
+@query
+def json_lines_set_apart(spark, sf_dir):
+    """The lines that are no sound event, counted by what is wrong with them."""
+    landed, schema = landed_events(spark, sf_dir)
+    apart = set_apart(spark, landed, schema)
+    return apart.groupBy("problem").agg(F.count(F.lit(1)).alias("lines"))
