@@ -174,6 +174,52 @@ def test_days_may_differ_in_columns(spark, make_trips, tmp_path):
     assert [r["tip_amount"] for r in rows] == [None, 1.5]
 
 
+def test_reading_a_store_opens_no_footer(spark, make_trips, tmp_path):
+    store, tracker = str(tmp_path / "daily"), spark.sparkContext.statusTracker()
+    sinks.save_days(make_trips([trip()]), store)
+    later = make_trips([trip(pickup="2024-01-02 08:00:00")])
+    sinks.save_days(later.withColumn("tip_amount", F.lit(1.5)), store)
+    sinks.save_days(later.withColumn("extra", F.lit(2)).limit(0), store)
+    spark.sparkContext.setJobGroup("open", "open")
+    days = stores.load_days(spark, store)
+    assert set(days.columns) >= {"tip_amount", "extra"}
+    assert len(tracker.getJobIdsForGroup("open")) == 0
+    spark.sparkContext.setJobGroup("read", "read")
+    rows = days.orderBy("pickup_date").collect()
+    assert [(r["tip_amount"], r["extra"]) for r in rows] == [(None, None), (1.5, None)]
+    assert [str(r["pickup_date"]) for r in rows] == ["2024-01-01", "2024-01-02"]
+    spark.sparkContext.setJobGroup("", "")
+    assert len(list((tmp_path / "daily" / "_schemas").glob("*.json"))) == 3
+    sinks.save_days(make_trips([trip()]), store)
+    assert len(list((tmp_path / "daily" / "_schemas").glob("*.json"))) == 3
+
+
+def test_a_store_without_notes_keeps_its_columns(spark, make_trips, tmp_path):
+    store = str(tmp_path / "daily")
+    old = make_trips([trip()]).withColumns({"tip_amount": F.lit(1.5), "pickup_date": F.lit("2024-01-01")})
+    old.write.partitionBy("pickup_date").parquet(store)
+    assert stores.load_days(spark, store).first()["tip_amount"] == 1.5
+    sinks.save_days(make_trips([trip(pickup="2024-01-02 08:00:00")]), store)
+    rows = stores.load_days(spark, store).orderBy("pickup_date").collect()
+    assert [r["tip_amount"] for r in rows] == [1.5, None]
+
+
+def test_days_that_changed_a_type_are_read_by_their_footers(spark, make_trips, tmp_path):
+    store, trips = str(tmp_path / "daily"), make_trips([trip()])
+    sinks.save_days(trips.withColumn("extra", F.lit(1)), store)
+    sinks.save_days(trips.withColumn("extra", F.lit("one")), store)
+    assert stores.load_days(spark, store).first()["extra"] == "one"
+
+
+def test_no_stored_rows_is_none(spark, make_trips, tmp_path):
+    store = str(tmp_path / "daily")
+    sinks.save_days(make_trips([trip()]).limit(0), store)
+    assert stores.load_days(spark, store) is None
+    sinks.save_days(make_trips([trip()]), store)
+    assert stores.load_days(spark, store, ["2024-01-05"]) is None
+    assert stores.load_days(spark, store, ["2024-01-01"]).count() == 1
+
+
 def test_stored_days_are_listed_with_their_week(spark, make_trips, tmp_path):
     store = str(tmp_path / "daily")
     stamps = ["2024-02-29 23:00:00", "2024-03-01 00:00:00", "2024-03-01 09:00:00"]

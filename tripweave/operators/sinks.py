@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tripweave.contracts import JDBC_BATCH_ROWS, METRIC_KEYS, METRIC_SCHEMAS
 from tripweave.functions.weeks import metric_file_name, week_name
 from tripweave.operators.metrics import in_order
+from tripweave.sources.schemas import note_schema
 
 _MONEY = ("total_revenue_per_day", "avg_fare_amount", "avg_total_amount")
 
@@ -25,6 +26,7 @@ def _replace_folders(
     every folder. It gathers rows by key, yet splits a key that holds most of them; with
     one value of the key there is nothing to gather by.
     """
+    note_schema(df.sparkSession, path, key, df.schema)
     if rebalance:
         df = df.hint("rebalance") if one_value else df.hint("rebalance", key)
     (

@@ -28,10 +28,12 @@ def key_folders(spark: SparkSession, path: str, key: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
 
 
-def data_files(spark: SparkSession, path: str) -> frozenset[str]:
+def data_files(
+    spark: SparkSession, path: str, hidden: str | tuple[str, ...] = ("_", ".")
+) -> frozenset[str]:
     """Names of the data files directly in a folder."""
     names = (s.getPath().getName() for s in _children(spark, path) if s.isFile())
-    return frozenset(n for n in names if not n.startswith(("_", ".")))
+    return frozenset(n for n in names if not n.startswith(hidden))
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -49,7 +49,7 @@ def _same_case(spark: SparkSession):
     return str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
 
 
-def _together(spark: SparkSession, a: T.StructType, b: T.StructType) -> T.StructType | None:
+def same_columns(spark: SparkSession, a: T.StructType, b: T.StructType) -> T.StructType | None:
     """The columns of both, or None where one column has two types."""
     key = _same_case(spark)
     known = {key(f.name): f.dataType for f in a}
@@ -82,7 +82,7 @@ def group_files(spark: SparkSession, paths: Sequence[str]) -> list[FileGroup]:
     groups: list[FileGroup] = []
     for _, new in sorted(found.items()):
         for i, old in enumerate(groups):
-            schema = _together(spark, old.schema, new.schema)
+            schema = same_columns(spark, old.schema, new.schema)
             if schema is not None:
                 groups[i] = FileGroup(schema, old.paths + new.paths)
                 break

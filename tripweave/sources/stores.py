@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.contracts import UNKNOWN_WEEK, DataValidationError
 from tripweave.functions.weeks import week_name, week_range
 from tripweave.sources.folders import key_folders
+from tripweave.sources.schemas import noted_schema
 
 
 def load_days(
@@ -18,11 +19,15 @@ def load_days(
 ) -> DataFrame | None:
     """Every stored day, or those in ``days``; None when nothing has been stored yet.
 
-    Columns that only some days have are NULL on the others; the footers of the days that
-    are read are looked at in a distributed job to find them.
+    Columns that only some days have are NULL on the others. They are noted with the store,
+    and no footer is opened; for a store without notes, or whose days differ in a type, the
+    footers of the days that are read are looked at in a distributed job.
     """
-    reader = spark.read.option("mergeSchema", True)
     root = daily_dir.rstrip("/")
+    stored = set(key_folders(spark, root, "pickup_date"))
+    if not stored or not stored.issuperset(days or ()):
+        return None
+    reader = _reader(spark, root)
     try:
         if days is None:
             return reader.parquet(root)
@@ -35,6 +40,13 @@ def load_days(
         raise
 
 
+def _reader(spark: SparkSession, root: str) -> DataFrameReader:
+    schema = noted_schema(spark, root)
+    if schema is None:
+        return spark.read.option("mergeSchema", True)
+    return spark.read.schema(schema)
+
+
 def stored_days(spark: SparkSession, daily_dir: str) -> DataFrame:
     """One row per stored day, with its `week_name`, from the names of the day folders."""
     rows = [(d,) for d in key_folders(spark, daily_dir, "pickup_date")]
@@ -61,7 +73,7 @@ def load_weeks(spark: SparkSession, weekly_dir: str, weeks: Sequence[str]) -> Da
     """Several weeks of the weekly store with their `week_name`, in one scan."""
     root = weekly_dir.rstrip("/")
     paths = [f"{root}/week_name={w}" for w in weeks]
-    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths)
+    return _reader(spark, root).option("basePath", root).parquet(*paths)
 
 
 def _checked(df: DataFrame, what: str) -> DataFrame:
