@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ import corpus_pipeline
 from tests.compare import compare, connect
 from tests.conftest import SF_DIR
 from tests.test_oracle import SPARK_TO_DUCK
-from tripweave.llm import components, decontaminate, line_dedup, simhash, warc
+from tripweave.llm import components, decontaminate, frames, line_dedup, simhash, warc
 from tripweave.llm.oracle import ORACLE
 from tripweave.llm.queries import QUERIES
 
@@ -254,6 +255,71 @@ def test_links_equal_all_pairs(spark, monkeypatch, distance, hot):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+@pytest.mark.parametrize("batch", [64, 10_000])
+def test_hot_buckets_are_cut_until_none_is_left(spark, monkeypatch, batch):
+    """All fingerprints agree in most bits; buckets are larger than a batch and than the bound."""
+    monkeypatch.setattr(simhash, "HOT", 40)
+    sizes = []
+    spread = simhash._spread
+    monkeypatch.setattr(simhash, "_spread", lambda f, d: sizes.append(len(f)) or spread(f, d))
+    rng = random.Random(batch)
+    prints = {rng.getrandbits(17) << 20 | rng.getrandbits(2) << 62 for _ in range(1500)}
+    masks = simhash.segments(2)
+    rows, links = [(b, None, v) for v in prints for b in range(64)], set()
+    while rows:
+        keyed = []
+        for bit, mask, v in rows:
+            own = simhash._segment_of(bit, masks) & ~(1 << bit) if mask is None else mask
+            keyed.append((bit, *([] if mask is None else [mask]), v & own, v))
+        signed = [[x - (1 << 64) if x >> 63 else x for x in r] for r in sorted(keyed)]
+        signed.sort()
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)],
+                                       [str(k) for k in range(len(part[0]))])
+            for part in (signed[k : k + batch] for k in range(0, len(signed), batch))
+        ]
+        n_keys, rows = len(signed[0]) - 1, []
+        for found in simhash._linker(masks, 2, n_keys, simhash.HOT)(iter(batches)):
+            for bit, mask, a, b in zip(*(c.to_pylist() for c in found.columns), strict=True):
+                unsigned = tuple(x & (1 << 64) - 1 for x in (mask, a, b))
+                if bit >= 0:
+                    rows.append((bit, unsigned[0], unsigned[1]))
+                else:
+                    links.add(unsigned[1:])
+        assert len(rows) == len(set(rows))
+    assert max(sizes) <= 2 ** (2 * 2 + 2)
+    root = {v: v for v in prints}
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in links:
+        assert bin(a ^ b).count("1") <= 2
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    assert {v: top(v) for v in prints} == roots_of(prints, 2)
+
+
+def test_one_of_a_group_under_odd_column_names(spark):
+    rows = [(2, "one two three four", 1), (1, "one two three four", 2), (3, "else", 3)]
+    for doc, text in (("doc.id", "te xt"), ("fingerprint", "component_id"), ("fp", "copies")):
+        df = spark.createDataFrame(rows, "a long, b string, c long").toDF(doc, text, "n")
+        kept = simhash.keep_one(df, doc=doc, text=text)
+        assert kept.columns == df.columns
+        assert sorted(r[0] for r in kept.collect()) == [1, 3]
+
+
+def test_heavy_keys_are_looked_up_like_others(spark):
+    rows = [(7, k) for k in range(3000)] + [(k, k) for k in range(100, 2100)]
+    df = spark.createDataFrame(rows, "key long, v long")
+    names = df.groupBy("key").agg(F.count("*").alias("n")).withColumn("name", F.col("key") * 2)
+    out = frames.looked_up(df, "key", names, len(rows))
+    assert sorted(map(tuple, out.collect())) == sorted((k, v, 2 * k) for k, v in rows)
+    assert frames.looked_up(df.limit(0), "key", names.limit(0), 0).count() == 0
+
+
 def test_groups_with_nulls_and_repeats(spark):
     text = "one two three four five six"
     rows = [(3, text), (1, text.upper()), (3, text), (None, text), (7, None), (8, " \n"), (9, "other words")]

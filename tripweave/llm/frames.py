@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripweave.session import shared_dir
 
@@ -56,6 +57,23 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return saved_at(df, label)[0]
 
 
+#: A key is heavy if it has more than one in so many of all rows; fewer keys than that can be.
+HEAVY = 1_000
+
+
+def looked_up(rows: DataFrame, key: str, names: DataFrame, total: int) -> DataFrame:
+    """The ``total`` rows joined with ``names``: each key once, ``n`` its number of rows.
+
+    Heavy keys go out to all tasks and their rows stay where they are, so that none of them
+    fills a task; the others meet through a shuffle.
+    """
+    heavy = F.col("n") * HEAVY > total
+    common = F.broadcast(names.filter(heavy))
+    here = rows.join(common, key)
+    rest = rows.join(common.select(key), key, "left_anti").join(names.filter(~heavy), key)
+    return here.unionByName(rest).drop("n")
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its offsets; nulls are empty."""
     column = column.fill_null("").cast(pa.large_string())

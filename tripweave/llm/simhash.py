@@ -8,8 +8,10 @@ together, and each candidate is verified by its distance.
 Only distinct fingerprints are indexed, so copies cost nothing. Small buckets are compared in
 whole; in larger ones a search spreads from one fingerprint to all within reach and goes on
 with what it has not reached, which for a dense group is about one comparison per member,
-and hands on one link per member instead of all pairs. Buckets above ``HOT`` are cut once more by
-the pigeonhole principle before that. All links count, none is dropped.
+and hands on one link per member instead of all pairs. Buckets above ``HOT`` are cut by the
+pigeonhole principle before that, level by level until none is left above it or fewer than
+``2 * (d + 1)`` bits are free, which bounds a bucket by ``2 ** (2 * d + 2)`` fingerprints. A task
+passes the rows of a hot bucket on as they come. All links count, none is dropped.
 
 Defined results: a null text has no words; texts without words have fingerprint zero and
 link like others; texts with fewer words than a shingle have one shingle; a component is
@@ -22,6 +24,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,15 +33,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.numbers import exact
 from tripweave.llm.components import components
-from tripweave.llm.frames import free_name, saved
+from tripweave.llm.frames import free_name, looked_up, saved
 
 SEED = 42
 #: Members up to which all pairs of a bucket are compared at once.
 SMALL = 16
 #: Members above which a bucket is cut into finer ones.
 HOT = 4_000
-LINKS = pa.schema([("bit", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+FOUND = "bit int, mask bigint, a bigint, b bigint"
 
 
 def fingerprint(text: str, width: int) -> int:
@@ -103,19 +107,17 @@ def variants(prints: DataFrame, masks: list[int]) -> DataFrame:
     )
 
 
-def _finer(hot: DataFrame, masks: list[int], distance: int) -> DataFrame:
-    """Rows of hot buckets under an equal part of the bits outside their segment as well."""
-    parts = []
-    for bit in range(64):
-        rest = [b for b in range(64) if not _segment_of(bit, masks) >> b & 1]
-        n = distance + 1
-        cuts = [len(rest) * k // n for k in range(n + 1)]
-        masks_of = [sum(1 << b for b in rest[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
-        parts.append(F.array(*[F.lit(_signed(m)).cast("long") for m in masks_of]))
-    of_bit = F.array(*parts)[F.col("bit")]
-    return hot.select("bit", "key", "fp", F.posexplode(of_bit).alias("part", "mask")).select(
-        "bit", "key", "fp", "part", F.col("fp").bitwiseAND(F.col("mask")).alias("sub")
-    )
+@lru_cache(maxsize=100_000)
+def _finer(bit: int, mask: int, masks: tuple[int, ...], distance: int) -> list[int]:
+    """``mask``, the bits that agree in a bucket, with each part of the free bits outside the
+    segment: two fingerprints within the distance agree in one of them. Empty if few are free."""
+    taken = mask | _segment_of(bit, masks)
+    free = [b for b in range(64) if not taken >> b & 1]
+    n = distance + 1
+    if len(free) < 2 * n:
+        return []
+    cuts = [len(free) * k // n for k in range(n + 1)]
+    return [mask | sum(1 << b for b in free[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
 def _spread(fps: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
@@ -156,91 +158,114 @@ def _small_pairs(bit, group, fps, masks, distance):
     return out
 
 
-def _linker(masks: list[int], distance: int, n_keys: int, most: int | None):
-    """Links within buckets; the rows come sorted by bucket.
+def _linker(masks: list[int], distance: int, n_keys: int, most: int):
+    """Links within buckets; the rows (bit, key, fp) or (bit, mask, key, fp) come sorted by bucket.
 
-    Rows of buckets with more than ``most`` members come out with their bit instead of a link.
+    Links come out with bit -1. Members of buckets with more than ``most`` come out with their
+    bit, once under the mask of each finer bucket.
     """
+    most = max(most, SMALL)
+
+    def finer(row: np.ndarray) -> list[int]:
+        bit = int(row[0])
+        mask = int(row[1]) & (1 << 64) - 1 if n_keys == 3 else _segment_of(bit, masks) & ~(1 << bit)
+        return _finer(bit, mask, tuple(masks), distance)
+
+    def hot(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        fps = np.ascontiguousarray(rows[:, -1]).view(np.uint64)
+        for mask in finer(rows[0]):
+            yield _found(rows[:, 0], np.full(len(fps), mask, np.uint64), fps, fps)
+
+    def work(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(rows):
+            return
+        keys, fps = rows[:, :n_keys], np.ascontiguousarray(rows[:, -1]).view(np.uint64)
+        new = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        starts = np.concatenate([[0], new])
+        sizes = np.diff(np.concatenate([starts, [len(rows)]]))
+        group = np.repeat(np.arange(len(starts)), sizes)
+        few = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
+        small = fps[few]
+        for i, j in _small_pairs(rows[few][:, 0], group[few], small, masks, distance):
+            if len(i):
+                yield _linked(small[i], small[j])
+        for k in np.flatnonzero(sizes > SMALL):
+            members = slice(starts[k], starts[k] + sizes[k])
+            if sizes[k] > most and finer(rows[starts[k]]):
+                yield from hot(rows[members])
+                continue
+            found = list(_spread(fps[members], distance))
+            if found:
+                yield _linked(*np.array(found, dtype=np.uint64).T)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def work(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            if not len(rows):
-                return
-            keys, fps = rows[:, :n_keys], np.ascontiguousarray(rows[:, -1]).view(np.uint64)
-            new = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            starts = np.concatenate([[0], new])
-            sizes = np.diff(np.concatenate([starts, [len(rows)]]))
-            group = np.repeat(np.arange(len(starts)), sizes)
-            few = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
-            bit = rows[few][:, 0]
-            small = fps[few]
-            for i, j in _small_pairs(bit, group[few], small, masks, distance):
-                if len(i):
-                    yield _links(np.full(len(i), -1), small[i], small[j])
-            for k in np.flatnonzero(sizes > SMALL):
-                members = slice(starts[k], starts[k] + sizes[k])
-                if most is not None and sizes[k] > most:
-                    some = fps[members]
-                    yield _links(rows[members, 0], some, some)
-                    continue
-                found = list(_spread(fps[members], distance))
-                if found:
-                    a, b = np.array(found, dtype=np.uint64).T
-                    yield _links(np.full(len(a), -1), a, b)
-
+        held: list[np.ndarray] = []  # rows of the last bucket, which may go on
+        passing: np.ndarray | None = None  # a hot bucket whose rows are passed on
         for batch in batches:
             rows = np.stack([np.asarray(c, dtype=np.int64) for c in batch.columns], axis=1)
+            if passing is not None and len(rows):
+                other = np.flatnonzero((rows[:, :n_keys] != passing).any(axis=1))
+                n = int(other[0]) if len(other) else len(rows)
+                if n:
+                    yield from hot(rows[:n])
+                rows = rows[n:]
+                if len(rows):
+                    passing = None
             if not len(rows):
                 continue
             changes = np.flatnonzero((rows[1:, :n_keys] != rows[:-1, :n_keys]).any(axis=1))
-            last = changes[-1] + 1 if len(changes) else 0
-            if held and (last or (rows[0, :n_keys] != held[-1][-1, :n_keys]).any()):
-                if (rows[0, :n_keys] != held[-1][-1, :n_keys]).any():
-                    yield from work(np.concatenate(held))
-                    yield from work(rows[:last])
-                else:
-                    yield from work(np.concatenate([*held, rows[:last]]))
+            last = int(changes[-1]) + 1 if len(changes) else 0
+            goes_on = bool(held) and not (rows[0, :n_keys] != held[-1][-1, :n_keys]).any()
+            if held and not goes_on:
+                yield from work(np.concatenate(held))
+                held = []
+            if last:
+                yield from work(np.concatenate([*held, rows[:last]]))
                 held = []
-            elif last:
-                yield from work(rows[:last])
             held.append(rows[last:])
+            if sum(map(len, held)) > most and finer(held[0][0]):
+                passing = held[0][0, :n_keys].copy()
+                yield from hot(np.concatenate(held))
+                held = []
         if held:
             yield from work(np.concatenate(held))
 
     return link
 
 
-def _links(bit: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    columns = [bit.astype(np.int32), a.view(np.int64), b.view(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=LINKS)
+def _found(bit: np.ndarray, mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    columns = [bit.astype(np.int32), *(v.view(np.int64) for v in (mask, a, b))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bit", "mask", "a", "b"])
+
+
+def _linked(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    a, b = np.ascontiguousarray(a), np.ascontiguousarray(b)
+    return _found(np.full(len(a), -1), np.zeros(len(a), np.uint64), a, b)
 
 
 def links(prints: DataFrame, distance: int) -> DataFrame:
     """Verified links (a > b) between distinct fingerprints that connect what is in reach."""
     masks = segments(distance)
-    indexed = variants(prints, masks)
-    found = (
-        indexed.repartition("bit", "key")
-        .sortWithinPartitions("bit", "key")
-        .mapInArrow(_linker(masks, distance, 2, HOT), "bit int, a bigint, b bigint")
-    )
-    found = saved(found, "simhash-links")
-    hot = found.filter(F.col("bit") >= 0).select("bit", F.col("a").alias("fp"))
-    sure = found.filter(F.col("bit") < 0)
-    if not hot.isEmpty():
-        again = variants(hot.select("fp").distinct(), masks).join(
-            hot, ["bit", "fp"], "left_semi"
+    # A row of 8 bytes becomes 64 rows: a number of its own keeps few tasks from doing that.
+    n_tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, keys = variants(prints.repartition(n_tasks, "fp"), masks), ["bit", "key"]
+    sure = None
+    while True:
+        found = saved(
+            rows.repartition(*keys)
+            .sortWithinPartitions(*keys)
+            .mapInArrow(_linker(masks, distance, len(keys), HOT), FOUND),
+            "simhash-links",
         )
-        finer = _finer(again, masks, distance).select("bit", "key", "part", "sub", "fp")
-        more = (
-            finer.repartition("bit", "key", "part", "sub")
-            .sortWithinPartitions("bit", "key", "part", "sub")
-            .mapInArrow(_linker(masks, distance, 4, None), "bit int, a bigint, b bigint")
+        level = found.filter("bit < 0").select(
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
         )
-        sure = sure.unionByName(more)
-    return sure.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        sure = level if sure is None else sure.unionByName(level)
+        hot = found.filter("bit >= 0")
+        if hot.isEmpty():
+            return sure.filter("a != b")
+        key = F.col("a").bitwiseAND(F.col("mask")).alias("key")
+        rows, keys = hot.select("bit", "mask", key, F.col("a").alias("fp")), ["bit", "mask", "key"]
 
 
 def roots(prints: DataFrame, distance: int) -> DataFrame:
@@ -248,6 +273,26 @@ def roots(prints: DataFrame, distance: int) -> DataFrame:
     return components(links(prints, distance))
 
 
+def _groups(docs: DataFrame, doc: str, text: str, width: int, distance: int) -> DataFrame:
+    """(doc, fp, component_id), one row per row of ``docs``."""
+    prints = saved(
+        docs.select(exact(doc).alias("doc"), fingerprints(exact(text), width).alias("fp")),
+        "fingerprints",
+    )
+    least = prints.groupBy("fp").agg(F.min("doc").alias("least"), F.count("*").alias("copies"))
+    rooted = roots(least.select("fp"), distance)
+    of_print = least.join(rooted, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", "copies", F.coalesce("root", "fp").alias("root")
+    )
+    of_print = saved(of_print, "simhash-roots")
+    of_root = of_print.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count("*").alias("n")
+    )
+    named = looked_up(of_print.drop("least"), "root", of_root, of_print.count())
+    named = saved(named.select("fp", F.col("copies").alias("n"), "component_id"), "simhash-names")
+    return looked_up(prints, "fp", named, prints.count()).select("doc", "fp", "component_id")
+
+
 def near_groups(
     docs: DataFrame,
     doc: str = "doc_id",
@@ -256,22 +301,7 @@ def near_groups(
     distance: int = 4,
 ) -> DataFrame:
     """(doc, fingerprint, component_id), one row per row of ``docs``."""
-    body: Column = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    keyed = docs.select(F.col(f"`{doc}`").alias("doc"), body.alias("text"))
-    prints = saved(
-        keyed.select("doc", _fingerprint_udf(width)(F.col("text")).alias("fp")), "fingerprints"
-    )
-    least = prints.groupBy("fp").agg(F.min("doc").alias("least"))
-    rooted = roots(least.select("fp"), distance)
-    of_print = least.join(rooted, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    of_print = saved(of_print, "simhash-roots")
-    of_root = of_print.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of_print.select("fp", "root").join(of_root, "root").select(
-        F.col("fp").alias("print"), "component_id"
-    )
-    return prints.join(named, F.col("fp") == F.col("print")).select(
+    return _groups(docs, doc, text, width, distance).select(
         F.col("doc").alias(doc),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -286,9 +316,11 @@ def keep_one(
     distance: int = 4,
 ) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id."""
-    groups = near_groups(docs, doc, text, width, distance)
     gone = free_name(docs, "_gone")
     dropped = (
-        groups.filter(F.col(doc) != F.col("component_id")).select(F.col(doc).alias(gone)).distinct()
+        _groups(docs, doc, text, width, distance)
+        .filter(F.col("doc") != F.col("component_id"))
+        .select(F.col("doc").alias(gone))
+        .distinct()
     )
-    return docs.join(dropped, F.col(f"`{doc}`") == F.col(gone), "left_anti")
+    return docs.join(dropped, exact(doc) == F.col(gone), "left_anti")
