@@ -66,13 +66,39 @@ def _flag(rule: AnomalyRule) -> Column:
     return flag
 
 
-def score_days(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
+def day_moments(trips: Column) -> dict[str, Column]:
+    """Aggregates over the trips of days: their number, sum and sum of squares.
+
+    All three are whole numbers, so they can be added, and taken away again, in any order.
+    """
+    exactly = trips.cast("decimal(14,0)")
+    return {
+        "days": F.count(F.lit(1)),
+        "trips": F.sum(exactly),
+        "squares": F.sum(exactly * exactly),
+    }
+
+
+def day_statistics(days: Column, trips: Column, squares: Column) -> dict[str, Column]:
+    """Mean and sample deviation out of day moments; one day has no deviation."""
+    n = days.cast("double")
+    spread = (days.cast("decimal(9,0)") * squares - trips * trips).cast("double")
+    return {
+        "avg_trips": trips.cast("double") / n,
+        "stddev_trips": F.when(days > 1, F.sqrt(spread / (n * (n - 1)))),
+    }
+
+
+def score_days(
+    daily: DataFrame, rule: AnomalyRule = AnomalyRule(), statistics: DataFrame | None = None
+) -> DataFrame:
     """All columns of both flag variants.
 
     The windows run over daily facts, a handful of rows per type and week. The previous
-    day is the previous row: days without trips are not filled in. The statistics see the
-    days in order as well, so that a rerun gives the same deviation to the last bit, and
-    one sort serves both.
+    day is the previous row: days without trips are not filled in. The statistics come from
+    whole numbers, so that a rerun gives the same deviation to the last bit; who keeps them
+    already (``plans.history``) hands them over, one row per type, or per week and type for
+    a rule by week.
     """
     require_columns(daily, ["total_amount_sum", "passenger_count_sum"], "anomaly_monitoring")
     days = daily.select(
@@ -83,17 +109,21 @@ def score_days(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame
         revenue().alias("total_revenue_per_day"),
         round2(average("passenger_count")).alias("avg_passenger_count"),
     )
-    scope = Window.partitionBy(*(["week_name"] if rule.by_week else []), "taxi_type")
-    in_order = scope.orderBy("pickup_date")
+    keys = [*(["week_name"] if rule.by_week else []), "taxi_type"]
+    in_order = Window.partitionBy(*keys).orderBy("pickup_date")
     everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def previous(name: str) -> Column:
         return F.lag(name).over(in_order)
 
-    scored = days.withColumns(
+    if statistics is None:
+        moments = {k: c.over(everything) for k, c in day_moments(F.col("daily_trips")).items()}
+        known = days.withColumns(moments)
+        known = known.withColumns(day_statistics(*(F.col(k) for k in moments))).drop(*moments)
+    else:
+        known = days.join(statistics, keys, "left")
+    scored = known.withColumns(
         {
-            "avg_trips": F.avg("daily_trips").over(everything),
-            "stddev_trips": F.stddev_samp("daily_trips").over(everything),
             "prev_trips": previous("daily_trips"),
             "prev_revenue": previous("total_revenue_per_day"),
         }
@@ -108,10 +138,12 @@ def score_days(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame
     return scored.withColumn("is_anomaly", _flag(rule))
 
 
-def anomaly_monitoring(daily: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
+def anomaly_monitoring(
+    daily: DataFrame, rule: AnomalyRule = AnomalyRule(), statistics: DataFrame | None = None
+) -> DataFrame:
     """The anomaly metric table. A rule on revenue adds its percentage column."""
     changes = dict.fromkeys(["pct_change_trips", rule.drop_column])
-    return score_days(daily, rule).select(
+    return score_days(daily, rule, statistics).select(
         day_column(),
         "taxi_type",
         "daily_trips",

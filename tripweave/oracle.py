@@ -291,6 +291,7 @@ ORACLE: dict[str, str] = {
     "daily_avg_metrics": f"WITH {EV_T} {AVERAGES_TABLE}",
     "daily_avg_metrics_lines": f"WITH {LI_T} {AVERAGES_TABLE}",
     "anomaly_monitoring": f"WITH {EV_T}, {scored()} {anomaly_table()}",
+    "anomaly_kept_current": f"WITH {EV_T}, {scored()} {anomaly_table()}",
     "anomaly_monitoring_lines": f"WITH {LI_T}, {scored()} {anomaly_table()}",
     "anomaly_by_week": f"WITH {EV_T}, {scored(by_week=True)} {anomaly_table()}",
     "anomaly_doc_variant": f"""WITH {EV_T}, {scored('2', 'pct_change_revenue')}

@@ -22,6 +22,7 @@ from tripweave.functions.weeks import (
 )
 from tripweave.operators import anomaly, cleaning, days, facts, metrics, quality, report, sinks
 from tripweave.operators.days import trips_on
+from tripweave.plans.history import open_history, update_history
 from tripweave.plans.metrics_job import prepare, run_all_weeks, run_week
 from tripweave.plans.report_job import report_all_weeks, report_week
 from tripweave.plans.storage import (
@@ -716,6 +717,27 @@ def weeks_kept_current(spark, sf_dir):
     )
 
 
+@query
+def anomaly_kept_current(spark, sf_dir):
+    """The anomaly table of a history that followed its store: a day stored short at first and
+    put right later, a day that came last, and one that should not be there and went again."""
+    store, history = shared_dir(spark, "daily"), shared_dir(spark, "history")
+    trips = event_trips(spark, sf_dir)
+    day = F.to_date("pickup_datetime")
+    short = (day == F.lit("2024-01-03").cast("date")) & (F.col("VendorID") % 2 == 1)
+    late = day == F.lit("2024-01-20").cast("date")
+    year = F.make_interval(F.lit(1))
+    stray = trips.filter(late).withColumn("pickup_datetime", F.col("pickup_datetime") + year)
+    sinks.save_days(trips.filter(~short & ~late).unionByName(stray), store)
+    update_history(spark, store, history)
+    sinks.save_days(trips_on(trips, "2024-01-03"), store, one_day=True)
+    sinks.save_days(trips.filter(late), store, one_day=True)
+    remove(spark, f"{store}/pickup_date=2025-01-20")
+    update_history(spark, store, history)
+    flagged = open_history(spark, history).anomalies()
+    return metrics.in_order(to_six(flagged, "avg_trips", "stddev_trips"))
+
+
 @query
 def week_table_roundtrip(spark, sf_dir):
     """Stored days published as tables, the last week once more; counted by week and type."""
