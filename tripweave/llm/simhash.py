@@ -246,9 +246,11 @@ def _linked(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 def links(prints: DataFrame, distance: int) -> DataFrame:
     """Verified links (a > b) between distinct fingerprints that connect what is in reach."""
     masks = segments(distance)
-    # A row of 8 bytes becomes 64 rows: a number of its own keeps few tasks from doing that.
+    # A row of 8 bytes becomes 64 rows, so the shuffle before must not be packed into few tasks.
+    # Another expression than the column itself, whose partitioning Spark would take over.
     n_tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows, keys = variants(prints.repartition(n_tasks, "fp"), masks), ["bit", "key"]
+    spread = prints.repartition(n_tasks, F.xxhash64("fp"))
+    rows, keys = variants(spread, masks), ["bit", "key"]
     sure = None
     while True:
         found = saved(
