@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
-from tripweave.llm.frames import saved, table
+from tripweave.llm.frames import bounded_batches, saved, table
 from tripweave.llm.queries import WORD_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,23 +32,27 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Near copies count as one document, or their own lines would go before the next stage
     keeps one of them.
     """
+    bounded_batches(spark)
     shorter = line_dedup.drop_boilerplate(docs, copies=NEAR)
     return shorter.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    bounded_batches(spark)
     width, distance = NEAR
     return simhash.keep_one(docs, width=width, distance=distance)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    bounded_batches(spark)
     return decontaminate.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each text and the text they decode to."""
+    bounded_batches(spark)
     path = public_tokenizers.path(WORD_BPE)
     return bpe.round_trip(docs, path)
 

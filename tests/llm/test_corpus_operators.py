@@ -29,6 +29,8 @@ def test_query_equals_sql(spark, name):
     assert {c: SPARK_TO_DUCK[t] for c, t in df.dtypes} == types
 
 
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
 # --- lines -----------------------------------------------------------------------
 
 LINES = "doc_id long, source string, text string, _lines int"
@@ -519,3 +521,43 @@ def test_archives_stay_small_whatever_the_pages_are(spark, tmp_path, monkeypatch
         (i, html) for i, _, html in rows
     ]
     assert warc.quarantined(warc.read_archives(spark, path)).count() == 0
+
+
+def test_few_links_are_few_files(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "saved", lambda df, label: written.append(f := frames.saved(df, label)) or f)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", COALESCE)}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set(COALESCE, "false")
+    try:
+        links = spark.createDataFrame([(i + 1, i) for i in range(200)], "a long, b long")
+        found = components.components(links).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert {tuple(r) for r in found} == {(i, 0) for i in range(1, 201)}
+    cores = spark.sparkContext.defaultParallelism
+    assert len(written) > 2
+    assert all(len(df.inputFiles()) <= cores for df in written[1:])
+
+
+def test_batches_of_texts_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(6_000).select("id", F.repeat(F.lit("x"), 5_000).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    def largest():
+        return docs.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+    spark.conf.unset(key)
+    corpus_pipeline.simhash_stage(spark, docs.limit(2).withColumnRenamed("id", "doc_id"), "")
+    try:
+        assert largest() < 6_000_000
+        spark.conf.set(key, "1000000")  # a session's own bound stays
+        frames.bounded_batches(spark)
+        assert largest() < 2_000_000
+    finally:
+        spark.conf.unset(key)

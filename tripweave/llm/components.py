@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tripweave.llm.frames import saved
 
 
+#: Links that one task of a round writes, about; a round has a task per core at least.
+TASK_LINKS = 100_000
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """One step over links (a, b) with a > b; returns distinct links of that form."""
     swapped = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -42,8 +46,11 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = saved(links.distinct(), "links")
     state = _state(links).first()
+    cores = links.sparkSession.sparkContext.defaultParallelism
     while state[0]:
-        links = saved(_star(_star(links, large=True), large=False), "links")
+        # Few links in many partitions would be as many files, each read again in the next round.
+        n_tasks = max(cores, -(-state[0] // TASK_LINKS))
+        links = saved(_star(_star(links, large=True), large=False).coalesce(n_tasks), "links")
         before, state = state, _state(links).first()
         if before == state:
             break

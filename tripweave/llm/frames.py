@@ -57,6 +57,20 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return saved_at(df, label)[0]
 
 
+#: Bounds the Arrow batches that go to Python by their bytes.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches of texts go to Python in some megabytes, unless the session has a bound of its own.
+
+    By rows alone, 10,000 texts make a batch, which is in the JVM and in Python several times.
+    """
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 #: A key is heavy if it has more than one in so many of all rows; fewer keys than that can be.
 HEAVY = 1_000
 
