@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import SF_DIR
@@ -113,3 +114,64 @@ def test_query_equals_brute_force(spark):
     got = op7_suffix_array_dedup(spark, SF_DIR).drop("kept_sha256").collect()
     assert sorted([tuple(r) for r in got], key=repr) == sorted(expected, key=repr)
     assert sum(r[2] for r in expected) > 0
+
+
+def sort_rows(rows):
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    names = ["key", "a", "b", "at", "owner", "text"]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def test_keys_of_one_owner_are_not_sorted(monkeypatch):
+    sorted_texts = []
+
+    class Noted(suffix_array.Suffixes):
+        def __init__(self, texts, *rest):
+            sorted_texts.extend(texts)
+            super().__init__(texts, *rest)
+
+    monkeypatch.setattr(suffix_array, "Suffixes", Noted)
+    rows = [(1, 1, 1, 0, 5, b"abcdef"), (1, 2, 2, 0, 5, b"abcdeg")]
+    rows += [(2, 3, 3, 0, 5, b"uvwxyz"), (2, 4, 4, 7, 6, b"uvwxya"), (2, 5, 5, 9, 6, b"uvwxya")]
+    found = pa.Table.from_batches(suffix_array.sort_within(4, 1 << 20)(iter([sort_rows(rows)])))
+    assert sorted_texts == [b"uvwxyz", b"uvwxya"]
+    places = dict(zip(found.column("a").to_pylist(), found.column("places").to_pylist(), strict=True))
+    assert places == {4: [7, 8], 5: [9, 10]}
+
+
+@pytest.mark.parametrize("step", [1, 3, 1000])
+@pytest.mark.parametrize("most", [60, 1 << 20])
+def test_windows_of_a_key_over_any_batches(monkeypatch, step, most):
+    monkeypatch.setattr(suffix_array, "TOGETHER", 50)
+    monkeypatch.setattr(suffix_array, "MOST_ROWS", 10)
+    rng, length, rows = random.Random(step), 4, []
+    for key in range(40):
+        for _ in range(rng.choice([1, 2, 3, 12])):
+            letters = (100 + 2 * key, 101 + 2 * key)  # equal windows have equal keys
+            text = bytes(rng.choice(letters) for _ in range(rng.randrange(4, 9)))
+            n = len(rows)
+            rows.append((key, n, -n, rng.randrange(5), rng.randrange(4), text))
+    expected, many = set(), set()
+    for key in range(40):
+        own = [r for r in rows if r[0] == key]
+        if sum(len(r[5]) for r in own) > most:
+            many |= {r[1] for r in own}
+            continue
+        first = {}
+        for r in own:
+            for i in range(len(r[5]) - length + 1):
+                w = r[5][i : i + length]
+                first[w] = min(first.get(w, 9), r[4])
+        for r in own:
+            for i in range(len(r[5]) - length + 1):
+                if first[r[5][i : i + length]] < r[4]:
+                    expected.add((r[1], r[3] + i))
+    batches = iter([sort_rows(rows[i : i + step]) for i in range(0, len(rows), step)])
+    got, got_many = [], set()
+    for batch in suffix_array.sort_within(length, most)(batches):
+        for a, _, places, is_many in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got_many |= {a} if is_many else set()
+            got += [(a, p) for p in places]
+    assert set(got) == expected and got_many == many
+    assert expected and bool(many) == (most == 60)

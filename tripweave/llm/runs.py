@@ -67,11 +67,11 @@ def byte_grams(values: np.ndarray, n: int) -> np.ndarray:
     for size in (1, 2, 4):
         values = values[:-size] | values[size:] << np.uint64(8 * size)
     m = len(values) - (n - 8)
-    out = mix(values[:m])
+    out = values[:m]
     for k in range(8, n, 8):
         at = min(k, n - 8)
-        out = mix(out + values[at : at + m])
-    return out
+        out = mix(out * np.uint64(MIX[1]) + values[at : at + m])
+    return out if n > 8 else mix(out)
 
 
 def least(values: np.ndarray, width: int) -> np.ndarray:
@@ -102,22 +102,26 @@ def runs_of(
 ) -> Runs:
     """Runs of windows inside documents that end at ``ends``."""
     total = len(values) - length + 1
+    none = np.zeros(0, np.int64)
     if total <= 0:
-        none = np.zeros(0, np.int64)
         return Runs(none.view(np.uint64), none, none, none)
     hashes = hashes_of(values, gram)
     ranked = hashes & ~PLACE | np.arange(len(hashes), dtype=np.uint64)
-    place = (least(ranked, length - gram + 1)[:total] & PLACE).astype(np.int64)
-    doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    inside = doc[:total] == doc[length - 1 :]
-    doc = doc[:total]
+    place = least(ranked, length - gram + 1)[:total] & PLACE
+    sizes = np.diff(ends, prepend=0)
+    n_windows = np.maximum(sizes - length + 1, 0)
+    parts = np.stack([n_windows, sizes - n_windows], axis=1).ravel()
+    inside = np.repeat(np.tile([True, False], len(sizes)), parts)[:total]
     first = np.ones(total, bool)
-    first[1:] = (place[1:] != place[:-1]) | ~inside[:-1] | (doc[1:] != doc[:-1])
+    first[1:] = place[1:] != place[:-1]
+    first[(ends - sizes)[n_windows > 0]] = True
     first &= inside
     start = np.flatnonzero(first)
-    number = np.cumsum(first) - 1
-    count = np.bincount(number[inside], minlength=len(start)) if len(start) else start
-    return Runs(hashes[place[start]], start, count, doc[start])
+    if not len(start):
+        return Runs(none.view(np.uint64), none, none, none)
+    doc = np.searchsorted(ends, start, side="right")
+    stop = np.minimum(np.append(start[1:], total), ends[doc] - length + 1)
+    return Runs(hashes[place[start].astype(np.int64)], start, stop - start, doc)
 
 
 #: Turns bytes and offsets into symbol hashes and the number of symbols up to each
@@ -169,6 +173,12 @@ def _each_slice(batch: pa.RecordBatch, symbols: Symbols) -> Iterator[tuple]:
         yield i, j, values, ends, some, part
 
 
+def _paired(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A hash of minimizer and document. Where two of them agree by chance, a run too many is
+    looked at; none is missed."""
+    return mix(key ^ mix(doc.astype(np.uint64)))
+
+
 def repeated_keys(
     docs: DataFrame, symbols: Symbols, length: int, gram: int
 ) -> tuple[DataFrame, str]:
@@ -187,7 +197,7 @@ def repeated_keys(
                 runs = runs_of(values, ends, length, gram, hashes_of)
                 if not len(runs.key):
                     continue
-                order = np.lexsort((runs.key, runs.doc))
+                order = np.argsort(_paired(runs.key, runs.doc))
                 key, doc = runs.key[order], runs.doc[order]
                 same = np.zeros(len(key), np.int64)  # at most two rows of a key and document
                 same[1:] = (key[1:] == key[:-1]) & (doc[1:] == doc[:-1])
@@ -250,12 +260,9 @@ def candidates(
             bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             for i, j, values, ends, data, offsets in _each_slice(batch, symbols):
                 runs = runs_of(values, ends, length, gram, hashes_of)
-                cuts = np.searchsorted(runs.doc, np.arange(j - i + 1))
-                chosen = np.zeros(len(runs.key), bool)
-                for k in range(j - i):
-                    a, b = cuts[k], cuts[k + 1]
-                    some = flat[bounds[i + k] : bounds[i + k + 1]]
-                    chosen[a:b] = np.isin(runs.key[a:b], some)
+                some = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+                some = _paired(flat[bounds[i] : bounds[j]], some)
+                chosen = np.isin(_paired(runs.key, runs.doc), some)
                 if chosen.any():
                     yield from emit(
                         ids[i:j], tags[i:j], values, ends, data, offsets, runs.take(chosen)

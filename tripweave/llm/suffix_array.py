@@ -31,12 +31,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import runs as rn
-from tripweave.llm.frames import free_name, saved
+from tripweave.llm.frames import bounded_batches, free_name, saved
 
 LENGTH = 50
 GRAM = 16
@@ -243,14 +244,17 @@ def merged_order(sort: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.nda
     place = np.zeros(len(sort), np.int64)
     zero, first, second = (np.flatnonzero(sort == k) for k in range(3))
     sample = np.flatnonzero(sort != 0)
-    place[sample[np.argsort(own[sample], kind="stable")]] = np.arange(len(sample))
-    order = zero[np.argsort(one[zero], kind="stable")]
-    place[order] = np.arange(len(order))
-    place[zero] += np.searchsorted(np.sort(one[first]), one[zero])
-    place[zero] += np.searchsorted(np.sort(two[second]), two[zero])
-    place[first] += np.searchsorted(np.sort(one[zero]), one[first])
-    place[second] += np.searchsorted(np.sort(two[zero]), two[second])
-    return np.argsort(place, kind="stable")
+    place[sample[np.argsort(own[sample])]] = np.arange(len(sample))
+    order = np.argsort(one[zero])
+    ones, zero = one[zero][order], zero[order]
+    place[zero] = np.arange(len(zero)) + np.searchsorted(np.sort(one[first]), ones)
+    twos = np.argsort(two[zero])
+    place[zero[twos]] += np.searchsorted(np.sort(two[second]), two[zero][twos])
+    of = first[np.argsort(one[first])]
+    place[of] += np.searchsorted(ones, one[of])
+    of = second[np.argsort(two[second])]
+    place[of] += np.searchsorted(two[zero][twos], two[of])
+    return np.argsort(place)
 
 
 def _first_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,8 +317,8 @@ class Suffixes:
     def behind(self, values: np.ndarray, step: int) -> np.ndarray:
         """What stands ``step`` bytes on in the same text; zero beyond its end."""
         moved = np.zeros_like(values)
-        moved[: len(values) - step] = values[step:]
-        moved[self.left <= step] = 0
+        n = max(len(values) - step, 0)
+        np.multiply(values[step:], self.left[:n] > step, out=moved[:n])
         return moved
 
     def _letters(self, width: int) -> np.ndarray:
@@ -367,6 +371,12 @@ class Suffixes:
 FOUND_SCHEMA = "a bigint, b bigint, places array<int>, many boolean"
 
 
+def _stretches(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``first``, ``first + 1``, ... of each stretch, one stretch after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(sizes.sum())
+
+
 def sort_within(length: int, most: int):
     """Windows that start in a smaller owner, from rows (key, a, b, at, owner, text) sorted by
     key. Rows of a key with more than ``most`` bytes come out marked ``many``.
@@ -375,79 +385,121 @@ def sort_within(length: int, most: int):
     suffixes are sorted where a key has texts that differ.
     """
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple] = []  # different texts of whole keys: text, owner, rows
-        whole: list[tuple] = []  # rows of which all windows are found: a, b, at, windows
-        group: list[tuple] = []  # rows of the key that is being read
-        kept_bytes = group_bytes = 0
-        key, many = None, False
-
-        def work() -> Iterator[pa.RecordBatch]:
-            if whole:
-                a, b, at, n = map(np.array, zip(*whole, strict=True))
-                ends = np.cumsum(n)
-                where = np.repeat(at - (ends - n), n) + np.arange(ends[-1])
-                yield _rows(a, b, _lists(ends, where), False)
-                whole.clear()
-            if not kept:
-                return
-            texts, owners, rows = zip(*kept, strict=True)
-            suffixes = Suffixes(list(texts), length)
-            order, new = suffixes.classes()
-            heads, owner = np.flatnonzero(new), np.array(owners)[suffixes.text[order]]
-            least = np.minimum.reduceat(owner, heads)
-            least = np.repeat(least, np.diff(np.append(heads, len(order))))
-            place = np.sort(order[least < owner])
-            text, where = suffixes.text[place], suffixes.at[place]
-            cuts = np.searchsorted(text, np.arange(len(texts) + 1))
-            out = [
-                (a, b, where[cuts[k] : cuts[k + 1]] + at)
-                for k in np.flatnonzero(np.diff(cuts)).tolist()
-                for a, b, at, _, _ in rows[k]
-            ]
-            if out:
-                a, b, places = zip(*out, strict=True)
-                ends = np.cumsum([len(p) for p in places])
-                yield _rows(a, b, _lists(ends, np.concatenate(places)), False)
-            kept.clear()
-
-        def close_group() -> None:
-            nonlocal kept_bytes, group_bytes
-            if len(group) > 1 and not many:  # equal windows never stand in one run
-                texts: dict[bytes, list[tuple]] = {}
-                for row in group:
-                    texts.setdefault(row[4], []).append(row)
-                for text, rows in texts.items():
-                    owner = min(r[3] for r in rows)
-                    n = len(text) - length + 1
-                    whole.extend((*r[:3], n) for r in rows if r[3] > owner)
-                    if len(texts) > 1:
-                        kept.append((text, owner, [r for r in rows if r[3] == owner]))
-                        kept_bytes += len(text)
-            group.clear()
-            group_bytes = 0
+    def sorted_texts(texts: pa.Array, least: np.ndarray, row_text, a, b, at):
+        """Windows of different texts of whole keys; ``row_text`` is the text of each row."""
+        suffixes = Suffixes(texts.to_pylist(), length)
+        order, new = suffixes.classes()
+        heads, owner = np.flatnonzero(new), least[suffixes.text[order]]
+        sizes = np.diff(np.append(heads, len(order)))
+        first = np.repeat(np.minimum.reduceat(owner, heads), sizes)
+        place = np.sort(order[first < owner])
+        text, where = suffixes.text[place], suffixes.at[place]
+        cuts = np.searchsorted(text, np.arange(len(texts) + 1))
+        n = np.diff(cuts)[row_text]
+        some = np.flatnonzero(n)
+        if len(some):
+            n, row_text = n[some], row_text[some]
+            places = where[_stretches(cuts[row_text], n)] + np.repeat(at[some], n)
+            yield _rows(a[some], b[some], _lists(np.cumsum(n), places), False)
+
+    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Whole keys."""
+        key, a, b, at, owner = (rows.column(k).to_numpy() for k in range(5))
+        texts = rows.column(5).combine_chunks().dictionary_encode()
+        codes, texts = texts.indices.to_numpy(), texts.dictionary
+        sizes = pc.binary_length(texts).to_numpy()[codes].astype(np.int64)
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+        many = np.add.reduceat(sizes, starts) > most
+        if many.any():
+            out = np.flatnonzero(many[group])
+            yield _rows(a[out], b[out], _none(len(out)), True)
+        # Where all owners are the same, none is smaller.
+        ours = ~many & (
+            np.minimum.reduceat(owner, starts) < np.maximum.reduceat(owner, starts)
+        )
+        index = np.flatnonzero(ours[group])
+        if not len(index):
+            return
+        order = index[np.argsort(group[index] * len(texts) + codes[index])]
+        key_of, code = group[order], codes[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (key_of[1:] != key_of[:-1]) | (code[1:] != code[:-1])
+        heads, text = np.flatnonzero(new), np.cumsum(new) - 1
+        least = np.minimum.reduceat(owner[order], heads)
+        larger = owner[order] > least[text]
+        whole = order[larger]
+        if len(whole):
+            n = sizes[whole] - length + 1
+            places = _stretches(at[whole].astype(np.int64), n)
+            yield _rows(a[whole], b[whole], _lists(np.cumsum(n), places), False)
+        differ = np.bincount(key_of[heads], minlength=len(starts)) > 1
+        kept = np.flatnonzero(differ[key_of[heads]])  # texts that are sorted
+        if not len(kept):
+            return
+        first = order[~larger & differ[key_of]]
+        number = np.cumsum(differ[key_of[heads]]) - 1
+        row_text = number[text[~larger & differ[key_of]]]
+        ends = np.cumsum(sizes[order[heads[kept]]])
+        kept_key = key_of[heads[kept]]
+        begin = 0
+        while begin < len(kept):
+            before = ends[begin - 1] if begin else 0
+            stop = int(np.searchsorted(ends, before + TOGETHER)) + 1
+            if stop < len(kept):  # the rest of its last key
+                stop = int(np.searchsorted(kept_key, kept_key[stop - 1], side="right"))
+            i, j = np.searchsorted(row_text, (begin, stop))
+            some = first[i:j]
+            yield from sorted_texts(
+                texts.take(pa.array(code[heads[kept[begin:stop]]])),
+                least[kept[begin:stop]],
+                row_text[i:j] - begin,
+                *(x[some] for x in (a, b, at)),
+            )
+            begin = stop
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: list[pa.RecordBatch] = []  # whole keys
+        held: list[pa.RecordBatch] = []  # rows of the last key, which may go on
+        ready_rows = held_bytes = 0
+        passing = None  # a key above ``most`` whose rows are passed on
         for batch in batches:
             keys = batch.column(0).to_numpy()
+            if passing is not None and len(keys):
+                n = int(np.searchsorted(keys != passing, True))  # its rows come first
+                if n:
+                    gone = batch.slice(0, n)
+                    yield _rows(gone.column(1), gone.column(2), _none(n), True)
+                batch, keys = batch.slice(n), keys[n:]
+            if not len(keys):
+                continue
+            passing = None
             alone = np.zeros(len(keys), bool)  # the only row of its key
             alone[1:-1] = (keys[1:-1] != keys[:-2]) & (keys[1:-1] != keys[2:])
             batch = batch.filter(pa.array(~alone))
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != key:
-                    close_group()
-                    key, many = row[0], False
-                    if kept_bytes > TOGETHER or len(whole) > MOST_ROWS:
-                        yield from work()
-                        kept_bytes = 0
-                group.append(row[1:])
-                group_bytes += len(row[5])
-                if many or group_bytes > most:
-                    many = True
-                    a, b = ([r[k] for r in group] for k in range(2))
-                    yield _rows(a, b, pa.array([[]] * len(group), pa.list_(pa.int32())), True)
-                    group.clear()
-        close_group()
-        yield from work()
+            keys = batch.column(0).to_numpy()
+            if held and held[-1].column(0)[-1].as_py() != keys[0]:
+                ready += held
+                ready_rows += sum(map(len, held))
+                held, held_bytes = [], 0
+            changes = np.flatnonzero(keys[1:] != keys[:-1])
+            cut = int(changes[-1]) + 1 if len(changes) else 0
+            if cut:
+                ready += [*held, batch.slice(0, cut)]
+                ready_rows += sum(map(len, held)) + cut
+                held, held_bytes = [], 0
+            held.append(batch.slice(cut))
+            held_bytes += pc.sum(pc.binary_length(held[-1].column(5))).as_py()
+            if held_bytes > most:
+                for part in held:
+                    yield _rows(part.column(1), part.column(2), _none(part.num_rows), True)
+                passing, held, held_bytes = keys[-1], [], 0
+            if ready_rows > MOST_ROWS:
+                yield from work(pa.Table.from_batches(ready))
+                ready, ready_rows = [], 0
+        if ready or held:
+            yield from work(pa.Table.from_batches([*ready, *held]))
 
     return found
 
@@ -457,13 +509,16 @@ def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.astype(np.int32)))
 
 
+def _none(n: int) -> pa.Array:
+    return pa.array([[]] * n, pa.list_(pa.int32()))
+
+
 def _rows(a, b, places: pa.Array, many: bool) -> pa.RecordBatch:
+    a, b = (x if isinstance(x, pa.Array) else pa.array(x) for x in (a, b))
     return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), places, pa.array([many] * len(a))],
-        ["a", "b", "places", "many"],
+        [a, b, places, pa.array(np.full(len(a), many))], ["a", "b", "places", "many"]
     )
 
-
 def _runs_of_pieces(length: int, gram: int):
     """Rows (a, b, content, owner) to one row per run: key, a, b, place, owner, bytes."""
 
@@ -598,6 +653,7 @@ def remove_shared(
     name: str = "deduped",
 ) -> DataFrame:
     """``docs`` with a struct column ``name``: n_bytes, n_removed, n_spans and kept (bytes)."""
+    bounded_batches(docs.sparkSession)
     d, t, s = (free_name(docs, c) for c in ("_doc", "_tag", "_spans"))
     spans = shared_spans(rn.keyed(docs, doc, text), length, gram, letter).select(
         F.col("doc").alias(d), F.col("tag").alias(t), F.col("spans").alias(s)
