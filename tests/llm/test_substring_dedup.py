@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tripweave.llm import runs as rn
-from tripweave.llm import substring_dedup
+from tripweave.llm import frames, substring_dedup
 from tripweave.llm.queries import op5_substring_dedup
 from tests.conftest import SF_DIR
 
@@ -106,3 +106,13 @@ def test_symbols_of_words_and_windows():
         named = rn.grams(numbers, n)
         assert len(set(named.tolist())) == 7 and named[0] == named[7]
         assert rn.least(numbers, n).tolist() == [min(numbers[i : i + n]) for i in range(61 - n)]
+
+
+def test_batches_of_texts_are_bounded(spark):
+    spark.conf.unset(frames.BATCH)
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c")], "doc_id long, text string")
+    try:
+        assert substring_dedup.remove_repeats(docs, length=2, gram=1).count() == 2
+        assert int(spark.conf.get(frames.BATCH)) == frames.BATCH_BYTES
+    finally:
+        spark.conf.unset(frames.BATCH)
