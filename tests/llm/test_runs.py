@@ -1,0 +1,112 @@
+"""Wide minimizers, the marks that tell which of them repeat, and runs of frequent ones."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm.test_suffix_array import brute, ours
+from tripweave.llm import runs as rn
+from tripweave.llm import suffix_array
+
+
+def some_runs(texts, length, gram):
+    ends = np.cumsum([len(t) for t in texts])
+    values = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
+    return rn.runs_of(values, ends, length, gram, rn.byte_grams, True)
+
+
+@pytest.mark.parametrize("length, gram", [(1, 1), (2, 1), (8, 3), (13, 5), (13, 13), (50, 16), (25, 9)])
+def test_wide_minimizers_depend_on_the_window_alone(length, gram):
+    rng = random.Random(length)
+    texts = [bytes(rng.choice(b"ab\xff") for _ in range(rng.randint(0, 150))) for _ in range(30)]
+    texts += [texts[0] + texts[1], texts[2][5:], b"ab" * 70, b""]
+    anchor, places, size = rn.wide(length, gram)
+    assert size + places - 1 == length and places <= length - anchor + 1 <= 2 * places
+    runs = some_runs(texts, length, gram)
+    text = b"".join(texts)
+    key_of, windows = {}, 0
+    for key, start, count, doc in zip(runs.key, runs.start, runs.count, runs.doc, strict=True):
+        own = [text[i : i + length] for i in range(start, start + count)]
+        assert len(set(own)) == len(own) <= places  # equal windows never stand in one run
+        assert start + count + length - 1 <= sum(len(t) for t in texts[: doc + 1])
+        assert all(key_of.setdefault(w, key) == key for w in own)
+        windows += count
+    assert windows == sum(max(len(t) - length + 1, 0) for t in texts)
+
+
+def test_byte_grams_at_some_places():
+    values = np.random.default_rng(1).integers(0, 256, 90).astype(np.uint64)
+    at = np.array([0, 7, 33, 40])
+    for n in (1, 7, 8, 9, 16, 30, 50):
+        for hashes in (rn.grams, rn.byte_grams):
+            assert hashes(values, n, at).tolist() == hashes(values, n)[at].tolist()
+
+
+@pytest.mark.parametrize("most, of_key", [(1 << 20, 16), (20, 16), (50, 2)])
+def test_marks_of_repeated_minimizers(spark, monkeypatch, most, of_key):
+    monkeypatch.setattr(rn, "MOST_MARKS", most)
+    monkeypatch.setattr(rn, "MARKS_OF_KEY", of_key)
+    rng, length, gram = random.Random(most), 13, 5
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    common, rare = letters(30), letters(40)
+    texts = [letters(rng.randint(0, 90)) + common * (k % 2) + letters(9) for k in range(120)]
+    texts += [rare, letters(20) + rare, "ab" * 40, ""]
+    ids = [k - 60 for k in range(len(texts))]
+    ids[7] = ids[8]  # two rows of one id
+    ids[9] = -(1 << 63)
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc long, text string")
+    found, _ = rn.repeated_keys(df.repartition(3), rn.byte_symbols, length, gram, True)
+    runs = some_runs([t.encode() for t in texts], length, gram)
+    times = Counter(runs.key.tolist())
+    expected = {(ids[d], k) for k, d in zip(runs.key.tolist(), runs.doc, strict=True) if times[k] > 1}
+    rows = found.collect()
+    assert len(rows) == len({r["doc"] for r in rows})
+    assert {(r["doc"], k % (1 << 64)) for r in rows for k in r["keys"]} == expected
+    assert max(times.values()) >= 60 and len(set(times.values())) > 2
+
+
+def test_strings_shorter_than_a_window_bring_no_text_together(spark, monkeypatch):
+    """25 bytes that many documents share are no reason to sort what is around them."""
+    seen, shared = [], suffix_array.shared_windows
+
+    def noted(pieces, *rest):
+        seen.append(pieces.count())
+        return shared(pieces, *rest)
+
+    monkeypatch.setattr(suffix_array, "shared_windows", noted)
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    common = letters(25)
+    rows = [(k, letters(200) + common + letters(200)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r[2] for r in ours(df)] == [0] * 60
+    assert seen == [0]
+
+
+@pytest.mark.parametrize("most, calls", [(4_000, 0), (300, 1)])
+def test_equal_runs_of_a_frequent_minimizer_are_sorted_once(spark, monkeypatch, most, calls):
+    """A passage with one of ten lines before and behind it: of a minimizer inside the passage
+    all pieces have few different runs."""
+    given, of_many = [], []
+
+    def noted(name, into):
+        call = getattr(suffix_array, name)
+        monkeypatch.setattr(suffix_array, name, lambda *a: into.append(a[0].count()) or call(*a))
+
+    noted("sort_across", given)
+    noted("windows_of_many", of_many)
+    monkeypatch.setattr(suffix_array, "MOST_TOGETHER", most)
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, before, behind = letters(120), *([letters(25) for _ in range(10)] for _ in range(2))
+    rows = []
+    for k in rng.sample(range(1000), 250):
+        middle = rng.choice(before) + passage + rng.choice(behind)
+        rows.append((k, letters(60) + middle + letters(60)))
+    rows += [(2000 + k, passage[k : k + 70] + letters(20)) for k in range(40)]
+    expected = brute(rows, 50)
+    assert ours(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == expected
+    assert sum(r[2] for r in expected) > 250 * 100
+    assert len(given) == calls and len(of_many) == 1 and of_many[0] > 60

@@ -6,6 +6,11 @@ minimizers at equal places within them. Neighbouring windows mostly share theirs
 run; equal windows never stand in one run. So a window whose minimizer occurs in one run only
 cannot repeat, and everything that follows looks at the other runs.
 
+The more text, the more short strings occur twice by chance. A wide minimizer is a string of
+more than half a window: the least hash of short strings is looked for as above, and the
+minimizer begins there, or half a window before if the window would not hold it. It is found
+from the window alone, too, and hardly ever repeats unless the text around it does.
+
 All functions take the symbols of many documents one after the other, as numpy arrays.
 """
 
@@ -29,8 +34,8 @@ PLACE = np.uint64((1 << 30) - 1)
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
-#: Hashes of all strings of so many neighbouring values.
-Grams = Callable[[np.ndarray, int], np.ndarray]
+#: Hashes of the strings of so many neighbouring values, at all places or at some.
+Grams = Callable[..., np.ndarray]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,8 +47,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def grams(values: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all strings of ``n`` neighbouring values, by doubling."""
+def grams(values: np.ndarray, n: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of all strings of ``n`` neighbouring values, or of those ``at`` some places, by
+    doubling."""
+    if at is not None:
+        return grams(values, n)[at]
     if len(values) < n:
         return values[:0]
     out, have, size = None, mix(values), 1
@@ -60,17 +68,21 @@ def grams(values: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
-def byte_grams(values: np.ndarray, n: int) -> np.ndarray:
+def byte_grams(values: np.ndarray, n: int, at: np.ndarray | None = None) -> np.ndarray:
     """``grams`` of bytes, eight of which are one number."""
     if n < 8 or len(values) < n:
-        return grams(values, n)
-    for size in (1, 2, 4):
-        values = values[:-size] | values[size:] << np.uint64(8 * size)
-    m = len(values) - (n - 8)
-    out = values[:m]
-    for k in range(8, n, 8):
-        at = min(k, n - 8)
-        out = mix(out * np.uint64(MIX[1]) + values[at : at + m])
+        return grams(values, n, at)
+    data = values.astype(np.uint8)
+    eights = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))  # one from each byte on
+    if at is None:
+        eights = eights.astype(np.uint64)
+        m = len(eights) - (n - 8)
+        parts = [eights[k : k + m] for k in (*range(0, n - 8, 8), n - 8)]
+    else:
+        parts = [eights[at + k] for k in (*range(0, n - 8, 8), n - 8)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = mix(out * np.uint64(MIX[1]) + part)
     return out if n > 8 else mix(out)
 
 
@@ -97,17 +109,33 @@ class Runs:
         return Runs(self.key[chosen], self.start[chosen], self.count[chosen], self.doc[chosen])
 
 
+def wide(length: int, gram: int) -> tuple[int, int, int]:
+    """Of wide minimizers: the symbols of what is compared, the places at which a minimizer can
+    stand in its window, the symbols of a minimizer."""
+    anchor = gram // 2 + 1
+    places = (length - anchor + 2) // 2
+    return anchor, places, length - places + 1
+
+
 def runs_of(
-    values: np.ndarray, ends: np.ndarray, length: int, gram: int, hashes_of: Grams = grams
+    values: np.ndarray,
+    ends: np.ndarray,
+    length: int,
+    gram: int,
+    hashes_of: Grams = grams,
+    widely: bool = False,
 ) -> Runs:
-    """Runs of windows inside documents that end at ``ends``."""
+    """Runs of windows inside documents that end at ``ends``; ``widely``: by wide minimizers."""
     total = len(values) - length + 1
     none = np.zeros(0, np.int64)
     if total <= 0:
         return Runs(none.view(np.uint64), none, none, none)
-    hashes = hashes_of(values, gram)
+    anchor, places, size = wide(length, gram) if widely else (gram, length, gram)
+    hashes = hashes_of(values, anchor)
     ranked = hashes & ~PLACE | np.arange(len(hashes), dtype=np.uint64)
-    place = least(ranked, length - gram + 1)[:total] & PLACE
+    place = (least(ranked, length - anchor + 1)[:total] & PLACE).view(np.int64)
+    if widely:
+        place -= places * (place - np.arange(total) >= places)
     sizes = np.diff(ends, prepend=0)
     n_windows = np.maximum(sizes - length + 1, 0)
     parts = np.stack([n_windows, sizes - n_windows], axis=1).ravel()
@@ -121,7 +149,9 @@ def runs_of(
         return Runs(none.view(np.uint64), none, none, none)
     doc = np.searchsorted(ends, start, side="right")
     stop = np.minimum(np.append(start[1:], total), ends[doc] - length + 1)
-    return Runs(hashes[place[start].astype(np.int64)], start, stop - start, doc)
+    place = place[start]
+    keys = hashes_of(values, size, place) if widely else hashes[place]
+    return Runs(keys, start, stop - start, doc)
 
 
 #: Turns bytes and offsets into symbol hashes and the number of symbols up to each
@@ -179,44 +209,155 @@ def _paired(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return mix(key ^ mix(doc.astype(np.uint64)))
 
 
+#: Marks that wait in a task at most, and those of one key that are sent to its task.
+MOST_MARKS = 1 << 20
+MARKS_OF_KEY = 16
+PACKED = "part int, keys binary, docs binary"
+
+
+def _packed(part: np.ndarray, keys: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+    """One row per part, with all of its keys and documents; ``part`` is in order."""
+    first = np.flatnonzero(np.concatenate([[len(part) > 0], part[1:] != part[:-1]]))
+    bounds = pa.py_buffer((np.append(first, len(part)) * 8).astype(np.int32))
+    blobs = [
+        pa.Array.from_buffers(
+            pa.binary(), len(first), [None, bounds, pa.py_buffer(np.ascontiguousarray(x))]
+        )
+        for x in (keys, docs)
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[first].astype(np.int32)), *blobs], ["part", "keys", "docs"]
+    )
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(part, keys, documents) of packed rows that are sorted by part."""
+    held: tuple[list, list] = ([], [])
+    part = None
+    for batch in batches:
+        for this, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if this != part and held[0]:
+                yield part, *(np.frombuffer(b"".join(x), np.int64) for x in held)
+                held = ([], [])
+            part = this
+            for x, blob in zip(held, blobs, strict=True):
+                x.append(blob)
+    if held[0]:
+        yield part, *(np.frombuffer(b"".join(x), np.int64) for x in held)
+
+
+def _times(ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted values: the place of each among its equals, and their number."""
+    first = np.flatnonzero(np.concatenate([[len(ranked) > 0], ranked[1:] != ranked[:-1]]))
+    n = np.diff(np.append(first, len(ranked)))
+    return np.arange(len(ranked)) - np.repeat(first, n), np.repeat(n, n)
+
+
+class _Pairs:
+    """Pairs of key and document, gathered and given out as packed rows."""
+
+    def __init__(self, bits: int):
+        self.shift, self.n_parts = np.uint64(64 - bits), 1 << bits
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n = 0
+
+    def add(self, keys: np.ndarray, docs: np.ndarray) -> bool:
+        """Whether it is time to give them out."""
+        if len(keys):
+            self.held.append((keys, docs))
+            self.n += len(keys)
+        return self.n > MOST_MARKS
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, docs = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.held, self.n = [], 0
+        return keys, docs
+
+    def by_doc(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            keys, docs = self.taken()
+            part = mix(docs.view(np.uint64)) >> self.shift
+            order = np.argsort(part, kind="stable")
+            yield _packed(part[order].astype(np.int64), keys[order], docs[order])
+
+    def by_key(self, found: _Pairs) -> Iterator[pa.RecordBatch]:
+        """Parts of documents come after those of keys. Of a key with many marks here all but
+        some go to ``found`` and there: it is known to repeat."""
+        if self.n:
+            keys, docs = self.taken()
+            order = np.argsort(keys)
+            keys, docs = keys[order], docs[order]
+            nth, _ = _times(keys)
+            few = nth < MARKS_OF_KEY
+            if not few.all():
+                found.add(keys[~few], docs[~few])
+                keys, docs = keys[few], docs[few]
+            part = (keys >> self.shift).astype(np.int64)
+            yield _packed(part, keys.view(np.int64), docs)
+
+
 def repeated_keys(
-    docs: DataFrame, symbols: Symbols, length: int, gram: int
+    docs: DataFrame, symbols: Symbols, length: int, gram: int, widely: bool = False
 ) -> tuple[DataFrame, str]:
     """(doc, keys) of documents (doc: long, text) with the minimizers that occur in two runs,
     as a written table, and its path.
 
-    Counted by a partial aggregation and returned by a join, so a frequent minimizer is
-    never gathered in one task.
+    A mark is a minimizer and a document it occurs in. Marks meet by minimizer and those of
+    repeated ones by document, many of them in one row of a shuffle. Of a frequent minimizer a
+    task passes on the marks beyond some at once, so it is never gathered in one task.
     """
+    spark = docs.sparkSession
     hashes_of = _grams_of(symbols)
+    bits = min(max((4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length(), 6), 16)
+    after = 1 << bits
+
+    def moved(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows:
+            part = pa.array(row.column(0).to_numpy() + np.int32(after))
+            yield pa.RecordBatch.from_arrays([part, *row.columns[1:]], row.schema.names)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, found = _Pairs(bits), _Pairs(bits)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, _, values, ends, _, _ in _each_slice(batch, symbols):
-                runs = runs_of(values, ends, length, gram, hashes_of)
-                if not len(runs.key):
-                    continue
-                order = np.argsort(_paired(runs.key, runs.doc))
-                key, doc = runs.key[order], runs.doc[order]
-                same = np.zeros(len(key), np.int64)  # at most two rows of a key and document
-                same[1:] = (key[1:] == key[:-1]) & (doc[1:] == doc[:-1])
-                keep = (same == 0) | (np.concatenate([[0], same[:-1]]) == 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[keep].view(np.int64)), pa.array(ids[i + doc[keep]])],
-                    ["key", "doc"],
-                )
-
-    marks, path = saved_at(
-        docs.select("doc", "text").mapInArrow(emit, "key bigint, doc bigint"), "run-marks"
-    )
-    often = marks.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    often = often.hint("shuffle_hash")  # few of all keys; the marks need no sort
-    found = marks.join(often, "key", "left_semi")
-    keys = found.groupBy("doc").agg(F.collect_set("key").alias("keys"))
-    written = saved_at(keys, "run-keys")
-    remove(docs.sparkSession, path)
-    return written
+                runs = runs_of(values, ends, length, gram, hashes_of, widely)
+                if marks.add(runs.key, ids[i + runs.doc]):
+                    yield from marks.by_key(found)
+                    if found.n > MOST_MARKS:
+                        yield from moved(found.by_doc())
+        yield from marks.by_key(found)
+        yield from moved(found.by_doc())
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Pairs(bits)
+        for part, keys, ids in _parts(batches):
+            if part < after:
+                order = np.argsort(keys)
+                keys, ids = keys[order], ids[order]
+                often = _times(keys)[1] > 1
+                keys, ids = keys[often], ids[often]
+            if found.add(keys, ids):
+                yield from found.by_doc()
+        yield from found.by_doc()
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, keys, ids in _parts(batches):
+            order = np.lexsort((keys, ids))
+            keys, ids = keys[order], ids[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+            keys, ids = keys[new], ids[new]
+            nth, _ = _times(ids)
+            first = np.flatnonzero(nth == 0)
+            bounds = pa.array(np.append(first, len(ids)).astype(np.int32))
+            lists = pa.ListArray.from_arrays(bounds, pa.array(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[first]), lists], ["doc", "keys"])
+
+    pairs = docs.select("doc", "text").mapInArrow(emit, PACKED)
+    for step, schema in ((repeated, PACKED), (listed, "doc bigint, keys array<bigint>")):
+        pairs = pairs.repartition("part").sortWithinPartitions("part").mapInArrow(step, schema)
+    return saved_at(pairs, "run-keys")
 
 
 class Once:
@@ -242,12 +383,19 @@ class Once:
 
 
 def candidates(
-    docs: DataFrame, symbols: Symbols, length: int, gram: int, emitter, schema: str, label: str
+    docs: DataFrame,
+    symbols: Symbols,
+    length: int,
+    gram: int,
+    emitter,
+    schema: str,
+    label: str,
+    widely: bool = False,
 ) -> DataFrame:
     """What ``emit(ids, tags, values, ends, bytes, offsets, runs)`` yields for the runs whose
     minimizer repeats, as a written table. ``docs`` holds doc: long, text, tag: long. Each task
     makes an ``emit`` of its own from ``emitter(Once())``."""
-    keys, path = repeated_keys(docs, symbols, length, gram)
+    keys, path = repeated_keys(docs, symbols, length, gram, widely)
     hashes_of = _grams_of(symbols)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +407,7 @@ def candidates(
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             for i, j, values, ends, data, offsets in _each_slice(batch, symbols):
-                runs = runs_of(values, ends, length, gram, hashes_of)
+                runs = runs_of(values, ends, length, gram, hashes_of, widely)
                 some = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
                 some = _paired(flat[bounds[i] : bounds[j]], some)
                 chosen = np.isin(_paired(runs.key, runs.doc), some)

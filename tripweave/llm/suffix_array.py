@@ -16,8 +16,10 @@ as owner. The suffixes of all distinct pieces are sorted as far as the match len
 Equal strings have equal minimizers. So the pieces go, run by run, to the task of their
 minimizer, and each task sorts the suffixes of a bounded amount of text with whole
 minimizers in it (``sort_within``). What one minimizer brings together is not bounded; above
-``MOST_TOGETHER`` bytes its pieces are sorted by Spark instead (``sort_across``): triples are
-named over range partitions, and ranges of prefixes are merged on their own.
+``MOST_TOGETHER`` bytes its runs are set apart, equal ones become one by a partial aggregation,
+and the different ones are sorted as before. Those of a minimizer that has more than
+``MOST_TOGETHER`` bytes even then are sorted by Spark (``sort_across``): triples are named over
+range partitions, and ranges of prefixes are merged on their own.
 
 Defined results: null texts are empty; a null id counts as smaller than all others; rows with
 the same id do not count as earlier than each other; strings do not cross documents; all
@@ -37,20 +39,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import runs as rn
-from tripweave.llm.frames import bounded_batches, free_name, saved
+from tripweave.llm.frames import bounded_batches, free_name, saved, slices
 
 LENGTH = 50
 GRAM = 16
 LETTER = 17
-#: Bytes whose suffixes one task sorts at once, and those above which Spark sorts them.
+#: Bytes whose suffixes one task sorts at once, and those above which Spark sorts them. A sort
+#: takes some 100 bytes of memory a byte.
 TOGETHER = 1 << 18
-MOST_TOGETHER = 8 << 20
+MOST_TOGETHER = 4 << 20
 #: Rows that wait to be passed on at most.
 MOST_ROWS = 50_000
 #: Runs that a piece spans at most; on average four, as every fourth minimizer ends one.
 MOST_RUNS = 32
-#: Suffixes that one task merges, about.
+#: Suffixes that one task merges, about, and bytes whose suffixes are in one Arrow batch.
 TASK_ROWS = 400_000
+BATCH_TEXT = 1 << 16
 PIECES = "a bigint, b bigint, doc bigint, tag bigint, start int, content binary"
 
 
@@ -103,8 +107,8 @@ def _named(rows: DataFrame, by: list[str], n_tasks: int) -> DataFrame:
             new = np.zeros(batch.num_rows, bool)
             for k in range(3, 3 + width):
                 column = batch.column(k)
-                values = np.array(column.to_pylist(), dtype=object)
-                new[1:] |= values[1:] != values[:-1]
+                differs = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
+                new[1:] |= differs.to_numpy(zero_copy_only=False)
             head = [batch.column(k)[0].as_py() for k in range(3, 3 + width)]
             new[0] = head != before
             before = [batch.column(k)[-1].as_py() for k in range(3, 3 + width)]
@@ -135,20 +139,19 @@ def _sample(pieces: DataFrame, length: int, letter: int, n_tasks: int) -> DataFr
     reach = 3 * letter
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list = [[], [], [], []]
-            for a, b, content in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                # the names behind a window reach two places beyond its start
-                stop = len(content) - length + 3 if reach >= length else len(content)
-                places = [i for i in range(stop) if i % 3]
-                out[0] += [a] * len(places)
-                out[1] += [b] * len(places)
-                out[2] += places
-                out[3] += [content[i : i + reach] for i in places]
-                if len(out[0]) > 50_000:
-                    yield _suffixes(out)
-                    out = [[], [], [], []]
-            yield _suffixes(out)
+        for batch, data, offsets in _slices(batches, 2):
+            sizes = np.diff(offsets)
+            # the names behind a window reach two places beyond its start
+            stops = np.maximum(sizes - length + 3, 0) if reach >= length else sizes
+            piece, at = np.repeat(np.arange(len(sizes)), stops), _stretches(0 * stops, stops)
+            piece, at = piece[at % 3 != 0], at[at % 3 != 0]
+            letters = np.minimum(sizes[piece] - at, reach)
+            triples = _binary(data[_stretches(offsets[piece] + at, letters)], letters)
+            a, b = (batch.column(k).to_numpy()[piece] for k in range(2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), pa.array(at.astype(np.int32)), triples],
+                ["a", "b", "at", "triple"],
+            )
 
     names = _named(
         pieces.select("a", "b", "content").mapInArrow(
@@ -186,10 +189,22 @@ def _sample(pieces: DataFrame, length: int, letter: int, n_tasks: int) -> DataFr
     return names
 
 
-def _suffixes(out: list) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["a", "b", "at", "triple"]
+def _slices(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple]:
+    """Some rows of a batch after the other, with the bytes of column ``k`` and their offsets."""
+    for batch in batches:
+        texts = batch.column(k).cast(pa.large_binary())
+        buffers = texts.buffers()
+        bounds = np.frombuffer(buffers[1], np.int64)[texts.offset :][: len(texts) + 1]
+        data = np.frombuffer(buffers[2], np.uint8) if buffers[2] else np.zeros(0, np.uint8)
+        for i, j in slices(bounds, BATCH_TEXT):
+            part = bounds[i : j + 1]
+            yield batch.slice(i, j - i), data[part[0] : part[-1]], part - part[0]
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)]
     )
 
 
@@ -207,34 +222,37 @@ def _comparable(length: int):
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, content, owner, pairs in zip(
-                *(c.to_pylist() for c in batch.columns), strict=True
-            ):
-                n = len(content) - length + 1
-                name = np.full(n + 2, -1, np.int64)
-                for p in pairs:
-                    if p["at"] < n + 2:
-                        name[p["at"]] = p["name"]
-                text = np.frombuffer(content, np.uint8).astype(np.uint64)
-                at = np.arange(n)
-                sort = at % 3
-                packed = name.view(np.uint64)
-                one = text[:n] << np.uint64(48) | packed[1 : n + 1]
-                two = text[:n] << np.uint64(56) | text[1 : n + 1] << np.uint64(48) | packed[2 : n + 2]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, a)),
-                        pa.array(np.full(n, b)),
-                        pa.array(at.astype(np.int32)),
-                        pa.array(np.full(n, owner)),
-                        pa.array([content[i : i + length] for i in range(n)], pa.binary()),
-                        pa.array(np.where(sort == 0, -1, name[:n])),
-                        pa.array(np.where(sort == 2, np.uint64(0), one).view(np.int64)),
-                        pa.array(np.where(sort == 1, np.uint64(0), two).view(np.int64)),
-                    ],
-                    ["a", "b", "at", "owner", "prefix", "own", "one", "two"],
-                )
+        for batch, data, offsets in _slices(batches, 2):
+            n = np.diff(offsets) - length + 1
+            piece, at = np.repeat(np.arange(len(n)), n), _stretches(0 * n, n)
+            pairs = batch.column(4)
+            names_at, names = (pairs.flatten().field(k).to_numpy() for k in range(2))
+            of = np.repeat(np.arange(len(n)), np.diff(pairs.offsets.to_numpy()))
+            inside = names_at < n[of] + 2
+            first = np.cumsum(n + 2) - n - 2
+            name = np.full((n + 2).sum(), -1, np.int64)
+            name[(first[of] + names_at)[inside]] = names[inside]
+            packed, here = name.view(np.uint64), first[piece] + at
+            # a window of one byte may end its piece
+            text, start = np.append(data, np.uint8(0)).astype(np.uint64), offsets[piece] + at
+            sort = at % 3
+            one = text[start] << np.uint64(48) | packed[here + 1]
+            two = text[start] << np.uint64(56) | text[start + 1] << np.uint64(48) | packed[here + 2]
+            sizes = np.full(len(at), length)
+            a, b, owner = (batch.column(k).to_numpy()[piece] for k in (0, 1, 3))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(a),
+                    pa.array(b),
+                    pa.array(at.astype(np.int32)),
+                    pa.array(owner),
+                    _binary(data[_stretches(start, sizes)], sizes),
+                    pa.array(np.where(sort == 0, -1, name[here])),
+                    pa.array(np.where(sort == 2, np.uint64(0), one).view(np.int64)),
+                    pa.array(np.where(sort == 1, np.uint64(0), two).view(np.int64)),
+                ],
+                ["a", "b", "at", "owner", "prefix", "own", "one", "two"],
+            )
 
     return rows
 
@@ -368,7 +386,12 @@ class Suffixes:
         return order, new
 
 
+RUNS = "key bigint, a bigint, b bigint, at int, owner bigint, text binary"
+NAMES = ["key", "a", "b", "at", "owner", "text"]
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 FOUND_SCHEMA = "a bigint, b bigint, places array<int>, many boolean"
+#: What the rows of a key with too many bytes have besides, if they are wanted.
+WHOLE_SCHEMA = "key bigint, at int, owner bigint, text binary"
 
 
 def _stretches(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -377,14 +400,25 @@ def _stretches(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - (ends - sizes), sizes) + np.arange(sizes.sum())
 
 
-def sort_within(length: int, most: int):
+def sort_within(length: int, most: int, whole: bool = False):
     """Windows that start in a smaller owner, from rows (key, a, b, at, owner, text) sorted by
-    key. Rows of a key with more than ``most`` bytes come out marked ``many``.
+    key. Rows of a key with more than ``most`` bytes come out marked ``many``, with all of their
+    columns if ``whole``.
 
     Equal texts of a key are one text, and all windows of those with a larger owner are found;
     suffixes are sorted where a key has texts that differ.
     """
 
+    def sure_rows(a: np.ndarray, b: np.ndarray, places: pa.Array) -> pa.RecordBatch:
+        empty = pa.RecordBatch.from_arrays([pa.nulls(len(a), k) for k in KINDS], NAMES)
+        return _rows(a, b, places, False, empty if whole else None)
+
+    def many_rows(rows: pa.RecordBatch | pa.Table) -> Iterator[pa.RecordBatch]:
+        parts = rows.to_batches() if isinstance(rows, pa.Table) else [rows]
+        for part in parts:
+            a, b = part.column(1), part.column(2)
+            yield _rows(a, b, _none(part.num_rows), True, part if whole else None)
+
     def sorted_texts(texts: pa.Array, least: np.ndarray, row_text, a, b, at):
         """Windows of different texts of whole keys; ``row_text`` is the text of each row."""
         suffixes = Suffixes(texts.to_pylist(), length)
@@ -400,7 +434,7 @@ def sort_within(length: int, most: int):
         if len(some):
             n, row_text = n[some], row_text[some]
             places = where[_stretches(cuts[row_text], n)] + np.repeat(at[some], n)
-            yield _rows(a[some], b[some], _lists(np.cumsum(n), places), False)
+            yield sure_rows(a[some], b[some], _lists(np.cumsum(n), places))
 
     def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         """Whole keys."""
@@ -413,8 +447,7 @@ def sort_within(length: int, most: int):
         starts, group = np.flatnonzero(new), np.cumsum(new) - 1
         many = np.add.reduceat(sizes, starts) > most
         if many.any():
-            out = np.flatnonzero(many[group])
-            yield _rows(a[out], b[out], _none(len(out)), True)
+            yield from many_rows(rows.take(pa.array(np.flatnonzero(many[group]))))
         # Where all owners are the same, none is smaller.
         ours = ~many & (
             np.minimum.reduceat(owner, starts) < np.maximum.reduceat(owner, starts)
@@ -429,11 +462,11 @@ def sort_within(length: int, most: int):
         heads, text = np.flatnonzero(new), np.cumsum(new) - 1
         least = np.minimum.reduceat(owner[order], heads)
         larger = owner[order] > least[text]
-        whole = order[larger]
-        if len(whole):
-            n = sizes[whole] - length + 1
-            places = _stretches(at[whole].astype(np.int64), n)
-            yield _rows(a[whole], b[whole], _lists(np.cumsum(n), places), False)
+        copies = order[larger]
+        if len(copies):
+            n = sizes[copies] - length + 1
+            places = _stretches(at[copies].astype(np.int64), n)
+            yield sure_rows(a[copies], b[copies], _lists(np.cumsum(n), places))
         differ = np.bincount(key_of[heads], minlength=len(starts)) > 1
         kept = np.flatnonzero(differ[key_of[heads]])  # texts that are sorted
         if not len(kept):
@@ -469,8 +502,7 @@ def sort_within(length: int, most: int):
             if passing is not None and len(keys):
                 n = int(np.searchsorted(keys != passing, True))  # its rows come first
                 if n:
-                    gone = batch.slice(0, n)
-                    yield _rows(gone.column(1), gone.column(2), _none(n), True)
+                    yield from many_rows(batch.slice(0, n))
                 batch, keys = batch.slice(n), keys[n:]
             if not len(keys):
                 continue
@@ -493,7 +525,7 @@ def sort_within(length: int, most: int):
             held_bytes += pc.sum(pc.binary_length(held[-1].column(5))).as_py()
             if held_bytes > most:
                 for part in held:
-                    yield _rows(part.column(1), part.column(2), _none(part.num_rows), True)
+                    yield from many_rows(part)
                 passing, held, held_bytes = keys[-1], [], 0
             if ready_rows > MOST_ROWS:
                 yield from work(pa.Table.from_batches(ready))
@@ -513,11 +545,16 @@ def _none(n: int) -> pa.Array:
     return pa.array([[]] * n, pa.list_(pa.int32()))
 
 
-def _rows(a, b, places: pa.Array, many: bool) -> pa.RecordBatch:
+def _rows(a, b, places: pa.Array, many: bool, rest=None) -> pa.RecordBatch:
+    """``rest``: rows with the columns of ``WHOLE_SCHEMA``, which come last."""
     a, b = (x if isinstance(x, pa.Array) else pa.array(x) for x in (a, b))
-    return pa.RecordBatch.from_arrays(
-        [a, b, places, pa.array(np.full(len(a), many))], ["a", "b", "places", "many"]
-    )
+    columns = [a, b, places, pa.array(np.full(len(a), many))]
+    names = ["a", "b", "places", "many"]
+    if rest is not None:
+        names += ["key", "at", "owner", "text"]
+        columns += [rest.column(NAMES.index(x)) for x in names[4:]]
+    return pa.RecordBatch.from_arrays(columns, names)
+
 
 def _runs_of_pieces(length: int, gram: int):
     """Rows (a, b, content, owner) to one row per run: key, a, b, place, owner, bytes."""
@@ -529,7 +566,7 @@ def _runs_of_pieces(length: int, gram: int):
                 texts = batch.column(2).to_pylist()
                 ends = np.cumsum([len(t) for t in texts])
                 data = np.frombuffer(b"".join(texts), np.uint8)
-                runs = rn.runs_of(data.astype(np.uint64), ends, length, gram, rn.byte_grams)
+                runs = rn.runs_of(data.astype(np.uint64), ends, length, gram, rn.byte_grams, True)
                 at = (runs.start - np.concatenate([[0], ends[:-1]])[runs.doc]).astype(np.int32)
                 stops = at + runs.count + length - 1
                 cut = [texts[d][i:j] for d, i, j in zip(runs.doc, at, stops, strict=True)]
@@ -543,7 +580,18 @@ def _runs_of_pieces(length: int, gram: int):
     return split
 
 
-RUNS = "key bigint, a bigint, b bigint, at int, owner bigint, text binary"
+
+
+def _sorted(runs: DataFrame, length: int, label: str) -> tuple[DataFrame, DataFrame]:
+    """(a, b, places) of the runs whose minimizers have few bytes, and the other runs."""
+    work = sort_within(length, MOST_TOGETHER, True)
+    found = saved(
+        runs.repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(work, f"{FOUND_SCHEMA}, {WHOLE_SCHEMA}"),
+        label,
+    )
+    return found.filter(~F.col("many")).select("a", "b", "places"), found.filter("many").select(*NAMES)
 
 
 def shared_windows(pieces: DataFrame, length: int, gram: int, letter: int) -> DataFrame:
@@ -552,21 +600,41 @@ def shared_windows(pieces: DataFrame, length: int, gram: int, letter: int) -> Da
     runs = pieces.select("a", "b", "content", "owner").mapInArrow(
         _runs_of_pieces(length, gram), RUNS
     )
-    found = saved(
-        runs.repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(sort_within(length, MOST_TOGETHER), FOUND_SCHEMA),
-        "suffix-classes",
-    )
-    sure = found.filter(~F.col("many")).select("a", "b", "places")
-    many = found.filter("many").select("a", "b").distinct()
+    sure, many = _sorted(runs, length, "suffix-classes")
     if not many.isEmpty():
-        across = sort_across(pieces.join(many, ["a", "b"], "left_semi"), length, letter)
-        sure = sure.unionByName(across.select("a", "b", F.array("at").alias("places")))
+        sure = sure.unionByName(windows_of_many(many, length, letter))
     places = F.array_distinct(F.flatten(F.collect_list("places")))
     return sure.groupBy("a", "b").agg(F.sort_array(places).alias("places"))
 
 
+def windows_of_many(runs: DataFrame, length: int, letter: int) -> DataFrame:
+    """The same of runs whose minimizers have many bytes. All windows of a run are found if an
+    equal one has a smaller owner; the others are looked for in the distinct runs."""
+    # two hashes stand for the text of a run
+    x, y = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
+    texts = saved(
+        runs.groupBy("key", "text")
+        .agg(F.min("owner").alias("owner"))
+        .select("key", x.alias("a"), y.alias("b"), F.lit(0).alias("at"), "owner", "text"),
+        "suffix-runs",
+    )
+    sure, many = _sorted(texts, length, "suffix-run-classes")
+    if not many.isEmpty():
+        left = many.select("a", "b", F.col("text").alias("content"), "owner")
+        across = sort_across(left, length, letter).groupBy("a", "b")
+        sure = sure.unionByName(across.agg(F.collect_list("at").alias("places")))
+    owners = texts.select("a", "b", F.col("owner").alias("least")).join(sure, ["a", "b"], "left")
+    owners = owners.withColumnsRenamed({"a": "x", "b": "y"})
+    n = F.length("text") - (length - 1)
+    rows = runs.select("a", "b", "at", "owner", n.alias("n"), x.alias("x"), y.alias("y"))
+    place = (
+        F.when(F.col("owner") > F.col("least"), F.expr("sequence(at, at + n - 1)"))
+        .otherwise(F.expr("transform(places, p -> p + at)"))
+        .alias("places")
+    )
+    return rows.join(owners, ["x", "y"]).select("a", "b", place).filter("places IS NOT NULL")
+
+
 def sort_across(pieces: DataFrame, length: int, letter: int) -> DataFrame:
     """(a, b, at): the same windows, found by sorting all suffixes in Spark."""
     spark = pieces.sparkSession
@@ -602,6 +670,7 @@ def shared_spans(
         lambda once: _emit(length, once),
         PIECES,
         "suffix-pieces",
+        True,
     )
     pieces = saved(
         found.groupBy("a", "b").agg(
